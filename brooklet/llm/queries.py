@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from brooklet.llm import mixing, quality_rules, urls
+from brooklet.llm import mixing, near_dups, quality_rules, suffix_dups, urls
 
-_MODULES = (urls, mixing, quality_rules)
+_MODULES = (suffix_dups, urls, near_dups, mixing, quality_rules)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}
