@@ -8,24 +8,29 @@ are ordered by their first LENGTH bytes, and only where a match is possible:
 
 1. Every window of LENGTH bytes has an anchor, the least hash of its GRAM-byte
    strings. Equal windows have equal anchors at equal offsets, so a window whose
-   anchor's string occurs once has no match. Anchors are about one in 70 bytes.
+   anchor's string occurs once has no match. Anchors are about one in 60 bytes.
 2. An anchor's context is all that its windows can cover. Anchors that share the
    whole context are matches of each other in every window (level 1).
-3. One anchor per differing context of a shared anchor string goes on: its
-   windows are fingerprinted, and the run of one fingerprint, ordered by
-   (doc_id, key, position), gives each window its earlier match, the run's first,
-   and tells whether any other match exists (level 2).
+3. One anchor per differing context of a shared anchor string goes on with its
+   context's bytes, dealt by anchor string. The task puts the suffixes of a group
+   of contexts in order (by fingerprints of their first LENGTH bytes, then by
+   place); in a run of equal strings each but the first has a previous smaller
+   place, an earlier match, and each but the last a later one (level 2).
+4. An anchor string with more than ``GROUP`` differing contexts is too large a
+   group for a task. Its windows go out as rows of fingerprints; partial
+   aggregates find each run's first place, and a join brings it back.
 
 ``keep="first"`` removes windows with an earlier match (the first copy stays);
-``keep="none"`` removes every window with any match. Runs are summarised by
-partial aggregates and joined back, so no group is gathered in one task, and a
-passage found in a third of all documents only adds rows to its key's partition,
-which the join may split. Texts and fingerprints never pass the driver.
+``keep="none"`` removes every window with any match. Runs of anchors are
+summarised by partial aggregates and joined back, so a passage found in a third
+of all documents only adds rows to its key's partition, which the join may
+split. Texts and fingerprints never pass the driver.
 
 Null texts count as empty; nothing is removed from texts under LENGTH bytes.
 Rows that repeat a doc_id with another text are documents of their own; rows
 that repeat id and text match each other under ``keep="none"`` and count as one
-document under ``keep="first"``. Fingerprints have 64 bits.
+document under ``keep="first"``. Fingerprints have 64 bits; a place is the id,
+32 bits of the text's hash, and the position.
 """
 
 from __future__ import annotations
@@ -35,14 +40,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import byte_column, dropped, pieces, table, written
+from brooklet.llm.common import byte_column, pieces, table, written
 from brooklet.llm.near_dups import mixed
 
 LENGTH = 200
 GRAM = 64
+GROUP = 16_384
+_CHUNK = 8192
+_NULL_ID = -(1 << 63)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -110,19 +118,43 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
     return owner, at - first, order[at], context
 
 
-def window_hashes(text: bytes, places: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, hashes) of all windows that hold one of the GRAM-byte strings at ``places``."""
-    low, high = np.maximum(places - (length - gram), 0), np.minimum(places, len(text) - length)
-    marks = np.zeros(len(text) + 2, np.int32)
-    ok = high >= low
-    np.add.at(marks, low[ok], 1)
-    np.add.at(marks, high[ok] + 1, -1)
-    starts = np.flatnonzero(np.cumsum(marks) > 0)
-    raw = gram_hashes(np.frombuffer(text, np.uint8), gram)
-    h = np.full(len(starts), length, np.uint64)
+def window_hashes(contexts: list[bytes], h: np.ndarray, left: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context number, start, hash) of every window of some contexts.
+
+    The hash holds the anchor's hash h and offset too: equal windows agree in
+    both, and a window that lies in two contexts of one text differs from itself.
+    """
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    counts = np.maximum(sizes - length + 1, 0)
+    owner = np.repeat(np.arange(len(contexts)), counts)
+    if not len(owner):
+        return owner, owner, np.empty(0, np.uint64)
+    start = np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
+    raw = gram_hashes(np.frombuffer(b"".join(contexts), np.uint8), gram)
+    at = start + (np.cumsum(sizes) - sizes)[owner]
+    w = mixed(h.astype(np.int64).view(np.uint64)[owner] * _ODD + (left[owner] - start).astype(np.uint64))
     for j in range(-(-length // gram)):
-        h = mixed(h * _ODD ^ raw[np.minimum(starts + j * gram, starts + length - gram)])
-    return starts, h
+        w = mixed(w * _ODD ^ raw[at + min(j * gram, length - gram)])
+    return owner, start, w
+
+
+def matched_starts(contexts: list[bytes], h: np.ndarray, left: np.ndarray, keep: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context number, least, greatest start) of the windows with a match; contexts come in order of place.
+
+    All windows of a context hold its anchor, so their union is one span.
+    """
+    owner, start, w = window_hashes(contexts, h, left)
+    order = np.argsort(w, kind="stable")  # suffix order; equal strings by place
+    same = w[order[1:]] == w[order[:-1]]
+    found = np.zeros(len(w), bool)
+    found[order[1:][same]] = True
+    if keep == "none":
+        found[order[:-1][same]] = True
+    owner, start = owner[found], start[found]
+    if not len(owner):
+        return owner, owner, owner
+    first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
+    return owner[first], np.minimum.reduceat(start, first), np.maximum.reduceat(start, first)
 
 
 def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,60 +168,136 @@ def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """(id, mark, doc_id, text): id and mark, 32 bits of the text's hash, tell rows apart."""
+    mark = F.shiftright(F.xxhash64("text"), 32).cast("int")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), mark.alias("mark"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def _find_anchors(keyed: DataFrame) -> DataFrame:
+    """(id, place, h, c) of every anchor; place packs mark and position."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = batch.column(1), batch.column(0)
+            ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for rows, texts in pieces(batch, byte_column(batch, "text"), 1 << 18):
                 owner, at, h, context = anchors(texts)
                 if len(at):
-                    row = pa.array(np.array(rows, np.int64)[owner])
-                    yield pa.RecordBatch.from_arrays([ids.take(row), keys.take(row), pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(context.view(np.int64))], ["doc_id", "key", "pos", "h", "c"])
+                    row = np.array(rows, np.int64)[owner]
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array((marks[row] << 32) | at), pa.array(h.view(np.int64)), pa.array(context.view(np.int64))], ["id", "place", "h", "c"])
+
+    return keyed.select("id", "mark", "text").mapInArrow(run, "id long, place long, h long, c long")
+
 
-    return keyed.mapInArrow(run, "doc_id long, key long, pos int, h long, c long")
+def _spans(place: str) -> list[Column]:
+    """mark and position of a packed place column."""
+    return [F.shiftright(place, 32).cast("int").alias("mark"), F.col(place).bitwiseAND(F.lit(0xFFFFFFFF)).alias("pos")]
 
 
-def _find_windows(placed: DataFrame) -> DataFrame:
-    """(doc_id, key, pos, w) of the windows over each row's places."""
+def _contexts(placed: DataFrame) -> DataFrame:
+    """(h, id, place, left, bytes) of each row's places [(h, place)]; left is how far the bytes start before the anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys, places = batch.column(1), batch.column(0), batch.column(3).to_pylist()
+            ids, places = batch.column(0), batch.column(2).to_pylist()
             for i, text in enumerate(byte_column(batch, "text")):
-                starts, h = window_hashes(text, np.unique(np.array(places[i], np.int64)))
-                row = pa.array(np.full(len(starts), i))
-                yield pa.RecordBatch.from_arrays([ids.take(row), keys.take(row), pa.array(starts.astype(np.int32)), pa.array(h.view(np.int64))], ["doc_id", "key", "pos", "w"])
+                at = [x["place"] & 0xFFFFFFFF for x in places[i]]
+                low = [max(0, q - (LENGTH - GRAM)) for q in at]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([x["h"] for x in places[i]], pa.int64()),
+                        ids.take(pa.array([i] * len(at), pa.int64())),
+                        pa.array([x["place"] for x in places[i]], pa.int64()),
+                        pa.array([q - x for q, x in zip(at, low, strict=True)], pa.int32()),
+                        pa.array([text[x : q + LENGTH] for q, x in zip(at, low, strict=True)], pa.binary()),
+                    ],
+                    ["h", "id", "place", "left", "bytes"],
+                )
+
+    return placed.select("id", "text", "places").mapInArrow(run, "h long, id long, place long, left int, bytes binary")
+
 
-    return placed.mapInArrow(run, "doc_id long, key long, pos int, w long")
+def _match_groups(contexts: DataFrame, keep: str) -> DataFrame:
+    """(id, mark, low, high): the span of each context's matched windows, group by group of one anchor string."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def matched(table_: pa.Table) -> pa.RecordBatch:
+            place, left = table_["place"].to_numpy(), table_["left"].to_numpy()
+            owner, low, high = matched_starts(table_["bytes"].to_pylist(), table_["h"].to_numpy(), left, keep)
+            at = (place[owner] & 0xFFFFFFFF) - left[owner]
+            return pa.RecordBatch.from_arrays([table_["id"].combine_chunks().take(pa.array(owner)), pa.array((place[owner] >> 32).astype(np.int32)), pa.array(at + low), pa.array(at + high + LENGTH)], ["id", "mark", "low", "high"])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < _CHUNK:
+                continue
+            rows = pa.Table.from_batches(held)
+            h = rows["h"].to_numpy()
+            cut_ = int(np.searchsorted(h, h[-1]))  # the last group may go on
+            held = rows.slice(cut_).to_batches()
+            if cut_:
+                yield matched(rows.slice(0, cut_))
+        if held:
+            yield matched(pa.Table.from_batches(held))
+
+    dealt = contexts.repartition("h").sortWithinPartitions("h", "id", "place")
+    return dealt.mapInArrow(run, "id long, mark int, low long, high long")
 
-def _matched(rows: DataFrame, group: list[str], keep: str) -> DataFrame:
-    """(key, pos) of the rows (group.., doc_id, key, pos) that have a match: an earlier one for keep="first", else any."""
-    place = F.struct("doc_id", "key", "pos")
-    runs = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
-    found = rows.join(runs, group)
-    return (found.where(place != F.col("first")) if keep == "first" else found).select("key", "pos")
 
+def _match_large(contexts: DataFrame, keep: str) -> DataFrame:
+    """The same for groups too large for a task: windows as rows, runs by partial aggregates."""
 
-def repeated_spans(docs: DataFrame, keep: str = "first") -> DataFrame:
-    """(key, lows, highs): the unmerged spans to remove of every row that has any; key is xxhash64(doc_id, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = batch.column(3).to_numpy()
+            owner, start, w = window_hashes(batch.column(4).to_pylist(), batch.column(0).to_numpy(), left)
+            place = batch.column(2).to_numpy()[owner] - left[owner] + start
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(owner)), pa.array(place), pa.array(w.view(np.int64))], ["id", "place", "w"])
+
+    windows = written(contexts.mapInArrow(run, "id long, place long, w long"), "windows")
+    place = F.struct("id", "place")
+    runs = windows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
+    found = windows.join(runs, "w")
+    found = found.where(place != F.col("first")) if keep == "first" else found
+    return found.select("id", *_spans("place")).select("id", "mark", F.col("pos").alias("low"), (F.col("pos") + LENGTH).alias("high"))
+
+
+def repeated_spans(docs: DataFrame, keep: str = "first", group: int = GROUP) -> DataFrame:
+    """(id, mark, lows, highs): the unmerged spans to remove of every row that has any."""
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
-    keyed = _keyed(docs)
-    every = written(_find_anchors(keyed), "anchors")
-    shared = every.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("n > 1").select("h", (F.col("low") != F.col("high")).alias("varied"))
-    again = written(every.join(shared, "h"), "shared-anchors")
-    dropped(every)
-
-    whole = _matched(again, ["h", "c"], keep).select("key", (F.col("pos") - (LENGTH - GRAM)).alias("low"), (F.col("pos") + LENGTH).alias("high"))
-    firsts = again.where("varied").groupBy("h", "c").agg(F.min(F.struct("doc_id", "key", "pos")).alias("first"))
-    places = firsts.select("first.key", "first.pos").groupBy("key").agg(F.collect_list("pos").alias("places"))
-    windows = written(_find_windows(keyed.join(places, "key")), "windows")
-    single = _matched(windows, ["w"], keep).select("key", F.col("pos").alias("low"), (F.col("pos") + LENGTH).alias("high"))
-    return whole.union(single).distinct().groupBy("key").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    keyed, place = _keyed(docs), F.struct("id", "place")
+    every = _find_anchors(keyed)
+    shared = (
+        every.groupBy("h")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
+        .where("n > 1")
+        .select("h", (F.col("low") != F.col("high")).alias("varied"))
+    )
+    again = written(every.join(written(shared, "shared"), "h"), "shared-anchors")
+
+    # Level 1: runs of one whole context.
+    runs = again.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.first("varied").alias("varied"))
+    runs = written(runs.where("varied OR n > 1"), "runs")
+    whole = again.join(runs.where("n > 1").select("h", "c", "first"), ["h", "c"])
+    whole = whole.where(place != F.col("first")) if keep == "first" else whole
+    spans = whole.select("id", *_spans("place")).select("id", "mark", (F.col("pos") - (LENGTH - GRAM)).alias("low"), (F.col("pos") + LENGTH).alias("high"))
+
+    # Level 2: windows of the first anchor of each context, where contexts differ.
+    firsts = runs.where("varied").select("h", F.col("first.id").alias("id"), F.col("first.place").alias("place"))
+    large = firsts.groupBy("h").count().where(F.col("count") > group).select("h")
+
+    def contexts(of: DataFrame) -> DataFrame:
+        per = of.groupBy("id", F.shiftright("place", 32).cast("int").alias("mark")).agg(F.collect_list(F.struct("h", "place")).alias("places"))
+        return _contexts(keyed.join(per, ["id", "mark"]))
+
+    if not large.isEmpty():
+        large = written(large, "large")
+        spans = spans.union(_match_large(contexts(firsts.join(large, "h", "left_semi")), keep))
+        firsts = firsts.join(large, "h", "left_anti")
+    spans = spans.union(_match_groups(contexts(firsts), keep))
+    return spans.groupBy("id", "mark").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
 
 
 def cut(text: bytes, lows: list[int] | None, highs: list[int] | None) -> tuple[bytes, int, int]:
@@ -203,8 +311,7 @@ def cut(text: bytes, lows: list[int] | None, highs: list[int] | None) -> tuple[b
 
 def removal_report(docs: DataFrame, keep: str = "none") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    spans = repeated_spans(docs, keep).withColumnRenamed("key", "__key")
-    joined = _keyed(docs).join(spans, F.col("key") == F.col("__key"), "left").select("doc_id", "text", "lows", "highs")
+    joined = _keyed(docs).join(repeated_spans(docs, keep), ["id", "mark"], "left").select("doc_id", "text", "lows", "highs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,8 +336,9 @@ def deduplicated_documents(docs: DataFrame, keep: str = "first") -> DataFrame:
 
     Columns stay as they are. A cut through a character drops its remaining bytes.
     """
-    spans = repeated_spans(docs, keep).select(F.col("key").alias("__key"), F.col("lows").alias("__lows"), F.col("highs").alias("__highs"))
-    joined = docs.join(spans, F.xxhash64("doc_id", "text") == F.col("__key"), "left").drop("__key")
+    spans = repeated_spans(docs, keep).toDF("__id", "__mark", "__lows", "__highs")
+    own = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)) == F.col("__id")) & (F.shiftright(F.xxhash64("text"), 32).cast("int") == F.col("__mark"))
+    joined = docs.join(spans, own, "left").drop("__id", "__mark")
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
