@@ -8,15 +8,18 @@ set and link with nothing.
 Plan. One pass turns every text into its set's size, a 128-bit set fingerprint
 and band keys of a sketch of ``BINS`` coordinates; this table is written in the
 shared folder. Documents with one fingerprint form a class and only its smallest
-id goes on, so thousands of copies cost one row. In each band bucket every class
-is verified against the bucket's smallest id (a star, never all pairs), the
-links' components are found, and only members of different components that
-still share two bands are compared in a second round; within a component no
-further link can change the result. Both rounds confirm links on full sets.
+id goes on, so thousands of copies cost one row. Classes that share a band are a
+bucket, and a bucket is compared with its leader alone, the smallest set L.
 
-A pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**40 = 5e-6
-and fewer than two with 8e-5; it shares ten on average, while pages with a
-passage in common (similarity 0.4) share 0.2 and so are hardly ever compared.
+Pairs within a bucket are never listed, and none is lost: with |y| >= |L|, sets x
+and y that share nothing outside L have J(x, y) <= J(x, L). So if x is not linked
+to L, it can only be linked to a y with which it shares elements outside L, at
+least t of them, and then (prefix filter) one of x's first |x \\ L| - t + 1 such
+elements. These elements make the next round's buckets, L with the element,
+where they are shared across components; rounds go on until none is. All links
+are confirmed on full sets.
+
+A pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**40 = 5e-6.
 
 Repeated doc_ids: rows with one doc_id are one document if their texts agree;
 otherwise each row is linked under that id, and all rows get the id's component.
@@ -141,25 +144,36 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the threshold; ``texts`` has the rows (doc_id, text) of their ids."""
+def compared(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(a, b, linked, outside) of pairs of leader a and member b.
+
+    ``outside`` holds the elements of b without a's that another member must
+    share to be linked to b: all if b is linked, else a prefix in hash order.
+    ``texts`` has the rows (doc_id, text) of the ids.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
             left, right = byte_column(batch, "text_a"), byte_column(batch, "text_b")
-            keep, cached, known = [], None, None
+            linked, outside, cached, known = [], [], None, None
             for x, y in zip(left, right, strict=True):
                 if x != cached:
                     cached, known = x, shingle_sets([x], shingle, hashes)[0]
-                other = shingle_sets([y], shingle, hashes)[0]
-                both = len(np.intersect1d(known, other, assume_unique=True))
-                keep.append(len(known) > 0 and len(other) > 0 and 100 * both >= percent * (len(known) + len(other) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                own = shingle_sets([y], shingle, hashes)[0]
+                rest = np.setdiff1d(own, known, assume_unique=True)
+                n, both = len(own), len(own) - len(rest)
+                linked.append(n > 0 and len(known) > 0 and 100 * both >= percent * (len(known) + n - both))
+                if not linked[-1]:
+                    least = max(len(known), -(-percent * n // 100))
+                    need = -(-percent * (n + least) // (100 + percent)) - both
+                    rest = rest[: max(0, len(rest) - max(need, 1) + 1)]
+                outside.append(rest.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64()))], ["a", "b", "linked", "outside"])
 
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean, outside array<long>")
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -196,37 +210,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     chosen = classes.select("print_a", "print_b", F.col("rep").alias("doc_id"))
     reps = written(full.join(chosen, ["print_a", "print_b", "doc_id"], "left_semi").dropDuplicates(["doc_id", "print_a", "print_b"]).select("doc_id", "n_shingles", "bands"), "classes")
-    spread = reps.select(F.col("doc_id").alias("id"), "n_shingles", F.explode("bands").alias("band"))
-    shared = written(spread.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("band", "first"), "buckets")
-    buckets = written(spread.join(shared, "band").select("band", "first", "id", "n_shingles"), "members")
-
-    sizes = reps.select(F.col("doc_id").alias("first"), F.col("n_shingles").alias("n_first"))
-    star = buckets.where("id <> first").select("first", "id", "n_shingles").distinct().join(sizes, "first")
-    star = star.where(_sizes_fit("n_first", "n_shingles", percent)).select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = written(confirmed(star, _texts(base, star), shingle, percent), "links")
-    rounds = [links]
-
-    # Second round: what still shares two buckets across components.
-    found = components(links, "first")
-    placed = buckets.join(found, "id", "left").select("band", "id", "n_shingles", F.coalesce("component", "id").alias("component"))
-    finer = written(_paired_bands(_across(placed)), "finer")
-    open_ = written(_across(finer), "open")
-    other = open_.select("band", F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
-    cross = (
-        open_.join(other, "band")
-        .where((F.col("component") < F.col("component_b")) & _sizes_fit("n_shingles", "n_b", percent))
-        .select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
-        .distinct()
-    )
-    cross = written(cross.join(star, ["a", "b"], "left_anti"), "cross")
-    if not cross.isEmpty():
-        rounds.append(written(confirmed(cross, _texts(base, cross), shingle, percent), "links"))
+    spread = reps.select(F.col("doc_id").alias("id"), "n_shingles", F.explode("bands").alias("key"))
+    families = written(_led(spread), "families")
+    texts = written(_texts(base, families), "texts")
+    sizes = reps.select(F.col("doc_id").alias("b"), "n_shingles")
+    links: list[DataFrame] = []
+    while True:
+        seen = written(compared(families, texts, shingle, percent), "compared")
+        links.append(seen.where("linked").select("a", "b"))
+        found = components(reduce(DataFrame.union, links))
+        label = found.select(F.col("id").alias("b"), "component")
+        open_ = seen.join(seen.where("NOT linked").select("a").distinct(), "a", "left_semi")
+        placed = open_.join(label, "b", "left").select("a", "b", F.coalesce("component", "b").alias("component"), F.explode("outside").alias("element"))
+        rows = written(placed.select(F.xxhash64("a", "element").alias("key"), F.col("b"), "component"), "elements")
+        shared = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+        families = written(_led(rows.join(shared, "key").join(sizes, "b").select("key", F.col("b").alias("id"), "n_shingles")), "families")
+        if families.isEmpty():
+            break
 
     # Copies hang on their representative, so components of the representatives are enough.
-    joined = components(reduce(DataFrame.union, rounds), "all") if len(rounds) > 1 else found
     by_id = (
         member.select("doc_id", "rep")
-        .join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
+        .join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
         .groupBy("doc_id")
         .agg(F.min(F.coalesce("component", "rep")).alias("component"))
     )
@@ -238,22 +243,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
 
 
-def _across(placed: DataFrame) -> DataFrame:
-    """The rows (band, id, n_shingles, component) of the bands that hold members of several components."""
-    open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    return placed.join(open_, "band").select("band", "id", "n_shingles", "component")
-
-
-def _paired_bands(placed: DataFrame) -> DataFrame:
-    """A row for every two bands of an id: a similar pair shares about ten bands, an accidental one mostly one."""
-    per = placed.groupBy("id").agg(F.sort_array(F.collect_list("band")).alias("own"), F.min("n_shingles").alias("n_shingles"), F.min("component").alias("component"))
-    one = per.where(F.size("own") > 1).select("id", "n_shingles", "component", "own", F.posexplode("own").alias("at", "first"))
-    two = one.select("id", "n_shingles", "component", "first", F.explode(F.slice("own", F.col("at") + 2, F.size("own"))).alias("second"))
-    return two.select(F.xxhash64("first", "second").alias("band"), "id", "n_shingles", "component")
-
-
-def _sizes_fit(x: str, y: str, percent: int):
-    return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
+def _led(buckets: DataFrame) -> DataFrame:
+    """(a, b): every member b of a bucket (key, id, n_shingles) with its leader a, the smallest set."""
+    lead = buckets.groupBy("key").agg(F.min(F.struct("n_shingles", "id")).alias("lead"), F.min("id").alias("low"), F.max("id").alias("high"))
+    lead = lead.where("low <> high").select("key", F.col("lead.id").alias("a"))
+    return buckets.join(lead, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
 def _texts(base: DataFrame, pairs: DataFrame) -> DataFrame:
