@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from brooklet.llm import bpe, fingerprints, mixing, near_dups, quality_rules, suffix_dups, urls
+from brooklet.llm import bpe, compression_quality, fingerprints, language, mixing, near_dups, quality_rules, suffix_dups, toxicity, urls
 
-_MODULES = (suffix_dups, urls, fingerprints, near_dups, bpe, mixing, quality_rules)
+_MODULES = (suffix_dups, urls, fingerprints, toxicity, language, near_dups, bpe, mixing, quality_rules, compression_quality)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}
