@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows and bytes, so that Python workers stay small beside very long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

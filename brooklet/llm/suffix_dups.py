@@ -40,16 +40,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import byte_column, pieces, table, written
+from brooklet.llm.common import bounded_batches, byte_column, pieces, table, written
 from brooklet.llm.near_dups import mixed
 
 LENGTH = 200
 GRAM = 64
-GROUP = 16_384
-_CHUNK = 8192
+GROUP = 262_144
+_CHUNK = 4096
 _NULL_ID = -(1 << 63)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -143,6 +144,8 @@ def matched_starts(contexts: list[bytes], h: np.ndarray, left: np.ndarray, keep:
 
     All windows of a context hold its anchor, so their union is one span.
     """
+    if len(contexts) > 2 * _CHUNK:
+        return _matched_by_offset(contexts, h, left, keep)
     owner, start, w = window_hashes(contexts, h, left)
     order = np.argsort(w, kind="stable")  # suffix order; equal strings by place
     same = w[order[1:]] == w[order[:-1]]
@@ -157,6 +160,25 @@ def matched_starts(contexts: list[bytes], h: np.ndarray, left: np.ndarray, keep:
     return owner[first], np.minimum.reduceat(start, first), np.maximum.reduceat(start, first)
 
 
+def _matched_by_offset(contexts: list[bytes], h: np.ndarray, left: np.ndarray, keep: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for many contexts, in memory of one hash each: only windows with equal anchor offsets can match."""
+    n, sizes = len(contexts), np.array([len(c) for c in contexts], np.int64)
+    least, most = np.full(n, LENGTH), np.full(n, -1)
+    for offset in range(LENGTH - GRAM + 1):
+        start = left - offset
+        has = np.flatnonzero((start >= 0) & (start + LENGTH <= sizes))
+        w = np.fromiter((xxhash.xxh3_64_intdigest(contexts[i][s : s + LENGTH]) for i, s in zip(has.tolist(), start[has].tolist(), strict=True)), np.uint64, len(has))
+        w = mixed(w ^ h[has].view(np.uint64) * _ODD)
+        order = np.argsort(w, kind="stable")
+        same = w[order[1:]] == w[order[:-1]]
+        found = order[1:][same] if keep == "first" else np.union1d(order[1:][same], order[:-1][same])
+        rows = has[found]
+        least[rows] = np.minimum(least[rows], start[rows])
+        most[rows] = np.maximum(most[rows], start[rows])
+    rows = np.flatnonzero(most >= 0)
+    return rows, least[rows], most[rows]
+
+
 def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The maximal runs of some half-open spans; spans that touch are one run."""
     if not len(low):
@@ -228,13 +250,14 @@ def _match_groups(contexts: DataFrame, keep: str) -> DataFrame:
             at = (place[owner] & 0xFFFFFFFF) - left[owner]
             return pa.RecordBatch.from_arrays([table_["id"].combine_chunks().take(pa.array(owner)), pa.array((place[owner] >> 32).astype(np.int32)), pa.array(at + low), pa.array(at + high + LENGTH)], ["id", "mark", "low", "high"])
 
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) < _CHUNK:
-                continue
-            rows = pa.Table.from_batches(held)
-            h = rows["h"].to_numpy()
-            cut_ = int(np.searchsorted(h, h[-1]))  # the last group may go on
+        for batch in (part for b in batches for part in (b.slice(i, _CHUNK) for i in range(0, b.num_rows, _CHUNK))):
+            last = batch["h"][-1].as_py()
+            if held and held[-1]["h"][-1].as_py() == last:  # one group throughout
+                if batch["h"][0].as_py() == last:
+                    held.append(batch)
+                    continue
+            rows = pa.Table.from_batches([*held, batch])
+            cut_ = int(np.searchsorted(rows["h"].to_numpy(), last))  # the last group may go on
             held = rows.slice(cut_).to_batches()
             if cut_:
                 yield matched(rows.slice(0, cut_))
@@ -357,6 +380,7 @@ def deduplicated_documents(docs: DataFrame, keep: str = "first") -> DataFrame:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return removal_report(table(spark, sf_dir, "documents"), keep="none")
 
 
