@@ -8,18 +8,18 @@ set and link with nothing.
 Plan. One pass turns every text into its set's size, a 128-bit set fingerprint
 and band keys of a sketch of ``BINS`` coordinates; this table is written in the
 shared folder. Documents with one fingerprint form a class and only its smallest
-id goes on, so thousands of copies cost one row. Classes that share a band are a
-bucket, and a bucket is compared with its leader alone, the smallest set L.
-
-Pairs within a bucket are never listed, and none is lost: with |y| >= |L|, sets x
-and y that share nothing outside L have J(x, y) <= J(x, L). So if x is not linked
-to L, it can only be linked to a y with which it shares elements outside L, at
-least t of them, and then (prefix filter) one of x's first |x \\ L| - t + 1 such
-elements. These elements make the next round's buckets, L with the element,
-where they are shared across components; rounds go on until none is. All links
-are confirmed on full sets.
-
-A pair of similarity 0.8 shares no band with probability (1 - 0.8**6)**40 = 5e-6.
+id goes on, so thousands of copies cost one row. Classes that share a band key
+are a bucket; the family of a class is all buckets in which its id is the
+smallest, and every pair of a bucket is in a family. A family's texts meet in a
+task, at most ``BLOCK`` at once: larger families are cut into blocks and each two
+blocks meet, so no task holds an unbounded group. There each member is first
+compared with the smallest id; pairs that this joins need no comparison. For the
+others sketches are compared, and a pair whose sketches agree in at least
+``NEAR`` of the coordinates is compared on full sets. Only links leave the task,
+never pairs, and every link is confirmed on full sets.
+
+Two documents of similarity 0.8 share no band with probability
+(1 - 0.8**6)**40 = 5e-6 and agree in fewer than NEAR coordinates with 4e-4.
 
 Repeated doc_ids: rows with one doc_id are one document if their texts agree;
 otherwise each row is linked under that id, and all rows get the id's component.
@@ -29,7 +29,6 @@ A null doc_id has a null component and is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import byte_column, dropped, pieces, table, written
+from brooklet.llm.common import bounded_batches, byte_column, dropped, pieces, table, written
 
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
 SHINGLE = 5
 PERCENT = 80
+BLOCK = 1024
+NEAR = 0.72
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -144,36 +145,84 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>")
 
 
-def compared(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b, linked, outside) of pairs of leader a and member b.
+class _Forest:
+    """Union-find over positions."""
+
+    def __init__(self, n: int) -> None:
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
 
-    ``outside`` holds the elements of b without a's that another member must
-    share to be linked to b: all if b is linked, else a prefix in hash order.
-    ``texts`` has the rows (doc_id, text) of the ids.
+def family_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (positions) that join a family's similar sets; position 0 is the family's first id.
+
+    ``side`` says which members are of this task's first and second block (both:
+    3); pairs within a single block of two are left to the task of that block.
     """
+    n = np.array([len(x) for x in sets], np.int64)
+
+    def similar(i: int, j: int) -> bool:
+        if 100 * min(n[i], n[j]) < percent * max(n[i], n[j]):
+            return False
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        return 100 * both >= percent * (int(n[i]) + int(n[j]) - both)
+
+    forest, links = _Forest(len(sets)), []
+    for i in range(1, len(sets)):
+        if similar(0, i) and forest.join(0, i):
+            links.append((0, i))
+    loose = [i for i in range(1, len(sets)) if forest.root(i) != 0]
+    if not loose or len(sets) < 3:
+        return links
+    coded = (sketch(sets) & np.uint64(0xFF)).astype(np.uint8)
+    for i in loose:
+        agree = (coded == coded[i]).sum(1)
+        fits = (agree >= NEAR * BINS) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & ((side | side[i]) == 3)
+        fits[: 1] = fits[i] = False
+        for j in np.flatnonzero(fits):
+            if forest.root(i) != forest.root(int(j)) and similar(i, int(j)) and forest.join(i, int(j)):
+                links.append((i, int(j)))
+    return links
+
+
+def compared(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The links (a, b) of families: rows (family, low, high, side, id, text), where low and high name the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
+        key, ids, side, sets = None, [], [], []
+
+        def done() -> pa.RecordBatch:
+            order = sorted(range(len(ids)), key=lambda i: ids[i])
+            found = family_links([sets[i] for i in order], np.array([side[i] for i in order]), percent)
+            pairs = [(ids[order[i]], ids[order[j]]) for i, j in found]
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], ["a", "b"])
+
         for batch in batches:
-            left, right = byte_column(batch, "text_a"), byte_column(batch, "text_b")
-            linked, outside, cached, known = [], [], None, None
-            for x, y in zip(left, right, strict=True):
-                if x != cached:
-                    cached, known = x, shingle_sets([x], shingle, hashes)[0]
-                own = shingle_sets([y], shingle, hashes)[0]
-                rest = np.setdiff1d(own, known, assume_unique=True)
-                n, both = len(own), len(own) - len(rest)
-                linked.append(n > 0 and len(known) > 0 and 100 * both >= percent * (len(known) + n - both))
-                if not linked[-1]:
-                    least = max(len(known), -(-percent * n // 100))
-                    need = -(-percent * (n + least) // (100 + percent)) - both
-                    rest = rest[: max(0, len(rest) - max(need, 1) + 1)]
-                outside.append(rest.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(outside, pa.list_(pa.int64()))], ["a", "b", "linked", "outside"])
-
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean, outside array<long>")
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+            for k, i, s, text in zip(keys, batch.column(4).to_pylist(), batch.column(3).to_pylist(), byte_column(batch, "text"), strict=True):
+                if k != key:
+                    if len(ids) > 1:
+                        yield done()
+                    key, ids, side, sets = k, [], [], []
+                ids.append(i)
+                side.append(s)
+                sets.append(shingle_sets([text], shingle, hashes)[0])
+        if len(ids) > 1:
+            yield done()
+
+    blocks = ["family", "low", "high"]
+    return rows.repartition(*blocks).sortWithinPartitions(*blocks, "id").select(*blocks, "side", "id", "text").mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -210,23 +259,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     chosen = classes.select("print_a", "print_b", F.col("rep").alias("doc_id"))
     reps = written(full.join(chosen, ["print_a", "print_b", "doc_id"], "left_semi").dropDuplicates(["doc_id", "print_a", "print_b"]).select("doc_id", "n_shingles", "bands"), "classes")
-    spread = reps.select(F.col("doc_id").alias("id"), "n_shingles", F.explode("bands").alias("key"))
-    families = written(_led(spread), "families")
-    texts = written(_texts(base, families), "texts")
-    sizes = reps.select(F.col("doc_id").alias("b"), "n_shingles")
-    links: list[DataFrame] = []
-    while True:
-        seen = written(compared(families, texts, shingle, percent), "compared")
-        links.append(seen.where("linked").select("a", "b"))
-        found = components(reduce(DataFrame.union, links))
-        label = found.select(F.col("id").alias("b"), "component")
-        open_ = seen.join(seen.where("NOT linked").select("a").distinct(), "a", "left_semi")
-        placed = open_.join(label, "b", "left").select("a", "b", F.coalesce("component", "b").alias("component"), F.explode("outside").alias("element"))
-        rows = written(placed.select(F.xxhash64("a", "element").alias("key"), F.col("b"), "component"), "elements")
-        shared = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-        families = written(_led(rows.join(shared, "key").join(sizes, "b").select("key", F.col("b").alias("id"), "n_shingles")), "families")
-        if families.isEmpty():
-            break
+    families = written(_families(reps), "families")
+    # Dealt by id at every size: the plan doesn't turn into another one as families grow.
+    texts = base.dropDuplicates(["doc_id", "text"]) if _repeats(base) else base
+    rows = families.hint("merge").join(texts.withColumnRenamed("doc_id", "id"), "id")
+    links = written(compared(rows, shingle, percent), "links")
+    found = components(links)
 
     # Copies hang on their representative, so components of the representatives are enough.
     by_id = (
@@ -243,17 +281,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
 
 
-def _led(buckets: DataFrame) -> DataFrame:
-    """(a, b): every member b of a bucket (key, id, n_shingles) with its leader a, the smallest set."""
-    lead = buckets.groupBy("key").agg(F.min(F.struct("n_shingles", "id")).alias("lead"), F.min("id").alias("low"), F.max("id").alias("high"))
-    lead = lead.where("low <> high").select("key", F.col("lead.id").alias("a"))
-    return buckets.join(lead, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+def _families(reps: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(family, low, high, side, id): the members of each family, once for each two blocks they are compared in."""
+    spread = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))
+    first = spread.groupBy("band").agg(F.min("id").alias("family"), F.max("id").alias("last")).where("family <> last").select("band", "family")
+    member = written(spread.join(first, "band").select("family", "id").distinct(), "members")
+    blocks = member.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    placed = member.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    pair = lambda x, y, s: F.struct(F.least(x, y).alias("low"), F.greatest(x, y).alias("high"), s.alias("side"))
+    side = lambda k: F.when(F.col("own") == k, 3).when(F.col("own") < k, 1).otherwise(2)
+    mine = F.transform(others, lambda k: pair(F.col("own"), k, side(k)))
+    every = F.flatten(F.transform(others, lambda i: F.transform(F.sequence(i, F.col("blocks") - 1), lambda j: pair(i, j, F.lit(3)))))
+    meets = F.when(F.col("id") == F.col("family"), every).otherwise(mine)
+    return placed.select("family", "id", F.explode(meets).alias("meet")).select("family", "meet.low", "meet.high", "meet.side", "id")
 
 
-def _texts(base: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the pairs' ids, in a written table: each side of the verification reads it."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    return written(base.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
+def _repeats(base: DataFrame) -> bool:
+    """Whether a doc_id occurs twice."""
+    return not base.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
 def kept_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -266,6 +312,7 @@ def kept_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
 
 
 def op6_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
