@@ -148,7 +148,7 @@ def rfm_segmentation(silver: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> D
     scored = users.crossJoin(F.broadcast(users.agg(F.count(F.lit(1)).alias("__users"))))  # one row
     samples = key_sample(users, [[c, F.col("user_id")] for c in orders.values()])
     for (name, column), sample in zip(orders.items(), samples, strict=True):
-        scored = global_positions(scored, [column, F.col("user_id")], name, sample=sample)
+        scored = global_positions(scored, [column, F.col("user_id")], name, sample=sample, counted=users)
         scored = scored.withColumn(name, (TILES + 1 - tile_of(F.col(name), F.col("__users"), TILES)).cast("int"))
     r, f, m = (F.col(c) for c in orders)
     segment = (

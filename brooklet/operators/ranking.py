@@ -16,12 +16,13 @@ def key_sample(df: DataFrame, orders: list[list[Column]]) -> list[list[tuple]]:
     return [sorted(tuple(r[n]) for r in rows) for n in range(len(orders))]
 
 
-def global_positions(df: DataFrame, order: list[Column], name: str, ranges: int = RANGES, sample: list[tuple] | None = None) -> DataFrame:
+def global_positions(df: DataFrame, order: list[Column], name: str, ranges: int = RANGES, sample: list[tuple] | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Adds the 1-based position of each row in a total order (ascending columns, no nulls).
 
     Bounds from a sample of the keys (taken here unless given) cut the order
     into ranges; rows are numbered inside their range, after the rows of all
-    earlier ranges. Both shuffles are by range.
+    earlier ranges. Both shuffles are by range. ``counted`` may name a plainer
+    frame with the same keys, for the sizes of the ranges.
     """
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     sample = key_sample(df, [order])[0] if sample is None else sample
@@ -33,7 +34,7 @@ def global_positions(df: DataFrame, order: list[Column], name: str, ranges: int
         literals = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields, strict=True)]) for b in bounds])
         at = F.size(F.filter(literals, lambda b: b <= key))
     placed = df.withColumn("__range", at).withColumn("__key", key)
-    sizes = placed.groupBy("__range").count()
+    sizes = (df if counted is None else counted).select(at.alias("__range")).groupBy("__range").count()
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = sizes.select("__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
     inside = F.row_number().over(Window.partitionBy("__range").orderBy("__key"))

@@ -81,11 +81,12 @@ class Lakehouse:
             fresh = new_bronze(batch, self.read("bronze_events")).select(*BRONZE.names).persist(StorageLevel.DISK_ONLY)
             done.bronze_rows = fresh.count()
             if done.bronze_rows:
-                sinks.append(fresh, self.path("bronze_events"), "source_month")
+                # Before the append: it drops what is cached over its table.
                 bad = rejects(fresh)
                 done.rejected_rows = bad.count()
                 if done.rejected_rows:
                     sinks.quarantine(bad, self.root, run_id)
+                sinks.append(fresh, self.path("bronze_events"), "source_month")
             fresh.unpersist()
 
             candidates = deduplicate(normalize(batch)).persist(StorageLevel.DISK_ONLY)
