@@ -58,7 +58,7 @@ class _WordHashes(dict):
     """Word to 64-bit hash; forgets all once large, so memory stays bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -124,7 +124,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         hashes = _WordHashes()
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
-            for rows, texts in pieces(batch, byte_column(batch, "text")):
+            for rows, texts in pieces(batch, byte_column(batch, "text"), 1 << 20):
                 sets = shingle_sets(texts, shingle, hashes)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 keys = band_keys(sketch([sets[i] for i in full])).view(np.int64) if full else np.empty((0, BANDS), np.int64)
