@@ -3,7 +3,8 @@
 A sketch is the sorted array of the k least distinct shingle hashes (fewer words
 than a shingle: the whole sequence as one; no words: empty). Sketches merge by
 union, and estimate resemblance, containment and the number of distinct
-shingles; below k shingles all of these are exact. Two empty sketches are alike
+shingles; while the documents have fewer than k shingles together, all of these
+are exact. Two empty sketches are alike
 (1.0), an empty and another are not (0.0). Null texts count as empty.
 
 Neighbours in doc_id order are found without a global sort in one task: quantile
