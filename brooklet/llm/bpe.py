@@ -32,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from brooklet.llm.common import table
+from brooklet.llm.common import released, table
 
 END = "</w>"
 #: Fixed values of the tokenizer file's format: white space, and the split pattern's parts.
@@ -40,8 +40,9 @@ _SPACES = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 _PLAIN = regex.compile("[!-~]+")
 _BLOCK = 8192
+#: Pieces a codec remembers in each of two generations, and pairs of tokens for each piece.
 _WORDS = 200_000
-_PAIRS = 400_000
+_PAIRS = 2
 
 
 def _ranges(kind: str, limit: int) -> str:
@@ -121,8 +122,9 @@ def merge(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
 class Transducer:
     """Encodes words symbol by symbol in memory bounded by the lookahead."""
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    def __init__(self, vocabulary: Vocabulary, pairs: int = _PAIRS * _WORDS) -> None:
         self.vocabulary = vocabulary
+        self.pairs = pairs
         self.lookahead = max(len(symbols(t)) for t in vocabulary.ids)
         self._made_of = {a + b: (a, b) for a, b in vocabulary.ranks}
         self._ends: dict[str, list[tuple[str, float]]] = {}
@@ -155,7 +157,7 @@ class Transducer:
     def fits(self, left: str, right: str) -> bool:
         known = self._known.get((left, right))
         if known is None:
-            if len(self._known) >= _PAIRS:
+            if len(self._known) >= self.pairs:
                 self._known.clear()
             known = self._known[left, right] = self._fits(left, right)
         return known
@@ -266,9 +268,10 @@ class Entry(NamedTuple):
 class Codec:
     """Whole texts to ids and back."""
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    def __init__(self, vocabulary: Vocabulary, words: int = _WORDS) -> None:
         self.vocabulary = vocabulary
-        self.transducer = Transducer(vocabulary)
+        self.most = words
+        self.transducer = Transducer(vocabulary, _PAIRS * words)
         self.letters = byte_letters()
         self.token_of = {i: t for t, i in vocabulary.ids.items()} | {i: t for t, i in vocabulary.special.items()}
         self.pieces = piece_pattern()
@@ -289,7 +292,7 @@ class Codec:
             ids = [self.vocabulary.ids[t] for t in self.transducer.encode(spelled)]
             found = Entry(len(ids), " ".join(map(str, ids)), self.decode(ids))
         if len(piece) < 100:
-            if len(self.pieces_seen) >= _WORDS:
+            if len(self.pieces_seen) >= self.most:
                 self.older, self.pieces_seen = self.pieces_seen, {}
             self.pieces_seen[piece] = found
         return found
@@ -349,11 +352,12 @@ class TextDecoder:
         return self._state.decode(raw, final or ends) + (" " if ends else "")
 
 
-def _mapped(docs: DataFrame, vocabulary: str | None, schema: str, make: Callable[[Codec, list[str | None]], list[pa.Array]]) -> DataFrame:
+def _mapped(docs: DataFrame, vocabulary: str | None, schema: str, words: int, make: Callable[[Codec, list[str | None]], list[pa.Array]]) -> DataFrame:
     held = Vocabulary.read(vocabulary or default_vocabulary())
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(held)
+        codec = Codec(held, words)
         names = ["doc_id", *(x.split()[0] for x in schema.split(", "))]
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -363,24 +367,27 @@ def _mapped(docs: DataFrame, vocabulary: str | None, schema: str, make: Callable
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + schema)
 
 
-def token_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+def token_digests(docs: DataFrame, vocabulary: str | None = None, words: int = _WORDS) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
 
     def make(codec: Codec, texts: list[str | None]) -> list[pa.Array]:
         rows = [codec.digests(t) for t in texts]
         return [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())]
 
-    return _mapped(docs, vocabulary, "n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+    return _mapped(docs, vocabulary, "n_tokens long, ids_sha256 string, decoded_sha256 string", words, make)
 
 
-def encoded_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded_sha256) of every row: the ids, and a digest of what they decode to."""
+def encoded_documents(docs: DataFrame, vocabulary: str | None = None, words: int = _WORDS // 4) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256) of every row: the ids, and a digest of what they decode to.
+
+    The lists of ids take memory beside the codec, so it remembers fewer pieces here.
+    """
 
     def make(codec: Codec, texts: list[str | None]) -> list[pa.Array]:
         rows = [codec.encode(t) for t in texts]
         return [pa.array([len(r) for r in rows], pa.int64()), pa.array(rows, pa.list_(pa.int32())), pa.array([hashlib.sha256(codec.decode(r).encode()).hexdigest() for r in rows], pa.string())]
 
-    return _mapped(docs, vocabulary, "n_tokens long, ids array<int>, decoded_sha256 string", make)
+    return _mapped(docs, vocabulary, "n_tokens long, ids array<int>, decoded_sha256 string", words, make)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

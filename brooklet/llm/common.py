@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -22,6 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A map over batches that gives freed memory back when its task ends: Python workers live on after it."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows and bytes, so that Python workers stay small beside very long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")

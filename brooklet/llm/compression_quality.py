@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bucket, byte_column, labelled_rows, table
+from brooklet.llm.common import bucket, byte_column, labelled_rows, released, table
 
 SAMPLE = 8192
 LEARN_CHARS = 8192
@@ -112,6 +112,7 @@ def score(docs: DataFrame, model: Model | float, held_out: Column) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
     names = ["doc_id", "held_out", "score", "predicted"]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = None if isinstance(model, float) else Compressors(model)
         for batch in batches:

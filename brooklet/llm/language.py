@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bucket, table
+from brooklet.llm.common import bucket, released, table
 
 LEARN_ROWS, LEARN_BYTES, ROW_CHARS = 96, 20_000, 1500
 LANGUAGES = 512
@@ -181,6 +181,7 @@ def identify(docs: DataFrame, model: Model | None, held_out: Column) -> DataFram
     """(doc_id, held_out, lang_pred, score) of every row."""
     names = ["doc_id", "held_out", "lang_pred", "score"]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bounded_batches, byte_column, dropped, pieces, table, written
+from brooklet.llm.common import bounded_batches, byte_column, dropped, pieces, released, table, written
 
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
@@ -120,6 +120,7 @@ def band_keys(sketches: np.ndarray, bands: int = BANDS) -> np.ndarray:
 def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, print_a, print_b, bands) of every row."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
@@ -198,6 +199,7 @@ def family_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list
 def compared(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The links (a, b) of families: rows (family, low, high, side, id, text), where low and high name the blocks."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         key, ids, side, sets = None, [], [], []

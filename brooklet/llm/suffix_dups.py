@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bounded_batches, byte_column, pieces, table, written
+from brooklet.llm.common import bounded_batches, byte_column, pieces, released, table, written
 from brooklet.llm.near_dups import mixed
 
 LENGTH = 200
@@ -198,6 +198,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _find_anchors(keyed: DataFrame) -> DataFrame:
     """(id, place, h, c) of every anchor; place packs mark and position."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -218,6 +219,7 @@ def _spans(place: str) -> list[Column]:
 def _contexts(placed: DataFrame) -> DataFrame:
     """(h, id, place, left, bytes) of each row's places [(h, place)]; left is how far the bytes start before the anchor."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, places = batch.column(0), batch.column(2).to_pylist()
@@ -241,6 +243,7 @@ def _contexts(placed: DataFrame) -> DataFrame:
 def _match_groups(contexts: DataFrame, keep: str) -> DataFrame:
     """(id, mark, low, high): the span of each context's matched windows, group by group of one anchor string."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
@@ -271,6 +274,7 @@ def _match_groups(contexts: DataFrame, keep: str) -> DataFrame:
 def _match_large(contexts: DataFrame, keep: str) -> DataFrame:
     """The same for groups too large for a task: windows as rows, runs by partial aggregates."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left = batch.column(3).to_numpy()
@@ -336,6 +340,7 @@ def removal_report(docs: DataFrame, keep: str = "none") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     joined = _keyed(docs).join(repeated_spans(docs, keep), ["id", "mark"], "left").select("doc_id", "text", "lows", "highs")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = byte_column(batch, "text")
@@ -364,6 +369,7 @@ def deduplicated_documents(docs: DataFrame, keep: str = "first") -> DataFrame:
     joined = docs.join(spans, own, "left").drop("__id", "__mark")
     names, schema = docs.columns, docs.schema
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = names.index("text")

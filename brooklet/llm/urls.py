@@ -21,7 +21,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from brooklet.llm.common import table
+from brooklet.llm.common import released, table
 
 RULE_BLOCK = 65_536
 #: Rules are parameters held by the driver; beyond this many bytes, pass them in several calls.
@@ -113,6 +113,7 @@ def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, default: str = "allow
     ordered = sorted(held, key=lambda r: host_key(r.host))
     blocks = [rule_hosts(ordered[i : i + RULE_BLOCK]) for i in range(0, len(ordered), RULE_BLOCK)]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [split_url(u) for u in batch.column(1).to_pylist()]
