@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from brooklet.llm.common import bucket, released, table
 
-LEARN_ROWS, LEARN_BYTES, ROW_CHARS = 96, 20_000, 1500
+LEARN_ROWS, LEARN_BYTES, ROW_CHARS = 192, 30_000, 400
 LANGUAGES = 512
 SEGMENT = 1024
 LANES = 4096
@@ -106,6 +106,20 @@ def fit(samples: dict[str, list[str]]) -> Model | None:
     return Model(list(joined), symbols, width, tables, [math.log2(max(2, len(t))) for t in joined.values()])
 
 
+def cleaned(samples: dict[str, list[str]]) -> dict[str, list[str]]:
+    """The texts that automata of the other half of the sample ascribe to their own language.
+
+    Labelled rows may quote another language; such a row would let its language
+    parse the other's text. Languages that would lose most of their rows keep all.
+    """
+    halves = [fit({name: texts[k::2] for name, texts in samples.items()}) for k in (1, 0)]
+    out = {}
+    for name, texts in samples.items():
+        own = [t for k in (0, 1) for t, (found, _) in zip(texts[k::2], predict(halves[k], texts[k::2]), strict=True) if found == name]
+        out[name] = own if 2 * len(own) > len(texts) else texts
+    return out
+
+
 def phrases(model: Model, grid: np.ndarray) -> np.ndarray:
     """Phrases of each segment (a column of the grid, step by row) in each language."""
     lanes = grid.shape[1]
@@ -174,7 +188,7 @@ def fit_from(docs: DataFrame, learn: Column) -> Model | None:
     # Expected LEARN_ROWS rows of each language; the limit bounds them for certain.
     for r in rows.where(part < share).select("lang", part.alias("part"), F.substring("text", 1, ROW_CHARS).alias("text")).limit(2 * LEARN_ROWS * max(1, len(counts))).collect():
         samples.setdefault(r["lang"], []).append((r["part"], r["text"]))
-    return fit({name: [t for _, t in sorted(set(rows_))] for name, rows_ in samples.items()})
+    return fit(cleaned({name: [t for _, t in sorted(set(rows_))] for name, rows_ in samples.items()}))
 
 
 def identify(docs: DataFrame, model: Model | None, held_out: Column) -> DataFrame:
