@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brooklet.functions.expressions import count_of, first_of, funnel_counts, is_type, money, month_of, path_label, ratio, revenue, whole_seconds
-from brooklet.operators.ranking import global_positions, key_sample, tile_of
+from brooklet.operators.ranking import global_positions, tile_of
 
 TOP_PRODUCTS, TOP_PAIRS, LOOKBACK_DAYS, TILES = 10, 200, 90, 5
 _RATES = (("view_to_cart_rate", "carts", "views"), ("cart_to_purchase_rate", "purchases", "carts"), ("view_to_purchase_rate", "purchases", "views"))
@@ -145,11 +145,8 @@ def rfm_segmentation(silver: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> D
         F.datediff("as_of_date", F.max("event_date")).alias("recency_days"), F.count(F.lit(1)).alias("frequency_90d"), money(F.coalesce("price", F.lit(0.0))).alias("monetary_90d")
     )
     orders = {"r_score": F.col("recency_days"), "f_score": -F.col("frequency_90d"), "m_score": -F.col("monetary_90d")}
-    scored = users.crossJoin(F.broadcast(users.agg(F.count(F.lit(1)).alias("__users"))))  # one row
-    samples = key_sample(users, [[c, F.col("user_id")] for c in orders.values()])
-    for (name, column), sample in zip(orders.items(), samples, strict=True):
-        scored = global_positions(scored, [column, F.col("user_id")], name, sample=sample, counted=users)
-        scored = scored.withColumn(name, (TILES + 1 - tile_of(F.col(name), F.col("__users"), TILES)).cast("int"))
+    scored, total = global_positions(users, {name: [c, F.col("user_id")] for name, c in orders.items()})
+    scored = scored.withColumns({name: (TILES + 1 - tile_of(F.col(name), F.lit(total), TILES)).cast("int") for name in orders})
     r, f, m = (F.col(c) for c in orders)
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "champions")

@@ -4,42 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 RANGES = 64
 SAMPLED = RANGES * 32
 
 
-def key_sample(df: DataFrame, orders: list[list[Column]]) -> list[list[tuple]]:
-    """For each of some orders the sorted keys of a few rows (at most ``SAMPLED``, in hash order): one pass, bounded."""
-    keys = [F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]) for order in orders]
-    rows = df.select(*[k.alias(f"o{n}") for n, k in enumerate(keys)]).orderBy(F.xxhash64("o0")).limit(SAMPLED).collect()
-    return [sorted(tuple(r[n]) for r in rows) for n in range(len(orders))]
+def global_positions(df: DataFrame, orders: dict[str, list[Column]], ranges: int = RANGES) -> tuple[DataFrame, int]:
+    """(df with the 1-based position of each row in some total orders, number of rows).
 
-
-def global_positions(df: DataFrame, order: list[Column], name: str, ranges: int = RANGES, sample: list[tuple] | None = None, counted: DataFrame | None = None) -> DataFrame:
-    """Adds the 1-based position of each row in a total order (ascending columns, no nulls).
-
-    Bounds from a sample of the keys (taken here unless given) cut the order
-    into ranges; rows are numbered inside their range, after the rows of all
-    earlier ranges. Both shuffles are by range. ``counted`` may name a plainer
-    frame with the same keys, for the sizes of the ranges.
+    An order is a list of ascending columns without nulls. Bounds from a
+    hash-ordered sample of the keys (at most ``SAMPLED`` rows reach the driver)
+    cut each order into ranges, whose sizes (one number each) are collected; a
+    row's position is its number in its range after the rows of earlier ranges,
+    so each order costs one shuffle by range and no task sorts everything.
     """
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    sample = key_sample(df, [order])[0] if sample is None else sample
-    step = max(1, len(sample) // ranges)
-    bounds = sorted(set(sample[step::step]))
-    fields = df.select(key.alias("key")).schema["key"].dataType
-    at = F.lit(0)
-    if bounds:
-        literals = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields, strict=True)]) for b in bounds])
-        at = F.size(F.filter(literals, lambda b: b <= key))
-    placed = df.withColumn("__range", at).withColumn("__key", key)
-    sizes = (df if counted is None else counted).select(at.alias("__range")).groupBy("__range").count()
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    offsets = sizes.select("__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__range").orderBy("__key"))
-    numbered = placed.withColumn(name, inside.cast("long")).join(F.broadcast(offsets), "__range")  # at most ranges + 1 rows
-    return numbered.withColumn(name, F.col(name) + F.col("__before")).drop("__range", "__key", "__before")
+    keys = {name: F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]) for name, order in orders.items()}
+    held = df.select(*[k.alias(name) for name, k in keys.items()]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sample = held.orderBy(F.xxhash64(next(iter(keys)))).limit(SAMPLED).collect()
+        at = {name: _range_of(F.col(name), held, sorted({tuple(r[name]) for r in sample}), ranges) for name in keys}
+        marked = held.select(F.explode(F.array(*[F.struct(F.lit(name).alias("name"), a.alias("at")) for name, a in at.items()])).alias("x"))
+        sizes = {(r["name"], r["at"]): r["count"] for r in marked.groupBy("x.name", "x.at").count().collect()}
+    finally:
+        held.unpersist()
+    total = sum(n for (name, _), n in sizes.items() if name == next(iter(keys)))
+    for name, key in keys.items():
+        before, offsets = 0, []
+        for k in range(ranges + 1):
+            offsets.append(before)
+            before += sizes.get((name, k), 0)
+        placed = df.withColumn("__key", key).withColumn("__range", _range_of(F.col("__key"), df.select(key.alias("__key")), sorted({tuple(r[name]) for r in sample}), ranges))
+        inside = F.row_number().over(Window.partitionBy("__range").orderBy("__key"))
+        df = placed.withColumn(name, inside + F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__range") + 1)).drop("__key", "__range")
+    return df, total
+
+
+def _range_of(key: Column, frame: DataFrame, sample: list[tuple], ranges: int) -> Column:
+    """The range (0..ranges) of a struct column, by bounds spaced evenly in a sorted sample."""
+    step = max(1, -(-len(sample) // ranges))
+    bounds = sample[step::step]
+    if not bounds:
+        return F.lit(0)
+    fields = frame.schema[0].dataType if len(frame.columns) == 1 else frame.select(key.alias("k")).schema[0].dataType
+    literals = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields, strict=True)]) for b in bounds])
+    return F.size(F.filter(literals, lambda b: b <= key))
 
 
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:

@@ -119,4 +119,5 @@ def number_slices(df: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
     """Adds slice, the micro-batch of each row, by exact position in key order."""
     from brooklet.operators.ranking import global_positions
 
-    return global_positions(df, [F.col(key)], "__position").withColumn("slice", F.floor((F.col("__position") - 1) / rows_per_slice)).drop("__position")
+    placed, _ = global_positions(df, {"__position": [F.col(key)]})
+    return placed.withColumn("slice", F.floor((F.col("__position") - 1) / rows_per_slice)).drop("__position")

@@ -90,7 +90,9 @@ def test_top_products_ranks_and_ties(spark):
 @pytest.mark.parametrize("n", [1, 4, 7, 23, 100])
 def test_positions_and_tiles_match_ntile(spark, n):
     df = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(3)).alias("v"), "id")
-    got = global_positions(df, [F.col("v"), F.col("id")], "p", ranges=5).withColumn("t", tile_of(F.col("p"), F.lit(n), 5)).orderBy("p").collect()
+    placed, total = global_positions(df, {"p": [F.col("v"), F.col("id")], "q": [-F.col("id")]}, ranges=5)
+    assert total == n and all(r.q == n - r.id for r in placed.collect())
+    got = placed.withColumn("t", tile_of(F.col("p"), F.lit(n), 5)).orderBy("p").collect()
     want = df.selectExpr("v", "id", "row_number() OVER (ORDER BY v, id) AS p", "ntile(5) OVER (ORDER BY v, id) AS t").orderBy("p").collect()
     assert [(r.id, r.p, r.t) for r in got] == [(r.id, r.p, r.t) for r in want]
 
