@@ -4,10 +4,10 @@ Tokens per source give repetition rates; a document appears floor(rate) times
 plus one more where its hash falls below the fraction. Nulls: a null text has
 size 0, a null source is a source of its own, last in order. Rows that repeat a
 doc_id share one draw, so reruns and retried tasks agree. No row is collected:
-the per-source table has one row per source and is joined back by source; a hot
-source is pre-aggregated before the shuffle and its join is left to Catalyst,
-which broadcasts the source table under the session's threshold and splits a
-skewed partition otherwise.
+a hot source is pre-aggregated before the shuffle, and the per-source table, one
+row per source, is written in the shared folder and joined back by source. Its
+size on disk decides the join: under the session's threshold it is broadcast and
+documents aren't moved at all; above it, adaptive execution splits a hot source.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import WORD_PATTERN, table
+from brooklet.llm.common import WORD_PATTERN, table, written
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -69,7 +69,7 @@ def draw(doc_id: Column, seed: str) -> Column:
 def mix(docs: DataFrame, seed: str = "mix", weights: Sequence[int] = WEIGHTS, share_percent: int = SHARE_PERCENT, cap: int = CAP) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies): how often each document enters the mix."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    targets = source_targets(sized, weights, share_percent, cap)
+    targets = written(source_targets(sized, weights, share_percent, cap), "targets")
     keyed = targets.select(F.col("source").alias("source_key"), "source_size", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     more = (draw(F.col("doc_id"), seed) < rate - F.floor(rate)).cast("long")
@@ -82,7 +82,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights: Sequence[int] = WEIGHTS, sh
 
 def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their columns alone."""
-    targets = source_targets(docs.select("source", word_count(F.col("text")).alias("size")))
+    targets = written(source_targets(docs.select("source", word_count(F.col("text")).alias("size"))), "targets")
     keyed = targets.select(F.col("source").alias("__source"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__rate"))
     copies = F.floor("__rate") + (draw(F.col("doc_id"), seed) < F.col("__rate") - F.floor("__rate")).cast("long")
     return (
