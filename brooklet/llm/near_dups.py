@@ -256,7 +256,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(signatures(base, shingle), "signatures")
     full = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("print_a", "print_b").agg(F.min("doc_id").alias("rep"))
+    # Written aggregates: a join of two plain shuffles can be split where a key is hot.
+    classes = written(full.groupBy("print_a", "print_b").agg(F.min("doc_id").alias("rep")), "prints")
     member = full.select("doc_id", "print_a", "print_b").join(classes, ["print_a", "print_b"])
 
     chosen = classes.select("print_a", "print_b", F.col("rep").alias("doc_id"))
@@ -287,9 +288,9 @@ def _families(reps: DataFrame, block: int = BLOCK) -> DataFrame:
     """(family, low, high, side, id): the members of each family, once for each two blocks they are compared in."""
     spread = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))
     first = spread.groupBy("band").agg(F.min("id").alias("family"), F.max("id").alias("last")).where("family <> last").select("band", "family")
-    member = written(spread.join(first, "band").select("family", "id").distinct(), "members")
-    blocks = member.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    placed = member.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    member = written(spread.join(written(first, "buckets"), "band").select("family", "id").distinct(), "members")
+    large = written(member.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 1"), "large")
+    placed = member.join(large, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     pair = lambda x, y, s: F.struct(F.least(x, y).alias("low"), F.greatest(x, y).alias("high"), s.alias("side"))
     side = lambda k: F.when(F.col("own") == k, 3).when(F.col("own") < k, 1).otherwise(2)
