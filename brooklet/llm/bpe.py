@@ -23,9 +23,9 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -40,8 +40,11 @@ _SPACES = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 _PLAIN = regex.compile("[!-~]+")
 _BLOCK = 8192
+_MARKS = frozenset(",.;:!?")
+#: A comma or full stop that belongs to a longer run of marks.
+_TIED = re.compile(r"(?:[^\w\s]|_)[,.]|[,.][^\w\s]")
 #: Pieces a codec remembers in each of two generations, and pairs of tokens for each piece.
-_WORDS = 200_000
+_WORDS = 350_000
 _PAIRS = 2
 
 
@@ -90,6 +93,7 @@ class Vocabulary(NamedTuple):
     ids: dict[str, int]
     ranks: dict[tuple[str, str], int]
     special: dict[str, int]
+    whole: frozenset[str]  # tokens that the merges make of their own symbols
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -97,7 +101,9 @@ class Vocabulary(NamedTuple):
             data = json.load(f)
         model = data["model"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ", 1)) for m in model["merges"]]
-        return cls(model["vocab"], {p: i for i, p in enumerate(pairs)}, {t["content"]: t["id"] for t in data["added_tokens"]})
+        ranks = {p: i for i, p in enumerate(pairs)}
+        whole = frozenset(t for t in model["vocab"] if merge(symbols(t), ranks) == [t])
+        return cls(model["vocab"], ranks, {t["content"]: t["id"] for t in data["added_tokens"]}, whole)
 
 
 def symbols(token: str) -> list[str]:
@@ -127,9 +133,14 @@ class Transducer:
         self.pairs = pairs
         self.lookahead = max(len(symbols(t)) for t in vocabulary.ids)
         self._made_of = {a + b: (a, b) for a, b in vocabulary.ranks}
+        self._reach: dict[str, int] = {}  # of three letters: the length of the longest token that begins with them
+        for t in vocabulary.ids:
+            size = len(symbols(t))
+            if size > 2:
+                head = t[:3]
+                self._reach[head] = max(size, self._reach.get(head, 0))
         self._ends: dict[str, list[tuple[str, float]]] = {}
         self._begins: dict[str, list[tuple[str, float]]] = {}
-        self._whole: dict[str, bool] = {}
         self._known: dict[tuple[str, str], bool] = {}
 
     def _side(self, token: str, right: bool) -> list[tuple[str, float]]:
@@ -147,13 +158,6 @@ class Transducer:
             held[token] = known
         return known
 
-    def whole(self, token: str) -> bool:
-        """Whether the merges make this one token of its symbols."""
-        known = self._whole.get(token)
-        if known is None:
-            known = self._whole[token] = merge(symbols(token), self.vocabulary.ranks) == [token]
-        return known
-
     def fits(self, left: str, right: str) -> bool:
         known = self._known.get((left, right))
         if known is None:
@@ -184,20 +188,20 @@ class Transducer:
 
     def search(self, word: str) -> list[str]:
         """The tokens of a word by longest match first; a place that leads nowhere is not tried again."""
-        ids, most, whole, known, n = self.vocabulary.ids, self.lookahead, self._whole, self._known, len(word)
+        whole, reach, known, n = self.vocabulary.whole, self._reach, self._known, len(word)
         full = word + END
-        if full in ids and (whole.get(full) or self.whole(full)):
+        if full in whole:
             return [full]
         tokens, ends = [""], [0]
         dead: set[int] = set()
         at, stop = 0, n
         while True:
             before = tokens[-1]
-            if stop - at > most:
-                stop = at + most
+            if stop - at > 2:
+                stop = min(stop, at + reach.get(word[at : at + 3], 2))
             while stop > at:
                 token = word[at:stop] if stop < n else full[at:]
-                if token in ids and stop not in dead and (whole.get(token) or self.whole(token)):
+                if token in whole and stop not in dead:
                     if not before:
                         break
                     fit = known.get((before, token))
@@ -220,14 +224,14 @@ class Transducer:
 
     def stream(self, word: str) -> Iterator[str]:
         """The tokens of a word; each is emitted once no continuation can change it."""
-        ids, most, whole, fits = self.vocabulary.ids, self.lookahead, self.whole, self.fits
+        whole, most, fits = self.vocabulary.whole, self.lookahead, self.fits
         n, base = len(word), 0  # places up to base are emitted
         last, back = [""], [0]  # of place base + i: the last token of the encoding up to there, and its size
         for at in range(1, n + 1):
             tail = END if at == n else ""
             for size in range(min(most, at - base), 0, -1):
                 token = word[at - size : at] + tail
-                if token in ids and whole(token):
+                if token in whole:
                     before = last[at - size - base]
                     if fits(before, token) if before else at == size:
                         break
@@ -284,6 +288,13 @@ class Codec:
         """The pieces that merges stay within; white space is between them."""
         return (self.latin if max(text, default="") < "\u0250" else self.pieces).findall(text)
 
+    def remember(self, text: str, found: Entry) -> Entry:
+        if len(text) < 100:
+            if len(self.pieces_seen) >= self.most:
+                self.older, self.pieces_seen = self.pieces_seen, {}
+            self.pieces_seen[text] = found
+        return found
+
     def piece(self, piece: str) -> Entry:
         """The entry of a piece of the split pattern."""
         found = self.older.get(piece)
@@ -291,32 +302,41 @@ class Codec:
             spelled = piece if _PLAIN.fullmatch(piece) else "".join([self.letters[b] for b in piece.encode("utf-8")])
             ids = [self.vocabulary.ids[t] for t in self.transducer.encode(spelled)]
             found = Entry(len(ids), " ".join(map(str, ids)), self.decode(ids))
-        if len(piece) < 100:
-            if len(self.pieces_seen) >= self.most:
-                self.older, self.pieces_seen = self.pieces_seen, {}
-            self.pieces_seen[piece] = found
-        return found
+        return self.remember(piece, found)
 
     def entry(self, word: str) -> Entry:
         """The entry of a text without white space."""
+        if word.isalpha():
+            return self.piece(word)
+        last = word[-1:]
+        if last in _MARKS and word[:-1].isalpha():
+            body = word[:-1]
+            a, b = self.pieces_seen.get(body) or self.piece(body), self.pieces_seen.get(last) or self.piece(last)
+            return Entry(a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}")
         parts = [self.pieces_seen.get(p) or self.piece(p) for p in self.split(word)]
-        return parts[0] if len(parts) == 1 else Entry(sum([e[0] for e in parts]), " ".join([e[1] for e in parts]), " ".join([e[2] for e in parts]))
+        if len(parts) == 1:
+            return parts[0]
+        return self.remember(word, Entry(sum([e[0] for e in parts]), " ".join([e[1] for e in parts]), " ".join([e[2] for e in parts])))
 
-    def entries(self, text: str) -> Iterator[Entry]:
-        """The entries of a text's words and special tokens, in order."""
+    def entries(self, text: str) -> Iterator[list[Entry]]:
+        """The entries of a text's words and special tokens, in order, some thousands at once."""
         special = self.vocabulary.special
         for part in self.specials.split(text) if self.specials and "<|" in text else (text,):
             if part in special:
                 i = special[part]
-                yield Entry(1, str(i), self.token_of[i])
+                yield [Entry(1, str(i), self.token_of[i])]
                 continue
             flat = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
             flat = flat.lower()
-            for word in self.split(flat) if _ODD_SPACE.search(flat) else flat.split():
-                yield self.pieces_seen.get(word) or self.entry(word)
+            if not _TIED.search(flat):  # set single marks apart: they are pieces of their own, as the words before them
+                flat = flat.replace(", ", " , ").replace(". ", " . ").replace(",\n", " ,\n").replace(".\n", " .\n")
+            words = self.split(flat) if _ODD_SPACE.search(flat) else flat.split()
+            for at in range(0, len(words), _BLOCK):
+                seen, entry = self.pieces_seen.get, self.entry  # the table of the block's beginning
+                yield [seen(w) or entry(w) for w in words[at : at + _BLOCK]]
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for e in self.entries(text or "") for i in e.ids.split()]
+        return [int(i) for block in self.entries(text or "") for e in block for i in e.ids.split()]
 
     def decode(self, ids: Iterable[int]) -> str:
         """Token texts joined by a space: the decoding of a tokenizer file without decoder."""
@@ -325,8 +345,7 @@ class Codec:
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """(tokens, sha256 of the ids joined by a space, sha256 of the decoded text)."""
         n, one, two = 0, hashlib.sha256(), hashlib.sha256()
-        entries = self.entries(text or "")
-        while block := list(islice(entries, _BLOCK)):
+        for block in self.entries(text or ""):
             lead = " " if n else ""
             counts, ids, decoded = zip(*block, strict=True)
             one.update((lead + " ".join(ids)).encode())
