@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.functions.expressions import clean_price, clean_text, dedupe_key, parsed_time
@@ -40,10 +40,15 @@ def valid(normalized: DataFrame) -> DataFrame:
 
 
 def deduplicate(normalized: DataFrame) -> DataFrame:
-    """One row per event: of the valid rows with one dedupe key, the first by time and record hash."""
-    order = Window.partitionBy("dedupe_key").orderBy("event_time", "record_hash")
+    """One row per event: of the valid rows with one dedupe key, the first by time and record hash.
+
+    An aggregate with a map-side part, so an event repeated in a large share of
+    all rows meets the shuffle once per task.
+    """
+    lead = ["event_time", "record_hash"]
+    row = F.struct(*lead, *[c for c in SILVER.names if c not in (*lead, "dedupe_key")])
     keyed = valid(normalized).withColumn("dedupe_key", dedupe_key())
-    return keyed.withColumn("__place", F.row_number().over(order)).where("__place = 1").select(*SILVER.names)
+    return keyed.groupBy("dedupe_key").agg(F.min(row).alias("row")).select("dedupe_key", "row.*").select(*SILVER.names)
 
 
 def affected_dates(candidates: DataFrame) -> list:
