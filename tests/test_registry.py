@@ -38,3 +38,13 @@ def test_entry_module_knows_the_engine():
     import __spark_entry__ as entry
 
     assert set(NAMES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="needs the benchmark tables")
+def test_scans_read_what_they_need(spark):
+    plan = queries.QUERIES["daily_revenue"](spark, SF)._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(event_type" in plan
+    schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "props" not in schema and "event_id" not in schema
+    # top_products keeps ten rows of a day before they are shuffled for the rank.
+    assert "WindowGroupLimit" in queries.QUERIES["top_products"](spark, SF)._jdf.queryExecution().toString()
