@@ -307,9 +307,12 @@ def _repeats(base: DataFrame) -> bool:
 
 def kept_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that represent their group, columns unchanged; of rows with one doc_id one stays."""
-    gone = near_duplicates(docs, shingle, percent).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    # Written ids: their size decides whether documents move for the join at all.
+    gone = written(near_duplicates(docs, shingle, percent).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
     left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    again = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again")
+    again = written(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again"), "again")
+    if again.isEmpty():
+        return left
     once = left.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
     return once.unionByName(left.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"]))
 
