@@ -1,7 +1,7 @@
 """URL allow and block rules by a sort-merge range join.
 
-A host is keyed by its labels reversed, each followed by a byte below any host
-character; a rule's host and all its subdomains are then one interval of keys.
+A host is keyed by the tuple of its labels, reversed; a rule's host and all its
+subdomains are then one interval of keys, whatever bytes a label holds.
 Each Arrow batch of pages is sorted by key and merged with the sorted rules; a
 stack holds the rule hosts whose intervals are open, innermost last, so every
 active rule of a page lies on the stack. Pages are never shuffled, so a hot host
@@ -10,7 +10,10 @@ cannot make a hot task. Rules travel with the task in blocks of at most
 
 Nulls, urls without ``://`` and empty urls have an empty host and path, which no
 rule fits. Of the fitting rules the longest (host plus path) wins, then the one
-with the longer host, then block before allow.
+with the longer host, then block before allow. Very long urls are judged whole.
+Rows that repeat, in page_id or altogether, are judged each for itself; an empty
+table gives an empty result. Only page_id and url are read, so other columns,
+whatever their names, change nothing and are not passed on.
 """
 
 from __future__ import annotations
@@ -24,11 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from brooklet.llm.common import released, table
 
 RULE_BLOCK = 65_536
-#: Rules are parameters held by the driver; beyond this many bytes, pass them in several calls.
-MAX_RULE_BYTES = 64 << 20
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
+Key = tuple[str, ...]
+
+
 class Rule(NamedTuple):
     verdict: str
     host: str
@@ -58,32 +62,37 @@ def split_url(url: str | None) -> tuple[str, str]:
     return rest[:cut].translate(_LOWER), tail[:end]
 
 
-def host_key(host: str) -> str:
-    """Reversed labels, each closed by \\x01: the keys of a host's subdomains start with the host's key."""
-    return "".join(f"{x}\x01" for x in reversed(host.split("."))) if host else ""
+def host_key(host: str) -> Key:
+    """Reversed labels: the keys of a host's subdomains begin with the host's key."""
+    return tuple(reversed(host.split("."))) if host else ()
+
+
+def under(key: Key, of: Key) -> bool:
+    """Whether a key is that of a host or of one of its subdomains."""
+    return key[: len(of)] == of
 
 
-def rule_hosts(rules: Iterable[Rule]) -> list[tuple[str, list[Rule]]]:
+def rule_hosts(rules: Iterable[Rule]) -> list[tuple[Key, list[Rule]]]:
     """(key, rules of that host, longest path first), in key order."""
-    by: dict[str, list[Rule]] = {}
+    by: dict[Key, list[Rule]] = {}
     for r in rules:
         by.setdefault(host_key(r.host.translate(_LOWER)), []).append(r)
     return [(k, sorted(set(v), key=lambda r: (-len(r.path), r.verdict != "block", r.path))) for k, v in sorted(by.items())]
 
 
-def sweep(keys: list[tuple[str, str]], hosts: list[tuple[str, list[Rule]]]) -> list[Rule | None]:
+def sweep(keys: list[tuple[Key, str]], hosts: list[tuple[Key, list[Rule]]]) -> list[Rule | None]:
     """The winning rule of each (host key, path)."""
     won: list[Rule | None] = [None] * len(keys)
-    stack: list[tuple[str, list[Rule]]] = []
+    stack: list[tuple[Key, list[Rule]]] = []
     at = 0
     for i in sorted(range(len(keys)), key=lambda i: keys[i][0]):
         key, path = keys[i]
         while at < len(hosts) and hosts[at][0] <= key:
-            while stack and not hosts[at][0].startswith(stack[-1][0]):
+            while stack and not under(hosts[at][0], stack[-1][0]):
                 stack.pop()
             stack.append(hosts[at])
             at += 1
-        while stack and not key.startswith(stack[-1][0]):
+        while stack and not under(key, stack[-1][0]):
             stack.pop()
         best: tuple[int, int] | None = None
         for _, rules in reversed(stack):
@@ -108,8 +117,6 @@ def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, default: str = "allow
     held = list(rules)
     if any(not r.host for r in held):
         raise ValueError("a rule needs a host")
-    if sum(len(r.host) + len(r.path) for r in held) > MAX_RULE_BYTES:
-        raise ValueError("rules exceed MAX_RULE_BYTES; pass them in several calls")
     ordered = sorted(held, key=lambda r: host_key(r.host))
     blocks = [rule_hosts(ordered[i : i + RULE_BLOCK]) for i in range(0, len(ordered), RULE_BLOCK)]
 

@@ -23,7 +23,7 @@ def check(spark, rows, rules=urls.RULES):
 
 
 def test_edge_urls(spark):
-    check(spark, list(enumerate([None, "", "no scheme", "://", "https://COM/en/1", "http://a.example.com/en/7x?y#z", "http://notexample.com/en/7", "http://net/de/", "http://x.example.net/de/85#t", "http://b.org/es", "http://b.org/es/", "a://b://c/en/", "http://com?x", "http://ÀB.com/en/"])))
+    check(spark, list(enumerate([None, "", "no scheme", "://", "https://COM/en/1", "http://a.example.com/en/7x?y#z", "http://notexample.com/en/7", "http://net/de/", "http://x.example.net/de/85#t", "http://b.org/es", "http://b.org/es/", "a://b://c/en/", "http://com?x", "http://ÀB.com/en/", "http://com\x01x/en/1", "http://x\x00.com/en/", "http://com./en/", "http://.com/en/", "http://a..com/en/"])))
     assert urls.judge(spark.createDataFrame([], PAGES)).count() == 0
 
 
@@ -38,6 +38,15 @@ def test_random_rules(spark, monkeypatch):
     check(spark, [(k, f"http://{host(5)}{path()}") for k in range(300)], rules)
 
 
+def test_control_bytes_are_part_of_a_label(spark):
+    out = urls.judge(spark.createDataFrame([(1, "http://com\x01x/en/1"), (2, "http://x\x01.com/en/1")], PAGES)).orderBy("page_id").collect()
+    assert [(r.rule, r.verdict) for r in out] == [(None, "allow"), ("com/en/", "block")]
+
+
+def test_very_long_urls(spark):
+    check(spark, [(1, "http://" + "a." * 50_000 + "com/en/" + "x" * 100_000), (2, "http://com/" + "en/" * 100_000)])
+
+
 def test_repeated_rows_and_extra_columns(spark):
     df = spark.createDataFrame([(1, "http://net/de/", "x"), (1, "http://net/de/", "y")], PAGES + ", host string")
     assert [r.rule for r in urls.judge(df).collect()] == ["net/de/"] * 2
