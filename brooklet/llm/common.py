@@ -7,7 +7,7 @@ import functools
 import sys
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -45,10 +45,19 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+_scratch: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a folder of its own; on a cluster that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="brooklet-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -58,23 +67,65 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back.
 
     Unlike a cached frame it survives lost executors, and its file sizes give
-    the optimizer a measured bound before it broadcasts anything.
+    the optimizer a measured bound before it broadcasts anything. The table goes
+    with ``dropped``, ``drop_scratch`` or, at the latest, the driver's JVM.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    system, where = _hadoop(spark, path)
+    system.deleteOnExit(where)
+    _scratch.append(path)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch_path = path
     return back
 
 
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    system, where = _hadoop(spark, path)
+    system.delete(where, True)
+    system.cancelDeleteOnExit(where)
+    if path in _scratch:
+        _scratch.remove(path)
+
+
 def dropped(df: DataFrame) -> None:
     """Remove a scratch table that no later plan reads."""
     path = getattr(df, "scratch_path", None)
     if path:
-        jvm, jsc = df.sparkSession._jvm, df.sparkSession._jsc
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(jsc.hadoopConfiguration()).delete(where, True)
+        _removed(df.sparkSession, path)
+
+
+def scratch_tables() -> list[str]:
+    """The paths of the scratch tables that stand."""
+    return list(_scratch)
+
+
+def drop_scratch(spark: SparkSession, keep: Iterable[str] = ()) -> None:
+    """Remove all scratch tables but those of some paths; frames that read them can't run any more."""
+    for path in set(_scratch) - set(keep):
+        _removed(spark, path)
+
+
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each lengthened until it clashes with no column (Spark compares without case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def every(df: DataFrame) -> list[Column]:
+    """All columns by quoted name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
 def byte_column(batch: pa.RecordBatch, name: str) -> list[bytes]:

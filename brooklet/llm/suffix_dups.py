@@ -1,36 +1,47 @@
-"""Removal of repeated byte strings, by previous factors in a truncated suffix order.
+"""Removal of repeated byte strings, by longest previous factors over suffix orders.
 
 A byte goes if a string of ``LENGTH`` bytes over it also starts elsewhere (in the
-same document or another). In suffix order, equal strings are neighbours and the
-previous smaller position in that run is an earlier match: a longest previous
-factor of at least LENGTH bytes. Only that threshold matters here, so suffixes
-are ordered by their first LENGTH bytes, and only where a match is possible:
+same document or another). The longest previous factor of a place is the longest
+string there that also starts at an earlier place. In suffix order the earlier
+place that shares most with it is the previous or the next one of smaller place;
+the factor's length is the least common prefix on the way. Mirrored (greater
+places) this gives the longest later factor. A place whose factor reaches LENGTH
+starts a repeated string: ``keep="first"`` removes those with an earlier match,
+so that the first copy stays, ``keep="none"`` those with any match.
+
+One suffix array of all documents can't be distributed, and only factors of
+LENGTH bytes matter, so suffixes are ordered by their first LENGTH bytes, group by
+group of suffixes that can match at all:
 
 1. Every window of LENGTH bytes has an anchor, the least hash of its GRAM-byte
    strings. Equal windows have equal anchors at equal offsets, so a window whose
    anchor's string occurs once has no match. Anchors are about one in 60 bytes.
 2. An anchor's context is all that its windows can cover. Anchors that share the
-   whole context are matches of each other in every window (level 1).
+   whole context (equal in two independent 64-bit hashes) are matches of each
+   other in every window; partial aggregates find each run's first place, and a
+   join, which may split a hot run, brings it back (level 1).
 3. One anchor per differing context of a shared anchor string goes on with its
-   context's bytes, dealt by anchor string. The task puts the suffixes of a group
-   of contexts in order (by fingerprints of their first LENGTH bytes, then by
-   place); in a run of equal strings each but the first has a previous smaller
-   place, an earlier match, and each but the last a later one (level 2).
-4. An anchor string with more than ``GROUP`` differing contexts is too large a
-   group for a task. Its windows go out as rows of fingerprints; partial
-   aggregates find each run's first place, and a join brings it back.
-
-``keep="first"`` removes windows with an earlier match (the first copy stays);
-``keep="none"`` removes every window with any match. Runs of anchors are
-summarised by partial aggregates and joined back, so a passage found in a third
-of all documents only adds rows to its key's partition, which the join may
-split. Texts and fingerprints never pass the driver.
-
-Null texts count as empty; nothing is removed from texts under LENGTH bytes.
-Rows that repeat a doc_id with another text are documents of their own; rows
-that repeat id and text match each other under ``keep="none"`` and count as one
-document under ``keep="first"``. Fingerprints have 64 bits; a place is the id,
-32 bits of the text's hash, and the position.
+   context's bytes, dealt by anchor string (level 2). The task sorts the suffixes
+   that start at the anchors and induces from them, byte by byte to the left, the
+   order of the suffixes that start 1, 2, .. bytes before (``suffix_orders``);
+   common prefixes come from the bytes, factors from ``previous_factors``.
+4. An anchor string with more than ``GROUP`` differing contexts is dealt again, in
+   ``PARTS`` ranges of the windows' offsets: the windows of a range agree in all
+   bytes that each of them covers, and these bytes are the key. Such a key of more
+   than GROUP contexts is a string of at least 183 bytes that occurs that often;
+   its few windows go out as rows of 128-bit digests, and partial aggregates find
+   each run's first place. All ways give the same spans.
+
+Texts and hashes never pass the driver.
+
+Null texts count as empty; nothing is removed from texts under LENGTH bytes. Very
+long texts are read whole, one at a time. An empty table gives an empty result.
+Rows that repeat a doc_id with another text are documents of their own; rows that
+repeat id and text match each other under ``keep="none"`` and count as one
+document under ``keep="first"``. A null doc_id is an id of its own, before all
+others. Ties: of equal strings the one of the smallest (doc_id, text hash,
+position) is the first. Reports read doc_id and text alone; ``deduplicated_documents``
+keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,13 +55,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bounded_batches, byte_column, pieces, released, table, written
+from brooklet.llm.common import bounded_batches, byte_column, every, pieces, released, table, unused, written
 from brooklet.llm.near_dups import mixed
 
 LENGTH = 200
 GRAM = 64
-GROUP = 262_144
-_CHUNK = 4096
+GROUP, PARTS = 32_768, 8
+_CHUNK = 8192
 _NULL_ID = -(1 << 63)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -93,11 +104,11 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
     ends = np.cumsum(sizes)
     starts = ends - sizes
     none = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64))
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    blob = b"".join(texts)
+    data = np.frombuffer(blob, np.uint8)
     if len(data) < length:
         return none
-    raw = gram_hashes(data, gram)
-    order = mixed(raw)
+    order = mixed(gram_hashes(data, gram))
     width = length - gram + 1
     valid = np.zeros(len(data), np.int32)  # of window starts: +1 at a text's first, -1 behind its last
     long = sizes >= length
@@ -112,73 +123,158 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
     owner = np.searchsorted(ends, at, side="right")
     first, end = starts[owner], ends[owner]
     left = np.maximum(at - (length - gram), first)
-    right = np.minimum(at + length, end) - gram
-    context = (at - left).astype(np.uint64) * _ODD + (right - at).astype(np.uint64)
-    for j in range(-(-(2 * length - gram) // gram)):
-        context = mixed(context * _ODD ^ raw[np.minimum(left + j * gram, right)])
+    right = np.minimum(at + length, end)
+    spans = zip(left.tolist(), right.tolist(), (at - left).tolist(), strict=True)
+    context = np.fromiter((xxhash.xxh3_64_intdigest(blob[x:y], k) for x, y, k in spans), np.uint64, len(at))
     return owner, at - first, order[at], context
 
 
-def window_hashes(contexts: list[bytes], h: np.ndarray, left: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context number, start, hash) of every window of some contexts.
+def _block_minima(x: np.ndarray, most: int) -> list[np.ndarray]:
+    """Minima of x[i : i + 2**k] for each k with 2**k <= ``most``; blocks past the end are cut short."""
+    out = [x]
+    while 2 << (len(out) - 1) <= most:
+        half, low = 1 << (len(out) - 1), out[-1].copy()
+        np.minimum(low[:-half], low[half:], out=low[:-half])
+        out.append(low)
+    return out
+
+
+def _factors_before(place: np.ndarray, common: np.ndarray, reach: int) -> np.ndarray:
+    """The common prefix of each suffix with its previous smaller one in suffix order, 0 where there is none in reach."""
+    n = len(place)
+    smaller, shared = _block_minima(place, reach), _block_minima(np.append(common, 0), reach)
+    at, low = np.arange(n), np.full(n, LENGTH, np.int64)  # all places in at..i are at least place[i]
+    for k in range(len(smaller) - 1, -1, -1):
+        to = at - (1 << k)
+        skips = to >= 0
+        skips &= smaller[k][to] > place  # a negative index is masked
+        low = np.where(skips, np.minimum(low, shared[k][to]), low)
+        at = np.where(skips, to, at)
+    found = at > 0
+    return np.where(found, np.minimum(low, np.append(common, 0)[at - 1]), 0)
+
+
+def previous_factors(place: np.ndarray, common: np.ndarray, reach: int | None = None) -> np.ndarray:
+    """The longest previous factor (up to LENGTH) of each suffix.
+
+    ``place`` holds the suffixes' places in suffix order, ``common`` the common
+    prefixes of neighbours. The previous and the next smaller place share most
+    with a suffix among all earlier places. They are found by descending over
+    block minima, so a run of n neighbours takes log n steps for all at once;
+    ``reach`` bounds the neighbours that share LENGTH bytes.
+    """
+    if len(place) < 2:
+        return np.zeros(len(place), np.int64)
+    reach = reach or len(place)
+    before = _factors_before(place, common, reach)
+    after = _factors_before(place[::-1], common[::-1], reach)[::-1]
+    return np.maximum(before, after)
+
+
+class _RangeMinima:
+    """Minima over any ranges of an array, by two overlapping blocks."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        self.blocks = np.stack(_block_minima(x, max(1, len(x))))
+
+    def __call__(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The minima of x[low : high], each range nonempty."""
+        k = np.frexp((high - low).astype(float))[1] - 1
+        return np.minimum(self.blocks[k, low], self.blocks[k, high - (1 << k)])
+
+
+def _matrix(data: np.ndarray, at: np.ndarray, size: np.ndarray, width: int, step: int) -> np.ndarray:
+    """Row i: the ``size[i]`` bytes at ``at[i]``, ``at[i] + step``, .., then zeros."""
+    out = np.zeros((len(at), width), np.uint8)
+    for k in range(width):
+        rows = np.flatnonzero(size > k)
+        out[rows, k] = data[at[rows] + step * k]
+    return out
+
+
+def suffix_orders(contexts: list[bytes], left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(offset, context numbers, common prefixes of neighbours) of the suffixes that start ``offset`` bytes before the anchors.
 
-    The hash holds the anchor's hash h and offset too: equal windows agree in
-    both, and a window that lies in two contexts of one text differs from itself.
+    Only suffixes of at least LENGTH bytes that share the bytes before the anchor
+    with another are listed, in the order of their first LENGTH bytes; a common
+    prefix is exact if it reaches LENGTH (the most that is told), else it is less.
     """
-    sizes = np.array([len(c) for c in contexts], np.int64)
-    counts = np.maximum(sizes - length + 1, 0)
-    owner = np.repeat(np.arange(len(contexts)), counts)
-    if not len(owner):
-        return owner, owner, np.empty(0, np.uint64)
-    start = np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
-    raw = gram_hashes(np.frombuffer(b"".join(contexts), np.uint8), gram)
-    at = start + (np.cumsum(sizes) - sizes)[owner]
-    w = mixed(h.astype(np.int64).view(np.uint64)[owner] * _ODD + (left[owner] - start).astype(np.uint64))
-    for j in range(-(-length // gram)):
-        w = mixed(w * _ODD ^ raw[at + min(j * gram, length - gram)])
-    return owner, start, w
-
-
-def matched_starts(contexts: list[bytes], h: np.ndarray, left: np.ndarray, keep: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, sizes = len(contexts), np.array([len(c) for c in contexts], np.int64)
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    anchor = np.cumsum(sizes) - sizes + left
+    tail = [c[x : x + LENGTH] for c, x in zip(contexts, left.tolist(), strict=True)]
+    order = np.array(sorted(range(n), key=tail.__getitem__), np.int64)
+    del tail
+    behind = np.minimum(sizes - left, LENGTH)[order]
+    after = _matrix(data, anchor[order], behind, LENGTH, 1)
+    common = np.zeros(max(1, n - 1), np.int16)
+    for i in range(0, n - 1, _CHUNK):
+        j = min(n - 1, i + _CHUNK)
+        differ = after[i:j] != after[i + 1 : j + 1]
+        common[i:j] = np.where(differ.any(1), differ.argmax(1), LENGTH)
+    del after
+    minima = _RangeMinima(common)
+    ahead = left[order]
+    before = _matrix(data, anchor[order] - 1, ahead, LENGTH - GRAM, -1)
+    live, kind = np.arange(n), np.zeros(n, np.int64)  # suffixes of one kind share all bytes before the anchor
+    for offset in range(LENGTH - GRAM + 1):
+        if offset:
+            far = ahead[live] >= offset
+            live, kind = live[far], kind[far]
+            if len(live) < 2:
+                return
+            byte = before[live, offset - 1]
+            by = np.argsort(byte, kind="stable")  # the order one byte to the left, induced from the last one
+            live, kind, byte = live[by], kind[by], byte[by]
+            new = (byte[1:] != byte[:-1]) | (kind[1:] != kind[:-1])
+            kind = np.cumsum(np.append(0, new))
+            paired = ~(np.append(True, new) & np.append(new, True))
+            live, kind = live[paired], kind[paired]
+        if len(live) < 2:
+            return
+        need = LENGTH - offset
+        whole = behind[live] >= need
+        here, same = live[whole], kind[whole]
+        if len(here) < 2:
+            continue
+        shares = np.zeros(len(here) - 1, np.int64)
+        alike = np.flatnonzero(same[1:] == same[:-1])
+        shares[alike] = offset + np.minimum(minima(here[alike], here[alike + 1]), need)
+        yield offset, order[here], shares
+
+
+def matched_starts(contexts: list[bytes], left: np.ndarray, keep: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(context number, least, greatest start) of the windows with a match; contexts come in order of place.
 
     All windows of a context hold its anchor, so their union is one span.
     """
-    if len(contexts) > 2 * _CHUNK:
-        return _matched_by_offset(contexts, h, left, keep)
-    owner, start, w = window_hashes(contexts, h, left)
-    order = np.argsort(w, kind="stable")  # suffix order; equal strings by place
-    same = w[order[1:]] == w[order[:-1]]
-    found = np.zeros(len(w), bool)
-    found[order[1:][same]] = True
-    if keep == "none":
-        found[order[:-1][same]] = True
-    owner, start = owner[found], start[found]
-    if not len(owner):
-        return owner, owner, owner
-    first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
-    return owner[first], np.minimum.reduceat(start, first), np.maximum.reduceat(start, first)
-
-
-def _matched_by_offset(contexts: list[bytes], h: np.ndarray, left: np.ndarray, keep: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same for many contexts, in memory of one hash each: only windows with equal anchor offsets can match."""
-    n, sizes = len(contexts), np.array([len(c) for c in contexts], np.int64)
-    least, most = np.full(n, LENGTH), np.full(n, -1)
-    for offset in range(LENGTH - GRAM + 1):
-        start = left - offset
-        has = np.flatnonzero((start >= 0) & (start + LENGTH <= sizes))
-        w = np.fromiter((xxhash.xxh3_64_intdigest(contexts[i][s : s + LENGTH]) for i, s in zip(has.tolist(), start[has].tolist(), strict=True)), np.uint64, len(has))
-        w = mixed(w ^ h[has].view(np.uint64) * _ODD)
-        order = np.argsort(w, kind="stable")
-        same = w[order[1:]] == w[order[:-1]]
-        found = order[1:][same] if keep == "first" else np.union1d(order[1:][same], order[:-1][same])
-        rows = has[found]
-        least[rows] = np.minimum(least[rows], start[rows])
-        most[rows] = np.maximum(most[rows], start[rows])
+    n = len(contexts)
+    least, most = np.zeros(n, np.int64), np.full(n, -1)
+    for offset, owner, shares in suffix_orders(contexts, left):
+        full = np.append(shares >= LENGTH, False)
+        able = full | np.append(False, full[:-1])  # next to neither of these no factor reaches LENGTH
+        if not able.any():
+            continue
+        at = np.flatnonzero(able)
+        place, common = owner[at], np.where(full[at[:-1]] & (np.diff(at) == 1), LENGTH, 0)
+        ends = np.flatnonzero(np.append(common < LENGTH, True))
+        reach = int(np.diff(np.append(-1, ends)).max())
+        factor = previous_factors(place, common, reach)
+        if keep == "none":
+            factor = np.maximum(factor, previous_factors(-place, common, reach))
+        rows = place[factor >= LENGTH]
+        least[rows] = left[rows] - offset
+        most[rows] = np.maximum(most[rows], left[rows] - offset)
     rows = np.flatnonzero(most >= 0)
     return rows, least[rows], most[rows]
 
 
+def part_bounds(part: int, parts: int = PARTS) -> tuple[int, int]:
+    """The first offset of a part and the first behind it."""
+    offsets = LENGTH - GRAM + 1
+    return part * offsets // parts, (part + 1) * offsets // parts
+
+
 def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The maximal runs of some half-open spans; spans that touch are one run."""
     if not len(low):
@@ -241,17 +337,17 @@ def _contexts(placed: DataFrame) -> DataFrame:
 
 
 def _match_groups(contexts: DataFrame, keep: str) -> DataFrame:
-    """(id, mark, low, high): the span of each context's matched windows, group by group of one anchor string."""
+    """(id, mark, low, high): the span of each context's matched windows, group by group of one key h."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def matched(table_: pa.Table) -> pa.RecordBatch:
-            place, left = table_["place"].to_numpy(), table_["left"].to_numpy()
-            owner, low, high = matched_starts(table_["bytes"].to_pylist(), table_["h"].to_numpy(), left, keep)
+        def matched(rows: pa.Table) -> pa.RecordBatch:
+            place, left = rows["place"].to_numpy(), rows["left"].to_numpy().astype(np.int64)
+            owner, low, high = matched_starts(rows["bytes"].to_pylist(), left, keep)
             at = (place[owner] & 0xFFFFFFFF) - left[owner]
-            return pa.RecordBatch.from_arrays([table_["id"].combine_chunks().take(pa.array(owner)), pa.array((place[owner] >> 32).astype(np.int32)), pa.array(at + low), pa.array(at + high + LENGTH)], ["id", "mark", "low", "high"])
+            return pa.RecordBatch.from_arrays([rows["id"].combine_chunks().take(pa.array(owner)), pa.array((place[owner] >> 32).astype(np.int32)), pa.array(at + low), pa.array(at + high + LENGTH)], ["id", "mark", "low", "high"])
 
         for batch in (part for b in batches for part in (b.slice(i, _CHUNK) for i in range(0, b.num_rows, _CHUNK))):
             last = batch["h"][-1].as_py()
@@ -267,22 +363,75 @@ def _match_groups(contexts: DataFrame, keep: str) -> DataFrame:
         if held:
             yield matched(pa.Table.from_batches(held))
 
-    dealt = contexts.repartition("h").sortWithinPartitions("h", "id", "place")
+    dealt = contexts.select(*_CONTEXT).repartition("h").sortWithinPartitions("h", "id", "place")
     return dealt.mapInArrow(run, "id long, mark int, low long, high long")
 
 
-def _match_large(contexts: DataFrame, keep: str) -> DataFrame:
-    """The same for groups too large for a task: windows as rows, runs by partial aggregates."""
+_CONTEXT = ["h", "id", "place", "left", "bytes"]
+
+
+def _part(context: bytes, left: int, part: int) -> tuple[int, bytes] | None:
+    """(bytes before the anchor, bytes) of the windows of one part, None if the context has none."""
+    low, end = part_bounds(part)
+    first = max(0, left - (end - 1))
+    out = context[first : left + LENGTH - low]
+    return (left - first, out) if left >= low and len(out) >= LENGTH else None
+
+
+def _part_keys(contexts: DataFrame) -> DataFrame:
+    """(key, part, id, place) of each part of each context; the key is a hash of the bytes that all windows of the part cover."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = batch.column(3).to_numpy()
-            owner, start, w = window_hashes(batch.column(4).to_pylist(), batch.column(0).to_numpy(), left)
-            place = batch.column(2).to_numpy()[owner] - left[owner] + start
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(owner)), pa.array(place), pa.array(w.view(np.int64))], ["id", "place", "w"])
+            rows, keys, parts = [], [], []
+            for i, (left, context) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+                for part in range(PARTS):
+                    if _part(context, left, part):
+                        low, end = part_bounds(part)
+                        rows.append(i)
+                        parts.append(part)
+                        keys.append(xxhash.xxh3_64_intdigest(context[left - low : left + LENGTH - end + 1], part) - (1 << 63))
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(parts, pa.int32()), batch.column(1).take(at), batch.column(2).take(at)], ["key", "part", "id", "place"])
+
+    return contexts.select(*_CONTEXT).mapInArrow(run, "key long, part int, id long, place long")
+
+
+def _match_hot(contexts: DataFrame, keep: str, group: int) -> DataFrame:
+    """The spans of groups too large for a task, dealt again by part and the bytes that the part's windows share."""
+
+    @released
+    def clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_part(c, x, p) for c, x, p in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(3)), pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary()), batch.column(6)], [*_CONTEXT, "n"]
+            )
+
+    contexts = written(contexts, "contexts")
+    keys = written(_part_keys(contexts), "parts")
+    shared = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-parts")
+    rows = contexts.drop("h").join(keys.join(shared, "key"), ["id", "place"]).select(F.col("key").alias("h"), *_CONTEXT[1:], "part", "n")
+    parts = written(rows.mapInArrow(clip, "h long, id long, place long, left int, bytes binary, n long"), "clipped")
+    return _match_groups(parts.where(F.col("n") <= group), keep).union(_match_windows(parts.where(F.col("n") > group), keep))
+
 
-    windows = written(contexts.mapInArrow(run, "id long, place long, w long"), "windows")
+def _match_windows(contexts: DataFrame, keep: str) -> DataFrame:
+    """The spans of strings that occur more often than a task should hold: windows as rows, runs by partial aggregates."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, places, prints = [], [], []
+            for i, (place, left, context) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+                for start in range(max(0, left - (LENGTH - GRAM)), min(left, len(context) - LENGTH) + 1):
+                    rows.append(i)
+                    places.append(place - left + start)
+                    prints.append(xxhash.xxh3_128_digest(context[start : start + LENGTH], left - start))
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()), pa.array(prints, pa.binary())], ["id", "place", "w"])
+
+    windows = written(contexts.select(*_CONTEXT).mapInArrow(run, "id long, place long, w binary"), "windows")
     place = F.struct("id", "place")
     runs = windows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
     found = windows.join(runs, "w")
@@ -319,9 +468,9 @@ def repeated_spans(docs: DataFrame, keep: str = "first", group: int = GROUP) ->
         per = of.groupBy("id", F.shiftright("place", 32).cast("int").alias("mark")).agg(F.collect_list(F.struct("h", "place")).alias("places"))
         return _contexts(keyed.join(per, ["id", "mark"]))
 
+    large = written(large, "large")
     if not large.isEmpty():
-        large = written(large, "large")
-        spans = spans.union(_match_large(contexts(firsts.join(large, "h", "left_semi")), keep))
+        spans = spans.union(_match_hot(contexts(firsts.join(large, "h", "left_semi")), keep, group))
         firsts = firsts.join(large, "h", "left_anti")
     spans = spans.union(_match_groups(contexts(firsts), keep))
     return spans.groupBy("id", "mark").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
@@ -364,9 +513,10 @@ def deduplicated_documents(docs: DataFrame, keep: str = "first") -> DataFrame:
 
     Columns stay as they are. A cut through a character drops its remaining bytes.
     """
-    spans = repeated_spans(docs, keep).toDF("__id", "__mark", "__lows", "__highs")
-    own = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)) == F.col("__id")) & (F.shiftright(F.xxhash64("text"), 32).cast("int") == F.col("__mark"))
-    joined = docs.join(spans, own, "left").drop("__id", "__mark")
+    owner, hashed, lows, highs = unused(docs.columns, "owner", "hashed", "lows", "highs")
+    spans = repeated_spans(docs, keep).toDF(owner, hashed, lows, highs)
+    own = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)) == F.col(owner)) & (F.shiftright(F.xxhash64("text"), 32).cast("int") == F.col(hashed))
+    joined = docs.join(spans, own, "left").select(*every(docs), lows, highs)
     names, schema = docs.columns, docs.schema
 
     @released

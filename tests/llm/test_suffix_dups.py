@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from brooklet.llm import suffix_dups as sd
@@ -61,37 +62,80 @@ def test_edge_cases(spark, docs, keep):
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
-def test_large_groups_go_by_rows(spark, docs, keep):
+@pytest.mark.parametrize("group", [1, 3, 12])
+def test_hot_groups_give_the_same_spans(spark, docs, keep, group):
     rows = corpus(5)
-    spans = sd.repeated_spans(docs(rows), keep, group=1).collect()
-    plain = sd.repeated_spans(docs(rows), keep).collect()
 
     def covered(found):
-        out = set()
-        for r in found:
-            for low, high in zip(r.lows, r.highs, strict=True):
-                out |= {(r.id, r.mark, p) for p in range(max(low, 0), high)}
-        return out
+        return {(r.id, r.mark, p) for r in found for low, high in zip(r.lows, r.highs, strict=True) for p in range(max(low, 0), high)}
 
-    assert {x for x in covered(spans)} == {x for x in covered(plain)}
+    assert covered(sd.repeated_spans(docs(rows), keep, group=group).collect()) == covered(sd.repeated_spans(docs(rows), keep).collect())
 
 
-def test_many_contexts_by_offset(monkeypatch):
-    import numpy as np
-
-    rng = random.Random(1)
-    core = bytes(rng.randrange(256) for _ in range(260))
+def anchored(seed, n=60, binary=False):
+    """Contexts around one anchor string that share more or less to either side."""
+    rng = random.Random(seed)
+    some = lambda k: bytes(rng.choice(b"ab\0" if binary else b"abcdef") for _ in range(k))
+    anchor, sides = some(sd.GRAM), [(some(136), some(136)) for _ in range(4)]
     contexts, left = [], []
-    for _ in range(30):
-        before = bytes(rng.randrange(256) for _ in range(60))
-        text = before + core[rng.randrange(0, 40) :][:230] + bytes(rng.randrange(256) for _ in range(40))
-        contexts.append(text)
-        left.append(100)
-    h, left = np.zeros(30, np.int64), np.array(left, np.int64)
-    for keep in ("first", "none"):
-        a = sd.matched_starts(contexts, h, left, keep)
-        b = sd._matched_by_offset(contexts, h, left, keep)
-        assert [x.tolist() for x in a] == [x.tolist() for x in b]
+    for _ in range(n):
+        a, b = rng.choice(sides)[0], rng.choice(sides)[1]
+        x, y = rng.randrange(137), rng.randrange(137)
+        before = (some(rng.randrange(137)) + a[136 - x :])[-136:]
+        contexts.append(before + anchor + (b[:y] + some(rng.randrange(137)))[:136])
+        left.append(len(before))
+    return contexts, left
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+@pytest.mark.parametrize("seed", range(6))
+def test_matched_starts_equal_brute_force(keep, seed):
+    contexts, left = anchored(seed, binary=seed % 2 == 1)
+    windows = {}
+    for i, (c, x) in enumerate(zip(contexts, left, strict=True)):
+        for start in range(max(0, x - 136), min(x, len(c) - sd.LENGTH) + 1):
+            windows.setdefault((c[start : start + sd.LENGTH], x - start), []).append((i, start))
+    want = {}
+    for at in windows.values():
+        for i, start in at[0 if keep == "none" else 1 :] if len(at) > 1 else []:
+            want.setdefault(i, []).append(start)
+    found = sd.matched_starts(contexts, np.array(left, np.int64), keep)
+    assert {i: (low, high) for i, low, high in zip(*(x.tolist() for x in found), strict=True)} == {i: (min(s), max(s)) for i, s in want.items()}
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_previous_factors_equal_brute_force(seed):
+    rng = random.Random(seed)
+    text = "".join(rng.choice("ab") for _ in range(rng.randrange(2, 60)))
+    order = sorted(range(len(text)), key=lambda i: text[i:])
+
+    def shared(i, j):
+        n = 0
+        while max(i, j) + n < len(text) and text[i + n] == text[j + n]:
+            n += 1
+        return n
+
+    common = np.array([shared(i, j) for i, j in zip(order, order[1:], strict=False)])
+    got_ = sd.previous_factors(np.array(order), common)
+    assert got_.tolist() == [max((shared(i, j) for j in range(i)), default=0) for i in order]
+    assert sd.previous_factors(-np.array(order), common).tolist() == [max((shared(i, j) for j in range(i + 1, len(text))), default=0) for i in order]
+
+
+def test_parts_cover_every_offset_once():
+    bounds = [sd.part_bounds(k) for k in range(sd.PARTS)]
+    assert bounds[0][0] == 0 and bounds[-1][1] == sd.LENGTH - sd.GRAM + 1 and all(a[1] == b[0] for a, b in zip(bounds, bounds[1:], strict=False))
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_a_string_in_every_document_and_a_very_long_text(spark, docs, keep):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(45))
+    rows = [(i, word() + " " + passage + " " + word()) for i in range(300)] + [(300, " ".join(word() for _ in range(30_000)) + passage)]
+    want = brute(rows, keep)
+    assert got(sd.removal_report(docs(rows), keep)) == want
+    spans = sd.repeated_spans(docs(rows), keep, group=50).collect()
+    assert sum(len({p for low, high in zip(r.lows, r.highs, strict=True) for p in range(max(0, low), high)}) for r in spans) == sum(r[2] for r in want)
 
 
 def test_repeated_rows(spark, docs):
@@ -108,6 +152,15 @@ def test_documents_keep_their_columns(spark, docs):
     assert [r.text for r in out] == [text + " one", "two ", None] and [r.n_chars for r in out] == [len(text) + 4, 4, None] and out[0].lows == "x"
 
 
+def test_clashing_names(spark, docs):
+    names = ["__id", "__mark", "__lows", "__highs", "owner", "hashed", "Lows", "highs", "id", "a.b"]
+    text = " ".join(f"w{k}" for k in range(100))
+    frame = docs([(1, text), (2, text)], extra=names)
+    out = sd.deduplicated_documents(frame).orderBy("doc_id").collect()
+    assert out[0].asDict().keys() == set(frame.columns) and [r.text for r in out] == [text, ""]
+    assert sd.deduplicated_documents(docs([], extra=names)).count() == 0
+
+
 def test_only_known_modes(spark, docs):
     with pytest.raises(ValueError):
         sd.repeated_spans(docs([]), "last")
