@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Executors share no folder with the driver, so functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules["brooklet.llm"])
@@ -128,6 +129,11 @@ def every(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def map_all(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """A map over all columns; batches name them c0, c1, .. since the call resolves names that hold dots wrongly."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)
+
+
 def byte_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column as UTF-8 bytes, null as empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -55,7 +55,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bounded_batches, byte_column, every, pieces, released, table, unused, written
+from brooklet.llm.common import bounded_batches, byte_column, every, map_all, pieces, released, table, unused, written
 from brooklet.llm.near_dups import mixed
 
 LENGTH = 200
@@ -524,7 +524,7 @@ def deduplicated_documents(docs: DataFrame, keep: str = "first") -> DataFrame:
         for batch in batches:
             at = names.index("text")
             null = batch.column(at).is_null().to_pylist()
-            done = [cut(*x)[0].decode("utf-8", "ignore") for x in zip(byte_column(batch, "text"), batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)]
+            done = [cut(*x)[0].decode("utf-8", "ignore") for x in zip(byte_column(batch, f"c{at}"), batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)]
             columns = [batch.column(i) for i in range(len(names))]
             columns[at] = pa.array([None if z else d for z, d in zip(null, done, strict=True)], columns[at].type)
             if "n_chars" in names:
@@ -532,7 +532,7 @@ def deduplicated_documents(docs: DataFrame, keep: str = "first") -> DataFrame:
                 columns[k] = pa.array([None if z and c is None else len(d) for z, d, c in zip(null, done, columns[k].to_pylist(), strict=True)], columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.mapInArrow(run, schema)
+    return map_all(joined, run, schema)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
