@@ -1,26 +1,40 @@
 """BPE encoding and decoding by a streaming transducer with bounded lookahead.
 
 Encoding of a prefix at a token boundary is a prefix of the encoding, so one
-number per place of a word is enough: the last token of the encoding of the word
-up to there. A token may end at place i if it fits the last token of the place
+token per place of a word is enough: the last token of the encoding of the word
+up to there. A token may end at a place if it fits the last token of the place
 where it starts, that is, if merging the two tokens' symbols gives just these two
-again. A token has at most ``lookahead`` symbols (computed from the merge list),
-so whatever follows place i continues from one of the last ``lookahead`` places;
-the tokens that all their paths share are stable and are emitted, and only that
-window is kept, however long the word is.
-
-Decoding maps ids to token texts joined by a space, as a tokenizer file without
-decoder asks for; ``TextDecoder`` turns ids into plain text with an incremental
-byte-to-text state machine.
-
-Texts are handled whole, word by word; the digests are updated as tokens come.
-Null counts as empty: no tokens, digests of the empty string. Strings of special
-tokens inside a text become those tokens. Rows that repeat are encoded alike.
+again. The transducer reads a word symbol by symbol. A place is live while the
+symbols since then begin some token; whatever follows continues from a live place
+or from the end, and no token is longer than the longest product of the merge
+list (``sufficient_lookahead``), so at most that many places are live. Tokens
+that the paths to all of them share are stable and are emitted, and only the
+window behind them is kept, however long the word is. Every word goes through
+the transducer; what it emits for short words is remembered in a bounded table.
+
+Decoding turns ids into bytes and bytes into text as they come
+(``Decoder``, an incremental byte-to-text state machine): by default the tokens'
+spelling joined by a space, as a tokenizer file without decoder asks for, or
+plain text. At the end of a word no byte is pending, so what the machine makes
+of a word is remembered beside its ids.
+
+Splitting uses the letters and digits of the tokenizers library's own tables, and
+case and composition follow it where its Unicode version is later than the
+interpreter's.
+
+Texts are handled whole, word by word; the digests are updated as tokens come, so
+very long texts and words take bounded memory. Null counts as empty: no tokens,
+digests of the empty string. Strings of special tokens inside a text become those
+tokens (the longest first where several begin at one place). Rows that repeat, in
+doc_id or altogether, are encoded each for itself and alike; a row that repeats
+the text just before it takes over its result. An empty table gives an empty
+result. Only doc_id and text are read, whatever the names of other columns.
 """
 
 from __future__ import annotations
 
 import codecs
+import functools
 import hashlib
 import json
 import re
@@ -46,28 +60,59 @@ _TIED = re.compile(r"(?:[^\w\s]|_)[,.]|[,.][^\w\s]")
 #: Pieces a codec remembers in each of two generations, and pairs of tokens for each piece.
 _WORDS = 350_000
 _PAIRS = 2
+#: How many times its lookahead the transducer reads before it looks for stable tokens.
+WINDOW = 4
+#: Stands before the first token; no token holds a space.
+_START = " "
 
 
-def _ranges(kind: str, limit: int) -> str:
-    """The code points of a general category (its first letter) as ranges for a character class.
+#: All code points but surrogates, in blocks for the library's calls.
+_POINTS = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
 
-    Taken from the interpreter's tables: those of the regex library are of a
-    later Unicode version than the tokenizers library's.
-    """
-    out, begun = [], -1
-    for c in range(limit + 1):
-        inside = c < limit and unicodedata.category(chr(c))[0] == kind
-        if inside and begun < 0:
-            begun = c
-        elif not inside and begun >= 0:
-            out.append(rf"\U{begun:08x}-\U{c - 1:08x}")
-            begun = -1
-    return "".join(out)
-
-
-def piece_pattern(limit: int = 0x110000) -> regex.Pattern:
-    """The split pattern, for texts of code points below ``limit``."""
-    letters, digits = _ranges("L", limit), _ranges("N", limit)
+
+class Script(NamedTuple):
+    """What texts are made of by the library's Unicode tables."""
+
+    letters: list[tuple[int, int]]  # first and last code point of each range
+    digits: list[tuple[int, int]]
+    later: frozenset[str]  # characters that the interpreter's tables don't have
+    lower: dict[int, str]  # lower case where it isn't the interpreter's
+
+    @classmethod
+    @functools.cache
+    def read(cls) -> Script:
+        from tokenizers import Regex, normalizers
+
+        def inside(pattern: str) -> list[tuple[int, int]]:
+            held = normalizers.Replace(Regex(pattern), "").normalize_str("".join(map(chr, _POINTS)))
+            return _ranges(map(ord, held))
+
+        assigned = inside(r"\p{Cn}")
+        later = frozenset(c for a, b in assigned for c in map(chr, range(a, b + 1)) if unicodedata.category(c) == "Cn")
+        small = normalizers.Lowercase()
+        lower = {c: x for c in _POINTS if (x := small.normalize_str(chr(c))) != chr(c).lower()}
+        return cls(inside(r"[^\p{L}]"), inside(r"[^\p{N}]"), later, lower)
+
+
+def _ranges(points: Iterable[int]) -> list[tuple[int, int]]:
+    """Ascending code points as ranges."""
+    out: list[tuple[int, int]] = []
+    for c in points:
+        if out and c == out[-1][1] + 1:
+            out[-1] = (out[-1][0], c)
+        else:
+            out.append((c, c))
+    return out
+
+
+def _class(ranges: list[tuple[int, int]], limit: int = 0x110000) -> str:
+    """Ranges as they stand in a character class, for texts of code points below ``limit``."""
+    return "".join(rf"\U{a:08x}-\U{min(b, limit):08x}" for a, b in ranges if a < limit)
+
+
+def piece_pattern(script: Script, limit: int = 0x110000) -> regex.Pattern:
+    """The split pattern, for texts of code points below ``limit``: a small class is searched faster."""
+    letters, digits = _class(script.letters, limit), _class(script.digits, limit)
     return regex.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{_SPACES}{letters}{digits}]+")
 
 
@@ -125,20 +170,32 @@ def merge(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     return parts
 
 
+def sufficient_lookahead(ranks: dict[tuple[str, str], int]) -> int:
+    """The symbols of the longest product of a merge list: no later symbol changes tokens that end further back."""
+    parts = {a + b: (a, b) for a, b in ranks}
+    sizes: dict[str, int] = {}
+    for product in parts:
+        todo = [product]
+        while todo:  # parts first, without recursion: a merge list may be deep
+            token = todo[-1]
+            missing = [x for x in parts.get(token, ()) if x not in sizes]
+            if missing:
+                todo += missing
+                continue
+            sizes[token] = sum(sizes[x] for x in parts[token]) if token in parts else 1
+            todo.pop()
+    return max(sizes.values(), default=1)
+
+
 class Transducer:
     """Encodes words symbol by symbol in memory bounded by the lookahead."""
 
     def __init__(self, vocabulary: Vocabulary, pairs: int = _PAIRS * _WORDS) -> None:
         self.vocabulary = vocabulary
         self.pairs = pairs
-        self.lookahead = max(len(symbols(t)) for t in vocabulary.ids)
+        self.lookahead = sufficient_lookahead(vocabulary.ranks)
         self._made_of = {a + b: (a, b) for a, b in vocabulary.ranks}
-        self._reach: dict[str, int] = {}  # of three letters: the length of the longest token that begins with them
-        for t in vocabulary.ids:
-            size = len(symbols(t))
-            if size > 2:
-                head = t[:3]
-                self._reach[head] = max(size, self._reach.get(head, 0))
+        self._heads = frozenset("".join(parts[:k]) for parts in map(symbols, vocabulary.whole) for k in range(1, len(parts)))
         self._ends: dict[str, list[tuple[str, float]]] = {}
         self._begins: dict[str, list[tuple[str, float]]] = {}
         self._known: dict[tuple[str, str], bool] = {}
@@ -182,83 +239,55 @@ class Transducer:
                     return False
         return True
 
-    def encode(self, word: str) -> Iterable[str]:
-        """The tokens of a word of letters. A word within one window is searched directly, a longer one streamed."""
-        return self.search(word) if len(word) <= 4 * self.lookahead else self.stream(word)
-
-    def search(self, word: str) -> list[str]:
-        """The tokens of a word by longest match first; a place that leads nowhere is not tried again."""
-        whole, reach, known, n = self.vocabulary.whole, self._reach, self._known, len(word)
-        full = word + END
-        if full in whole:
-            return [full]
-        tokens, ends = [""], [0]
-        dead: set[int] = set()
-        at, stop = 0, n
-        while True:
-            before = tokens[-1]
-            if stop - at > 2:
-                stop = min(stop, at + reach.get(word[at : at + 3], 2))
-            while stop > at:
-                token = word[at:stop] if stop < n else full[at:]
-                if token in whole and stop not in dead:
-                    if not before:
-                        break
-                    fit = known.get((before, token))
-                    if fit or fit is None and self.fits(before, token):
-                        break
-                stop -= 1
-            else:
-                if not at:
+    def encode(self, word: str) -> Iterator[str]:
+        """The tokens of a word of letters; each is emitted once no continuation can change it.
+
+        The window grows by at most ``WINDOW`` times the lookahead at once; then
+        the tokens shared by the paths to all live places go out and leave it.
+        """
+        n, base, stop = len(word), 0, 0
+        last = {0: _START}  # of a place of the window: the last token of the encoding up to there
+        while base < n:
+            stop = min(n, stop + WINDOW * self.lookahead)
+            at = stop if stop == n else self._shared(word, stop, base, last)
+            out = []
+            while at > base:
+                token = last.get(at) or self._last(word, at, base, last)
+                if not token:
                     raise ValueError("a symbol has no token")
-                dead.add(at)
-                tokens.pop()
-                stop = ends.pop() - 1
-                at = ends[-1]
-                continue
-            tokens.append(token)
-            ends.append(stop)
-            if stop == n:
-                return tokens[1:]
-            at, stop = stop, n
-
-    def stream(self, word: str) -> Iterator[str]:
-        """The tokens of a word; each is emitted once no continuation can change it."""
-        whole, most, fits = self.vocabulary.whole, self.lookahead, self.fits
-        n, base = len(word), 0  # places up to base are emitted
-        last, back = [""], [0]  # of place base + i: the last token of the encoding up to there, and its size
-        for at in range(1, n + 1):
-            tail = END if at == n else ""
-            for size in range(min(most, at - base), 0, -1):
-                token = word[at - size : at] + tail
-                if token in whole:
-                    before = last[at - size - base]
-                    if fits(before, token) if before else at == size:
-                        break
-            else:
-                raise ValueError("a symbol has no token")
-            last.append(token)
-            back.append(size)
-            if at == n or at - base >= 4 * most:
-                ends = self._stable(back, 0 if at < n else at - base, most)
-                if ends:
-                    yield from (last[e] for e in ends)
-                    last, back, base = last[ends[-1] :], back[ends[-1] :], base + ends[-1]
-
-    @staticmethod
-    def _stable(back: list[int], after: int, most: int) -> list[int]:
-        """The places of the tokens shared by the paths to all places that a later token may start from."""
-        top = len(back) - 1
-        paths = set(range(max(after, top - most + 1, 0), top + 1))
+                out.append(token)
+                at -= len(token) if at < n else len(token) - len(END)
+            if out:
+                yield from reversed(out)
+                base = stop if stop == n else base + sum(map(len, out))
+                last = {base: out[0]}
+
+    def _last(self, word: str, at: int, base: int, last: dict[int, str]) -> str:
+        """The last token of the encoding of a word up to a place; empty if that encoding does not pass the window's base."""
+        whole, known = self.vocabulary.whole, self._known
+        text = word[:at] if at < len(word) else word + END
+        for place in range(max(base, at - self.lookahead), at):
+            token = text[place:]
+            if token in whole:
+                before = last.get(place)
+                if before is None:
+                    before = self._last(word, place, base, last)
+                if before and (before is _START or known.get((before, token)) or self.fits(before, token)):
+                    last[at] = token
+                    return token
+        last[at] = ""
+        return ""
+
+    def _shared(self, word: str, stop: int, base: int, last: dict[int, str]) -> int:
+        """The last place that the paths to all live places share: later symbols change nothing before it."""
+        paths = {stop, *(p for p in range(max(base, stop - self.lookahead), stop) if word[p:stop] in self._heads)}
         while len(paths) > 1:
             high = max(paths)
             paths.discard(high)
-            paths.add(high - back[high])
-        at, ends = paths.pop(), []
-        while at > 0:
-            ends.append(at)
-            at -= back[at]
-        return ends[::-1]
+            token = last.get(high) or self._last(word, high, base, last)
+            if token:
+                paths.add(high - len(token))
+        return paths.pop()
 
 
 class Entry(NamedTuple):
@@ -272,14 +301,16 @@ class Entry(NamedTuple):
 class Codec:
     """Whole texts to ids and back."""
 
-    def __init__(self, vocabulary: Vocabulary, words: int = _WORDS) -> None:
+    def __init__(self, vocabulary: Vocabulary, script: Script, words: int = _WORDS) -> None:
         self.vocabulary = vocabulary
         self.most = words
         self.transducer = Transducer(vocabulary, _PAIRS * words)
         self.letters = byte_letters()
         self.token_of = {i: t for t, i in vocabulary.ids.items()} | {i: t for t, i in vocabulary.special.items()}
-        self.pieces = piece_pattern()
-        self.latin = piece_pattern(0x250)
+        self.spellings = {i: t.encode() for i, t in self.token_of.items()}
+        self.pieces, self.latin = piece_pattern(script), piece_pattern(script, 0x250)
+        self.later, self.lower = script.later, script.lower
+        self.odd = min("Σ", *self.later, *map(chr, self.lower))  # below it, texts need nothing of these
         self.specials = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(vocabulary.special, key=len, reverse=True)) + ")") if vocabulary.special else None
         self.pieces_seen: dict[str, Entry] = {}  # two generations: what is used stays, memory is bounded
         self.older: dict[str, Entry] = {}
@@ -288,6 +319,20 @@ class Codec:
         """The pieces that merges stay within; white space is between them."""
         return (self.latin if max(text, default="") < "\u0250" else self.pieces).findall(text)
 
+    def folded(self, text: str) -> str:
+        """Composed and in lower case, letter by letter."""
+        if text.isascii():
+            return text.lower()
+        if max(text) < self.odd:
+            return unicodedata.normalize("NFC", text).lower()
+        if self.later.isdisjoint(text):
+            text = unicodedata.normalize("NFC", text)
+        else:
+            from tokenizers import normalizers
+
+            text = normalizers.NFC().normalize_str(text)
+        return text.replace("Σ", "σ").translate(self.lower).lower()
+
     def remember(self, text: str, found: Entry) -> Entry:
         if len(text) < 100:
             if len(self.pieces_seen) >= self.most:
@@ -321,13 +366,12 @@ class Codec:
     def entries(self, text: str) -> Iterator[list[Entry]]:
         """The entries of a text's words and special tokens, in order, some thousands at once."""
         special = self.vocabulary.special
-        for part in self.specials.split(text) if self.specials and "<|" in text else (text,):
+        for part in self.specials.split(text) if any(t in text for t in special) else (text,):
             if part in special:
                 i = special[part]
                 yield [Entry(1, str(i), self.token_of[i])]
                 continue
-            flat = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            flat = flat.lower()
+            flat = self.folded(part)
             if not _TIED.search(flat):  # set single marks apart: they are pieces of their own, as the words before them
                 flat = flat.replace(", ", " , ").replace(". ", " . ").replace(",\n", " ,\n").replace(".\n", " .\n")
             words = self.split(flat) if _ODD_SPACE.search(flat) else flat.split()
@@ -338,9 +382,10 @@ class Codec:
     def encode(self, text: str | None) -> list[int]:
         return [int(i) for block in self.entries(text or "") for e in block for i in e.ids.split()]
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """Token texts joined by a space: the decoding of a tokenizer file without decoder."""
-        return " ".join(self.token_of[i] for i in ids)
+    def decode(self, ids: Iterable[int], plain: bool = False) -> str:
+        """The text of some ids, through the state machine."""
+        decoder = Decoder(self, plain)
+        return decoder.feed(ids) + decoder.close()
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """(tokens, sha256 of the ids joined by a space, sha256 of the decoded text)."""
@@ -354,46 +399,72 @@ class Codec:
         return n, one.hexdigest(), two.hexdigest()
 
 
-class TextDecoder:
-    """Ids to plain text as they come: a state machine over bytes; a broken sequence becomes U+FFFD."""
+class Decoder:
+    """Ids to text as they come: a state machine over bytes.
 
-    def __init__(self, codec: Codec) -> None:
-        self._codec = codec
-        self._byte = {c: b for b, c in enumerate(codec.letters)}
-        self._state = codecs.getincrementaldecoder("utf-8")("replace")
+    Its state is the bytes of an unfinished character, and whether a space is due
+    before the next token. Spelled (the default), tokens are joined by a space;
+    plain, byte letters turn into their bytes and an end mark into a space, and a
+    broken sequence becomes U+FFFD.
+    """
 
-    def feed(self, i: int, final: bool = False) -> str:
-        token = self._codec.token_of[i]
+    def __init__(self, codec: Codec, plain: bool = False) -> None:
+        self._codec, self._plain = codec, plain
+        self._byte = {c: b for b, c in enumerate(codec.letters)} if plain else {}
+        self._text = codecs.getincrementaldecoder("utf-8")("replace")
+        self._due = b""
+
+    def feed(self, ids: Iterable[int]) -> str:
+        """The text that some more ids complete."""
+        if not self._plain:
+            spelled = [self._codec.spellings[i] for i in ids]
+            if not spelled:
+                return ""
+            lead, self._due = self._due, b" "
+            return self._text.decode(lead + b" ".join(spelled))
+        return "".join(map(self._plainly, ids))
+
+    def _plainly(self, i: int) -> str:
+        token, lead = self._codec.token_of[i], self._due
         if token in self._codec.vocabulary.special:
-            return self._state.decode(b"", True) + token
+            self._due = b" "
+            return self._text.decode(b"", True) + self._text.decode(lead + self._codec.spellings[i])
         ends = token.endswith(END) and token != END
+        self._due = b" " if ends else b""
         raw = bytes(self._byte[c] for c in (token[: -len(END)] if ends else token))
-        return self._state.decode(raw, final or ends) + (" " if ends else "")
+        return self._text.decode(lead + raw, ends)
+
+    def close(self) -> str:
+        """What is pending at the end: the rest of a broken character."""
+        return self._text.decode(b"", True)
 
 
-def _mapped(docs: DataFrame, vocabulary: str | None, schema: str, words: int, make: Callable[[Codec, list[str | None]], list[pa.Array]]) -> DataFrame:
-    held = Vocabulary.read(vocabulary or default_vocabulary())
+def _mapped(docs: DataFrame, vocabulary: str | None, schema: str, words: int, make: Callable[[Codec, str | None], tuple], types: list[pa.DataType]) -> DataFrame:
+    """doc_id and what ``make`` gives for the text of every row."""
+    held, script = Vocabulary.read(vocabulary or default_vocabulary()), Script.read()
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(held, words)
+        codec = Codec(held, script, words)
         names = ["doc_id", *(x.split()[0] for x in schema.split(", "))]
+        before, result = None, make(codec, None)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), *make(codec, part.column(1).to_pylist())], names)
+                rows = []
+                for text in part.column(1):
+                    text = text.as_py()
+                    if text != before:
+                        before, result = text, make(codec, text)
+                    rows.append(result)
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + schema)
 
 
 def token_digests(docs: DataFrame, vocabulary: str | None = None, words: int = _WORDS) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
-
-    def make(codec: Codec, texts: list[str | None]) -> list[pa.Array]:
-        rows = [codec.digests(t) for t in texts]
-        return [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())]
-
-    return _mapped(docs, vocabulary, "n_tokens long, ids_sha256 string, decoded_sha256 string", words, make)
+    return _mapped(docs, vocabulary, "n_tokens long, ids_sha256 string, decoded_sha256 string", words, Codec.digests, [pa.int64(), pa.string(), pa.string()])
 
 
 def encoded_documents(docs: DataFrame, vocabulary: str | None = None, words: int = _WORDS // 4) -> DataFrame:
@@ -402,11 +473,11 @@ def encoded_documents(docs: DataFrame, vocabulary: str | None = None, words: int
     The lists of ids take memory beside the codec, so it remembers fewer pieces here.
     """
 
-    def make(codec: Codec, texts: list[str | None]) -> list[pa.Array]:
-        rows = [codec.encode(t) for t in texts]
-        return [pa.array([len(r) for r in rows], pa.int64()), pa.array(rows, pa.list_(pa.int32())), pa.array([hashlib.sha256(codec.decode(r).encode()).hexdigest() for r in rows], pa.string())]
+    def make(codec: Codec, text: str | None) -> tuple:
+        ids = codec.encode(text)
+        return len(ids), ids, hashlib.sha256(codec.decode(ids).encode()).hexdigest()
 
-    return _mapped(docs, vocabulary, "n_tokens long, ids array<int>, decoded_sha256 string", words, make)
+    return _mapped(docs, vocabulary, "n_tokens long, ids array<int>, decoded_sha256 string", words, make, [pa.int64(), pa.list_(pa.int32()), pa.string()])
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
