@@ -36,6 +36,7 @@ from __future__ import annotations
 import codecs
 import functools
 import hashlib
+import itertools
 import json
 import re
 import unicodedata
@@ -66,8 +67,9 @@ WINDOW = 4
 _START = " "
 
 
-#: All code points but surrogates, in blocks for the library's calls.
-_POINTS = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+def _points() -> Iterable[int]:
+    """All code points but surrogates."""
+    return itertools.chain(range(0xD800), range(0xE000, 0x110000))
 
 
 class Script(NamedTuple):
@@ -78,20 +80,19 @@ class Script(NamedTuple):
     later: frozenset[str]  # characters that the interpreter's tables don't have
     lower: dict[int, str]  # lower case where it isn't the interpreter's
 
-    @classmethod
-    @functools.cache
-    def read(cls) -> Script:
-        from tokenizers import Regex, normalizers
 
-        def inside(pattern: str) -> list[tuple[int, int]]:
-            held = normalizers.Replace(Regex(pattern), "").normalize_str("".join(map(chr, _POINTS)))
-            return _ranges(map(ord, held))
+@functools.cache
+def library_script() -> Script:
+    from tokenizers import Regex, normalizers
+
+    def inside(pattern: str) -> list[tuple[int, int]]:
+        held = normalizers.Replace(Regex(pattern), "").normalize_str("".join(map(chr, _points())))
+        return _ranges(map(ord, held))
 
-        assigned = inside(r"\p{Cn}")
-        later = frozenset(c for a, b in assigned for c in map(chr, range(a, b + 1)) if unicodedata.category(c) == "Cn")
-        small = normalizers.Lowercase()
-        lower = {c: x for c in _POINTS if (x := small.normalize_str(chr(c))) != chr(c).lower()}
-        return cls(inside(r"[^\p{L}]"), inside(r"[^\p{N}]"), later, lower)
+    later = frozenset(c for a, b in inside(r"\p{Cn}") for c in map(chr, range(a, b + 1)) if unicodedata.category(c) == "Cn")
+    small = normalizers.Lowercase()
+    lower = {c: x for c in _points() if (x := small.normalize_str(chr(c))) != chr(c).lower()}
+    return Script(inside(r"[^\p{L}]"), inside(r"[^\p{N}]"), later, lower)
 
 
 def _ranges(points: Iterable[int]) -> list[tuple[int, int]]:
@@ -441,7 +442,7 @@ class Decoder:
 
 def _mapped(docs: DataFrame, vocabulary: str | None, schema: str, words: int, make: Callable[[Codec, str | None], tuple], types: list[pa.DataType]) -> DataFrame:
     """doc_id and what ``make`` gives for the text of every row."""
-    held, script = Vocabulary.read(vocabulary or default_vocabulary()), Script.read()
+    held, script = Vocabulary.read(vocabulary or default_vocabulary()), library_script()
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def codec():
-    return bpe.Codec(bpe.Vocabulary.read(bpe.default_vocabulary()), bpe.Script.read())
+    return bpe.Codec(bpe.Vocabulary.read(bpe.default_vocabulary()), bpe.library_script())
 
 
 TEXTS = [
@@ -111,7 +111,7 @@ def test_a_broken_character_becomes_a_mark(codec):
 
 
 def test_caches_are_bounded(codec):
-    small = bpe.Codec(codec.vocabulary, bpe.Script.read(), words=10)
+    small = bpe.Codec(codec.vocabulary, bpe.library_script(), words=10)
     text = " ".join(f"word{k}x" for k in range(100)) * 2
     assert small.encode(text) == codec.encode(text) and len(small.pieces_seen) <= 11 and len(small.transducer._known) <= 20
 

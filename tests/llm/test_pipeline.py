@@ -47,7 +47,7 @@ def test_stages_do_their_work(spark, docs, tables):
     copies = {r.doc_id: r.copies for r in mixing.mix(seen[names[2]][2]).collect() if r.copies}
     assert {i: ids(names[3]).count(i) for i in set(ids(names[3]))} == copies
     final = seen[names[4]][2].collect()
-    codec = bpe.Codec(bpe.Vocabulary.read(bpe.default_vocabulary()), bpe.Script.read())
+    codec = bpe.Codec(bpe.Vocabulary.read(bpe.default_vocabulary()), bpe.library_script())
     assert len(final) == len(ids(names[3])) and all(list(r.ids) == codec.encode(texts[r.doc_id]) for r in final)
 
 
