@@ -6,35 +6,41 @@ a new one starts. Phrases times log2 of the text behind the automaton estimate
 the cross entropy; the least wins (ties: the first name in order). The score is
 the runner-up's share of both, 0.5 for a tie and near 1 for a clear case.
 
-Documents are parsed in segments of ``SEGMENT`` bytes, thousands at a time: one
-array step advances all of them by one byte, so whole texts of any length take
-bounded memory. Case is folded; digits, marks and white space are one symbol.
-
-Null texts and texts without a letter are ``und`` with score 0. Without learnable
-rows everything is. Learning takes at most ``LEARN_ROWS`` rows and
-``LEARN_BYTES`` bytes of each language (documented bounds).
+Every text is parsed whole, from its first byte to its last. Texts are lanes of
+an array: one step advances all of a batch by one byte, and lanes carry their
+states from block to block. Where fewer than ``LANES`` texts of a batch are that
+long, they are finished byte by byte, with the same result. Case is folded;
+digits, marks and white space are one symbol.
+
+Null texts and texts without a letter (general category L) are ``und`` with score
+0. Without learnable rows everything is, and an empty table gives an empty result.
+Rows that repeat are judged each for itself and alike; if they bring a doc_id into
+the sample, its texts count once each. Only doc_id, text and lang are read, so
+other columns, whatever their names, change nothing. Learning takes whole texts,
+in hash order of their ids: at most ``LEARN_ROWS`` rows of each language, as far
+as they fit ``LEARN_BYTES`` bytes together (documented bounds); a language without
+a text that short learns from its shortest one. There is no bound on the number
+of languages: the model has one automaton of a bounded size for each.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bucket, released, table
+from brooklet.llm.common import bucket, pieces, released, table
 
-LEARN_ROWS, LEARN_BYTES, ROW_CHARS = 192, 30_000, 400
-LANGUAGES = 512
-SEGMENT = 1024
-LANES = 4096
-_LETTER = re.compile(r"[^\W\d_]")
-_REST, _UNKNOWN, _PAD = 0, 1, 2
+LEARN_ROWS, LEARN_BYTES = 192, 40_000
+LANES, STEPS = 24, 1024
+_LETTER = regex.compile(r"\p{L}")
+_REST, _UNKNOWN = 0, 1
 
 
 class Model(NamedTuple):
@@ -83,7 +89,7 @@ def fold(text: str) -> bytes:
 
 def fit(samples: dict[str, list[str]]) -> Model | None:
     """The automata of some texts by language."""
-    joined = {name: b" ".join(fold(t) for t in texts)[:LEARN_BYTES] for name, texts in sorted(samples.items())}
+    joined = {name: b" ".join(fold(t) for t in texts) for name, texts in sorted(samples.items())}
     joined = {name: t for name, t in joined.items() if t}
     if not joined:
         return None
@@ -92,8 +98,8 @@ def fit(samples: dict[str, list[str]]) -> Model | None:
     symbols[128:] = _UNKNOWN
     symbols[97:123] = _UNKNOWN
     for i, b in enumerate(seen):
-        symbols[b] = 3 + i
-    width = 3 + len(seen)
+        symbols[b] = 2 + i
+    width = 2 + len(seen)
     tables = []
     for text in joined.values():
         go = automaton(symbols[np.frombuffer(text, np.uint8)].tolist())
@@ -101,18 +107,28 @@ def fit(samples: dict[str, list[str]]) -> Model | None:
         for state, row in enumerate(go):
             for s, to in row.items():
                 t[state, s] = to
-        t[:, _PAD] = np.arange(len(go))
         tables.append(t.reshape(-1))
     return Model(list(joined), symbols, width, tables, [math.log2(max(2, len(t))) for t in joined.values()])
 
 
+def chosen(texts: list[str], size: int = LEARN_BYTES) -> list[str]:
+    """The first of some texts that fit ``size`` bytes together, one that doesn't fit passed over; else the first."""
+    out, left = [], size
+    for text in texts:
+        n = len(text.encode("utf-8", "replace"))
+        if n <= left:
+            out.append(text)
+            left -= n
+    return out or texts[:1]
+
+
 def cleaned(samples: dict[str, list[str]]) -> dict[str, list[str]]:
     """The texts that automata of the other half of the sample ascribe to their own language.
 
     Labelled rows may quote another language; such a row would let its language
     parse the other's text. Languages that would lose most of their rows keep all.
     """
-    halves = [fit({name: texts[k::2] for name, texts in samples.items()}) for k in (1, 0)]
+    halves = [fit({name: chosen(texts[k::2]) for name, texts in samples.items()}) for k in (1, 0)]
     out = {}
     for name, texts in samples.items():
         own = [t for k in (0, 1) for t, (found, _) in zip(texts[k::2], predict(halves[k], texts[k::2]), strict=True) if found == name]
@@ -120,24 +136,45 @@ def cleaned(samples: dict[str, list[str]]) -> dict[str, list[str]]:
     return out
 
 
-def phrases(model: Model, grid: np.ndarray) -> np.ndarray:
-    """Phrases of each segment (a column of the grid, step by row) in each language."""
-    lanes = grid.shape[1]
-    out = np.ones((lanes, len(model.names)))
+def phrases(model: Model, coded: list[np.ndarray]) -> np.ndarray:
+    """Phrases of each text (its symbols) in each language."""
+    out = np.zeros((len(coded), len(model.names)))
+    order = sorted(range(len(coded)), key=lambda i: -len(coded[i]))
+    sizes = np.array([len(coded[i]) for i in order])
+    if not len(sizes):
+        return out
     for k, t in enumerate(model.tables):
-        start = t[model.width : 2 * model.width].astype(np.int64)
-        start[start == 0] = 1
-        start[_PAD] = 1
-        count = np.zeros(lanes, np.int64)
-        state = np.ones(lanes, np.int64)
-        for row in grid:
-            state *= model.width
-            state += row
-            state = t[state].astype(np.int64)
-            missed = state == 0
-            count += missed
-            state = np.where(missed, start[row], state)
-        out[:, k] += count
+        # State 0 leads nowhere: the next symbol starts a phrase. So does a symbol that the language lacks, and the one behind it.
+        first = t[model.width : 2 * model.width].astype(np.int64)
+        count, state = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        at, lanes = 0, len(order)
+        while lanes >= LANES:
+            steps = int(min(STEPS, sizes[0] - at))
+            grid = np.zeros((steps, lanes), np.uint8)
+            for lane in range(lanes):
+                part = coded[order[lane]][at : at + steps]
+                grid[: len(part), lane] = part
+            live = np.searchsorted(-sizes, -(at + np.arange(steps)), side="left")  # lanes longer than each step
+            for row, n in zip(grid, live.tolist(), strict=True):
+                row, here = row[:n], state[:n]
+                here *= model.width
+                here += row
+                to = t[here].astype(np.int64)
+                missed = to == 0
+                count[:n] += missed
+                here[:] = np.where(missed, first[row], to)
+            at += steps
+            lanes = int(np.searchsorted(-sizes, -at, side="left"))
+        table_, starts, width = memoryview(t), first.tolist(), model.width
+        for lane in range(lanes):
+            here, missed = int(state[lane]), 0
+            for c in coded[order[lane]][at:].tolist():
+                here = table_[here * width + c]
+                if not here:
+                    missed += 1
+                    here = starts[c]
+            count[lane] += missed
+        out[order, k] = count
     return out
 
 
@@ -147,48 +184,35 @@ def predict(model: Model | None, texts: list[str | None]) -> list[tuple[str, flo
     if model is None:
         return result
     live = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
-    total = np.zeros((len(texts), len(model.names)))
-    segments: list[tuple[int, np.ndarray]] = []
-
-    def flush() -> None:
-        if not segments:
-            return
-        segments.sort(key=lambda s: -len(s[1]))
-        grid = np.full((len(segments[0][1]), len(segments)), _PAD, np.uint8)
-        for lane, (_, s) in enumerate(segments):
-            grid[: len(s), lane] = s
-        np.add.at(total, [i for i, _ in segments], phrases(model, grid))
-        segments.clear()
-
-    for i in live:
-        coded = model.symbols[np.frombuffer(fold(texts[i] or ""), np.uint8)]
-        for at in range(0, len(coded), SEGMENT):
-            segments.append((i, coded[at : at + SEGMENT]))
-            if len(segments) >= LANES:
-                flush()
-    flush()
-    total *= model.weights
-    for i in live:
-        order = np.argsort(total[i], kind="stable")
-        best = total[i][order[0]]
-        second = total[i][order[1]] if len(order) > 1 else best
+    coded = [model.symbols[np.frombuffer(fold(texts[i] or ""), np.uint8)] for i in live]
+    total = phrases(model, coded) * model.weights
+    for i, costs in zip(live, total, strict=True):
+        order = np.argsort(costs, kind="stable")
+        best = costs[order[0]]
+        second = costs[order[1]] if len(order) > 1 else best
         result[i] = (model.names[order[0]], float(second / (best + second)))
     return result
 
 
 def fit_from(docs: DataFrame, learn: Column) -> Model | None:
     """Automata of a bounded sample of each language, chosen by the hash of the ids."""
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], min(1.0, LEARN_ROWS / r["count"])).otherwise(share)
-    samples: dict[str, list[tuple[float, str]]] = {}
-    # Expected LEARN_ROWS rows of each language; the limit bounds them for certain.
-    for r in rows.where(part < share).select("lang", part.alias("part"), F.substring("text", 1, ROW_CHARS).alias("text")).limit(2 * LEARN_ROWS * max(1, len(counts))).collect():
-        samples.setdefault(r["lang"], []).append((r["part"], r["text"]))
-    return fit(cleaned({name: [t for _, t in sorted(set(rows_))] for name, rows_ in samples.items()}))
+    rows = docs.where(learn & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select("lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("part"))
+    short = F.octet_length("text") <= LEARN_BYTES
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count_if(short).alias("n")).collect()}
+    # A threshold on the hash leaves some more than LEARN_ROWS rows, of which the first are ranked.
+    limits = [(name, min(1 << 30, (2 * LEARN_ROWS << 30) // n)) for name, n in counts.items() if n]
+    samples: dict[str, list[str]] = {name: [] for name in counts}
+    if limits:
+        first = Window.partitionBy("lang").orderBy("part", "text")
+        side = docs.sparkSession.createDataFrame(limits, "lang string, most long")
+        able = rows.where(short).join(F.broadcast(side), "lang").where("part < most").drop("most").distinct()
+        for r in able.withColumn("place", F.row_number().over(first)).where(F.col("place") <= LEARN_ROWS).orderBy("lang", "place").collect():
+            samples[r["lang"]].append(r["text"])
+    long = [name for name, n in counts.items() if not n]
+    if long:
+        shortest = rows.where(F.col("lang").isin(long)).groupBy("lang").agg(F.min(F.struct(F.octet_length("text"), "text")).alias("least"))
+        samples |= {r["lang"]: [r["least"]["text"]] for r in shortest.collect()}
+    return fit({name: chosen(texts) for name, texts in cleaned(samples).items()})
 
 
 def identify(docs: DataFrame, model: Model | None, held_out: Column) -> DataFrame:
@@ -200,7 +224,8 @@ def identify(docs: DataFrame, model: Model | None, held_out: Column) -> DataFram
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                found = predict(model, part.column(2).to_pylist())
+                texts = [t or "" for t in part.column(2).to_pylist()]
+                found = [x for _, some in pieces(part, texts) for x in predict(model, some)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")

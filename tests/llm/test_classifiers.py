@@ -129,11 +129,42 @@ def test_automaton_holds_every_substring(text):
     assert not follows(text + "q") and not follows("q")
 
 
-def test_phrases_by_hand():
+@pytest.mark.parametrize("lanes", [1, 3, 1000])
+def test_phrases_equal_brute_force(monkeypatch, lanes):
+    """Whole texts of many lengths, whether they go in lanes, byte by byte, or both."""
+    monkeypatch.setattr(lang, "LANES", lanes)
+    monkeypatch.setattr(lang, "STEPS", 16)
+    rng = random.Random(lanes)
+    bases = {"a": "the cat sat on the mat", "b": "dog house and the dog"}
+    model = lang.fit({name: [t] for name, t in bases.items()})
+    texts = ["the dog", "x", "zzz", "cat " * 200] + ["".join(rng.choice("thecadogs zé") for _ in range(rng.choice([1, 16, 17, 60, 300]))) for _ in range(30)]
+    found = lang.phrases(model, [model.symbols[np.frombuffer(t.encode(), np.uint8)] for t in texts])
+    assert found.tolist() == [[brute_phrases(base, t, model) for base in bases.values()] for t in texts]
+    costs = [[n * w for n, w in zip(row, model.weights, strict=True)] for row in found.tolist()]
+    assert [x for x, _ in lang.predict(model, texts)] == [model.names[int(np.argmin(c))] if t.strip() else "und" for t, c in zip(texts, costs, strict=True)]
+
+
+def test_only_letters_make_a_language():
     model = lang.fit({"a": ["the cat"], "b": ["dog house"]})
-    grid = model.symbols[np.frombuffer(b"the dog", np.uint8)][:, None]
-    # in "the cat": [the ][d][o][g]; in "dog house": [t][h][e][ ][dog] or longer
-    assert lang.phrases(model, grid)[0].tolist() == [brute_phrases("the cat", "the dog", model), brute_phrases("dog house", "the dog", model)]
+    assert lang.predict(model, ["½", "²", "Ⅷ", "①", "12 !", "", None, "_"]) == [("und", 0.0)] * 8
+    assert all(x in "ab" for x, _ in lang.predict(model, ["ª", "日", "ʰ"]))
+
+
+def test_languages_tie_by_name():
+    model = lang.fit({"b": ["same text"], "a": ["same text"]})
+    assert lang.predict(model, ["same"]) == [("a", 0.5)]
+
+
+def test_learning_takes_whole_texts():
+    assert lang.chosen(["aaa", "b" * 9, "cc"], 5) == ["aaa", "cc"] and lang.chosen(["b" * 9, "c" * 8], 5) == ["b" * 9] and lang.chosen([], 5) == []
+
+
+def test_a_language_of_long_and_of_repeated_rows(spark, docs, tables, monkeypatch):
+    rng = random.Random(6)
+    rows = [(k, prose(rng, "en"), "en") for k in range(40)] + [(k, prose(rng, "de", 20_000), "de") for k in range(100, 104)] + [(7, prose(rng, "fr"), "fr")] * 30
+    monkeypatch.setattr(lang, "LEARN_BYTES", 2000)
+    out = lang.op5_language_id(spark, tables(documents=docs(rows, extra=["part", "place", "most", "Score"]))).collect()
+    assert len(out) == len(rows) and {r.lang_pred for r in out if r.doc_id >= 100} == {"de"} and len({(r.lang_pred, r.score) for r in out if r.doc_id == 7}) <= 2
 
 
 def brute_phrases(base, text, model):
