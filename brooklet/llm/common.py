@@ -160,8 +160,9 @@ def bucket(column: Column, modulus: int) -> Column:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int, learn: Column | None = None) -> DataFrame:
-    """At most ``limit`` labelled documents (doc_id, text, label), chosen by the hash order of their ids.
+    """At most ``limit`` labelled documents (doc_id, label, text), chosen by the hash order of their ids.
 
+    Of documents that share an id the least text is taken, of labels the least.
     The bound is a parameter of the caller; only ids and labels (``limit`` of
     them at most) pass the driver, so the broadcast side has a proven size.
     """
@@ -169,7 +170,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int, le
     rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     if learn is not None:
         rows = rows.where(learn)
-    picked = rows.select("doc_id", F.col(label).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(limit).collect()
-    chosen = {r["doc_id"]: r["label"] for r in reversed(picked)}
-    side = spark.createDataFrame(sorted(chosen.items()), "doc_id long, label int")
-    return docs.select("doc_id", "text").join(F.broadcast(side), "doc_id")
+    each = rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col(label).cast("int")).alias("label"))
+    picked = each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()
+    side = spark.createDataFrame(sorted((r["doc_id"], r["label"]) for r in picked), "doc_id long, label int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(side), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

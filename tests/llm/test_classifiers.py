@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -49,12 +50,73 @@ def test_toxicity_edges(spark, docs):
     rows, labels = toxic_corpus(60)
     none = tx.fit_from(docs(rows), spark.createDataFrame([], LABELS))
     assert none is None and not any(r.toxic for r in tx.score(docs(rows), none).collect())
+    assert tx.fit_from(docs(rows), spark.createDataFrame([(i, q, 1) for i, q, _ in labels], LABELS)) is None
+    assert tx.fit_from(docs([]), spark.createDataFrame(labels, LABELS)) is None
     model = tx.fit_from(docs(rows), spark.createDataFrame(labels, LABELS))
     assert tx.score(docs([]), model).count() == 0
-    out = tx.score(docs([(1, None), (2, ""), (3, "1234"), (3, "1234"), (None, "x " * 50_000)]), model).collect()
+    out = tx.score(docs([(1, None), (2, ""), (3, "1234"), (3, "1234"), (None, "x " * 50_000)], extra=["half", "Grade", "a.b"]), model).collect()
     assert len(out) == 5 and not any(r.toxic for r in out)
 
 
+def test_toxicity_reads_whole_texts_and_ignores_repeated_rows(spark, docs):
+    rows, labels = toxic_corpus()
+    rows = [(i, "plain words " * 30_000 + t if i % 60 == 0 else t) for i, t in rows]  # the insults stand behind 360,000 letters
+    labels = spark.createDataFrame(labels, LABELS)
+    once, again = tx.fit_from(docs(rows), labels), tx.fit_from(docs(rows + rows[:50]), labels.union(labels))
+    assert once.index == again.index and np.allclose(once.weights, again.weights) and once.cut == again.cut
+    out = {r.doc_id: r.toxic for r in tx.score(docs(rows), once).collect()}
+    assert np.mean([out[i] for i in range(0, 600, 60)]) >= 0.9
+
+
+def test_feature_counts_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(tx, "_HELD", 5)
+    rng = random.Random(8)
+    rows = [(" ".join(rng.choice(["Idiot", "idiots", "été", "ab", "x1y"]) for _ in range(rng.randrange(6))), rng.randrange(2), rng.randrange(2)) for _ in range(40)]
+    want = {}
+    for text, label, half in rows:
+        for f in {f for w in re.findall(r"[^\W\d_]+", text.lower()) for f in [w + " ", *(w[:k] for k in range(3, 9) if k <= len(w))]}:
+            want.setdefault(f, [0, 0, 0, 0])[2 * label + half] += 1
+    counts = tx.feature_counts(spark.createDataFrame(rows, "text string, label int, half int"))
+    assert {r.feature: [r.clean_0, r.clean_1, r.toxic_0, r.toxic_1] for r in counts.collect()} == want
+    sizes = {p: sum(1 for _, label, half in rows if 2 * label + half == k) for k, p in enumerate(tx._PARTS)}
+
+    def gain(f):
+        a, b, p, n = want[f][3], want[f][1], sizes["toxic_1"], sizes["clean_1"]
+        rate = (a + b) / (p + n)
+        return sum(k * np.log(k / t / rate) for k, t in ((a, p), (b, n)) if k)
+
+    able = [f for f, (_, b, _, a) in want.items() if a >= tx.SUPPORT and (a + 0.5) / (sizes["toxic_1"] + 1) > tx.RATIO * (b + 0.5) / (sizes["clean_1"] + 1)]
+    assert tx.selected(counts, sizes, [1]) == sorted(able, key=lambda f: (-round(gain(f), 9), f))
+
+
+def test_ordinal_regression_finds_the_least_loss():
+    """Against a plain search: no small move of any parameter lowers the penalised loss; equal rows are weighed right."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 3, (80, 2)).astype(float)
+    grade = np.clip((x @ [1.0, 0.5] + rng.normal(size=80)).round().astype(int), 0, 3)
+    x, grade = np.concatenate([x, x[:30]]), np.concatenate([grade, grade[:30]])
+
+    def loss(w, t):
+        above = np.concatenate([np.ones((len(x), 1)), 1 / (1 + np.exp(-((x @ w)[:, None] - t))), np.zeros((len(x), 1))], 1)
+        return -np.log(above[np.arange(len(x)), grade] - above[np.arange(len(x)), grade + 1]).sum() + 0.15 * (w @ w)
+
+    w, t = tx.fit_ordinal(x, grade, steps=3000)
+    least = loss(w, t)
+    for k in range(2):
+        for step in (-0.05, 0.05):
+            assert loss(w + step * np.eye(2)[k], t) > least - 1e-6
+    for k in range(3):
+        for step in (-0.05, 0.05):
+            assert loss(w, t + step * np.eye(3)[k]) > least - 1e-6
+
+
+def test_grades_and_cut():
+    score, toxic = np.array([0.0, 1, 2, 3, 9, 9]), np.array([0, 1, 1, 1, 0, 1])
+    assert tx.graded(score, toxic).tolist() == [0, 1, 1, 2, 0, 3]
+    assert tx.calibrated(np.array([0.1, 0.2, 0.6, 0.8]), np.array([0, 0, 1, 1])) == pytest.approx(0.4)
+    assert tx.calibrated(np.array([0.5, 0.5, 0.9]), np.array([0, 1, 1])) == pytest.approx(0.7)
+
+
 # Quality by compression.
 
 
