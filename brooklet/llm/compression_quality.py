@@ -1,14 +1,23 @@
 """Quality by compression: dictionaries of good and of bad text, and the difference they make.
 
 Two zstandard dictionaries are trained on labelled text of either class. A text
-is compressed with both in pieces of ``PIECE`` bytes; the difference of the two
-compressed sizes per byte of text, through a logistic calibration fitted on
-labelled rows that trained no dictionary, is the score.
+is compressed with both, all of it, in blocks of ``PIECE`` bytes (a parameter of
+the model: training, calibration and scoring use the same); the difference of the
+two compressed sizes per byte of text, through a logistic calibration fitted on
+labelled rows that trained no dictionary, is the score. Equal differences have
+equal scores.
 
 Null and empty texts have difference 0 and get its calibrated score. Without
 labels of both classes the score is the share of label 1 (0.5 without labels).
-Learning uses at most ``SAMPLE`` labelled rows and ``LEARN_CHARS`` code points of
-each (documented bounds); every text is scored whole, in the task that reads it.
+Rows that repeat, in doc_id or altogether, are scored each for itself and alike;
+for learning, one row of each labelled id (the least text) counts, and equal rows
+count once. An empty table gives an empty result. Only doc_id and text are read,
+so other columns, whatever their names, change nothing. Learning uses at most
+``SAMPLE`` labelled rows, up to half of them, and ``TRAIN_ROWS`` of each class,
+for dictionaries (documented bounds). Texts are always taken whole: one that is
+longer than a dictionary trains none, unless its class has no shorter one, and
+the others are calibrated on in the tasks that read them. Every text, however
+long, is scored whole, in the task that reads it.
 """
 
 from __future__ import annotations
@@ -19,13 +28,12 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bucket, byte_column, labelled_rows, released, table
+from brooklet.llm.common import bucket, byte_column, dropped, labelled_rows, released, table, written
 
 SAMPLE = 8192
-LEARN_CHARS = 8192
 PIECE = 512
 DICTIONARY = 64 << 10
 TRAIN_ROWS = 1500
@@ -70,7 +78,7 @@ class Compressors:
 
 def dictionary(texts: list[bytes]) -> bytes:
     """A trained dictionary; of too little text, the text itself."""
-    samples = [t[i : i + PIECE] for t in texts for i in range(0, min(len(t), 8 * PIECE), PIECE)]
+    samples = [t[i : i + PIECE] for t in texts for i in range(0, len(t), PIECE)]
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
     except zstandard.ZstdError:
@@ -91,21 +99,22 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float,
     return float(w[0]), float(w[1])
 
 
-def fit(rows: list[tuple[bytes, int]]) -> Model | float:
-    """The model of some (text, label) rows, or the share of label 1 where there is nothing to learn."""
-    rows = sorted(set(rows))
-    rows = [r for i in np.random.default_rng(5).permutation(len(rows)) for r in [rows[i]]]
-    by = {y: [t for t, label in rows if label == y and t] for y in (0, 1)}
-    if min(map(len, by.values())) < 4:
-        return sum(y for _, y in rows) / len(rows) if rows else 0.5
-    halves = {y: (len(t) + 1) // 2 for y, t in by.items()}
-    good, bad = (dictionary(by[y][: min(halves[y], TRAIN_ROWS)]) for y in (1, 0))
-    compressors = Compressors(Model(good, bad, 0.0, 0.0, 0.0, 1.0))
-    rest = [(t, y) for y in (0, 1) for t in by[y][halves[y] :]]
-    d, y = np.array([compressors.difference(t) for t, _ in rest]), np.array([y for _, y in rest], float)
-    centre, scale = float(d.mean()), float(d.std()) or 1.0
-    slope, offset = logistic((d - centre) / scale, y)
-    return Model(good, bad, slope, offset, centre, scale)
+def calibrated(good: bytes, bad: bytes, d: np.ndarray, y: np.ndarray) -> Model:
+    """The model of two dictionaries and the differences of labelled rows."""
+    centre, scale = (float(d.mean()), float(d.std()) or 1.0) if len(d) else (0.0, 1.0)
+    return Model(good, bad, *logistic((d - centre) / scale, y.astype(float)), centre, scale)
+
+
+def differences(rows: DataFrame, good: bytes, bad: bytes) -> list[tuple[float, int]]:
+    """(difference, label) of rows (text, label), sorted."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = Compressors(Model(good, bad, 0.0, 0.0, 0.0, 1.0))
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([compressors.difference(t) for t in byte_column(batch, "text")], pa.float64()), batch.column(1)], ["d", "label"])
+
+    return sorted((r["d"], r["label"]) for r in rows.select("text", "label").mapInArrow(run, "d double, label int").collect())
 
 
 def score(docs: DataFrame, model: Model | float, held_out: Column) -> DataFrame:
@@ -124,8 +133,33 @@ def score(docs: DataFrame, model: Model | float, held_out: Column) -> DataFrame:
 
 
 def fit_from(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample: int = SAMPLE) -> Model | float:
-    rows = labelled_rows(docs, labels, "quality", sample, learn).select(F.substring("text", 1, LEARN_CHARS).alias("text"), "label").collect()
-    return fit([((r["text"] or "").encode(), r["label"]) for r in rows])
+    """The model of a bounded sample of labelled rows, or the share of label 1 where there is nothing to learn."""
+    labelled = labelled_rows(docs, labels, "quality", sample, learn).select("text", "label").distinct()
+    rows = written(labelled.withColumn("order", F.xxhash64("text")), "labelled")
+    try:
+        return _fit(rows)
+    finally:
+        dropped(rows)
+
+
+def _fit(rows: DataFrame) -> Model | float:
+    sizes = {r["label"]: r for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.octet_length("text") > 0).alias("full"), F.min(F.when(F.octet_length("text") > 0, F.octet_length("text"))).alias("least")).collect()}
+    if min((sizes[y]["full"] if y in sizes else 0) for y in (0, 1)) < 4:
+        total = sum(r["n"] for r in sizes.values())
+        return sizes[1]["n"] / total if 1 in sizes else 0.0 if total else 0.5
+    order = Window.partitionBy("label").orderBy("order", "text")
+    full = rows.where(F.octet_length("text") > 0)
+    short = {y: max(DICTIONARY, sizes[y]["least"]) for y in (0, 1)}
+    able = full.where(F.octet_length("text") <= F.when(F.col("label") == 1, short[1]).otherwise(short[0]))
+    half = F.when(F.col("label") == 1, min(TRAIN_ROWS, (sizes[1]["full"] + 1) // 2)).otherwise(min(TRAIN_ROWS, (sizes[0]["full"] + 1) // 2))
+    train = written(able.withColumn("place", F.row_number().over(order)).where(F.col("place") <= half).drop("place"), "training")
+    by: dict[int, list[bytes]] = {0: [], 1: []}
+    for r in train.orderBy("label", "order", "text").collect():
+        by[r["label"]].append(r["text"].encode())
+    good, bad = dictionary(by[1]), dictionary(by[0])
+    found = differences(full.join(train.select("label", "order", "text"), ["label", "order", "text"], "left_anti"), good, bad)
+    dropped(train)
+    return calibrated(good, bad, np.array([d for d, _ in found]), np.array([y for _, y in found]))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+import zstandard
 
 from brooklet.llm import compression_quality as cq
 from brooklet.llm import language as lang
@@ -142,13 +143,44 @@ def test_compression_on_held_out_rows(spark, docs, tables):
     assert all(r.held_out == (crc[r.doc_id] == 1) for r in out)
 
 
+def brute_score(model, text):
+    """Both compressions of every block, by the library's plain interface."""
+    sizes = []
+    for content in (model.bad, model.good):
+        d = zstandard.ZstdCompressionDict(content)
+        c = zstandard.ZstdCompressor(level=cq.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+        sizes.append(sum(len(c.compress(text[i : i + cq.PIECE])) for i in range(0, len(text), cq.PIECE)))
+    d = (sizes[0] - sizes[1]) / len(text) if text else 0.0
+    return 1 / (1 + np.exp(-(model.slope * (d - model.centre) / model.scale + model.offset)))
+
+
+def test_compression_scores_equal_brute_force(spark, docs):
+    rows, labels = quality_corpus(200)
+    model = cq.fit_from(docs(rows), spark.createDataFrame(labels, LABELS))
+    some = [*rows[:20], (900, None), (901, ""), (902, "x"), (903, rows[4][1] + rows[5][1] * 300), (903, rows[4][1]), (904, rows[4][1]), (None, "é " * 60_000)]
+    out = cq.score(docs(some, extra=["score", "label", "order", "a.b"]), model, F.lit(False)).collect()
+    got = sorted((str(r.doc_id), round(r.score, 9)) for r in out)
+    assert got == sorted((str(i), round(float(brute_score(model, (t or "").encode())), 9)) for i, t in some)
+
+
+def test_compression_learns_from_whole_texts(spark, docs, monkeypatch):
+    rows, labels = quality_corpus(120)
+    plain = "the same beginning of every page " * 200  # longer than the prefix of any sample
+    model = cq.fit_from(docs([(i, plain + t * 40) for i, t in rows]), spark.createDataFrame(labels, LABELS))
+    out = {r.doc_id: r.predicted for r in cq.score(docs(rows), model, F.lit(False)).collect()}
+    assert np.mean([out[i] == q for i, q, _ in labels]) > 0.97
+    monkeypatch.setattr(cq, "DICTIONARY", 1024)  # all texts are longer: the shortest of each class trains
+    assert isinstance(cq.fit_from(docs([(i, t * 9) for i, t in rows]), spark.createDataFrame(labels, LABELS)), cq.Model)
+
+
 def test_compression_edges(spark, docs):
     rows, labels = quality_corpus(80)
-    model = cq.fit([(t.encode(), q) for (_, t), (_, q, _) in zip(rows, labels, strict=True)])
-    out = cq.score(docs([(1, None), (2, ""), (3, "x"), (None, "y " * 60_000)], extra=["score", "label"]), model, F.lit(False)).collect()
-    assert len(out) == 4 and all(0 <= r.score <= 1 for r in out)
-    assert cq.score(docs([]), model, F.lit(False)).count() == 0
-    assert cq.fit([]) == 0.5 and cq.fit([(b"a", 1), (b"b", 1)]) == 1.0
+    labelled = spark.createDataFrame(labels, LABELS)
+    once, again = cq.fit_from(docs(rows), labelled), cq.fit_from(docs(rows + rows[:9]), labelled.union(labelled))
+    assert once == again
+    assert cq.score(docs([]), once, F.lit(False)).count() == 0
+    of = lambda some, kinds: cq.fit_from(docs(some), spark.createDataFrame([(i, q, 0) for i, q in kinds], LABELS))
+    assert of([], []) == 0.5 and of([(1, "a"), (2, "b")], [(1, 1), (2, 1)]) == 1.0 and of([(1, "a"), (2, None)], [(1, 0), (2, 0)]) == 0.0
     assert {r.score for r in cq.score(docs([(1, "a")]), 0.5, F.lit(False)).collect()} == {0.5}
 
 
