@@ -37,13 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import dropped, labelled_rows, released, table, written
+from brooklet.llm.common import CAUTION, calibrated, dropped, labelled_rows, released, table, written
 
 SAMPLE = 8192
 FEATURES, SUPPORT, RATIO = 256, 3, 3
 BEGINNINGS = range(3, 9)
 GRADES = 3
-CAUTION = 10
 _WORD = re.compile(r"[^\W\d_]+")
 #: Feature counts that a task gathers before it hands them on.
 _HELD = 200_000
@@ -176,17 +175,6 @@ def graded(score: np.ndarray, toxic: np.ndarray, grades: int = GRADES) -> np.nda
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, score, side="left"), 0)
 
 
-def calibrated(p: np.ndarray, toxic: np.ndarray, caution: float = CAUTION) -> float:
-    """The cut that makes recall less ``caution`` times the share of false alarms greatest; in the middle of a gap."""
-    values = np.unique(p)
-    up = np.concatenate([values, [np.inf]])  # cut k: rows from up[k] on are called toxic
-    hits = 1 - np.searchsorted(np.sort(p[toxic == 1]), up) / max(1, toxic.sum())
-    alarms = 1 - np.searchsorted(np.sort(p[toxic == 0]), up) / max(1, (1 - toxic).sum())
-    best = int(np.argmax(hits - caution * alarms))
-    low, high = (values[best - 1] if best else 0.0), (values[best] if best < len(values) else 1.0)
-    return float((low + high) / 2)
-
-
 def fit(rows: list[tuple[int, int, list[int], list[float]]], names: list[str], of_half: list[list[str]], chosen: list[str]) -> Model | None:
     """The model of some rows (label, half, places among ``names``, counts).
 
