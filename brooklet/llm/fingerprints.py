@@ -8,10 +8,16 @@ are exact. Two empty sketches are alike
 (1.0), an empty and another are not (0.0). Null texts count as empty.
 
 Neighbours in doc_id order are found without a global sort in one task: quantile
-bounds (at most ``BUCKETS``, collected) cut the ids into ranges, each range is a
-window partition, and the first rows of a range are also sent, as guests, to the
-end of the range before it (of the last range for the very first rows). Null ids
-come first; rows that repeat an id follow in text order.
+bounds (at most ``COARSE``, collected) cut the ids into ranges, each range is cut
+again in even parts, and the first rows of a part are also sent, as guests, to the
+end of the part before it (of the last part for the very first rows). Parts grow
+in number with the rows, up to ``PARTS``, whose first rows are a table of a proven
+size; with more rows they grow in length, to some 400 MB at 100 TB. Null ids come
+first. Rows that repeat an id follow in the order of their texts' hashes (equal
+rows in any order, which makes no difference), so an id that many rows share is
+cut in parts too. Very long texts are sketched whole. Documents without neighbours
+are their own next ones, an empty table gives an empty result, and columns other
+than doc_id and text, whatever their names, change nothing.
 """
 
 from __future__ import annotations
@@ -19,12 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import table
+from brooklet.llm.common import table, unused
 
 K = 128
 SHINGLE = 5
-BUCKETS, STEP = 16_384, 128
-ROWS_PER_BUCKET = 1000
+COARSE, PARTS, STEP = 4096, 262_144, 64
+ROWS_PER_PART = 1000
+_NULL_ID = -(1 << 63)
 _SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
@@ -75,40 +82,66 @@ def printed(a: Column) -> Column:
     return F.lower(F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
-def _bucket(bounds: list[int], key: Column) -> Column:
-    """How many of the sorted bounds are at most the key, searched in two steps."""
-    if not bounds:
+def _numbers(values: list[int]) -> Column:
+    """A literal array of numbers, as one expression that folds."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _at_most(bounds: list[int], key: Column) -> Column:
+    """How many of the sorted bounds, the first of which is the least key, are at most the key; searched in two steps."""
+    block = F.size(F.filter(_numbers(bounds[::STEP]), lambda b: b <= key)) - 1
+    return block * STEP + F.size(F.filter(F.slice(_numbers(bounds), block * STEP + 1, STEP), lambda b: b <= key))
+
+
+def cut_points(cuts: list[int], low: int, high: int, parts: int) -> list[tuple[int, int, int]]:
+    """(first key, last key, parts) of the ranges between quantiles; a key that is several quantiles has a range of its own."""
+    weight: dict[int, int] = {low: 1}
+    for c in cuts:
+        weight[c] = weight.get(c, 0) + 1
+    bounds = sorted({*weight, *(c + 1 for c, n in weight.items() if n > 1 and c < high)})
+    return [(a, b - 1, parts * weight.get(a, 1)) for a, b in zip(bounds, [*bounds[1:], high + 1], strict=True)]
+
+
+def _part(ranges: list[tuple[int, int, int]], key: Column, tie: Column) -> Column:
+    """The number of a key's part: ascending with (key, tie)."""
+    if len(ranges) == 1 and ranges[0][2] == 1:
         return F.lit(0)
-    blocks = [bounds[i : i + STEP] for i in range(0, len(bounds), STEP)]
-    below = lambda values: F.size(F.filter(values, lambda b: b <= key))
-    starts = F.array(*[F.lit(b[0]).cast("bigint") for b in blocks])
-    lists = F.array(*[F.array(*[F.lit(x).cast("bigint") for x in b]) for b in blocks])
-    at = below(starts)
-    return F.when(at == 0, F.lit(0)).otherwise((at - 1) * STEP + below(F.element_at(lists, F.greatest(at, F.lit(1)))))
+    lows, highs, parts = zip(*ranges, strict=True)
+    bases = [sum(parts[:i]) for i in range(len(parts))]
+    at = _at_most(list(lows), key)
+    of = lambda values: F.element_at(_numbers(list(values)), at)
+    start = of(lows).cast("double")
+    along = key.cast("double") - start + (tie.cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    inside = F.floor(along / F.greatest(of(highs).cast("double") - start + 1, F.lit(1.0)) * of(parts))
+    return (of(bases) + F.least(inside, of(parts) - 1)).cast("int")
 
 
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` (doc_id, text, ..) with next_<c> for each of the columns: the next row's in doc_id order, the first's after the last."""
+    """``docs`` (doc_id, text, ..) with next_<c> for each of the columns: the next row's in doc_id order, the first's after the last.
+
+    A column that has such a name already is replaced.
+    """
     spark = docs.sparkSession
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
-    rows = docs.count()
-    n = max(1, min(BUCKETS, rows // ROWS_PER_BUCKET))
-    cuts = docs.select(F.percentile_approx(key, [i / n for i in range(1, n)], 10 * n).alias("b")).first()["b"] if n > 1 else []
-    bounds = sorted(set(cuts or []))
-    ranges = docs.select(key.alias("key")).select("key", _bucket(bounds, F.col("key")).alias("bucket")).groupBy("bucket").agg(F.min("key").alias("key")).collect()
-    order = sorted((r["bucket"], r["key"]) for r in ranges)
-    # At most BUCKETS rows: the first id of each range and the range before it.
-    first = spark.createDataFrame([(k, order[i - 1][0]) for i, (_, k) in enumerate(order)] or [(0, 0)], "key long, before int")
-    placed = docs.withColumn("key", key).withColumn("bucket", _bucket(bounds, F.col("key")))
-    sent = placed.join(F.broadcast(first), "key", "left").withColumn(
-        "stop",
-        F.explode(F.when(F.col("before").isNull(), F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest")))).otherwise(
-            F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest")), F.struct(F.col("before").alias("at"), F.lit(True).alias("guest")))
-        )),
-    )
-    window = Window.partitionBy("stop.at").orderBy("stop.guest", "key", "text")
+    docs = docs.drop(*[f"next_{c}" for c in columns])
+    key, tie, part, before, stop = unused([*docs.columns, *[f"next_{c}" for c in columns]], "key", "tie", "part", "before", "stop")
+    whole = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NULL_ID)).alias("key"), F.xxhash64("text").alias("tie"))
+    rows, low, high = whole.agg(F.count(F.lit(1)), F.min("key"), F.max("key")).first()
+    n = max(1, min(PARTS, rows // ROWS_PER_PART))
+    coarse = min(n, COARSE)
+    cuts = whole.agg(F.percentile_approx("key", [i / coarse for i in range(1, coarse)], 10 * coarse)).first()[0] if coarse > 1 else []
+    ranges = cut_points(cuts, low or 0, high or 0, -(-n // coarse))
+    firsts = whole.withColumn("part", _part(ranges, F.col("key"), F.col("tie"))).groupBy("part").agg(F.min(F.struct("key", "tie")).alias("first")).select("part", "first.*").collect()
+    order = sorted((r["part"], r["key"], r["tie"]) for r in firsts)
+    # At most some PARTS rows: the first place of each part and the part before it.
+    first = spark.createDataFrame([(k, t, order[i - 1][0]) for i, (_, k, t) in enumerate(order)] or [(0, 0, 0)], f"`{key}` long, `{tie}` long, `{before}` int")
+    placed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NULL_ID))).withColumn(tie, F.xxhash64("text"))
+    placed = placed.withColumn(part, _part(ranges, F.col(key), F.col(tie)))
+    own = F.struct(F.col(part).alias("at"), F.lit(False).alias("guest"))
+    stops = F.when(F.col(before).isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col(before).alias("at"), F.lit(True).alias("guest"))))
+    sent = placed.join(F.broadcast(first), [key, tie], "left").withColumn(stop, F.explode(stops))
+    window = Window.partitionBy(f"{stop}.at").orderBy(f"{stop}.guest", key, tie, "text")
     led = sent.select("*", *[F.lead(c).over(window).alias(f"next_{c}") for c in columns])
-    return led.where("NOT stop.guest").drop("key", "bucket", "before", "stop")
+    return led.where(~F.col(f"{stop}.guest")).drop(key, tie, part, before, stop)
 
 
 def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:

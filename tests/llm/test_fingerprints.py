@@ -17,7 +17,7 @@ def likeness(a, b):
 
 
 def check(spark, docs, rows, error=0.15):
-    out = {r.doc_id: r for r in fp.fingerprints(docs(rows, extra=["key", "bucket", "stop", "next_text"])).collect()}
+    out = {r.doc_id: r for r in fp.fingerprints(docs(rows, extra=["key", "bucket", "stop", "next_text", "tie", "part", "before", "a.b"])).collect()}
     ordered = sorted(rows, key=lambda r: r[0])
     assert len(out) == len(rows)
     for k, (i, text) in enumerate(ordered):
@@ -33,7 +33,7 @@ def check(spark, docs, rows, error=0.15):
 
 
 def test_random_documents(spark, docs, monkeypatch):
-    monkeypatch.setattr(fp, "ROWS_PER_BUCKET", 3)
+    monkeypatch.setattr(fp, "ROWS_PER_PART", 3)
     rng = random.Random(1)
     rows = [(k * 3, " ".join(rng.choice(["ab", "cd", "éf", "gh", "日本"]) + str(rng.randrange(9)) for _ in range(rng.randrange(0, 300)))) for k in range(40)]
     rng.shuffle(rows)
@@ -49,10 +49,37 @@ def test_edge_cases(spark, docs):
 
 
 def test_repeated_and_null_ids(spark, docs, monkeypatch):
-    monkeypatch.setattr(fp, "ROWS_PER_BUCKET", 1)
+    monkeypatch.setattr(fp, "ROWS_PER_PART", 1)
     out = fp.fingerprints(docs([(1, "aaaa"), (1, "bbbb"), (None, "cccc"), (2, "dddd"), (2, "dddd")])).collect()
-    want = {("cccc", "aaaa"), ("aaaa", "bbbb"), ("bbbb", "dddd"), ("dddd", "dddd"), ("dddd", "cccc")}
-    assert sorted(r.edited_sha256 for r in out) == sorted(hashlib.sha256((a[:3] + b[:1]).encode()).hexdigest() for a, b in want)
+    edited = lambda a, b: hashlib.sha256((a[:3] + b[:1]).encode()).hexdigest()
+    one, two = ([("cccc", x), (x, y), (y, "dddd"), ("dddd", "dddd"), ("dddd", "cccc")] for x, y in (("aaaa", "bbbb"), ("bbbb", "aaaa")))
+    assert sorted(r.edited_sha256 for r in out) in [sorted(edited(a, b) for a, b in want) for want in (one, two)]
+
+
+def test_one_id_of_many_rows_is_cut_in_parts(spark, docs, monkeypatch):
+    monkeypatch.setattr(fp, "ROWS_PER_PART", 4)
+    rng = random.Random(4)
+    rows = [(k if k % 3 else 7, f"{rng.random()} text {k}") for k in range(120)]
+    led = {r.text: (r.doc_id, r.next_text) for r in fp.with_next(docs(rows).select("doc_id", "text"), ["text"]).collect()}
+    text, walk = next(t for i, t in rows if i == 1), []
+    for _ in rows:  # one walk over all rows, ids ascending
+        walk.append((led[text][0], text))
+        text = led[text][1]
+    assert len(set(walk)) == 120 and text == walk[0][1] and [i for i, _ in walk] == sorted(i for i, _ in rows)
+    ranges = fp.cut_points([7, 7, 7, 40, 80], 1, 119, 2)
+    assert ranges == [(1, 6, 2), (7, 7, 6), (8, 39, 2), (40, 79, 2), (80, 119, 2)]
+
+
+def test_parts_ascend_with_the_order(spark):
+    keys = [(k, t) for k in [fp._NULL_ID, -5, 0, 1, 2, 900, 2**62] for t in (-(2**63), -3, 0, 2**63 - 1)]
+    ranges = fp.cut_points([-5, 0, 0, 900], fp._NULL_ID, 2**62, 3)
+    got = spark.createDataFrame(keys, "key bigint, tie bigint").select("key", "tie", fp._part(ranges, F.col("key"), F.col("tie")).alias("part")).orderBy("key", "tie").collect()
+    assert [r.part for r in got] == sorted(r.part for r in got) and got[0].part == 0 and got[-1].part < sum(r[2] for r in ranges)
+
+
+def test_columns_keep_their_values(spark, docs):
+    led = fp.with_next(docs([(1, "a"), (2, "b")], extra=["key", "bucket", "part", "next_text"]), ["text"]).orderBy("doc_id").collect()
+    assert [(r.key, r.bucket, r.part, r.next_text) for r in led] == [("x", "x", "x", "b"), ("x", "x", "x", "a")]
 
 
 def test_sketches_merge_and_estimate(spark):
