@@ -2,12 +2,20 @@
 
 Tokens per source give repetition rates; a document appears floor(rate) times
 plus one more where its hash falls below the fraction. Nulls: a null text has
-size 0, a null source is a source of its own, last in order. Rows that repeat a
-doc_id share one draw, so reruns and retried tasks agree. No row is collected:
-a hot source is pre-aggregated before the shuffle, and the per-source table, one
-row per source, is written in the shared folder and joined back by source. Its
-size on disk decides the join: under the session's threshold it is broadcast and
-documents aren't moved at all; above it, adaptive execution splits a hot source.
+size 0, a null source is a source of its own, last in order; very long texts are
+counted whole. Rows that repeat a doc_id share one draw, so reruns and retried
+tasks agree; they count and are taken each for itself. Sources of one cap per
+weight stop in their order. A source without words has rate 0, and an empty table
+gives an empty result. ``mixed_documents`` keeps all columns, whatever their
+names, and puts the copies of a document side by side; the other functions read
+doc_id, text and source alone.
+
+No row is collected: a hot source is pre-aggregated before the shuffle, and the
+per-source table, one row per source, is written in the shared folder and joined
+back by source. Its size on disk decides the join: under the session's threshold
+it is broadcast and documents aren't moved at all; above it, adaptive execution
+splits a hot source. The windows over that table are one task's work, so sources
+are meant to be collections, of which there may be millions, not pages.
 """
 
 from __future__ import annotations
@@ -17,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import WORD_PATTERN, table, written
+from brooklet.llm.common import WORD_PATTERN, every, table, unused, written
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -83,13 +91,14 @@ def mix(docs: DataFrame, seed: str = "mix", weights: Sequence[int] = WEIGHTS, sh
 def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their columns alone."""
     targets = written(source_targets(docs.select("source", word_count(F.col("text")).alias("size"))), "targets")
-    keyed = targets.select(F.col("source").alias("__source"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__rate"))
-    copies = F.floor("__rate") + (draw(F.col("doc_id"), seed) < F.col("__rate") - F.floor("__rate")).cast("long")
+    key, rate, copy = unused(docs.columns, "key", "rate", "copy")
+    keyed = targets.select(F.col("source").alias(key), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias(rate))
+    copies = F.floor(rate) + (draw(F.col("doc_id"), seed) < F.col(rate) - F.floor(rate)).cast("long")
     return (
-        docs.join(keyed, F.col("source").eqNullSafe(F.col("__source")))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), copies)))
-        .where("__copy > 0")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        docs.join(keyed, F.col("source").eqNullSafe(F.col(key)))
+        .withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), copies)))
+        .where(F.col(copy) > 0)
+        .select(*every(docs))
     )
 
 

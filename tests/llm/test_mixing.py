@@ -66,7 +66,7 @@ def test_taken_is_near_the_target_and_reruns_agree(spark, docs):
 
 
 def test_documents_appear_as_often_as_the_mix_says(spark, docs):
-    df = docs(CASES[1], extra=["__mark"])
+    df = docs(CASES[1], extra=["__source", "__rate", "__copy", "key", "Rate", "copy", "a.b"])
     want = {r.doc_id: r.copies for r in mixing.mix(df).collect() if r.copies}
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns and Counter(r.doc_id for r in out.collect()) == want
@@ -75,3 +75,14 @@ def test_documents_appear_as_often_as_the_mix_says(spark, docs):
 def test_no_python_in_the_plan(spark, docs):
     plan = mixing.mix(docs(CASES[1]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_copies_stand_side_by_side(spark, docs):
+    ids = [r.doc_id for r in mixing.mixed_documents(docs(CASES[1])).collect()]
+    assert len(ids) > len(set(ids)) and len(set(ids)) == 1 + sum(a != b for a, b in zip(ids, ids[1:], strict=False))
+
+
+def test_very_long_text_and_empty_table(spark, docs):
+    out = mixing.mix(docs([(1, "w " * 200_000, None, "a"), (2, "x", None, "b")])).collect()
+    assert {r.doc_id: r.size for r in out} == {1: 200_000, 2: 1}
+    assert mixing.mixed_documents(docs([], extra=["key"])).count() == 0
