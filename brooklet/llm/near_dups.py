@@ -33,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bounded_batches, byte_column, dropped, pieces, released, table, written
+from brooklet.llm.common import bounded_batches, byte_column, dropped, every, pieces, released, table, unused, written
 
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
@@ -306,15 +306,21 @@ def _repeats(base: DataFrame) -> bool:
 
 
 def kept_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that represent their group, columns unchanged; of rows with one doc_id one stays."""
+    """The rows of ``docs`` that represent their group, columns unchanged.
+
+    Of rows with one doc_id one stays, the first by text, then by all its columns.
+    """
+    lost, twice, place = unused(docs.columns, "lost", "twice", "place")
     # Written ids: their size decides whether documents move for the join at all.
-    gone = written(near_duplicates(docs, shingle, percent).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    again = written(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again"), "again")
+    gone = written(near_duplicates(docs, shingle, percent).where("NOT kept").select(F.col("doc_id").alias(lost)).distinct(), "gone")
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col(lost), "left_anti")
+    again = written(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias(twice)).count().where("count > 1").select(twice), "again")
     if again.isEmpty():
         return left
-    once = left.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
-    return once.unionByName(left.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"]))
+    same = F.col("doc_id").cast("long") == F.col(twice)
+    first = Window.partitionBy("doc_id").orderBy("text", F.to_json(F.struct(*every(docs))))
+    one = left.join(again, same, "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*every(docs))
+    return left.join(again, same, "left_anti").union(one)
 
 
 def op6_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:

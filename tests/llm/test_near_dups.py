@@ -63,10 +63,17 @@ def test_repeated_and_null_ids(spark, docs):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (3, "q r s t u v")]
     result = {(r.doc_id, r.component_id, r.kept) for r in nd.near_duplicates(docs(rows), shingle=4).collect()}
     assert result == {(1, 1, True), (2, 1, False), (None, None, True), (3, 3, True)}
-    kept = sorted((r.doc_id is not None, r.doc_id or 0) for r in nd.kept_documents(docs(rows, extra=["__gone2"])).collect())
+    kept = sorted((r.doc_id is not None, r.doc_id or 0) for r in nd.kept_documents(docs(rows, extra=["__gone", "__again", "lost", "twice", "Place", "a.b"])).collect())
     assert kept == [(False, 0), (True, 1), (True, 3)]
 
 
+def test_rows_of_one_id_leave_the_first(spark, docs):
+    rows = [(1, "b " * 9), (1, "a " * 9), (1, "a " * 9), (2, "c d e f g")]
+    kept = nd.kept_documents(docs(rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, "a " * 9), (2, "c d e f g")]
+    assert nd.kept_documents(docs([], extra=["lost"])).count() == 0
+
+
 def test_blocks_of_a_family_find_what_one_block_does(spark, monkeypatch):
     reps = spark.createDataFrame([(i, 5, [7, i]) for i in range(10)], "doc_id bigint, n_shingles bigint, bands array<bigint>")
     whole = {(r.family, r.low, r.high, r.side, r.id) for r in nd._families(reps).collect()}
