@@ -5,30 +5,35 @@ set holds its distinct word shingles as 64-bit hashes (fewer words than a
 shingle: the whole sequence as one). Null, empty and blank texts have an empty
 set and link with nothing.
 
-Plan. One pass turns every text into its set's size, a 128-bit set fingerprint
-and band keys of a sketch of ``BINS`` coordinates; this table is written in the
-shared folder. Documents with one fingerprint form a class and only its smallest
-id goes on, so thousands of copies cost one row. Classes that share a band key
-are a bucket; the family of a class is all buckets in which its id is the
-smallest, and every pair of a bucket is in a family. A family's texts meet in a
-task, at most ``BLOCK`` at once: larger families are cut into blocks and each two
-blocks meet, so no task holds an unbounded group. There each member is first
-compared with the smallest id; pairs that this joins need no comparison. For the
-others sketches are compared, and a pair whose sketches agree in at least
-``NEAR`` of the coordinates is compared on full sets. Only links leave the task,
-never pairs, and every link is confirmed on full sets.
+Plan. One pass turns every text, however long, into its set's size, a 128-bit set
+fingerprint, a sketch of ``BINS`` coordinates (a byte of each) and its band keys;
+this table is written in the shared folder. Documents with one fingerprint form a
+class and only its smallest id goes on, so thousands of copies cost one row.
+Classes that share a band key are a bucket; the family of a class is all buckets
+in which its id is the smallest, and every pair of a bucket is in a family.
+
+A family meets in tasks of at most two blocks of ``BLOCK`` members: larger
+families are cut into blocks and each two blocks meet, so no task holds an
+unbounded group. First only sketches meet: members without a partner that agrees
+in at least ``NEAR`` of the coordinates drop out, so a boilerplate band shared by
+unlike documents moves no text. The texts of the others follow. There each member
+is first compared with the smallest id; pairs that this joins need no comparison.
+For the others pairs that agree in sketches are compared on full sets. Only links
+leave the task, never pairs, and every link is confirmed on full sets.
 
 Two documents of similarity 0.8 share no band with probability
 (1 - 0.8**6)**40 = 5e-6 and agree in fewer than NEAR of the coordinates with 4e-6.
 
 Repeated doc_ids: rows with one doc_id are one document if their texts agree;
 otherwise each row is linked under that id, and all rows get the id's component.
-A null doc_id has a null component and is kept.
+A null doc_id has a null component and is kept. An empty table gives an empty
+result. Only doc_id and text are read; ``kept_documents`` keeps all columns,
+whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +123,10 @@ def band_keys(sketches: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, print_a, print_b, bands) of every row."""
+    """(doc_id, mark, n_shingles, print_a, print_b, bands, coded) of every row.
+
+    ``mark`` is a hash of the text, ``coded`` the last byte of each coordinate.
+    """
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,22 +136,26 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             for rows, texts in pieces(batch, byte_column(batch, "text"), 1 << 20):
                 sets = shingle_sets(texts, shingle, hashes)
                 full = [i for i, s in enumerate(sets) if len(s)]
-                keys = band_keys(sketch([sets[i] for i in full])).view(np.int64) if full else np.empty((0, BANDS), np.int64)
+                sketches = sketch([sets[i] for i in full])
+                keys = band_keys(sketches).view(np.int64)
+                codes = dict(zip(full, (sketches & np.uint64(0xFF)).astype(np.uint8), strict=True))
                 prints = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
                 signed = np.array([[p >> 64, p & 0xFFFFFFFFFFFFFFFF] for p in prints], np.uint64).view(np.int64)
                 offsets = np.concatenate([[0], np.cumsum([BANDS if len(s) else 0 for s in sets])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(rows)),
+                        batch.column(1).take(pa.array(rows)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(signed[:, 0]),
                         pa.array(signed[:, 1]),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))),
+                        pa.array([codes[i].tobytes() if i in codes else b"" for i in range(len(sets))], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "print_a", "print_b", "bands"],
+                    ["doc_id", "mark", "n_shingles", "print_a", "print_b", "bands", "coded"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(run, "doc_id long, mark long, n_shingles long, print_a long, print_b long, bands array<long>, coded binary")
 
 
 class _Forest:
@@ -164,8 +176,27 @@ class _Forest:
         return x != y
 
 
-def family_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links (positions) that join a family's similar sets; position 0 is the family's first id.
+def _partners(i: int, coded: np.ndarray, n: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """Which members may be similar to member i, by sketches and set sizes, and meet it in this task."""
+    fits = ((coded == coded[i]).sum(1) >= NEAR * coded.shape[1]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & ((side | side[i]) == 3)
+    fits[i] = False
+    return fits
+
+
+def hopeful(coded: np.ndarray, n: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """Which members of a family have any partner in this task."""
+    out = np.zeros(len(n), bool)
+    for i in range(len(n)):
+        if not out[i]:
+            fits = _partners(i, coded, n, side, percent)
+            if fits.any():
+                out |= fits
+                out[i] = True
+    return out
+
+
+def family_links(sets: list[np.ndarray], coded: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (positions) that join a family's similar sets; position 0 is the family's first id, if that has a partner.
 
     ``side`` says which members are of this task's first and second block (both:
     3); pairs within a single block of two are left to the task of that block.
@@ -183,48 +214,77 @@ def family_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list
         if similar(0, i) and forest.join(0, i):
             links.append((0, i))
     loose = [i for i in range(1, len(sets)) if forest.root(i) != 0]
-    if not loose or len(sets) < 3:
-        return links
-    coded = (sketch(sets) & np.uint64(0xFF)).astype(np.uint8)
-    for i in loose:
-        agree = (coded == coded[i]).sum(1)
-        fits = (agree >= NEAR * BINS) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & ((side | side[i]) == 3)
-        fits[: 1] = fits[i] = False
-        for j in np.flatnonzero(fits):
-            if forest.root(i) != forest.root(int(j)) and similar(i, int(j)) and forest.join(i, int(j)):
-                links.append((i, int(j)))
+    for i in loose if len(sets) > 2 else ():
+        for j in np.flatnonzero(_partners(i, coded, n, side, percent)).tolist():
+            if forest.root(i) != forest.root(j) and similar(i, j) and forest.join(i, j):
+                links.append((i, j))
     return links
 
 
-def compared(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The links (a, b) of families: rows (family, low, high, side, id, text), where low and high name the blocks."""
+_MEETING = ["family", "low", "high", "side", "id", "mark", "n", "coded"]
+
+
+def _by_meeting(rows: DataFrame, make: Callable[[], tuple[Callable[[dict], dict], Callable[[list[dict]], Iterator[pa.RecordBatch]]]], schema: str) -> DataFrame:
+    """A map over the members of each (family, low, high), in order of their ids; blocks bound their number.
+
+    ``make`` gives, for each task, what becomes of a member as it comes and what to do with the members that meet.
+    """
 
     @released
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrive, run = make()
+        key, members = None, []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                for r in batch.slice(at, 256).to_pylist():
+                    here = (r["family"], r["low"], r["high"])
+                    if here != key:
+                        if len(members) > 1:
+                            yield from run(members)
+                        key, members = here, []
+                    members.append(arrive(r))
+        if len(members) > 1:
+            yield from run(members)
+
+    blocks = _MEETING[:3]
+    return rows.repartition(*blocks).sortWithinPartitions(*blocks, "id").mapInArrow(each, schema)
+
+
+def _sketches(members: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    coded = np.frombuffer(b"".join(r["coded"] for r in members), np.uint8).reshape(len(members), -1)
+    return coded, np.array([r["n"] for r in members], np.int64), np.array([r["side"] for r in members])
+
+
+def met(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (of ``_MEETING``) of the members that have a partner where they meet."""
+
+    def run(members: list[dict]) -> Iterator[pa.RecordBatch]:
+        kept = [r for r, x in zip(members, hopeful(*_sketches(members), percent).tolist(), strict=True) if x]
+        if kept:
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in kept], t) for c, t in zip(_MEETING, types, strict=True)], _MEETING)
+
+    return _by_meeting(rows, lambda: (lambda r: r, run), "family long, low int, high int, side int, id long, mark long, n long, coded binary")
+
+
+def compared(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The links (a, b) of families: rows of ``_MEETING`` and text."""
+
+    def make() -> tuple[Callable[[dict], dict], Callable[[list[dict]], Iterator[pa.RecordBatch]]]:
         hashes = _WordHashes()
-        key, ids, side, sets = None, [], [], []
 
-        def done() -> pa.RecordBatch:
-            order = sorted(range(len(ids)), key=lambda i: ids[i])
-            found = family_links([sets[i] for i in order], np.array([side[i] for i in order]), percent)
-            pairs = [(ids[order[i]], ids[order[j]]) for i, j in found]
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], ["a", "b"])
+        def arrive(r: dict) -> dict:
+            r["set"] = shingle_sets([(r.pop("text") or "").encode()], shingle, hashes)[0]
+            return r
 
-        for batch in batches:
-            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
-            for k, i, s, text in zip(keys, batch.column(4).to_pylist(), batch.column(3).to_pylist(), byte_column(batch, "text"), strict=True):
-                if k != key:
-                    if len(ids) > 1:
-                        yield done()
-                    key, ids, side, sets = k, [], [], []
-                ids.append(i)
-                side.append(s)
-                sets.append(shingle_sets([text], shingle, hashes)[0])
-        if len(ids) > 1:
-            yield done()
-
-    blocks = ["family", "low", "high"]
-    return rows.repartition(*blocks).sortWithinPartitions(*blocks, "id").select(*blocks, "side", "id", "text").mapInArrow(run, "a long, b long")
+        def run(members: list[dict]) -> Iterator[pa.RecordBatch]:
+            coded, _, side = _sketches(members)
+            pairs = [(members[i]["id"], members[j]["id"]) for i, j in family_links([r["set"] for r in members], coded, side, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], ["a", "b"])
+
+        return arrive, run
+
+    return _by_meeting(rows, make, "a long, b long")
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -261,11 +321,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     member = full.select("doc_id", "print_a", "print_b").join(classes, ["print_a", "print_b"])
 
     chosen = classes.select("print_a", "print_b", F.col("rep").alias("doc_id"))
-    reps = written(full.join(chosen, ["print_a", "print_b", "doc_id"], "left_semi").dropDuplicates(["doc_id", "print_a", "print_b"]).select("doc_id", "n_shingles", "bands"), "classes")
-    families = written(_families(reps), "families")
+    reps = written(full.join(chosen, ["print_a", "print_b", "doc_id"], "left_semi").dropDuplicates(["doc_id", "print_a", "print_b"]).select("doc_id", "mark", "n_shingles", "bands", "coded"), "classes")
+    sketches = reps.select(F.col("doc_id").alias("id"), "mark", F.col("n_shingles").alias("n"), "coded")
+    meetings = written(_families(reps), "families").hint("merge").join(sketches, "id").select(*_MEETING)
+    partners = written(met(meetings, percent), "partners")
     # Dealt by id at every size: the plan doesn't turn into another one as families grow.
-    texts = base.dropDuplicates(["doc_id", "text"]) if _repeats(base) else base
-    rows = families.hint("merge").join(texts.withColumnRenamed("doc_id", "id"), "id")
+    texts = base.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"), "text")
+    texts = texts.dropDuplicates(["id", "mark"]) if _repeats(base) else texts
+    rows = partners.hint("merge").join(texts, ["id", "mark"]).select(*_MEETING, "text")
     links = written(compared(rows, shingle, percent), "links")
     found = components(links)
 
@@ -284,8 +347,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
 
 
-def _families(reps: DataFrame, block: int = BLOCK) -> DataFrame:
+def _families(reps: DataFrame, block: int | None = None) -> DataFrame:
     """(family, low, high, side, id): the members of each family, once for each two blocks they are compared in."""
+    block = block or BLOCK
     spread = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))
     first = spread.groupBy("band").agg(F.min("id").alias("family"), F.max("id").alias("last")).where("family <> last").select("band", "family")
     member = written(spread.join(written(first, "buckets"), "band").select("family", "id").distinct(), "members")

@@ -52,6 +52,46 @@ def test_equals_brute_force(spark, docs, seed, size):
     assert got(nd.near_duplicates(docs(rows), shingle=size)) == brute(rows, size)
 
 
+def test_recall_over_ten_thousand_documents(spark, docs):
+    """Groups around the threshold: every link of full sets is found, in effect (components), and no other."""
+    rows = corpus(11, groups=1250, size=8, words=60)
+    rng = random.Random(12)
+    rows = [(i, " ".join(w if rng.random() > 0.01 else f"y{rng.randrange(10**6)}" for w in t.split())) for i, t in rows]
+    sets = {i: {tuple(w[k : k + 4]) for k in range(57)} for i, t in rows for w in [t.split()]}
+    holders = {}
+    for i, x in sets.items():
+        for g in x:
+            holders.setdefault(g, []).append(i)
+    pairs = {(a, b) for held in holders.values() for a in held for b in held if a < b}
+    up = {i: i for i in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    linked = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for a, b in linked:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    assert len(rows) == 10_000 and len(linked) > 1500
+    out = {r.doc_id: r.component_id for r in nd.near_duplicates(docs(rows), shingle=4).collect()}
+    assert out == {i: root(i) for i in sets}
+
+
+def test_families_of_many_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 3)
+    rows = corpus(5, groups=2, size=20)
+    assert got(nd.near_duplicates(docs(rows), shingle=4)) == brute(rows, 4)
+
+
+def test_ids_of_several_texts(spark, docs):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(5, a), (5, b), (6, a + " x"), (7, b + " x"), (1, b + " y"), (9, "z z z z")]
+    out = {r.doc_id: r.component_id for r in nd.near_duplicates(docs(rows), shingle=4).collect()}
+    assert out == {1: 1, 5: 1, 6: 1, 7: 1, 9: 9}
+
+
 def test_edge_cases(spark, docs):
     long = " ".join(f"x{k}" for k in range(30_000))
     rows = [(1, None), (2, ""), (3, "  \n\t "), (4, "one two"), (5, "ONE two"), (6, "one"), (7, long), (8, long + " tail"), (9, "a b c d e f"), (10, "a b c d e f")]
@@ -88,7 +128,10 @@ def test_blocks_of_a_family_find_what_one_block_does(spark, monkeypatch):
 def test_links_without_a_center():
     # 0 is unlike the others, which are alike.
     sets = [np.arange(0, 100, dtype=np.uint64) + 1000] + [np.concatenate([np.arange(90), [200 + k]]).astype(np.uint64) for k in range(4)]
-    links = nd.family_links(sets, np.full(5, 3), 80)
+    coded = (nd.sketch(sets) & np.uint64(0xFF)).astype(np.uint8)
+    assert nd.hopeful(coded, np.array([len(x) for x in sets]), np.full(5, 3), 80).tolist() == [False, True, True, True, True]
+    assert not nd.hopeful(coded, np.array([len(x) for x in sets]), np.array([3, 1, 1, 1, 1]), 80).any()
+    links = nd.family_links(sets, coded, np.full(5, 3), 80)
     joined = {x for pair in links for x in pair}
     assert joined == {1, 2, 3, 4} and len(links) == 3
 
