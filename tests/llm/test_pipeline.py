@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 import corpus_pipeline
 from brooklet.llm import bpe, mixing, near_dups, quality_rules, suffix_dups
 from brooklet.llm.queries import ORACLES, QUERIES
@@ -59,6 +61,76 @@ def test_run_equals_the_stages(spark, docs, tables):
     assert sorted(map(str, corpus_pipeline.run(spark, folder).collect())) == sorted(map(str, want.collect()))
 
 
+NAMES = ["__id", "__mark", "__lows", "__gone", "__source", "__rate", "lows", "lost", "key", "rate", "copy", "Owner", "c0", "a.b"]
+
+
+def stages_over(spark, folder):
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = f"{folder}/stage-{k}"
+        stage(spark, frame, folder).write.parquet(path)
+        yield spark.read.parquet(path)
+        frame = spark.read.parquet(path)
+
+
+def test_columns_of_any_name(spark, docs, tables):
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(9999)}" for _ in range(90))
+    rows = [(1, text, "en", "a"), (1, text + " more", "en", "a"), (2, "other " + text[::-1], "en", None), (None, text.upper(), None, "b")]
+    folder = tables(documents=docs(rows, extra=NAMES), labels=spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))
+    *kept, last = stages_over(spark, folder)
+    assert all(set(NAMES) < set(frame.columns) for frame in kept) and all(r["Owner"] == "x" and r["a.b"] == "x" for frame in kept for r in frame.collect())
+    assert last.count() == kept[-1].count() and corpus_pipeline.run(spark, folder).count() == last.count()
+
+
+def test_empty_tables(spark, docs, tables):
+    folder = tables(documents=docs([], extra=NAMES), labels=spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))
+    assert [frame.count() for frame in stages_over(spark, folder)] == [0] * 5
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_repeated_rows_and_long_texts(spark, docs, tables):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijk") for _ in range(6))
+    long = " ".join(word() for _ in range(40_000))
+    rows = [(1, long, "en", "a")] * 3 + [(2, " ".join(word() for _ in range(80)), "en", "a")] + [(3, None, None, None)] * 2
+    folder = tables(documents=docs(rows), labels=spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))
+    *kept, last = stages_over(spark, folder)
+    assert [sorted(r.doc_id for r in frame.collect()) for frame in kept[:3]] == [[1, 1, 1, 2], [1, 2], [1, 2]]
+    assert {r.doc_id for r in last.collect()} <= {1, 2}
+
+
+def test_scratch_tables_go(spark, docs, tables):
+    from brooklet.llm import common
+
+    folder = corpus(spark, docs, tables)
+    before = common.scratch_tables()
+    corpus_pipeline.run(spark, folder).count()
+    left = set(common.scratch_tables()) - set(before)
+    assert len(left) <= 2  # the last stage's input
+    common.drop_scratch(spark, keep=before)
+    assert common.scratch_tables() == before
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from brooklet.llm import common
+
+    class Conf:
+        def __init__(self, **held):
+            self.held = held
+
+        def get(self, name, default=None):
+            return self.held.get(name.replace(".", "_"), default)
+
+    class Session:
+        conf = Conf(spark_master="spark://host:7077")
+
+    with pytest.raises(ValueError):
+        common.shared_folder(Session())
+    Session.conf = Conf(spark_master="spark://host:7077", spark_checkpoint_dir="hdfs://x")
+    assert common.shared_folder(Session()) == "hdfs://x"
+
+
 def test_registry():
     import __spark_entry__ as entry
 
