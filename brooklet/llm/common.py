@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import sys
 import tempfile
 import uuid
@@ -33,6 +34,7 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
+        gc.collect()  # what earlier tasks brought with them: functions that arrive by value hang in cycles
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim is not None:
