@@ -19,9 +19,13 @@ def clean_text(name: str) -> Column:
 
 
 def parsed_time(name: str) -> Column:
-    """The time in any accepted spelling, else null; never an error under ANSI."""
+    """The time in any accepted spelling, else null; never an error under ANSI.
+
+    The plain cast comes first: it reads the accepted spellings without patterns,
+    each of which throws inside where it doesn't fit.
+    """
     text = clean_text(name)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in TIME_FORMATS], F.try_to_timestamp(text))
+    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in TIME_FORMATS])
 
 
 def clean_price(name: str) -> Column:
@@ -90,3 +94,14 @@ def month_of(day: Column) -> Column:
 
 def whole_seconds(start: Column, end: Column) -> Column:
     return F.unix_timestamp(end) - F.unix_timestamp(start)
+
+
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each lengthened until it clashes with no column (names are compared without case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -22,17 +22,24 @@ def project_bronze(raw: DataFrame, run_id: str, source_type: str, source_file: C
     ).where(F.col("source_month").rlike(r"^\d{4}-\d{2}$"))
 
 
-def new_rows(candidates: DataFrame, present: DataFrame, key: str, prune: Column | None = None) -> DataFrame:
-    """Candidates whose key the target lacks, one row per key.
+def absent(candidates: DataFrame, present: DataFrame, key: str, prune: Column | None = None) -> DataFrame:
+    """Candidates whose key the target lacks.
 
     ``prune`` limits the target to the partitions that can hold the keys; the
     join is an anti join, left to Catalyst, so a hot key costs nothing twice.
     """
     target = (present if prune is None else present.where(prune)).select(key)
-    return candidates.dropDuplicates([key]).join(target, key, "left_anti")
+    return candidates.join(target, key, "left_anti")
+
+
+def new_rows(candidates: DataFrame, present: DataFrame, key: str, prune: Column | None = None) -> DataFrame:
+    """Candidates whose key the target lacks, one row per key."""
+    return absent(candidates.dropDuplicates([key]), present, key, prune)
 
 
 def new_bronze(candidates: DataFrame, present: DataFrame) -> DataFrame:
-    """New raw rows: the target is pruned to the batch's files (a bounded list, one entry per file)."""
-    files = [r[0] for r in candidates.select("source_file").distinct().collect()]
-    return new_rows(candidates, present, "record_hash", F.col("source_file").isin(*files) if files else F.lit(False))
+    """New raw rows: the target is pruned to the batch's months (one entry each) and files (a semi join, for any number of them)."""
+    months = [r[0] for r in candidates.select("source_month").distinct().collect()]
+    files = candidates.select("source_file").distinct()
+    near = present.where(F.col("source_month").isin(*months) if months else F.lit(False))
+    return new_rows(candidates, near.join(files, "source_file", "left_semi"), "record_hash")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from brooklet.functions.expressions import count_of, first_of, funnel_counts, is_type, money, month_of, path_label, ratio, revenue, whole_seconds
 from brooklet.operators.ranking import global_positions, tile_of
 
-TOP_PRODUCTS, TOP_PAIRS, LOOKBACK_DAYS, TILES = 10, 200, 90, 5
+TOP_PRODUCTS, TOP_PAIRS, LOOKBACK_DAYS, TILES, BASKET = 10, 200, 90, 5, 1024
 _RATES = (("view_to_cart_rate", "carts", "views"), ("cart_to_purchase_rate", "purchases", "carts"), ("view_to_purchase_rate", "purchases", "views"))
 
 
@@ -117,16 +117,34 @@ def repeat_purchase(silver: DataFrame) -> DataFrame:
     )
 
 
+def _pairs(bought: DataFrame, block: int = BASKET) -> DataFrame:
+    """(product_a, product_b), a < b, of every session of distinct (session_id, product_id).
+
+    A basket of up to ``block`` products is paired where its rows meet. A larger
+    one is cut into blocks by product, and each two blocks meet in a task of their
+    own, so no task holds or pairs more than two blocks.
+    """
+    sized = bought.withColumn("blocks", F.ceil(F.count(F.lit(1)).over(Window.partitionBy("session_id")) / block))
+    basket = sized.where("blocks = 1").groupBy("session_id").agg(F.sort_array(F.collect_list("product_id")).alias("basket")).where(F.size("basket") > 1)
+    left = basket.select("basket", F.posexplode("basket").alias("at", "product_a"))
+    small = left.select("product_a", F.explode(F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("product_b"))
+    dealt = sized.where("blocks > 1").withColumn("own", F.pmod(F.xxhash64("product_id"), "blocks"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "session_id", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "product_id"
+    )
+    of = lambda side: F.collect_list(F.when(F.col("own") == F.col(side), F.col("product_id"))).alias(f"of_{side}")
+    sides = met.repartition("session_id", "low", "high").groupBy("session_id", "low", "high").agg(of("low"), of("high"))
+    crossed = sides.withColumn("a", F.explode("of_low")).withColumn("b", F.explode("of_high")).where("a < b OR (low < high AND a <> b)")
+    return small.union(crossed.select(F.least("a", "b").alias("product_a"), F.greatest("a", "b").alias("product_b")))
+
+
 def product_affinity(sessions: DataFrame, top: int = TOP_PAIRS) -> DataFrame:
     """Pairs of products bought in one session, and lift co * N / (n_a * n_b); N counts all sessions with a purchase.
 
     The top pairs are taken before lifts are computed: they are ordered by count.
     """
     bought = _purchases(sessions).where("product_id IS NOT NULL AND session_id IS NOT NULL").select("session_id", "product_id").distinct()
-    basket = bought.groupBy("session_id").agg(F.sort_array(F.collect_list("product_id")).alias("basket")).where(F.size("basket") > 1)
-    left = basket.select("basket", F.posexplode("basket").alias("at", "product_a"))
-    pairs = left.select("product_a", F.explode(F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("product_b"))
-    counted = pairs.groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("co_purchase_sessions"))
+    counted = _pairs(bought).groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("co_purchase_sessions"))
     best = counted.orderBy(F.desc("co_purchase_sessions"), "product_a", "product_b").limit(top)
     each = bought.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     total = bought.agg(F.countDistinct("session_id").alias("total"))

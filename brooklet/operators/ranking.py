@@ -6,29 +6,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-RANGES = 64
-SAMPLED = RANGES * 32
+#: Rows of a range, the most ranges, and sampled keys for each.
+ROWS_PER_RANGE, RANGES, SAMPLED = 500_000, 2048, 32
 
 
-def global_positions(df: DataFrame, orders: dict[str, list[Column]], ranges: int = RANGES) -> tuple[DataFrame, int]:
+def global_positions(df: DataFrame, orders: dict[str, list[Column]], rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int]:
     """(df with the 1-based position of each row in some total orders, number of rows).
 
     An order is a list of ascending columns without nulls. Bounds from a
-    hash-ordered sample of the keys (at most ``SAMPLED`` rows reach the driver)
-    cut each order into ranges, whose sizes (one number each) are collected; a
+    hash-ordered sample of the keys (``SAMPLED`` for each range reach the driver)
+    cut each order into ranges, as many as the rows ask for, whose sizes (one
+    number each) are collected; a
     row's position is its number in its range after the rows of earlier ranges,
     so each order costs one shuffle by range and no task sorts everything.
     """
     keys = {name: F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]) for name, order in orders.items()}
     held = df.select(*[k.alias(name) for name, k in keys.items()]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sample = held.orderBy(F.xxhash64(next(iter(keys)))).limit(SAMPLED).collect()
+        total = held.count()
+        ranges = max(1, min(RANGES, -(-total // rows_per_range)))
+        sample = held.orderBy(F.xxhash64(next(iter(keys)))).limit(ranges * SAMPLED).collect() if ranges > 1 else []
         at = {name: _range_of(F.col(name), held, sorted({tuple(r[name]) for r in sample}), ranges) for name in keys}
         marked = held.select(F.explode(F.array(*[F.struct(F.lit(name).alias("name"), a.alias("at")) for name, a in at.items()])).alias("x"))
         sizes = {(r["name"], r["at"]): r["count"] for r in marked.groupBy("x.name", "x.at").count().collect()}
     finally:
         held.unpersist()
-    total = sum(n for (name, _), n in sizes.items() if name == next(iter(keys)))
     for name, key in keys.items():
         before, offsets = 0, []
         for k in range(ranges + 1):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brooklet.functions.expressions import whole_seconds
+from brooklet.functions.expressions import unused, whole_seconds
 
 GAP_SECONDS = 30 * 60
+SLICE_SECONDS = 15 * 60
 
 
 def sessionize(events: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
@@ -15,14 +16,49 @@ def sessionize(events: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
 
     Rows with a user_session keep it. The others of a day and user share a derived
     session until a gap of more than ``gap_seconds`` or a row with a session comes
-    between. Null users of a day are one anonymous user. One shuffle on (date, user).
+    between. Null users of a day are one anonymous user. One shuffle on (date, user);
+    the anonymous user, who may hold any share of a day, is dealt by (date, slice)
+    of ``SLICE_SECONDS`` and numbered on from slice to slice.
     """
+    known = _numbered_users(events.where("user_id IS NOT NULL"), gap_seconds)
+    return known.unionByName(_numbered_slices(events.where("user_id IS NULL"), gap_seconds)).withColumn("session_id", _session_id()).drop("session_number")
+
+
+def _opens(before: Column, before_given: Column, given: Column, at: Column, gap_seconds: int) -> Column:
+    """Whether a row starts a derived session, from the row before it (nulls: none)."""
+    return ~given & (before.isNull() | before_given | (whole_seconds(before, at) > gap_seconds))
+
+
+def _numbered_users(events: DataFrame, gap_seconds: int) -> DataFrame:
     order = Window.partitionBy("event_date", "user_id").orderBy("event_time", "event_id")
     given = F.col("user_session").isNotNull()
-    before, before_given = F.lag("event_time").over(order), F.lag(given).over(order)
-    opens = ~given & (before.isNull() | before_given | (whole_seconds(before, F.col("event_time")) > gap_seconds))
-    number = F.sum(opens.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    digits = number.cast("string")
+    opens = _opens(F.lag("event_time").over(order), F.lag(given).over(order), given, F.col("event_time"), gap_seconds)
+    return events.withColumn("session_number", F.sum(opens.cast("long")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+def _numbered_slices(events: DataFrame, gap_seconds: int) -> DataFrame:
+    """The same for one user of many rows a day: numbers inside each slice, after those of the day's earlier slices."""
+    names = events.columns
+    slice_, inner, running, offset, ends = unused(names, "slice", "inner", "running", "offset", "ends")
+    given = F.col("user_session").isNotNull()
+    row = F.struct(F.col("event_time").alias("at"), F.col("event_id").alias("id"), given.alias("given"))
+    place = Window.partitionBy("event_date", slice_).orderBy("event_time", "event_id")
+    sliced = events.withColumn(slice_, F.floor(F.unix_timestamp("event_time") / SLICE_SECONDS))
+    before = F.lag("event_time").over(place)
+    opened = sliced.withColumn(inner, (_opens(before, F.lag(given).over(place), given, F.col("event_time"), gap_seconds) & before.isNotNull()).cast("long"))
+    opened = opened.withColumn(running, F.sum(inner).over(place.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    per = opened.groupBy("event_date", slice_).agg(F.min(row).alias("first"), F.max(row).alias(ends), F.sum(inner).alias("n"))
+    # One row per slice of a day.
+    day = Window.partitionBy("event_date").orderBy(slice_)
+    last = F.lag(ends).over(day)
+    opens = per.withColumn("opens", _opens(last["at"], last["given"], F.col("first.given"), F.col("first.at"), gap_seconds).cast("long"))
+    earlier = F.coalesce(F.sum(F.col("n") + F.col("opens")).over(day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    carried = opens.select("event_date", slice_, (earlier + F.col("opens")).alias(offset))
+    return opened.join(carried, ["event_date", slice_]).select(*names, (F.col(offset) + F.col(running)).alias("session_number"))
+
+
+def _session_id() -> Column:
+    digits = F.col("session_number").cast("string")
     derived = F.concat_ws(
         "-",
         F.lit("derived"),
@@ -30,4 +66,4 @@ def sessionize(events: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
         F.date_format("event_date", "yyyyMMdd"),
         F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits),
     )
-    return events.withColumn("session_id", F.coalesce("user_session", derived))
+    return F.coalesce("user_session", derived)

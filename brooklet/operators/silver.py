@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.functions.expressions import clean_price, clean_text, dedupe_key, parsed_time
-from brooklet.operators.bronze import new_rows
+from brooklet.operators.bronze import absent
 from brooklet.schemas import REQUIRED_COLUMNS, SILVER
 
 
 def normalize(bronze: DataFrame) -> DataFrame:
     """Trimmed, lower-cased and typed values; the raw time and type stay for quality checks. Nothing is rejected here."""
     whole = lambda c: clean_text(c).try_cast("bigint")
-    return bronze.select(
+    # Two steps: an expression that the second reads twice is computed once.
+    timed = bronze.withColumn("parsed_time", parsed_time("event_time"))
+    return timed.select(
         F.col("record_hash").alias("event_id"),
         "batch_run_id",
         "ingested_at",
@@ -22,8 +24,8 @@ def normalize(bronze: DataFrame) -> DataFrame:
         "record_hash",
         clean_text("event_time").alias("raw_event_time"),
         clean_text("event_type").alias("raw_event_type"),
-        parsed_time("event_time").alias("event_time"),
-        F.to_date(parsed_time("event_time")).alias("event_date"),
+        F.col("parsed_time").alias("event_time"),
+        F.to_date("parsed_time").alias("event_date"),
         F.lower(clean_text("event_type")).alias("event_type"),
         whole("product_id").alias("product_id"),
         whole("category_id").alias("category_id"),
@@ -39,6 +41,11 @@ def valid(normalized: DataFrame) -> DataFrame:
     return normalized.where("event_time IS NOT NULL AND event_type IS NOT NULL")
 
 
+def keyed(normalized: DataFrame) -> DataFrame:
+    """The valid rows with their dedupe_key."""
+    return valid(normalized).withColumn("dedupe_key", dedupe_key())
+
+
 def deduplicate(normalized: DataFrame) -> DataFrame:
     """One row per event: of the valid rows with one dedupe key, the first by time and record hash.
 
@@ -47,19 +54,19 @@ def deduplicate(normalized: DataFrame) -> DataFrame:
     """
     lead = ["event_time", "record_hash"]
     row = F.struct(*lead, *[c for c in SILVER.names if c not in (*lead, "dedupe_key")])
-    keyed = valid(normalized).withColumn("dedupe_key", dedupe_key())
-    return keyed.groupBy("dedupe_key").agg(F.min(row).alias("row")).select("dedupe_key", "row.*").select(*SILVER.names)
+    return keyed(normalized).groupBy("dedupe_key").agg(F.min(row).alias("row")).select("dedupe_key", "row.*").select(*SILVER.names)
 
 
-def affected_dates(candidates: DataFrame) -> list:
-    """The distinct dates of a batch: a bounded list, one entry per day."""
+def affected_dates(normalized: DataFrame) -> list:
+    """The distinct dates of a batch's valid rows: a bounded list, one entry per day. Reads time and type alone."""
+    candidates = valid(normalized)
     return sorted(r[0] for r in candidates.select("event_date").distinct().collect())
 
 
 def new_silver(candidates: DataFrame, present: DataFrame, dates: list | None = None) -> DataFrame:
-    """Candidates not yet in the target, which is pruned to their dates (compared as dates, so partitions are skipped)."""
+    """Deduplicated candidates not yet in the target, which is pruned to their dates (compared as dates, so partitions are skipped)."""
     days = affected_dates(candidates) if dates is None else dates
-    return new_rows(candidates, present, "dedupe_key", F.col("event_date").isin(*days) if days else F.lit(False))
+    return absent(candidates, present, "dedupe_key", F.col("event_date").isin(*days) if days else F.lit(False))
 
 
 def with_reject_reason(bronze: DataFrame) -> DataFrame:
