@@ -55,8 +55,10 @@ class Lakehouse:
         return {"bronze_events": BRONZE, "silver_events": SILVER}.get(name) or MARTS[name].schema
 
     def read(self, name: str) -> DataFrame:
-        """A table, empty if nothing was written yet."""
+        """A table, empty if nothing was written yet; an error while a stopped compaction has its files."""
         schema = self.schema(name)
+        if not sinks.exists(self.spark, self.path(name)) and sinks.exists(self.spark, sinks.set_aside(self.path(name))):
+            raise RuntimeError(f"the files of {name} are set aside: run recover()")
         if not sinks.exists(self.spark, self.path(name)):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
@@ -66,6 +68,19 @@ class Lakehouse:
             if sinks.exists(self.spark, self.path(name)):
                 sinks.delete(self.spark, self.path(name), self.root)
 
+    def create(self, *names: str) -> list[str]:
+        """Empty tables with their schemas and partitions; those that exist stay. Returns what was made."""
+        partition = lambda n: PARTITIONS.get(n) or MARTS[n].partition
+        return [n for n in names or (*PARTITIONS, *MARTS) if sinks.create_table(self.spark, self.path(n), self.schema(n), partition(n))]
+
+    def recover(self) -> list[str]:
+        """Mend tables that a stopped compaction left behind."""
+        return [n for n in (*PARTITIONS, *MARTS) if sinks.recover(self.spark, self.path(n))]
+
+    def tables(self) -> list[str]:
+        """The tables that stand, by name."""
+        return sorted(n for n in (*PARTITIONS, *MARTS) if sinks.exists(self.spark, self.path(n)))
+
     def register_views(self) -> None:
         """Temporary views of the Gold tables, for SQL."""
         for name in MARTS:

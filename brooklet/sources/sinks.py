@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -69,16 +70,55 @@ def write_text(spark: SparkSession, lines: list[str], path: str) -> None:
 
 
 def quarantine(rejects: DataFrame, root: str, run_id: str) -> None:
-    """Rejected rows go beside the tables, one folder per run."""
-    write_jsonl(rejects.withColumn("rejected_at", F.current_timestamp()), f"{root}/_quarantine/run_id={run_id}")
+    """Rejected rows go beside the tables, one folder per run.
+
+    Rows whose hash lies in quarantine already, of this run or an earlier one that
+    stopped halfway, are not written again.
+    """
+    spark, folder = rejects.sparkSession, f"{root}/_quarantine"
+    if exists(spark, folder):
+        held = spark.read.schema("record_hash string").json(folder, recursiveFileLookup=True).where("record_hash IS NOT NULL")
+        rejects = rejects.join(held, "record_hash", "left_anti")
+    if not rejects.isEmpty():
+        write_jsonl(rejects.withColumn("rejected_at", F.current_timestamp()), f"{folder}/run_id={run_id}")
 
 
 def compact(spark: SparkSession, path: str, partition: str | None = None, staging: str = "") -> None:
-    """Rewrite a table's files by size: a staged copy takes the table's place, since a table can't be read while it is replaced."""
-    stage, old = staging or f"{path.rstrip('/')}__compacted", f"{path.rstrip('/')}__old"
+    """Rewrite a table's files by size: a staged copy takes the table's place, since a table can't be read while it is replaced.
+
+    A run that stopped halfway is mended first.
+    """
+    recover(spark, path)
+    stage, old = staging or f"{path.rstrip('/')}__compacted", set_aside(path)
     replace_table(spark.read.parquet(path), stage, partition)
     where, fs = hadoop_path(spark, path)
     of = lambda p: hadoop_path(spark, p)[0]
     fs.rename(where, of(old))
     fs.rename(of(stage), where)
     fs.delete(of(old), True)
+
+
+def set_aside(path: str) -> str:
+    """Where a table's files lie while compaction swaps them."""
+    return f"{path.rstrip('/')}__old"
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Mend a compaction that stopped in its swap: the old files come back, or go if the new ones are in place."""
+    if not exists(spark, set_aside(path)):
+        return False
+    where, fs = hadoop_path(spark, path)
+    old = hadoop_path(spark, set_aside(path))[0]
+    if fs.exists(where):
+        fs.delete(old, True)
+    else:
+        fs.rename(old, where)
+    return True
+
+
+def create_table(spark: SparkSession, path: str, schema: StructType, partition: str | None = None) -> bool:
+    """An empty table of a schema, unless there is one."""
+    if exists(spark, path):
+        return False
+    _writer(spark.createDataFrame([], schema), partition).parquet(path)
+    return True
