@@ -8,6 +8,8 @@ and no table functions; the row limit is put on top of the checked query.
 from __future__ import annotations
 
 import re
+import threading
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 from decimal import Decimal
@@ -18,7 +20,7 @@ from pyspark.sql import types as T
 
 from brooklet.schemas import MARTS
 
-DEFAULT_LIMIT, HARD_LIMIT = 50, 500
+DEFAULT_LIMIT, HARD_LIMIT, TIMEOUT_SECONDS = 50, 500, 25.0
 #: Nodes a query may consist of (names of Spark's logical plan classes).
 QUERY_NODES = frozenset(
     "Aggregate CTERelationDef Distinct Except Filter GlobalLimit Intersect Join LocalLimit Offset OneRowRelation Project Sort SubqueryAlias Union UnresolvedHaving UnresolvedInlineTable UnresolvedRelation UnresolvedWith WithWindowDefinition UnresolvedSubqueryColumnAliases".split()
@@ -117,8 +119,51 @@ def check_sql(spark: SparkSession, sql: str, allowed: set[str] | None = None) ->
         used.add(parts[0].lower())
     if not used:
         raise GuardError("At least one allowed table must be read.")
-    asked = re.search(r"\blimit\s+(\d+)\s*$", text, re.IGNORECASE)
-    return Checked(text, tuple(sorted(used)), min(int(asked[1]), HARD_LIMIT) if asked else DEFAULT_LIMIT)
+    asked = _limit(plan)
+    return Checked(text, tuple(sorted(used)), DEFAULT_LIMIT if asked is None else min(asked, HARD_LIMIT))
+
+
+def _limit(plan) -> int | None:
+    """The limit on top of a parsed plan, if it is a number."""
+    while plan.getClass().getSimpleName() in ("UnresolvedWith", "SubqueryAlias"):
+        plan = plan.child()
+    if plan.getClass().getSimpleName() != "GlobalLimit":
+        return None
+    text = plan.limitExpr().toString()
+    return int(text) if text.isdigit() else None
+
+
+class QueryTimeout(TimeoutError):
+    """A query ran longer than it may."""
+
+
+def execute(spark: SparkSession, sql: str, allowed: set[str] | None = None, seconds: float = TIMEOUT_SECONDS) -> tuple[list[str], list[dict]]:
+    """(columns, rows) of a checked query; its jobs are cancelled after ``seconds``."""
+    context, group, late = spark.sparkContext, f"sql-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        late.set()
+        while not done.is_set():  # a query may start another job after the first is cancelled
+            context.cancelJobGroup(group)
+            done.wait(0.2)
+
+    done, timer = threading.Event(), threading.Timer(seconds, stop)
+    timer.daemon = True
+    context.setJobGroup(group, "guarded query", True)
+    timer.start()
+    try:
+        found = to_records(run_sql(spark, sql, allowed))
+    except Exception as error:
+        if late.is_set():
+            raise QueryTimeout(f"the query took more than {seconds} seconds") from error
+        raise
+    finally:
+        done.set()
+        timer.cancel()
+        context.setLocalProperty("spark.jobGroup.id", None)
+    if late.is_set():
+        raise QueryTimeout(f"the query took more than {seconds} seconds")
+    return found
 
 
 def run_sql(spark: SparkSession, sql: str, allowed: set[str] | None = None) -> DataFrame:
@@ -152,22 +197,39 @@ def suggest_chart(df: DataFrame) -> dict | None:
     return None
 
 
-#: (words, SQL, explanation), the first match answers.
-QUESTIONS = (
-    (("category",), "SELECT category_code, SUM(purchase_revenue) AS revenue FROM category_performance_daily GROUP BY category_code ORDER BY revenue DESC LIMIT 12", "Revenue by category."),
-    (("retention", "cohort"), "SELECT cohort_month, period_offset, retention_rate FROM cohort_retention ORDER BY cohort_month, period_offset LIMIT 120", "Retention by cohort and month."),
-    (("product",), "SELECT product_id, SUM(purchase_revenue) AS revenue FROM top_products GROUP BY product_id ORDER BY revenue DESC LIMIT 10", "Best-selling products."),
-    ((), "SELECT event_date, SUM(purchase_revenue) AS revenue, SUM(purchase_count) AS purchases FROM daily_revenue GROUP BY event_date ORDER BY event_date LIMIT 90", "Revenue by day."),
+@dataclass(frozen=True)
+class Template:
+    """A prepared answer: the words that ask for it beside those of its table, its SQL, and what it shows."""
+
+    table: str
+    words: frozenset[str]
+    sql: str
+    shows: str
+
+
+#: The SQL of the prepared answers.
+TEMPLATES = (
+    Template("category_performance_daily", frozenset({"category", "categories"}), "SELECT category_code, SUM(purchase_revenue) AS revenue FROM category_performance_daily GROUP BY category_code ORDER BY revenue DESC LIMIT 12", "Revenue of the strongest categories"),
+    Template("cohort_retention", frozenset({"cohort", "cohorts", "retention", "retained"}), "SELECT cohort_month, period_offset, retention_rate FROM cohort_retention ORDER BY cohort_month, period_offset LIMIT 120", "Share of each cohort that came back, by month"),
+    Template("top_products", frozenset({"product", "products", "seller", "sellers"}), "SELECT product_id, SUM(purchase_revenue) AS revenue FROM top_products GROUP BY product_id ORDER BY revenue DESC LIMIT 10", "Revenue of the strongest products"),
+    Template("daily_revenue", frozenset({"revenue", "sales", "trend", "purchases", "conversion", "orders"}), "SELECT event_date, SUM(purchase_revenue) AS revenue, SUM(purchase_count) AS purchases FROM daily_revenue GROUP BY event_date ORDER BY event_date LIMIT 90", "Revenue and purchases of each day"),
 )
-VAGUE = ("performance", "how is it going", "insights", "what happened")
 
 
 def plan_question(question: str) -> dict:
-    """Answer with SQL, or ask back when a question names no subject."""
-    low = question.lower()
-    if any(v in low for v in VAGUE) and "revenue" not in low and "conversion" not in low:
-        return {"action": "clarify", "clarification": "Which subject: revenue, conversion, retention, product or category?"}
-    for words, sql, about in QUESTIONS:
-        if not words or any(w in low for w in words):
-            return {"action": "answer", "sql": sql, "explanation": about}
-    return {"action": "clarify", "clarification": "Which subject?"}
+    """Answer with the template that shares most words with a question (ties: the first), or ask back if none shares any.
+
+    A template's words are its own and those of its table's name and metrics in the catalog.
+    """
+    asked = set(re.findall(r"[a-z]+", question.lower()))
+    known = {t.name: t for t in catalog()}
+
+    def score(t: Template) -> tuple[int, int]:
+        listed = {w for name in (t.table, *known[t.table].metrics) for w in name.split("_")}
+        return len(asked & t.words), len(asked & listed)
+
+    best = max(TEMPLATES, key=score)
+    if not any(score(best)):
+        subjects = sorted(min(t.words, key=lambda w: (len(w), w)) for t in TEMPLATES)
+        return {"action": "clarify", "clarification": f"Please name a subject, such as {', '.join(subjects[:-1])} or {subjects[-1]}."}
+    return {"action": "answer", "sql": best.sql, "explanation": best.shows}

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Fixed values of the synthetic data set.
-CATEGORIES = ("electronics.smartphone", "electronics.audio", "appliances.kitchen", "apparel.shoes")
-BRANDS = ("acme", "globex", "initech", "umbrella")
+#: Share of all events up to each type.
 TYPES = (("view", 0.80), ("cart", 0.95), ("purchase", 1.0))
+#: How many of each there are. Names are made from the numbers: category 7 is dept2.line07.
+CATEGORIES, DEPARTMENTS, BRANDS, PRODUCTS = 24, 5, 60, 3000
+#: Users take part by a power law: user u with weight falling in u.
+USERS, SESSIONS_PER_USER, LOWEST_PRICE, HIGHEST_PRICE = 20_000, 3, 0.5, 800.0
 
 
 def _uniform(seed: int, salt: str) -> Column:
@@ -18,22 +20,24 @@ def _uniform(seed: int, salt: str) -> Column:
 
 def synthetic_events(spark: SparkSession, rows: int, seed: int = 42, start: str = "2020-04-01 00:00:00", days: int = 1) -> DataFrame:
     """Raw event rows (all text): 80 % views, 15 % carts, 5 % purchases, spread over some days."""
-    pick = lambda values, salt: F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(_uniform(seed, salt) * len(values)) + 1).cast("int"))
-    whole = lambda salt, low, high: (F.floor(_uniform(seed, salt) * (high - low + 1)) + low).cast("long")
+    below = lambda salt, n, power=1.0: F.floor(F.pow(_uniform(seed, salt), F.lit(power)) * n).cast("long")
     kind_at = _uniform(seed, "type")
     kind = F.lit(TYPES[-1][0])
     for name, upto in reversed(TYPES[:-1]):
         kind = F.when(kind_at < upto, name).otherwise(kind)
     at = F.timestamp_seconds(F.unix_timestamp(F.lit(start).cast("timestamp")) + F.floor(_uniform(seed, "time") * days * 86400).cast("long"))
-    category = whole("category", 1, len(CATEGORIES))
+    # A product has one category, brand and price; popular products and busy users have low numbers.
+    product, user = below("product", PRODUCTS, 2.0), below("user", USERS, 1.5)
+    category, brand = product % CATEGORIES, product % BRANDS
+    price = F.round(LOWEST_PRICE + (HIGHEST_PRICE - LOWEST_PRICE) * F.pmod(F.xxhash64(F.lit(seed), product), F.lit(10_000)) / 10_000, 2)
     return spark.range(rows).select(
         F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("event_time"),
         kind.alias("event_type"),
-        whole("product", 1000, 9999).cast("string").alias("product_id"),
-        (category + 100).cast("string").alias("category_id"),
-        F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), category.cast("int")).alias("category_code"),
-        pick(BRANDS, "brand").alias("brand"),
-        F.format_string("%.2f", F.round(_uniform(seed, "price") * 1495 + 5, 2)).alias("price"),
-        whole("user", 1, 5000).cast("string").alias("user_id"),
-        F.format_string("sess-%05d", whole("session", 1, 20000)).alias("user_session"),
+        product.cast("string").alias("product_id"),
+        category.cast("string").alias("category_id"),
+        F.format_string("dept%d.line%02d", category % DEPARTMENTS, category).alias("category_code"),
+        F.format_string("brand%02d", brand).alias("brand"),
+        F.format_string("%.2f", price).alias("price"),
+        user.cast("string").alias("user_id"),
+        F.format_string("u%d-%d", user, below("session", SESSIONS_PER_USER)).alias("user_session"),
     )
