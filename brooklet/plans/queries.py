@@ -22,6 +22,7 @@ from brooklet.plans import lakehouse, operations
 from brooklet.schemas import MARTS
 from brooklet.sources.adapters import clickstream, order_purchases, raw_events, table
 from brooklet.sources.files import source_month, stream_json
+from brooklet.sources.sinks import hadoop_path
 from brooklet.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,14 +41,14 @@ P = """bought AS (
   SELECT CAST(o_orderdate AS DATE) AS event_date, l_partkey AS product_id, l_extendedprice * (1 - l_discount) AS price, o_custkey AS user_id, CAST(o_orderkey AS VARCHAR) AS session_id
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 SESSIONS = """marked AS (
-  SELECT *, lag(event_time) OVER w AS before FROM silver WINDOW w AS (PARTITION BY event_date, user_id ORDER BY event_time, event_id)
+  SELECT *, lag(event_time) OVER w AS before, lag(user_session IS NOT NULL) OVER w AS before_given FROM silver WINDOW w AS (PARTITION BY event_date, user_id ORDER BY event_time, event_id)
 ), opened AS (
-  SELECT *, CASE WHEN before IS NULL OR CAST(floor(epoch(event_time)) AS BIGINT) - CAST(floor(epoch(before)) AS BIGINT) > 1800 THEN 1 ELSE 0 END AS opens FROM marked
+  SELECT *, CASE WHEN user_session IS NOT NULL THEN 0 WHEN before IS NULL OR before_given OR CAST(floor(epoch(event_time)) AS BIGINT) - CAST(floor(epoch(before)) AS BIGINT) > 1800 THEN 1 ELSE 0 END AS opens FROM marked
 ), numbered AS (
   SELECT *, CAST(sum(opens) OVER (PARTITION BY event_date, user_id ORDER BY event_time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS k FROM opened
 ), sessions AS (
-  SELECT *, 'derived-' || coalesce(CAST(user_id AS VARCHAR), 'anonymous') || '-' || strftime(event_date, '%Y%m%d') || '-'
-    || CASE WHEN k < 10000 THEN lpad(CAST(k AS VARCHAR), 4, '0') ELSE CAST(k AS VARCHAR) END AS session_id FROM numbered)"""
+  SELECT *, coalesce(user_session, 'derived-' || coalesce(CAST(user_id AS VARCHAR), 'anonymous') || '-' || strftime(event_date, '%Y%m%d') || '-'
+    || CASE WHEN k < 10000 THEN lpad(CAST(k AS VARCHAR), 4, '0') ELSE CAST(k AS VARCHAR) END) AS session_id FROM numbered)"""
 R = """raw_one AS (
   SELECT '2024-Jan.csv' AS source_file,
     CASE WHEN event_id % 97 = 0 THEN 'garbage' WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S UTC') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S+00:00') END AS event_time,
@@ -126,6 +127,9 @@ _HISTORY = {"cohort_retention", "repeat_purchase", "product_affinity", "rfm_segm
 _SESSION_MARTS = {"session_funnel", "user_conversion_path", "time_to_conversion_distribution"}
 
 
+_BASKETS = "baskets AS (SELECT DISTINCT session_id, product_id FROM bought WHERE product_id IS NOT NULL)"
+
+
 def with_marts(*names: str, extra: str = "") -> str:
     """WITH clause that holds the fixtures and the named marts."""
     parts = []
@@ -136,7 +140,7 @@ def with_marts(*names: str, extra: str = "") -> str:
     if set(names) & _HISTORY:
         parts.append(P)
     if "product_affinity" in names:
-        parts.append("baskets AS (SELECT DISTINCT session_id, product_id FROM bought)")
+        parts.append(_BASKETS)
     return "WITH " + ",\n".join([*parts, *[f"{n} AS ({MART_SQL[n]})" for n in names]]) + "\n"
 
 
@@ -204,7 +208,7 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The February file's events that the January file didn't bring, and the reverse: a second batch of all rows."""
     rows = normalized(spark, sf_dir)
     present = silver.deduplicate(rows.where("source_month = '2024-02'"))
-    return silver.new_silver(silver.deduplicate(rows), present).select(*_NORMAL)
+    return silver.new_silver(silver.deduplicate(rows), present, silver.affected_dates(rows)).select(*_NORMAL)
 
 
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,20 +234,60 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("parse_envelope", lambda s, d: replay.parse_envelope(envelopes(s, d)).groupBy("parsed", "source_file", "source_month").agg(F.count(F.lit(1)).alias("messages"), F.count("event_type").alias("typed")), f"WITH {R} SELECT event_id % 53 <> 0 AS parsed, CASE WHEN event_id % 53 <> 0 THEN source_file END AS source_file, CASE WHEN event_id % 53 <> 0 THEN source_month END AS source_month, count(*) AS messages, count(CASE WHEN event_id % 53 <> 0 THEN event_type END) AS typed FROM hashed GROUP BY ALL")
 register("stream_freshness", lambda s, d: replay.freshness(replay.parse_envelope(envelopes(s, d))).select(F.round("avg_freshness_seconds", 6).alias("avg_freshness_seconds"), "max_freshness_seconds"), f"WITH {R} SELECT round(avg(5 + event_id % 7), 6) AS avg_freshness_seconds, max(5 + event_id % 7) AS max_freshness_seconds FROM hashed WHERE event_id % 53 <> 0")
 
+
+def replayed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows that came by the stream, by source and month."""
+    rows = replay.stream_bronze(replay.parse_envelope(envelopes(spark, sf_dir)), "stream-0")
+    return rows.where("source_type = 'stream'").groupBy("source_type", "source_file", "source_month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+#: The rows that arrive as whole messages.
+_R_SENT = R.replace("AS record_hash FROM raw\n", "AS record_hash FROM raw WHERE event_id % 53 <> 0\n")
+assert _R_SENT != R
+register("replay_rows_by_source_month", replayed_rows, f"WITH {_R_SENT} SELECT 'stream' AS source_type, source_file, source_month, count(*) AS rows FROM hashed GROUP BY source_file, source_month")
+
 # Quality.
 
 register("dq_silver_summary", lambda s, d: quality.silver_summary(normalized(s, d), silver.deduplicate(normalized(s, d))), f"WITH {R}, {_DEDUPED} SELECT * FROM (SELECT count(*) AS rows_seen, count_if(raw_event_time IS NOT NULL AND event_time IS NULL) AS invalid_timestamps, count_if(event_time IS NOT NULL AND event_type IS NOT NULL) AS valid_rows FROM normal), (SELECT count(*) AS rows, 0 AS missing_columns, count_if(event_time IS NULL) AS event_time_not_null, count_if(event_time IS NULL) AS event_date_not_null, count_if(event_type IS NULL) AS event_type_not_null, count_if(event_type NOT IN ('view', 'cart', 'purchase')) AS event_type_allowed, 0 AS event_date_matches_time, count_if(event_type = 'purchase' AND (price IS NULL OR price < 0)) AS purchase_price_valid FROM deduped)")
 
 
 def gold_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of all marts, one row each; a mart without a rule has null there."""
     out = None
-    for name in ("daily_revenue", "conversion_funnel_daily", "category_performance_daily", "top_products"):
+    for name in MARTS:
         row = quality.summarize(mart(name)(spark, sf_dir), quality.mart_rules(MARTS[name]), MARTS[name].schema.names).select(F.lit(name).alias("mart"), "*")
-        out = row if out is None else out.unionByName(row)
+        out = row if out is None else out.unionByName(row, allowMissingColumns=True)
     return out
 
 
-register("dq_gold_summary", gold_quality, with_marts("daily_revenue", "conversion_funnel_daily", "category_performance_daily", "top_products") + " UNION ALL ".join(f"SELECT '{n}' AS mart, count(*) AS rows, 0 AS missing_columns, count_if(event_date IS NULL) AS event_date_not_null, count_if({c} < 0) AS metrics_not_negative FROM {n}" for n, c in (("daily_revenue", "purchase_revenue"), ("conversion_funnel_daily", "views"), ("category_performance_daily", "purchase_revenue"), ("top_products", "purchase_revenue"))))
+def _rules_sql(name: str) -> str:
+    dated = "count_if(event_date IS NULL)" if MARTS[name].partition else "CAST(NULL AS BIGINT)"
+    negative = " OR ".join(f"coalesce({c} < 0, FALSE)" for c in MARTS[name].non_negative)
+    return f"SELECT '{name}' AS mart, count(*) AS rows, 0 AS missing_columns, {dated} AS event_date_not_null, count_if({negative}) AS metrics_not_negative FROM {name}"
+
+
+def broken_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every rule over events spoiled on purpose: wrong dates, types and prices, nulls, and a column that is missing."""
+    key = F.col("event_id")
+    spoiled = clickstream(spark, sf_dir).withColumns(
+        {
+            "event_date": F.when(key % 7 == 0, F.date_add("event_date", 1)).when(key % 17 != 0, F.col("event_date")),
+            "event_type": F.when(key % 11 == 0, "bogus").when(key % 19 != 0, F.col("event_type")),
+            "price": F.when(key % 13 == 0, F.lit(-1.0)).when(key % 23 != 0, F.col("price")),
+            "event_time": F.when(key % 29 != 0, F.col("event_time")),
+        }
+    )
+    return quality.summarize(spoiled.drop("user_id"), quality.silver_rules(), quality.SILVER_COLUMNS)
+
+
+_SPOILED = """spoiled AS (
+  SELECT CASE WHEN event_id % 7 = 0 THEN event_date + 1 WHEN event_id % 17 <> 0 THEN event_date END AS event_date, CASE WHEN event_id % 11 = 0 THEN 'bogus' WHEN event_id % 19 <> 0 THEN event_type END AS event_type,
+    CASE WHEN event_id % 13 = 0 THEN -1.0 WHEN event_id % 23 <> 0 THEN price END AS price, CASE WHEN event_id % 29 <> 0 THEN event_time END AS event_time FROM silver)"""
+register("dq_broken_silver", broken_silver, f"WITH {S}, {_SPOILED} SELECT count(*) AS rows, 1 AS missing_columns, count_if(event_time IS NULL) AS event_time_not_null, count_if(event_date IS NULL) AS event_date_not_null, count_if(event_type IS NULL) AS event_type_not_null, count_if(event_type NOT IN ('view', 'cart', 'purchase')) AS event_type_allowed, count_if(event_date <> CAST(event_time AS DATE)) AS event_date_matches_time, count_if(event_type = 'purchase' AND (price IS NULL OR price < 0)) AS purchase_price_valid FROM spoiled")
+
+
+register("dq_gold_summary", gold_quality, with_marts(*MARTS) + " UNION ALL ".join(map(_rules_sql, MARTS)))
+register("duplicate_dedupe_keys", lambda s, d: quality.duplicates(silver.keyed(normalized(s, d)), ["dedupe_key"]), f"WITH {R} SELECT count(*) AS duplicate_keys FROM (SELECT 1 FROM normal WHERE {_VALID} GROUP BY {_KEY} HAVING count(*) > 1)")
 register("duplicate_keys", lambda s, d: quality.duplicates(table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]), "SELECT count(*) AS duplicate_keys FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)")
 register("order_products_distinct", lambda s, d: order_purchases(s, d).select("session_id", "product_id").distinct(), f"WITH {P} SELECT DISTINCT session_id, product_id FROM bought")
 
@@ -251,8 +295,16 @@ register("order_products_distinct", lambda s, d: order_purchases(s, d).select("s
 
 
 def _scratch(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="brooklet-")
-    return f"{folder}/{uuid.uuid4().hex}"
+    """A folder of the session's shared one; a local session may have one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="brooklet-")
+    path = f"{folder}/{uuid.uuid4().hex}"
+    where, system = hadoop_path(spark, path)
+    system.deleteOnExit(where)
+    return path
 
 
 def stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,8 +326,11 @@ def small_file_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(k, v["files"], v["small_files"]) for k, v in done.items()], "moment string, files long, small_files long")
 
 
-register("stream_marts", stream_marts)
+#: Silver and its purchases after a whole run over R.
+_LANDED = """, {deduped}, silver AS (SELECT * REPLACE (CAST(event_time AS TIMESTAMP) AS event_time), CAST(event_time AS DATE) AS event_date FROM deduped), {sessions}, bought AS (SELECT * FROM sessions WHERE event_type = 'purchase'), {baskets}, """.format(deduped=_DEDUPED, sessions=SESSIONS, baskets=_BASKETS)
+register("stream_marts", stream_marts, f"WITH {_R_SENT}{_LANDED}daily_revenue AS ({MART_SQL['daily_revenue']}) {_selected('daily_revenue')}")
 register("file_stats", lambda s, d: operations.file_stats(s, _small_files(s, d)))
+register("file_counts", lambda s, d: operations.file_stats(s, _small_files(s, d)).select("files", "small_files"), "SELECT 12 AS files, 12 AS small_files")
 register("small_file_compaction", small_file_compaction)
 register("bernoulli_sample", lambda s, d: operations.bernoulli_sample(clickstream(s, d), 0.1))
 
@@ -291,4 +346,13 @@ def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-register("lakehouse_batch", refreshed)
+def made_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of a lakehouse that was just created."""
+    house = lakehouse.Lakehouse(spark, _scratch(spark))
+    house.create()
+    return spark.createDataFrame([(n,) for n in house.tables()], "table_name string")
+
+
+_counted = ", ".join(f"{n} AS ({MART_SQL[n]})" for n in MARTS)
+register("lakehouse_batch", refreshed, f"WITH {R}{_LANDED}{_counted} " + " UNION ALL ".join(f"SELECT '{n}' AS mart, count(*) AS rows FROM {n}" for n in MARTS))
+register("list_tables", made_tables, " UNION ALL ".join(f"SELECT '{n}' AS table_name" for n in (*lakehouse.PARTITIONS, *MARTS)))

@@ -64,6 +64,9 @@ REPORTS = {
     "gold_sanity_repeat": "SELECT count(*) AS n, count_if(repeat_purchasers > purchasers) AS too_many_repeaters FROM repeat_purchase",
     "gold_sanity_affinity": "SELECT count(*) AS n, count_if(product_a >= product_b) AS misordered_pairs FROM product_affinity",
     "conversions_per_day": f"SELECT {_D}, sum(conversions) AS conversions FROM time_to_conversion_distribution GROUP BY event_date",
+    "window_session_sanity": "SELECT count(*) AS sessions, count_if(converted) AS converted_sessions, count_if(session_duration_seconds < 0) AS negative_durations FROM session_funnel WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'",
+    "window_user_path_mix": f"SELECT {_D}, path_label, count(*) AS users FROM user_conversion_path WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY event_date, path_label",
+    "window_conversions": f"SELECT {_D}, time_bucket, sum(conversions) AS conversions FROM time_to_conversion_distribution WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY event_date, time_bucket",
     "gold_sanity_rfm": "SELECT count(*) AS users, count_if(r_score NOT BETWEEN 1 AND 5 OR f_score NOT BETWEEN 1 AND 5 OR m_score NOT BETWEEN 1 AND 5) AS scores_out_of_range FROM rfm_segmentation",
     # Benchmark queries.
     "bench_daily_revenue_sum": "SELECT round(sum(purchase_revenue), 2) AS revenue FROM daily_revenue",
@@ -73,7 +76,9 @@ REPORTS = {
     "bench_rfm_users": "SELECT count(*) AS users FROM rfm_segmentation",
     # Canned questions.
     "question_cohort": "SELECT cohort_month, period_offset, retention_rate FROM cohort_retention ORDER BY cohort_month, period_offset LIMIT 120",
-    "question_trend": f"SELECT {_D}, sum(purchase_revenue) AS revenue, sum(purchase_count) AS purchases FROM daily_revenue GROUP BY daily_revenue.event_date ORDER BY daily_revenue.event_date LIMIT 90",
+    "question_category": "SELECT category_code, sum(purchase_revenue) AS revenue FROM category_performance_daily GROUP BY category_code ORDER BY revenue DESC, category_code LIMIT 12",
+    "question_product": "SELECT product_id, sum(purchase_revenue) AS revenue FROM top_products GROUP BY product_id ORDER BY revenue DESC, product_id LIMIT 10",
+    "question_trend": f"SELECT {_D}, sum(purchase_revenue) AS revenue, sum(purchase_count) AS purchases FROM daily_revenue g GROUP BY g.event_date ORDER BY g.event_date LIMIT 90",
 }
 _SPARK = {"{text}": "STRING", "{first}": "date_format(min(event_time), 'yyyy-MM-dd HH:mm:ss')", "{last}": "date_format(max(event_time), 'yyyy-MM-dd HH:mm:ss')"}
 _DUCK = {"{text}": "VARCHAR", "{first}": "strftime(min(event_time), '%Y-%m-%d %H:%M:%S')", "{last}": "strftime(max(event_time), '%Y-%m-%d %H:%M:%S')"}
@@ -90,15 +95,16 @@ def tables_of(sql: str) -> list[str]:
 
 
 def report(name: str):
-    """A report as a query: the marts that it reads become views."""
+    """A report as a query: the marts that it reads are passed as frames, so no view of the session is touched."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sql = REPORTS[name]
-        for n in tables_of(sql):
-            mart(n)(spark, sf_dir).createOrReplaceTempView(n)
-        if re.search(r"\bFROM silver\b", sql):
-            clickstream(spark, sf_dir).createOrReplaceTempView("silver")
-        return plain(spark.sql(_filled(sql, _SPARK)))
+        frames = {n: mart(n)(spark, sf_dir) for n in tables_of(REPORTS[name])}
+        if re.search(r"\bFROM silver\b", REPORTS[name]):
+            frames["silver"] = clickstream(spark, sf_dir)
+        sql = _filled(REPORTS[name], _SPARK)
+        for n in frames:
+            sql = re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {{{n}}}", sql)
+        return plain(spark.sql(sql, **frames))
 
     return query
 
