@@ -1,10 +1,14 @@
-"""Command line: backfill, stream, replay, refresh, maintain, sql, generate."""
+"""Command line: backfill, stream, replay, create, refresh, recover, maintain, sql, generate, benchmark, sample.
+
+Options that are not given come from the environment, as BROOKLET_<OPTION>: BROOKLET_ROOT for --root.
+"""
 
 from __future__ import annotations
 
 import argparse
 import csv
 import json
+import os
 
 from brooklet.session import build_session
 
@@ -38,6 +42,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--trigger-seconds", type=int)
     s.add_argument("--timeout-seconds", type=float)
+    s.add_argument("--stop-after-seconds", type=float)
+    s.add_argument("--bronze-partitions", type=int, help="files of each month that a batch writes")
+    s.add_argument("--silver-partitions", type=int, help="files of each date that a batch writes")
     s.add_argument("--progress-poll-seconds", type=float, default=0.5)
     s.add_argument("--progress-log-path")
     s.add_argument("--gold-refresh-mode", choices=("none", "affected_dates", "full"), default="affected_dates")
@@ -47,19 +54,24 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--output-dir", required=True)
     r.add_argument("--batch-size", type=int, default=500)
     r.add_argument("--max-rows", type=int)
+    r.add_argument("--runtime-seconds", type=float)
+    r.add_argument("--sleep-seconds", type=float, default=0.0)
+    r.add_argument("--report-every", type=int, default=0, help="messages between progress lines")
     r.add_argument("--repeat-input", action=argparse.BooleanOptionalAction, default=False)
 
-    f = sub.add_parser("refresh", help="rebuild all marts")
-    f.add_argument("--root", required=True)
+    for name, about in (("create", "make empty tables"), ("refresh", "rebuild all marts"), ("recover", "mend a stopped compaction")):
+        sub.add_parser(name, help=about).add_argument("--root", required=True)
 
     m = sub.add_parser("maintain", help="report and compact small files")
     m.add_argument("--root", required=True)
     m.add_argument("--tables", nargs="+", required=True)
     m.add_argument("--small-file-bytes", type=int, default=32 << 20)
     m.add_argument("--execute", action="store_true")
+    m.add_argument("--output-json")
 
     q = sub.add_parser("sql", help="run a guarded query over the marts")
     q.add_argument("--root", required=True)
+    q.add_argument("--timeout-seconds", type=float, default=25.0)
     q.add_argument("query")
 
     g = sub.add_parser("generate", help="write synthetic events as CSV")
@@ -67,12 +79,45 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--rows", type=int, default=1000)
     g.add_argument("--seed", type=int, default=42)
     g.add_argument("--days-span", type=int, default=1)
+
+    n = sub.add_parser("benchmark", help="time the layers with their queries, or batch against micro-batches")
+    n.add_argument("kind", choices=("system", "processing"))
+    n.add_argument("--root", required=True)
+    n.add_argument("--output-dir", required=True)
+    n.add_argument("--input-file", action="append", help="event files; synthetic events where none is given")
+    n.add_argument("--rows", type=int, default=10_000)
+    n.add_argument("--rows-per-batch", type=int, default=2_000)
+    n.add_argument("--seed", type=int, default=42)
+
+    a = sub.add_parser("sample", help="keep a Bernoulli sample of event files")
+    a.add_argument("--input-file", action="append", required=True)
+    a.add_argument("--output-dir", required=True)
+    a.add_argument("--fraction", type=float, required=True)
+    a.add_argument("--seed", type=int, default=42)
+    _from_environment(p)
     return p
 
 
+def _from_environment(p: argparse.ArgumentParser) -> None:
+    """Defaults of options from the environment; their types still apply."""
+    for action in p._actions:
+        if isinstance(action, argparse._SubParsersAction):
+            for each in action.choices.values():
+                _from_environment(each)
+        elif action.option_strings and (held := os.environ.get("BROOKLET_" + action.dest.upper())) is not None:
+            if action.nargs == 0 or isinstance(action, argparse.BooleanOptionalAction):
+                action.default = held.lower() in ("1", "true", "yes")
+            else:
+                action.default = held.split(",") if isinstance(action, argparse._AppendAction) or action.nargs == "+" else held
+            action.required = False
+
+
 def main(argv: list[str] | None = None) -> object:
     a = parser().parse_args(argv)
-    from brooklet.plans import operations, serving
+    from pyspark.sql import functions as F
+
+    from brooklet.operators.bronze import project_bronze
+    from brooklet.plans import benchmark, operations, serving
     from brooklet.plans.backfill import backfill
     from brooklet.plans.lakehouse import PARTITIONS, Lakehouse
     from brooklet.schemas import MARTS
@@ -82,11 +127,34 @@ def main(argv: list[str] | None = None) -> object:
     if a.command == "replay":
         with open(a.input_csv, newline="") as source:
             rows = list(csv.DictReader(source)) if a.repeat_input else csv.DictReader(source)
-            return replay.drop_messages(replay.replay_messages(rows, a.input_csv.rpartition("/")[2], a.max_rows, a.repeat_input), a.output_dir, a.batch_size)
+            said = 0
+
+            def report(n: int) -> None:
+                nonlocal said
+                if a.report_every and n - said >= a.report_every:
+                    said = n
+                    print(json.dumps({"messages": n}), flush=True)
+
+            messages = replay.replay_messages(rows, a.input_csv.rpartition("/")[2], a.max_rows, a.repeat_input, a.runtime_seconds)
+            return replay.drop_messages(messages, a.output_dir, a.batch_size, a.sleep_seconds, report)
     spark = build_session()
     if a.command == "generate":
         return sinks.write_csv(generator.synthetic_events(spark, a.rows, a.seed, days=a.days_span), a.output)
+    if a.command == "sample":
+        frame, there = operations.cached_sample(files.read_csv(spark, a.input_file), a.output_dir, {"files": sorted(a.input_file)}, a.fraction, a.seed)
+        return {"rows": frame.count(), "cached": there, "files": frame.inputFiles()}
     house = Lakehouse(spark, a.root)
+    if a.command == "benchmark":
+        raw = files.read_csv(spark, a.input_file) if a.input_file else generator.synthetic_events(spark, a.rows, a.seed).withColumn("source_file", F.lit("synthetic"))
+        month = files.source_month(F.col("source_file")) if a.input_file else F.lit("2020-04")
+        bronze = project_bronze(raw, "benchmark", "batch", F.col("source_file"), month)
+        if a.kind == "system":
+            result = benchmark.system_benchmark(house, bronze)
+        else:
+            result = benchmark.processing_benchmark(Lakehouse(spark, f"{house.root}/batch"), Lakehouse(spark, f"{house.root}/stream"), bronze, a.rows_per_batch)
+        return {**result, "written": benchmark.write_result(result, a.output_dir, a.kind)}
+    if a.command in ("create", "recover"):
+        return house.create() if a.command == "create" else house.recover()
     if a.command == "backfill":
         done = backfill(
             house, a.input_dir, a.start_month, a.end_month, input_files=a.input_file, source_month=a.source_month, resume_from=a.resume_from, reset_tables=a.reset_tables, gold=a.gold_refresh_mode, manifests=a.manifests
@@ -98,18 +166,23 @@ def main(argv: list[str] | None = None) -> object:
             if a.bootstrap_servers
             else files.stream_json(spark, a.input_dir, a.max_files_per_trigger)
         )
+        house.files = {name: n for name, n in (("bronze_events", a.bronze_partitions), ("silver_events", a.silver_partitions)) if n}
         return vars(
             replay.run_stream(
-                messages, house, a.checkpoint_location, gold=a.gold_refresh_mode, trigger_seconds=a.trigger_seconds, timeout_seconds=a.timeout_seconds, poll_seconds=a.progress_poll_seconds, query_name=a.query_name, progress_log=a.progress_log_path
+                messages, house, a.checkpoint_location, gold=a.gold_refresh_mode, trigger_seconds=a.trigger_seconds, timeout_seconds=a.timeout_seconds, stop_after_seconds=a.stop_after_seconds, poll_seconds=a.progress_poll_seconds, query_name=a.query_name, progress_log=a.progress_log_path
             )
         )
     if a.command == "refresh":
         return house.refresh([], "rebuild")
     if a.command == "maintain":
         partition = lambda n: PARTITIONS.get(n) or MARTS[n].partition
-        return {n: operations.maintain(spark, house.path(n), partition(n), a.small_file_bytes, a.execute) for n in a.tables}
+        found = {n: operations.maintain(spark, house.path(n), partition(n), a.small_file_bytes, a.execute) for n in a.tables}
+        if a.output_json:
+            with open(a.output_json, "w") as f:
+                json.dump(found, f, indent=2)
+        return found
     house.register_views()
-    return serving.to_records(serving.run_sql(spark, a.query))
+    return serving.execute(spark, a.query, seconds=a.timeout_seconds)
 
 
 if __name__ == "__main__":

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import json
 import statistics
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -52,6 +55,28 @@ def processing_benchmark(batch_house: Lakehouse, stream_house: Lakehouse, bronze
     return {"batch_seconds": whole, "microbatches": len(each), "streaming_seconds": sum(each), "average_latency_seconds": statistics.mean(each or [0.0]), "max_latency_seconds": max(each, default=0.0)}
 
 
+def write_result(result: dict, folder: str, name: str) -> tuple[str, str]:
+    """A result as JSON and, flattened to one row, as CSV; returns both paths."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    paths = Path(folder) / f"{name}.json", Path(folder) / f"{name}.csv"
+    paths[0].write_text(json.dumps(result, indent=2, default=str))
+    row = dict(flattened(result))
+    with open(paths[1], "w", newline="") as f:
+        w = csv.DictWriter(f, list(row))
+        w.writeheader()
+        w.writerow(row)
+    return str(paths[0]), str(paths[1])
+
+
+def flattened(value: Any, name: str = "") -> Iterator[tuple[str, Any]]:
+    """(dotted name, value) of the leaves of nested dicts and lists."""
+    if isinstance(value, (dict, list)):
+        for k, v in value.items() if isinstance(value, dict) else enumerate(value):
+            yield from flattened(v, f"{name}.{k}" if name else str(k))
+    else:
+        yield name, value
+
+
 def same_marts(a: Lakehouse, b: Lakehouse) -> bool:
     """Whether two lakehouses hold the same marts."""
     for n in MARTS:

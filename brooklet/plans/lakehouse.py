@@ -45,8 +45,9 @@ class Batch:
 class Lakehouse:
     """Tables below one root folder, which all executors reach."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, files: dict[str, int] | None = None) -> None:
+        """``files``: how many files at most a write makes of each partition value, by table; by size where none is given."""
+        self.spark, self.root, self.files = spark, root.rstrip("/"), files or {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -101,7 +102,7 @@ class Lakehouse:
                 done.rejected_rows = bad.count()
                 if done.rejected_rows:
                     sinks.quarantine(bad, self.root, run_id)
-                sinks.append(fresh, self.path("bronze_events"), "source_month")
+                sinks.append(fresh, self.path("bronze_events"), "source_month", self.files.get("bronze_events"))
             fresh.unpersist()
 
             candidates = deduplicate(normalize(batch)).persist(StorageLevel.DISK_ONLY)
@@ -110,7 +111,7 @@ class Lakehouse:
             quality.gate(quality.evaluate(publish, quality.silver_rules(), quality.SILVER_COLUMNS), fail_on_quality)
             done.silver_rows = publish.count()
             if done.silver_rows:
-                sinks.append(publish, self.path("silver_events"), "event_date")
+                sinks.append(publish, self.path("silver_events"), "event_date", self.files.get("silver_events"))
             publish.unpersist()
             candidates.unpersist()
         finally:

@@ -199,20 +199,20 @@ def suggest_chart(df: DataFrame) -> dict | None:
 
 @dataclass(frozen=True)
 class Template:
-    """A prepared answer: the words that ask for it beside those of its table, its SQL, and what it shows."""
+    """A prepared answer: the words that ask for it (its subject first) beside those of its table, its SQL, and what it shows."""
 
     table: str
-    words: frozenset[str]
+    words: tuple[str, ...]
     sql: str
     shows: str
 
 
 #: The SQL of the prepared answers.
 TEMPLATES = (
-    Template("category_performance_daily", frozenset({"category", "categories"}), "SELECT category_code, SUM(purchase_revenue) AS revenue FROM category_performance_daily GROUP BY category_code ORDER BY revenue DESC LIMIT 12", "Revenue of the strongest categories"),
-    Template("cohort_retention", frozenset({"cohort", "cohorts", "retention", "retained"}), "SELECT cohort_month, period_offset, retention_rate FROM cohort_retention ORDER BY cohort_month, period_offset LIMIT 120", "Share of each cohort that came back, by month"),
-    Template("top_products", frozenset({"product", "products", "seller", "sellers"}), "SELECT product_id, SUM(purchase_revenue) AS revenue FROM top_products GROUP BY product_id ORDER BY revenue DESC LIMIT 10", "Revenue of the strongest products"),
-    Template("daily_revenue", frozenset({"revenue", "sales", "trend", "purchases", "conversion", "orders"}), "SELECT event_date, SUM(purchase_revenue) AS revenue, SUM(purchase_count) AS purchases FROM daily_revenue GROUP BY event_date ORDER BY event_date LIMIT 90", "Revenue and purchases of each day"),
+    Template("category_performance_daily", ("category", "categories"), "SELECT category_code, SUM(purchase_revenue) AS revenue FROM category_performance_daily GROUP BY category_code ORDER BY revenue DESC LIMIT 12", "Revenue of the strongest categories"),
+    Template("cohort_retention", ("cohort", "cohorts", "retention", "retained"), "SELECT cohort_month, period_offset, retention_rate FROM cohort_retention ORDER BY cohort_month, period_offset LIMIT 120", "Share of each cohort that came back, by month"),
+    Template("top_products", ("product", "products", "seller", "sellers"), "SELECT product_id, SUM(purchase_revenue) AS revenue FROM top_products GROUP BY product_id ORDER BY revenue DESC LIMIT 10", "Revenue of the strongest products"),
+    Template("daily_revenue", ("revenue", "sales", "trend", "purchases", "conversion", "orders"), "SELECT event_date, SUM(purchase_revenue) AS revenue, SUM(purchase_count) AS purchases FROM daily_revenue GROUP BY event_date ORDER BY event_date LIMIT 90", "Revenue and purchases of each day"),
 )
 
 
@@ -226,10 +226,10 @@ def plan_question(question: str) -> dict:
 
     def score(t: Template) -> tuple[int, int]:
         listed = {w for name in (t.table, *known[t.table].metrics) for w in name.split("_")}
-        return len(asked & t.words), len(asked & listed)
+        return len(asked & set(t.words)), len(asked & listed)
 
     best = max(TEMPLATES, key=score)
     if not any(score(best)):
-        subjects = sorted(min(t.words, key=lambda w: (len(w), w)) for t in TEMPLATES)
+        subjects = [t.words[0] for t in TEMPLATES]
         return {"action": "clarify", "clarification": f"Please name a subject, such as {', '.join(subjects[:-1])} or {subjects[-1]}."}
     return {"action": "answer", "sql": best.sql, "explanation": best.shows}

@@ -35,8 +35,13 @@ def _writer(df: DataFrame, partition: str | None):
     return df.hint("rebalance", partition).write.partitionBy(partition)
 
 
-def append(df: DataFrame, path: str, partition: str | None = None) -> None:
-    _writer(df, partition).mode("append").parquet(path)
+def append(df: DataFrame, path: str, partition: str | None = None, files: int | None = None) -> None:
+    """``files`` fixes how many files each partition value may have; by default size decides."""
+    if partition and files:
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+        df.repartition(F.col(partition), spread).write.partitionBy(partition).mode("append").parquet(path)
+    else:
+        _writer(df, partition).mode("append").parquet(path)
 
 
 def replace_table(df: DataFrame, path: str, partition: str | None = None) -> None:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import islice
+from itertools import islice, takewhile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,13 +67,15 @@ def run_stream(
     gold: str = "affected_dates",
     trigger_seconds: int | None = None,
     timeout_seconds: float | None = None,
+    stop_after_seconds: float | None = None,
     poll_seconds: float = 0.5,
     query_name: str | None = None,
     progress_log: str | None = None,
 ) -> StreamRun:
-    """Run a stream (value, timestamp) until it has caught up, or with a trigger until the timeout.
+    """Run a stream (value, timestamp) until it has caught up, or with a trigger until a deadline.
 
-    A repeated micro-batch lands nothing twice; a late event reopens its date. Malformed messages go to quarantine.
+    ``timeout_seconds`` stops the query where it is; ``stop_after_seconds`` lets a
+    micro-batch that is under way end first, so it is committed. A repeated micro-batch lands nothing twice; a late event reopens its date. Malformed messages go to quarantine.
     """
     run = StreamRun()
 
@@ -114,14 +116,18 @@ def run_stream(
             if timeout_seconds is not None and time.monotonic() - began >= timeout_seconds:
                 run.stop_reason = "timeout"
                 break
+            if stop_after_seconds is not None and time.monotonic() - began >= stop_after_seconds and not query.status["isTriggerActive"]:
+                run.stop_reason = "stop_after"
+                break
     finally:
         if query.isActive:
             query.stop()
     return run
 
 
-def replay_messages(rows: list[dict], source_file: str, max_rows: int | None = None, repeat: bool = False) -> Iterator[str]:
-    """Envelope messages of raw rows, up to ``max_rows``, over and over if asked."""
+def replay_messages(rows: list[dict], source_file: str, max_rows: int | None = None, repeat: bool = False, runtime_seconds: float | None = None) -> Iterator[str]:
+    """Envelope messages of raw rows, up to ``max_rows`` or for ``runtime_seconds``, over and over if asked."""
+    began = time.monotonic()
 
     def once() -> Iterator[str]:
         for r in rows:
@@ -132,11 +138,16 @@ def replay_messages(rows: list[dict], source_file: str, max_rows: int | None = N
         while rows:
             yield from once()
 
-    return islice(endless() if repeat and max_rows is not None else once(), max_rows)
+    bounded = max_rows is not None or runtime_seconds is not None
+    messages = islice(endless() if repeat and bounded else once(), max_rows)
+    return messages if runtime_seconds is None else takewhile(lambda _: time.monotonic() - began < runtime_seconds, messages)
+
 
+def drop_messages(messages: Iterator[str], folder: str, rows_per_file: int = 500, sleep_seconds: float = 0.0, report: Callable[[int], None] | None = None) -> int:
+    """Write messages as files of a stream folder; returns how many. A file appears whole, by renaming.
 
-def drop_messages(messages: Iterator[str], folder: str, rows_per_file: int = 500) -> int:
-    """Write messages as files of a stream folder; returns how many. A file appears whole, by renaming."""
+    ``sleep_seconds`` pass between files; ``report`` hears the number of messages after each.
+    """
     Path(folder).mkdir(parents=True, exist_ok=True)
     n = 0
     while part := list(islice(messages, rows_per_file)):
@@ -145,6 +156,9 @@ def drop_messages(messages: Iterator[str], folder: str, rows_per_file: int = 500
         hidden.write_text("\n".join(part) + "\n")
         hidden.rename(path)
         n += len(part)
+        if report:
+            report(n)
+        time.sleep(sleep_seconds)
     return n
 
 

@@ -5,7 +5,8 @@ import pytest
 from helpers import RAW_COLUMNS, SIX, events, raw
 
 from brooklet.operators import quality, silver
-from brooklet.operators.bronze import new_bronze, project_bronze
+from brooklet.functions.expressions import parsed_time
+from brooklet.operators.bronze import new_bronze, new_rows, project_bronze
 from brooklet.plans.lakehouse import Lakehouse, build_run_id
 from brooklet.schemas import BRONZE, RAW
 from brooklet.sources import files, generator, sinks
@@ -139,3 +140,59 @@ def test_generator(spark):
 
 def test_run_id():
     assert build_run_id("x").startswith("x-")
+
+
+def test_times_in_every_spelling(spark):
+    rows = ["2020-04-01T10:00:00Z", "2020-04-01T12:00:00+02:00", "2020-04-01 10:00:00 UTC", "2020-04-01 10:00:00+00", "2020-04-01 10:00:00+00:00", " 2020-04-01 10:00:00 ", "garbage", "", None, "2020-13-01 10:00:00 UTC"]
+    got = spark.createDataFrame([(k, x) for k, x in enumerate(rows)], "k int, t string").select("k", F.unix_timestamp(parsed_time("t")).alias("t")).orderBy("k").collect()
+    assert [r.t for r in got] == [1585735200] * 6 + [None] * 4
+
+
+def test_rejects_are_quarantined_once(spark, tmp_path, monkeypatch):
+    """A run that stops between quarantine and Bronze is repeated under another id."""
+    house = Lakehouse(spark, str(tmp_path / "house"))
+    rows = lambda run: project_bronze(spark.createDataFrame([tuple(r[c] for c in RAW_COLUMNS) for r in (raw(), raw(event_time="bad"), raw(event_type=""))], RAW), run, "csv", F.lit("2020-Apr.csv"), F.lit("2020-04"))
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "append", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            house.process(rows("r1"), "r1")
+    done = house.process(rows("r2"), "r2")
+    assert done.bronze_rows == 3 and spark.read.json(f"{house.root}/_quarantine", recursiveFileLookup=True).count() == 2
+
+
+def test_a_stopped_compaction_is_mended(spark, tmp_path):
+    house = Lakehouse(spark, str(tmp_path / "house"))
+    house.process(bronze_of(spark, [raw(), raw(product_id="7")]), "r1")
+    path = house.path("silver_events")
+    where, fs = sinks.hadoop_path(spark, path)
+    fs.rename(where, sinks.hadoop_path(spark, sinks.set_aside(path))[0])  # stopped between the renames
+    with pytest.raises(RuntimeError):
+        house.read("silver_events")
+    assert house.recover() == ["silver_events"] and house.read("silver_events").count() == 2
+    spark.read.parquet(path).write.parquet(sinks.set_aside(path))  # stopped before the old files went
+    sinks.compact(spark, path, "event_date")
+    assert house.read("silver_events").count() == 2 and not sinks.exists(spark, sinks.set_aside(path)) and house.recover() == []
+
+
+def test_tables_are_created_once(spark, tmp_path):
+    house = Lakehouse(spark, str(tmp_path / "house"))
+    assert set(house.create()) == set(house.tables()) and house.create() == []
+    assert house.read("top_products").count() == 0 and house.create("silver_events") == []
+
+
+def test_files_prune_the_anti_join(spark):
+    rows = spark.createDataFrame([(f"f{k % 3}", "2020-04", f"h{k}") for k in range(9)], "source_file string, source_month string, record_hash string")
+    assert sorted(r.record_hash for r in new_bronze(rows, rows.where("source_file <> 'f1'")).collect()) == ["h1", "h4", "h7"]
+
+
+def test_the_join_leaves_broadcasts_to_its_size(spark, tmp_path):
+    """No hint: a small target is broadcast under the session's threshold, beyond it the join shuffles."""
+    rows = spark.range(100).selectExpr("concat('f', id) AS source_file", "'2020-04' AS source_month", "concat('h', id) AS record_hash")
+    rows.write.parquet(f"{tmp_path}/t")
+    held, before = spark.read.parquet(f"{tmp_path}/t"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold, kind in (("10MB", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert kind in new_rows(held, held, "record_hash")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

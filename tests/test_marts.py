@@ -76,6 +76,28 @@ def test_sessions(spark):
     ]
 
 
+def test_anonymous_users_are_numbered_on_from_slice_to_slice(spark):
+    """Against the window over a whole day, over ties, gaps at slice borders and given sessions."""
+    import random
+
+    rng = random.Random(5)
+    rows, t = [], 0
+    for _ in range(400):
+        t += rng.choice([0, 0, 30, 899, 900, 901, 1799, 1800, 1801, 4000])
+        rows.append((f"2020-04-{1 + t // 86400:02d} {t % 86400 // 3600:02d}:{t % 3600 // 60:02d}:{t % 60:02d}", "view", 1, 1.0, None, rng.choice([None] * 6 + ["given"])))
+    got = {r.event_id: r.session_id for r in sessionize(events(spark, rows)).collect()}
+    known = sessionize(events(spark, [(*r[:4], 7, r[5]) for r in rows])).collect()
+    assert got == {r.event_id: r.session_id.replace("derived-7-", "derived-anonymous-") for r in known} and len(set(got.values())) > 20
+
+
+@pytest.mark.parametrize("block", [2, 5, 100])
+def test_large_baskets_meet_by_blocks(spark, block):
+    baskets = {"a": range(17), "b": range(5, 11), "c": [3], "d": [1, 9]}
+    bought = spark.createDataFrame([(s, p) for s, held in baskets.items() for p in held], "session_id string, product_id long")
+    want = sorted((x, y) for held in baskets.values() for x in held for y in held if x < y)
+    assert sorted((r.product_a, r.product_b) for r in marts._pairs(bought, block).collect()) == want
+
+
 def test_path_ties_go_by_name(spark):
     rows = [("2020-04-01 10:00:00", "view", 1, 1.0, 1, "s"), ("2020-04-01 10:00:00", "cart", 1, 1.0, 1, "s")]
     assert one(marts.session_funnel(sessionize(events(spark, rows)))).path_label == "cart>view"
@@ -90,7 +112,7 @@ def test_top_products_ranks_and_ties(spark):
 @pytest.mark.parametrize("n", [1, 4, 7, 23, 100])
 def test_positions_and_tiles_match_ntile(spark, n):
     df = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(3)).alias("v"), "id")
-    placed, total = global_positions(df, {"p": [F.col("v"), F.col("id")], "q": [-F.col("id")]}, ranges=5)
+    placed, total = global_positions(df, {"p": [F.col("v"), F.col("id")], "q": [-F.col("id")]}, rows_per_range=max(1, n // 5))
     assert total == n and all(r.q == n - r.id for r in placed.collect())
     got = placed.withColumn("t", tile_of(F.col("p"), F.lit(n), 5)).orderBy("p").collect()
     want = df.selectExpr("v", "id", "row_number() OVER (ORDER BY v, id) AS p", "ntile(5) OVER (ORDER BY v, id) AS t").orderBy("p").collect()

@@ -1,4 +1,5 @@
 import csv
+import json
 
 from helpers import RAW_COLUMNS, raw
 
@@ -46,6 +47,8 @@ def test_command_line(spark, tmp_path):
     assert run["rows"] == 12 and Lakehouse(spark, str(tmp_path / "s")).read("silver_events").count() == 5
     assert "top_products" in main(["refresh", "--root", root])
     assert main(["maintain", "--root", root, "--tables", "silver_events"])["silver_events"]["before"]["files"] >= 1
+    assert main(["maintain", "--root", root, "--tables", "silver_events", "--output-json", str(tmp_path / "report.json")]) == json.loads((tmp_path / "report.json").read_text())
+    assert main(["create", "--root", str(tmp_path / "new")]) and main(["recover", "--root", str(tmp_path / "new")]) == []
     main(["generate", "--output", str(tmp_path / "gen"), "--rows", "20"])
     assert files.read_csv(spark, str(tmp_path / "gen")).count() == 20
 
@@ -58,3 +61,49 @@ def test_benchmarks(spark, tmp_path):
     one, many = Lakehouse(spark, str(tmp_path / "b")), Lakehouse(spark, str(tmp_path / "c"))
     got = benchmark.processing_benchmark(one, many, bronze, 150)
     assert got["microbatches"] == 2 and benchmark.same_marts(one, many)
+
+
+def test_benchmark_command_writes_json_and_csv(spark, tmp_path):
+    for kind in ("system", "processing"):
+        out = main(["benchmark", kind, "--root", str(tmp_path / kind), "--output-dir", str(tmp_path / "out"), "--rows", "200", "--rows-per-batch", "100"])
+        held = json.loads((tmp_path / "out" / f"{kind}.json").read_text())
+        with open(tmp_path / "out" / f"{kind}.csv") as f:
+            (row,) = csv.DictReader(f)
+        assert set(held) < set(out) and set(row) == {k for k, _ in benchmark.flattened(held)}
+
+
+def test_sample_command_keeps_its_sample(spark, tmp_path):
+    month_file(tmp_path, "2020-Apr.csv", [raw(product_id=str(k)) for k in range(50)])
+    args = ["sample", "--input-file", str(tmp_path / "2020-Apr.csv"), "--output-dir", str(tmp_path / "s"), "--fraction", "0.5"]
+    one, two = main(args), main(args)
+    assert not one["cached"] and two["cached"] and one["rows"] == two["rows"] and 0 < one["rows"] < 50
+
+
+def test_options_come_from_the_environment(monkeypatch):
+    from brooklet.__main__ import parser
+
+    monkeypatch.setenv("BROOKLET_ROOT", "/data/house")
+    monkeypatch.setenv("BROOKLET_TRIGGER_SECONDS", "7")
+    monkeypatch.setenv("BROOKLET_TABLES", "a,b")
+    monkeypatch.setenv("BROOKLET_EXECUTE", "true")
+    a = parser().parse_args(["stream", "--checkpoint-location", "/ck"])
+    assert a.root == "/data/house" and a.trigger_seconds == 7
+    m = parser().parse_args(["maintain", "--root", "/other"])
+    assert m.root == "/other" and m.tables == ["a", "b"] and m.execute
+
+
+def test_replay_is_bounded_by_time(tmp_path):
+    from brooklet.streaming import replay
+
+    heard = []
+    n = replay.drop_messages(replay.replay_messages([raw()], "f", repeat=True, runtime_seconds=0.3), str(tmp_path), 5, 0.05, heard.append)
+    assert 0 < n == heard[-1] and len(heard) < 30
+
+
+def test_stream_stops_after_its_time_and_writes_few_files(spark, tmp_path):
+    month_file(tmp_path, "2020-Apr.csv", [raw(product_id=str(k)) for k in range(40)])
+    main(["replay", "--input-csv", str(tmp_path / "2020-Apr.csv"), "--output-dir", str(tmp_path / "msg")])
+    run = main(["stream", "--root", str(tmp_path / "s"), "--checkpoint-location", str(tmp_path / "ck"), "--input-dir", str(tmp_path / "msg"), "--trigger-seconds", "1", "--stop-after-seconds", "1", "--silver-partitions", "1", "--bronze-partitions", "2"])
+    house = Lakehouse(spark, str(tmp_path / "s"))
+    assert run["stop_reason"] == "stop_after" and house.read("silver_events").count() == 40
+    assert len(house.read("silver_events").inputFiles()) == 1 and len(house.read("bronze_events").inputFiles()) <= 2

@@ -59,7 +59,37 @@ def test_catalog_and_charts(views):
 
 
 def test_questions(views):
-    assert serving.plan_question("How is it going?")["action"] == "clarify"
+    asked = serving.plan_question("How is it going?")
+    assert asked["action"] == "clarify" and all(w in asked["clarification"] for w in ("category", "cohort", "product", "revenue"))
+    assert "cohort_retention" in serving.plan_question("Do customers come back? Show retention")["sql"] and "top_products" in serving.plan_question("What are the best products")["sql"]
     assert "category_code" in serving.plan_question("Best category?")["sql"]
     answer = serving.plan_question("revenue performance")
     assert answer["action"] == "answer" and serving.run_sql(views, answer["sql"]).count() == 1
+
+
+@pytest.mark.parametrize(
+    ("sql", "limit"),
+    [("SELECT * FROM daily_revenue LIMIT 400 OFFSET 5", 400), ("SELECT * FROM daily_revenue -- limit 500", 50), ("WITH x AS (SELECT * FROM daily_revenue LIMIT 3) SELECT * FROM x", 50), ("SELECT * FROM daily_revenue ORDER BY 1 LIMIT 7", 7), ("WITH x AS (SELECT * FROM daily_revenue) SELECT * FROM x LIMIT 900", 500)],
+)
+def test_limits_are_read_from_the_plan(views, sql, limit):
+    assert serving.check_sql(views, sql).limit == limit
+
+
+def test_a_query_stops_after_its_time(spark):
+    import time
+
+    spark.range(10**12).selectExpr("id AS event_date").createOrReplaceTempView("daily_revenue")
+    began = time.monotonic()
+    with pytest.raises(serving.QueryTimeout):
+        serving.execute(spark, "SELECT sum(event_date % 7) AS s FROM daily_revenue", seconds=1.5)
+    assert time.monotonic() - began < 30
+    spark.range(3).selectExpr("id AS event_date").createOrReplaceTempView("daily_revenue")
+    assert serving.execute(spark, "SELECT max(event_date) AS m FROM daily_revenue") == (["m"], [{"m": 2}])
+
+
+def test_reports_leave_views_alone(spark):
+    from brooklet.plans import reports
+
+    spark.range(3).createOrReplaceTempView("daily_revenue")
+    reports.QUERIES["kpi_total_revenue"](spark, "/root/testdata/sf0.001").collect()
+    assert spark.table("daily_revenue").columns == ["id"]
