@@ -32,6 +32,11 @@ def absent(candidates: DataFrame, present: DataFrame, key: str, prune: Column |
     return candidates.join(target, key, "left_anti")
 
 
+def small_enough(df: DataFrame, most: int) -> DataFrame:
+    """The frame, marked for broadcast if it has at most ``most`` rows, which are counted no further than that (0: never)."""
+    return F.broadcast(df) if most > 0 and df.limit(most + 1).count() <= most else df
+
+
 def new_rows(candidates: DataFrame, present: DataFrame, key: str, prune: Column | None = None) -> DataFrame:
     """Candidates whose key the target lacks, one row per key."""
     return absent(candidates.dropDuplicates([key]), present, key, prune)

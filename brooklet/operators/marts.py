@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from brooklet.functions.expressions import count_of, first_of, funnel_counts, is_type, money, month_of, path_label, ratio, revenue, whole_seconds
 from brooklet.operators.ranking import global_positions, tile_of
+from brooklet.schemas import EVENT_TYPES, MARTS, OTHER_SEGMENT, SEGMENTS, TIME_BUCKETS
 
 TOP_PRODUCTS, TOP_PAIRS, LOOKBACK_DAYS, TILES, BASKET = 10, 200, 90, 5, 1024
 _RATES = (("view_to_cart_rate", "carts", "views"), ("cart_to_purchase_rate", "purchases", "carts"), ("view_to_purchase_rate", "purchases", "views"))
@@ -52,45 +53,32 @@ def category_performance_daily(silver: DataFrame) -> DataFrame:
     return per.withColumn("average_order_value", _average("purchase_revenue", "purchases"))
 
 
-def _journey(per: DataFrame) -> DataFrame:
-    """Path and conversion from the first times of the stages."""
-    label = path_label({s: F.col(f"first_{s}") for s in ("view", "cart", "purchase")})
-    return per.withColumn("path_label", label).withColumn("converted", F.col("purchases") > 0)
+def _journeys(sessions: DataFrame, keys: list[str], ends: tuple[str, str], more: list[Column]) -> DataFrame:
+    """One row per key: when it begins and ends, what happens in it, its path by the stages' first times, and whether it converts."""
+    stages = {kind: f"first_{kind}" for kind in EVENT_TYPES}
+    measures = [F.min("event_time").alias(ends[0]), F.max("event_time").alias(ends[1]), *more, *funnel_counts(), revenue().alias("purchase_revenue")]
+    per = sessions.groupBy(*keys).agg(*measures, *[first_of(kind).alias(name) for kind, name in stages.items()])
+    label = path_label({kind: F.col(name) for kind, name in stages.items()})
+    return per.select("*", label.alias("path_label"), (F.col("purchases") > 0).alias("converted")).drop(*stages.values())
 
 
 def session_funnel(sessions: DataFrame) -> DataFrame:
-    per = sessions.groupBy("event_date", "user_id", "session_id").agg(
-        F.min("event_time").alias("session_start_time"),
-        F.max("event_time").alias("session_end_time"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.countDistinct("product_id").alias("distinct_products"),
-        *funnel_counts(),
-        revenue().alias("purchase_revenue"),
-        *[first_of(s).alias(f"first_{s}") for s in ("view", "cart", "purchase")],
-    )
-    length = F.greatest(whole_seconds(F.col("session_start_time"), F.col("session_end_time")), F.lit(0)).alias("session_duration_seconds")
-    return _journey(per).select(
-        "event_date", "user_id", "session_id", "session_start_time", "session_end_time", length, "total_events", "distinct_products", "views", "carts", "purchases", "purchase_revenue", "path_label", "converted"
-    )
+    more = [F.count(F.lit(1)).alias("total_events"), F.countDistinct("product_id").alias("distinct_products")]
+    per = _journeys(sessions, ["event_date", "user_id", "session_id"], ("session_start_time", "session_end_time"), more)
+    length = F.greatest(whole_seconds(F.col("session_start_time"), F.col("session_end_time")), F.lit(0))
+    return per.withColumn("session_duration_seconds", length).select(*MARTS["session_funnel"].schema.names)
 
 
 def user_conversion_path(sessions: DataFrame) -> DataFrame:
-    per = sessions.groupBy("event_date", "user_id").agg(
-        F.countDistinct("session_id").alias("session_count"),
-        F.min("event_time").alias("first_event_time"),
-        F.max("event_time").alias("last_event_time"),
-        *funnel_counts(),
-        revenue().alias("purchase_revenue"),
-        *[first_of(s).alias(f"first_{s}") for s in ("view", "cart", "purchase")],
-    )
-    return _journey(per).drop("first_view", "first_cart", "first_purchase")
+    per = _journeys(sessions, ["event_date", "user_id"], ("first_event_time", "last_event_time"), [F.countDistinct("session_id").alias("session_count")])
+    return per.select(*MARTS["user_conversion_path"].schema.names)
 
 
 def time_to_conversion_distribution(sessions: DataFrame) -> DataFrame:
     per = sessions.where(F.col("event_type").isin("view", "purchase")).groupBy("event_date", "session_id").agg(first_of("view").alias("viewed"), first_of("purchase").alias("bought"))
     seconds = whole_seconds(F.col("viewed"), F.col("bought"))
-    bucket = F.lit(">86400s")
-    for low, high in ((1801, 86400), (301, 1800), (61, 300), (0, 60)):
+    bucket = F.lit(f">{TIME_BUCKETS[-1][1]}s")
+    for low, high in reversed(TIME_BUCKETS):
         bucket = F.when(seconds <= high, F.lit(f"{low}-{high}s")).otherwise(bucket)
     return per.where("bought >= viewed").groupBy("event_date", bucket.alias("time_bucket")).agg(F.count(F.lit(1)).alias("conversions"))
 
@@ -165,15 +153,9 @@ def rfm_segmentation(silver: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> D
     orders = {"r_score": F.col("recency_days"), "f_score": -F.col("frequency_90d"), "m_score": -F.col("monetary_90d")}
     scored, total = global_positions(users, {name: [c, F.col("user_id")] for name, c in orders.items()})
     scored = scored.withColumns({name: (TILES + 1 - tile_of(F.col(name), F.lit(total), TILES)).cast("int") for name in orders})
-    r, f, m = (F.col(c) for c in orders)
-    segment = (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), "champions")
-        .when((r >= 4) & (f <= 2), "new_customers")
-        .when((r <= 2) & (f >= 3), "at_risk")
-        .when((r <= 2) & (f <= 2), "hibernating")
-        .when(f >= 4, "loyal_customers")
-        .otherwise("potential")
-    )
+    segment = F.lit(OTHER_SEGMENT)
+    for name, conditions in reversed(SEGMENTS):
+        segment = F.when(F.expr(" AND ".join(conditions)), name).otherwise(segment)
     return scored.select("as_of_date", "user_id", "recency_days", "frequency_90d", "monetary_90d", *orders, segment.alias("rfm_segment"))
 
 

@@ -53,6 +53,12 @@ def _range_of(key: Column, frame: DataFrame, sample: list[tuple], ranges: int) -
     return F.size(F.filter(literals, lambda b: b <= key))
 
 
+def in_order(df: DataFrame, columns: list[str], partition: str | None = None) -> DataFrame:
+    """Rows by some ascending columns, nulls first: within each value of ``partition`` (no total sort), or all together."""
+    order = [F.col(c).asc_nulls_first() for c in columns]
+    return df.orderBy(*order) if partition is None else df.repartition(partition).sortWithinPartitions(partition, *order)
+
+
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:
     """The tile (1..tiles) of a position among ``rows``: the first ``rows % tiles`` tiles have one row more."""
     small, more = F.floor(rows / tiles), rows % tiles

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from brooklet.functions.expressions import parsed_time, record_hash
 from brooklet.operators import marts, quality, silver
 from brooklet.operators.bronze import new_rows, project_bronze
+from brooklet.operators.ranking import in_order
 from brooklet.operators.sessions import sessionize
 from brooklet.plans import lakehouse, operations
 from brooklet.schemas import MARTS
@@ -289,6 +290,7 @@ register("dq_broken_silver", broken_silver, f"WITH {S}, {_SPOILED} SELECT count(
 register("dq_gold_summary", gold_quality, with_marts(*MARTS) + " UNION ALL ".join(map(_rules_sql, MARTS)))
 register("duplicate_dedupe_keys", lambda s, d: quality.duplicates(silver.keyed(normalized(s, d)), ["dedupe_key"]), f"WITH {R} SELECT count(*) AS duplicate_keys FROM (SELECT 1 FROM normal WHERE {_VALID} GROUP BY {_KEY} HAVING count(*) > 1)")
 register("duplicate_keys", lambda s, d: quality.duplicates(table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]), "SELECT count(*) AS duplicate_keys FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)")
+register("first_rows_nulls_first", lambda s, d: in_order(normalized(s, d).select("user_id", "record_hash"), ["user_id", "record_hash"]).limit(20), f"WITH {R} SELECT user_id, record_hash FROM normal ORDER BY user_id ASC NULLS FIRST, record_hash LIMIT 20")
 register("order_products_distinct", lambda s, d: order_purchases(s, d).select("session_id", "product_id").distinct(), f"WITH {P} SELECT DISTINCT session_id, product_id FROM bought")
 
 # Streaming and maintenance: no SQL.

@@ -10,6 +10,16 @@ from pyspark.sql.types import StructType
 EVENT_COLUMNS = ("event_time", "event_type", "product_id", "category_id", "category_code", "brand", "price", "user_id", "user_session")
 EVENT_TYPES = ("view", "cart", "purchase")
 REQUIRED_COLUMNS = ("event_time", "event_type", "product_id", "user_id")
+#: Fixed values of the marts: seconds from first view to first purchase, and the segments of scores, the first that fits.
+TIME_BUCKETS = ((0, 60), (61, 300), (301, 1800), (1801, 86400))
+SEGMENTS = (
+    ("champions", ("r_score >= 4", "f_score >= 4", "m_score >= 4")),
+    ("new_customers", ("r_score >= 4", "f_score <= 2")),
+    ("at_risk", ("r_score <= 2", "f_score >= 3")),
+    ("hibernating", ("r_score <= 2", "f_score <= 2")),
+    ("loyal_customers", ("f_score >= 4",)),
+)
+OTHER_SEGMENT = "potential"
 
 
 _TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType()}

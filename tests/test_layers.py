@@ -6,7 +6,7 @@ from helpers import RAW_COLUMNS, SIX, events, raw
 
 from brooklet.operators import quality, silver
 from brooklet.functions.expressions import parsed_time
-from brooklet.operators.bronze import new_bronze, new_rows, project_bronze
+from brooklet.operators.bronze import new_bronze, new_rows, project_bronze, small_enough
 from brooklet.plans.lakehouse import Lakehouse, build_run_id
 from brooklet.schemas import BRONZE, RAW
 from brooklet.sources import files, generator, sinks
@@ -185,6 +185,12 @@ def test_files_prune_the_anti_join(spark):
     assert sorted(r.record_hash for r in new_bronze(rows, rows.where("source_file <> 'f1'")).collect()) == ["h1", "h4", "h7"]
 
 
+def test_broadcast_only_below_a_checked_size(spark):
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    keys = spark.range(5)
+    assert hinted(small_enough(keys, 5)) and not hinted(small_enough(keys, 4)) and not hinted(small_enough(keys, 0))
+
+
 def test_the_join_leaves_broadcasts_to_its_size(spark, tmp_path):
     """No hint: a small target is broadcast under the session's threshold, beyond it the join shuffles."""
     rows = spark.range(100).selectExpr("concat('f', id) AS source_file", "'2020-04' AS source_month", "concat('h', id) AS record_hash")
