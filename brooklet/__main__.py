@@ -1,4 +1,4 @@
-"""Command line: backfill, stream, replay, create, refresh, recover, maintain, sql, generate, benchmark, sample.
+"""Command line: backfill, bronze, silver, gold, stream, replay, create, refresh, recover, maintain, sql, generate, benchmark, sample.
 
 Options that are not given come from the environment, as BROOKLET_<OPTION>: BROOKLET_ROOT for --root.
 """
@@ -9,6 +9,7 @@ import argparse
 import csv
 import json
 import os
+from datetime import date
 
 from brooklet.session import build_session
 
@@ -59,6 +60,18 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--report-every", type=int, default=0, help="messages between progress lines")
     r.add_argument("--repeat-input", action=argparse.BooleanOptionalAction, default=False)
 
+    for name, about in (("bronze", "land files, no further"), ("silver", "publish the landed rows of some months"), ("gold", "refresh the marts of some dates")):
+        layer = sub.add_parser(name, help=about)
+        layer.add_argument("--root", required=True)
+        if name == "bronze":
+            layer.add_argument("--input-file", action="append", required=True)
+            layer.add_argument("--source-month")
+        elif name == "silver":
+            layer.add_argument("--start-month", required=True)
+            layer.add_argument("--end-month", required=True)
+        else:
+            layer.add_argument("--dates", nargs="+", help="yyyy-mm-dd; all where none is given")
+
     for name, about in (("create", "make empty tables"), ("refresh", "rebuild all marts"), ("recover", "mend a stopped compaction")):
         sub.add_parser(name, help=about).add_argument("--root", required=True)
 
@@ -119,7 +132,7 @@ def main(argv: list[str] | None = None) -> object:
     from brooklet.operators.bronze import project_bronze
     from brooklet.plans import benchmark, operations, serving
     from brooklet.plans.backfill import backfill
-    from brooklet.plans.lakehouse import PARTITIONS, Lakehouse
+    from brooklet.plans.lakehouse import PARTITIONS, Batch, Lakehouse, build_run_id
     from brooklet.schemas import MARTS
     from brooklet.sources import files, generator, sinks
     from brooklet.streaming import replay
@@ -153,6 +166,17 @@ def main(argv: list[str] | None = None) -> object:
         else:
             result = benchmark.processing_benchmark(Lakehouse(spark, f"{house.root}/batch"), Lakehouse(spark, f"{house.root}/stream"), bronze, a.rows_per_batch)
         return {**result, "written": benchmark.write_result(result, a.output_dir, a.kind)}
+    if a.command == "bronze":
+        done = Batch(build_run_id("bronze"))
+        month = F.lit(a.source_month) if a.source_month else files.source_month(F.col("source_file"))
+        house.land(project_bronze(files.read_csv(spark, a.input_file), done.run_id, "batch", F.col("source_file"), month), done)
+        return vars(done)
+    if a.command == "silver":
+        done = Batch(build_run_id("silver"))
+        house.publish(house.read("bronze_events").where(F.col("source_month").between(a.start_month, a.end_month)), done)
+        return vars(done)
+    if a.command == "gold":
+        return house.refresh([date.fromisoformat(d) for d in a.dates], "affected_dates") if a.dates else house.refresh([], "rebuild")
     if a.command in ("create", "recover"):
         return house.create() if a.command == "create" else house.recover()
     if a.command == "backfill":

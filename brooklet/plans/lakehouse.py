@@ -94,31 +94,38 @@ class Lakehouse:
         done = Batch(run_id)
         batch = bronze.persist(StorageLevel.DISK_ONLY)  # read for Bronze, Silver and quarantine
         try:
-            fresh = new_bronze(batch, self.read("bronze_events")).select(*BRONZE.names).persist(StorageLevel.DISK_ONLY)
-            done.bronze_rows = fresh.count()
-            if done.bronze_rows:
-                # Before the append: it drops what is cached over its table.
-                bad = rejects(fresh)
-                done.rejected_rows = bad.count()
-                if done.rejected_rows:
-                    sinks.quarantine(bad, self.root, run_id)
-                sinks.append(fresh, self.path("bronze_events"), "source_month", self.files.get("bronze_events"))
-            fresh.unpersist()
-
-            candidates = deduplicate(normalize(batch)).persist(StorageLevel.DISK_ONLY)
-            done.dates = affected_dates(candidates)
-            publish = new_silver(candidates, self.read("silver_events"), done.dates).select(*SILVER.names).persist(StorageLevel.DISK_ONLY)
-            quality.gate(quality.evaluate(publish, quality.silver_rules(), quality.SILVER_COLUMNS), fail_on_quality)
-            done.silver_rows = publish.count()
-            if done.silver_rows:
-                sinks.append(publish, self.path("silver_events"), "event_date", self.files.get("silver_events"))
-            publish.unpersist()
-            candidates.unpersist()
+            self.land(batch, done)
+            self.publish(batch, done, fail_on_quality)
         finally:
             batch.unpersist()
         done.gold = self.refresh(done.dates, gold, fail_on_quality)
         return done
 
+    def land(self, batch: DataFrame, done: Batch) -> None:
+        """New rows go to Bronze, and those of them that can't be cleaned to quarantine."""
+        fresh = new_bronze(batch, self.read("bronze_events")).select(*BRONZE.names).persist(StorageLevel.DISK_ONLY)
+        done.bronze_rows = fresh.count()
+        if done.bronze_rows:
+            # Before the append: it drops what is cached over its table.
+            bad = rejects(fresh)
+            done.rejected_rows = bad.count()
+            if done.rejected_rows:
+                sinks.quarantine(bad, self.root, done.run_id)
+            sinks.append(fresh, self.path("bronze_events"), "source_month", self.files.get("bronze_events"))
+        fresh.unpersist()
+
+    def publish(self, batch: DataFrame, done: Batch, fail_on_quality: bool = True) -> None:
+        """New events of some Bronze rows go to Silver, if they pass the quality gate."""
+        candidates = deduplicate(normalize(batch)).persist(StorageLevel.DISK_ONLY)
+        done.dates = affected_dates(candidates)
+        fresh = new_silver(candidates, self.read("silver_events"), done.dates).select(*SILVER.names).persist(StorageLevel.DISK_ONLY)
+        quality.gate(quality.evaluate(fresh, quality.silver_rules(), quality.SILVER_COLUMNS), fail_on_quality)
+        done.silver_rows = fresh.count()
+        if done.silver_rows:
+            sinks.append(fresh, self.path("silver_events"), "event_date", self.files.get("silver_events"))
+        fresh.unpersist()
+        candidates.unpersist()
+
     # Gold.
 
     def refresh(self, dates: list, mode: str = "affected_dates", fail_on_quality: bool = True) -> dict[str, str]:

@@ -107,3 +107,14 @@ def test_stream_stops_after_its_time_and_writes_few_files(spark, tmp_path):
     house = Lakehouse(spark, str(tmp_path / "s"))
     assert run["stop_reason"] == "stop_after" and house.read("silver_events").count() == 40
     assert len(house.read("silver_events").inputFiles()) == 1 and len(house.read("bronze_events").inputFiles()) <= 2
+
+
+def test_layer_by_layer(spark, tmp_path):
+    month_file(tmp_path, "2020-Apr.csv", [raw(event_type="purchase", product_id=str(k)) for k in range(5)])
+    root = str(tmp_path / "house")
+    assert main(["bronze", "--root", root, "--input-file", str(tmp_path / "2020-Apr.csv")])["bronze_rows"] == 5
+    house = Lakehouse(spark, root)
+    assert house.tables() == ["bronze_events"]
+    assert main(["silver", "--root", root, "--start-month", "2020-04", "--end-month", "2020-04"])["silver_rows"] == 5
+    assert main(["gold", "--root", root, "--dates", "2020-04-01"])["daily_revenue"] == "partitions"
+    assert house.read("daily_revenue").first().purchase_count == 5 and "rfm_segmentation" in main(["gold", "--root", root])
