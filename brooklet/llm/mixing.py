@@ -14,18 +14,20 @@ No row is collected: a hot source is pre-aggregated before the shuffle, and the
 per-source table, one row per source, is written in the shared folder and joined
 back by source. Its size on disk decides the join: under the session's threshold
 it is broadcast and documents aren't moved at all; above it, adaptive execution
-splits a hot source. The windows over that table are one task's work, so sources
-are meant to be collections, of which there may be millions, not pages.
+splits a hot source. Sources may be as many as hosts: their places in order are
+numbered range by range, and the level at which sources stop is found by rounds of
+sums, so no task sees them all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.llm.common import WORD_PATTERN, every, table, unused, written
+from brooklet.operators.ranking import global_positions
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -41,31 +43,25 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share_per
     """(source, source_size, target) of rows (source, size).
 
     Targets share the total by weight; one above ``cap`` times its source's size
-    stops there and the excess is reshared. In order of cap per weight the
-    stopped sources come first, so a running sum finds the level at once: a
-    source stops if the level shared by it and those after it reaches its cap.
-    The windows see one row per source.
+    stops there and the excess is reshared. Stopped sources leave the others a
+    higher level (words per weight), at which more may stop; each round sums what
+    is stopped and the weights of the rest, until no other source stops.
     """
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = Window.orderBy(F.col("source").asc_nulls_last())
-    kind = F.pmod(F.row_number().over(place) - 1, F.lit(len(weights)))
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (kind + 1).cast("int"))
-    per = per.withColumn("weight", weight.cast("long")).withColumn("most", F.col("source_size") * cap)
-    order = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    whole = Window.partitionBy()
-    per = (
-        per.withColumn("left", F.sum("source_size").over(whole) * share_percent / 100.0 - F.coalesce(F.sum("most").over(before), F.lit(0)))
-        .withColumn("level", F.col("left") / F.sum("weight").over(after))
-        .withColumn("stops", F.col("most") <= F.col("level") * F.col("weight"))
-        .withColumn("open", F.min(F.when(~F.col("stops"), F.struct(F.col("most") / F.col("weight"), F.col("source").isNull(), "source", "level"))).over(whole))
-    )
-    return per.select(
-        "source",
-        "source_size",
-        F.when(F.col("stops"), F.col("most").cast("double")).otherwise(F.col("open.level") * F.col("weight")).alias("target"),
-    )
+    per = written(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    placed, _ = global_positions(per, {"place": [F.col("source").isNull(), F.coalesce("source", F.lit(""))]})
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.pmod(F.col("place") - 1, F.lit(len(weights))) + 1).cast("int"))
+    weighted = written(placed.select("source", "source_size", weight.cast("long").alias("weight"), (F.col("source_size") * cap).alias("most")), "weighted")
+    level, stopped = 0.0, -1
+    while True:
+        stops = (F.col("most") <= F.lit(level) * F.col("weight")) if stopped >= 0 else F.lit(False)
+        size, held, rest, count = weighted.agg(
+            F.sum("source_size"), F.coalesce(F.sum(F.when(stops, F.col("most"))), F.lit(0)), F.coalesce(F.sum(F.when(~stops, F.col("weight"))), F.lit(0)), F.count_if(stops)
+        ).first()
+        if count == stopped or not rest:
+            break
+        level, stopped = ((size or 0) * share_percent / 100.0 - held) / rest, count
+    stops = F.col("most") <= F.lit(level) * F.col("weight")
+    return weighted.select("source", "source_size", F.when(stops, F.col("most").cast("double")).otherwise(F.lit(level) * F.col("weight")).alias("target"))
 
 
 def draw(doc_id: Column, seed: str) -> Column:

@@ -86,3 +86,15 @@ def test_very_long_text_and_empty_table(spark, docs):
     out = mixing.mix(docs([(1, "w " * 200_000, None, "a"), (2, "x", None, "b")])).collect()
     assert {r.doc_id: r.size for r in out} == {1: 200_000, 2: 1}
     assert mixing.mixed_documents(docs([], extra=["key"])).count() == 0
+
+
+def test_many_sources_are_numbered_by_ranges(spark, docs, monkeypatch):
+    """Sizes that stop source after source, and more ranges than one."""
+    from brooklet.operators import ranking
+
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 7)
+    monkeypatch.setattr(mixing, "global_positions", lambda df, orders: ranking.global_positions(df, orders, 7))
+    rows = [(k, "w " * (2 ** (k % 9)), None, f"h{k:03d}") for k in range(60)] + [(100, "w w", None, None), (101, None, None, "empty")]
+    out = mixing.mix(docs(rows)).collect()
+    want = targets({r[3]: len((r[1] or "").split()) for r in rows})
+    assert len(out) == 62 and all(r.target == pytest.approx(want[r.source]) for r in out)
