@@ -140,6 +140,7 @@ class Vocabulary(NamedTuple):
     ranks: dict[tuple[str, str], int]
     special: dict[str, int]
     whole: frozenset[str]  # tokens that the merges make of their own symbols
+    heads: frozenset[str]  # what such tokens begin with
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -149,7 +150,8 @@ class Vocabulary(NamedTuple):
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ", 1)) for m in model["merges"]]
         ranks = {p: i for i, p in enumerate(pairs)}
         whole = frozenset(t for t in model["vocab"] if merge(symbols(t), ranks) == [t])
-        return cls(model["vocab"], ranks, {t["content"]: t["id"] for t in data["added_tokens"]}, whole)
+        heads = frozenset("".join(parts[:k]) for parts in map(symbols, whole) for k in range(1, len(parts)))
+        return cls(model["vocab"], ranks, {t["content"]: t["id"] for t in data["added_tokens"]}, whole, heads)
 
 
 def symbols(token: str) -> list[str]:
@@ -196,7 +198,6 @@ class Transducer:
         self.pairs = pairs
         self.lookahead = sufficient_lookahead(vocabulary.ranks)
         self._made_of = {a + b: (a, b) for a, b in vocabulary.ranks}
-        self._heads = frozenset("".join(parts[:k]) for parts in map(symbols, vocabulary.whole) for k in range(1, len(parts)))
         self._ends: dict[str, list[tuple[str, float]]] = {}
         self._begins: dict[str, list[tuple[str, float]]] = {}
         self._known: dict[tuple[str, str], bool] = {}
@@ -281,7 +282,7 @@ class Transducer:
 
     def _shared(self, word: str, stop: int, base: int, last: dict[int, str]) -> int:
         """The last place that the paths to all live places share: later symbols change nothing before it."""
-        paths = {stop, *(p for p in range(max(base, stop - self.lookahead), stop) if word[p:stop] in self._heads)}
+        paths = {stop, *(p for p in range(max(base, stop - self.lookahead), stop) if word[p:stop] in self.vocabulary.heads)}
         while len(paths) > 1:
             high = max(paths)
             paths.discard(high)
@@ -309,6 +310,8 @@ class Codec:
         self.letters = byte_letters()
         self.token_of = {i: t for t, i in vocabulary.ids.items()} | {i: t for t, i in vocabulary.special.items()}
         self.spellings = {i: t.encode() for i, t in self.token_of.items()}
+        self.numbers = {t: str(i) for t, i in vocabulary.ids.items()}
+        self.spelled = Decoder(self)
         self.pieces, self.latin = piece_pattern(script), piece_pattern(script, 0x250)
         self.later, self.lower = script.later, script.lower
         self.odd = min("Σ", *self.later, *map(chr, self.lower))  # below it, texts need nothing of these
@@ -346,8 +349,10 @@ class Codec:
         found = self.older.get(piece)
         if found is None:
             spelled = piece if _PLAIN.fullmatch(piece) else "".join([self.letters[b] for b in piece.encode("utf-8")])
-            ids = [self.vocabulary.ids[t] for t in self.transducer.encode(spelled)]
-            found = Entry(len(ids), " ".join(map(str, ids)), self.decode(ids))
+            tokens = list(self.transducer.encode(spelled))
+            ids, numbers = self.vocabulary.ids, self.numbers
+            # No byte is pending where a piece ends, so the decoder may start anew.
+            found = Entry(len(tokens), " ".join([numbers[t] for t in tokens]), self.spelled.feed([ids[t] for t in tokens]) + self.spelled.close())
         return self.remember(piece, found)
 
     def entry(self, word: str) -> Entry:
@@ -436,7 +441,8 @@ class Decoder:
         return self._text.decode(lead + raw, ends)
 
     def close(self) -> str:
-        """What is pending at the end: the rest of a broken character."""
+        """What is pending at the end, the rest of a broken character; the next text starts anew."""
+        self._due = b""
         return self._text.decode(b"", True)
 
 
