@@ -28,7 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.llm.common import bucket, byte_column, dropped, labelled_rows, released, table, written
@@ -143,22 +143,23 @@ def fit_from(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sa
 
 
 def _fit(rows: DataFrame) -> Model | float:
-    sizes = {r["label"]: r for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.octet_length("text") > 0).alias("full"), F.min(F.when(F.octet_length("text") > 0, F.octet_length("text"))).alias("least")).collect()}
-    if min((sizes[y]["full"] if y in sizes else 0) for y in (0, 1)) < 4:
-        total = sum(r["n"] for r in sizes.values())
-        return sizes[1]["n"] / total if 1 in sizes else 0.0 if total else 0.5
-    order = Window.partitionBy("label").orderBy("order", "text")
-    full = rows.where(F.octet_length("text") > 0)
-    short = {y: max(DICTIONARY, sizes[y]["least"]) for y in (0, 1)}
-    able = full.where(F.octet_length("text") <= F.when(F.col("label") == 1, short[1]).otherwise(short[0]))
-    half = F.when(F.col("label") == 1, min(TRAIN_ROWS, (sizes[1]["full"] + 1) // 2)).otherwise(min(TRAIN_ROWS, (sizes[0]["full"] + 1) // 2))
-    train = written(able.withColumn("place", F.row_number().over(order)).where(F.col("place") <= half).drop("place"), "training")
+    # At most SAMPLE rows of three numbers.
+    known = sorted((r["label"], r["order"], r["size"] or 0) for r in rows.select("label", "order", F.octet_length("text").alias("size")).collect())
+    full = {y: [(order, size) for label, order, size in known if label == y and size] for y in (0, 1)}
+    if min(map(len, full.values())) < 4:
+        return sum(label for label, _, _ in known) / len(known) if known else 0.5
+    trains = F.lit(False)
+    for y, found in full.items():
+        longest = max(DICTIONARY, min(size for _, size in found))
+        able = [order for order, size in found if size <= longest]
+        last = able[: min(TRAIN_ROWS, (len(found) + 1) // 2)][-1]
+        trains = trains | ((F.col("label") == y) & (F.col("order") <= last) & (F.octet_length("text") <= longest))
+    some = rows.where(F.octet_length("text") > 0)
     by: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in train.orderBy("label", "order", "text").collect():
+    for r in some.where(trains).orderBy("label", "order", "text").collect():
         by[r["label"]].append(r["text"].encode())
     good, bad = dictionary(by[1]), dictionary(by[0])
-    found = differences(full.join(train.select("label", "order", "text"), ["label", "order", "text"], "left_anti"), good, bad)
-    dropped(train)
+    found = differences(some.where(~trains), good, bad)
     return calibrated(good, bad, np.array([d for d, _ in found]), np.array([y for _, y in found]))
 
 
