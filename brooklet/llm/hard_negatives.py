@@ -416,5 +416,5 @@ ORACLES = {
 )
 SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
 FROM positives JOIN scored USING (anchor_id) WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
-QUALIFY row_number() OVER w <= 3 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)"""
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 3"""
 }
