@@ -36,9 +36,10 @@ Texts and hashes never pass the driver.
 
 Null texts count as empty; nothing is removed from texts under LENGTH bytes. Very
 long texts are read whole, one at a time. An empty table gives an empty result.
-Rows that repeat a doc_id with another text are documents of their own; rows that
-repeat id and text match each other under ``keep="none"`` and count as one
-document under ``keep="first"``. A null doc_id is an id of its own, before all
+Rows that repeat a doc_id with another text are documents of their own (told apart
+by 128 bits of hashes); rows that
+repeat id and text match each other under ``keep="none"`` and are one
+document under ``keep="first"``, each of them cut alike. A null doc_id is an id of its own, before all
 others. Ties: of equal strings the one of the smallest (doc_id, text hash,
 position) is the first. Reports read doc_id and text alone; ``deduplicated_documents``
 keeps all columns, whatever their names.
@@ -285,69 +286,80 @@ def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(low) - 1]])]
 
 
+#: What tells rows apart: the id, and a hash of 128 bits of the text.
+_ROW = ["id", "one", "two"]
+#: What tells places apart, and orders them.
+_PLACE = [*_ROW, "pos"]
+_TYPES = "id long, one long, two long"
+
+
+def _hashed() -> list[Column]:
+    return [F.xxhash64("text"), F.xxhash64("text", F.lit(1))]
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(id, mark, doc_id, text): id and mark, 32 bits of the text's hash, tell rows apart."""
-    mark = F.shiftright(F.xxhash64("text"), 32).cast("int")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), mark.alias("mark"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """(id, one, two, doc_id, text)."""
+    one, two = _hashed()
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), one.alias("one"), two.alias("two"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def _find_anchors(keyed: DataFrame) -> DataFrame:
-    """(id, place, h, c) of every anchor; place packs mark and position."""
+    """(id, one, two, pos, h, c) of every anchor."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for rows, texts in pieces(batch, byte_column(batch, "text"), 1 << 18):
                 owner, at, h, context = anchors(texts)
                 if len(at):
-                    row = np.array(rows, np.int64)[owner]
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array((marks[row] << 32) | at), pa.array(h.view(np.int64)), pa.array(context.view(np.int64))], ["id", "place", "h", "c"])
-
-    return keyed.select("id", "mark", "text").mapInArrow(run, "id long, place long, h long, c long")
+                    row = pa.array(np.array(rows, np.int64)[owner])
+                    yield pa.RecordBatch.from_arrays([*(batch.column(k).take(row) for k in range(3)), pa.array(at), pa.array(h.view(np.int64)), pa.array(context.view(np.int64))], [*_PLACE, "h", "c"])
 
-
-def _spans(place: str) -> list[Column]:
-    """mark and position of a packed place column."""
-    return [F.shiftright(place, 32).cast("int").alias("mark"), F.col(place).bitwiseAND(F.lit(0xFFFFFFFF)).alias("pos")]
+    return keyed.select(*_ROW, "text").mapInArrow(run, f"{_TYPES}, pos long, h long, c long")
 
 
 def _contexts(placed: DataFrame) -> DataFrame:
-    """(h, id, place, left, bytes) of each row's places [(h, place)]; left is how far the bytes start before the anchor."""
+    """(h, id, one, two, pos, left, bytes) of each row's places [(h, pos)]; left is how far the bytes start before the anchor."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, places = batch.column(0), batch.column(2).to_pylist()
+            places = batch.column(4).to_pylist()
             for i, text in enumerate(byte_column(batch, "text")):
-                at = [x["place"] & 0xFFFFFFFF for x in places[i]]
+                at = [x["pos"] for x in places[i]]
                 low = [max(0, q - (LENGTH - GRAM)) for q in at]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([x["h"] for x in places[i]], pa.int64()),
-                        ids.take(pa.array([i] * len(at), pa.int64())),
-                        pa.array([x["place"] for x in places[i]], pa.int64()),
+                        *(batch.column(k).take(pa.array([i] * len(at), pa.int64())) for k in range(3)),
+                        pa.array(at, pa.int64()),
                         pa.array([q - x for q, x in zip(at, low, strict=True)], pa.int32()),
                         pa.array([text[x : q + LENGTH] for q, x in zip(at, low, strict=True)], pa.binary()),
                     ],
-                    ["h", "id", "place", "left", "bytes"],
+                    _CONTEXT,
                 )
 
-    return placed.select("id", "text", "places").mapInArrow(run, "h long, id long, place long, left int, bytes binary")
+    return placed.select(*_ROW, "text", "places").mapInArrow(run, f"h long, {_TYPES}, pos long, left int, bytes binary")
 
 
 def _match_groups(contexts: DataFrame, keep: str) -> DataFrame:
-    """(id, mark, low, high): the span of each context's matched windows, group by group of one key h."""
+    """(id, one, two, low, high): the span of each context's matched windows, group by group of one key h.
+
+    Rows that repeat a place (of rows that repeat id and text) are one under ``keep="first"``.
+    """
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def matched(rows: pa.Table) -> pa.RecordBatch:
-            place, left = rows["place"].to_numpy(), rows["left"].to_numpy().astype(np.int64)
+            if keep == "first":
+                key = np.stack([rows[c].to_numpy() for c in ("h", *_PLACE)])
+                rows = rows.take(pa.array(np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0)))))
+            left = rows["left"].to_numpy().astype(np.int64)
             owner, low, high = matched_starts(rows["bytes"].to_pylist(), left, keep)
-            at = (place[owner] & 0xFFFFFFFF) - left[owner]
-            return pa.RecordBatch.from_arrays([rows["id"].combine_chunks().take(pa.array(owner)), pa.array((place[owner] >> 32).astype(np.int32)), pa.array(at + low), pa.array(at + high + LENGTH)], ["id", "mark", "low", "high"])
+            at = rows["pos"].to_numpy()[owner] - left[owner]
+            return pa.RecordBatch.from_arrays([*(rows[c].combine_chunks().take(pa.array(owner)) for c in _ROW), pa.array(at + low), pa.array(at + high + LENGTH)], [*_ROW, "low", "high"])
 
         for batch in (part for b in batches for part in (b.slice(i, _CHUNK) for i in range(0, b.num_rows, _CHUNK))):
             last = batch["h"][-1].as_py()
@@ -363,11 +375,11 @@ def _match_groups(contexts: DataFrame, keep: str) -> DataFrame:
         if held:
             yield matched(pa.Table.from_batches(held))
 
-    dealt = contexts.select(*_CONTEXT).repartition("h").sortWithinPartitions("h", "id", "place")
-    return dealt.mapInArrow(run, "id long, mark int, low long, high long")
+    dealt = contexts.select(*_CONTEXT).repartition("h").sortWithinPartitions("h", *_PLACE)
+    return dealt.mapInArrow(run, f"{_TYPES}, low long, high long")
 
 
-_CONTEXT = ["h", "id", "place", "left", "bytes"]
+_CONTEXT = ["h", *_PLACE, "left", "bytes"]
 
 
 def _part(context: bytes, left: int, part: int) -> tuple[int, bytes] | None:
@@ -379,13 +391,13 @@ def _part(context: bytes, left: int, part: int) -> tuple[int, bytes] | None:
 
 
 def _part_keys(contexts: DataFrame) -> DataFrame:
-    """(key, part, id, place) of each part of each context; the key is a hash of the bytes that all windows of the part cover."""
+    """(key, part, id, one, two, pos) of each part of each context; the key is a hash of the bytes that all windows of the part cover."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, keys, parts = [], [], []
-            for i, (left, context) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+            for i, (left, context) in enumerate(zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True)):
                 for part in range(PARTS):
                     if _part(context, left, part):
                         low, end = part_bounds(part)
@@ -393,9 +405,9 @@ def _part_keys(contexts: DataFrame) -> DataFrame:
                         parts.append(part)
                         keys.append(xxhash.xxh3_64_intdigest(context[left - low : left + LENGTH - end + 1], part) - (1 << 63))
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(parts, pa.int32()), batch.column(1).take(at), batch.column(2).take(at)], ["key", "part", "id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(parts, pa.int32()), *(batch.column(k).take(at) for k in range(1, 5))], ["key", "part", *_PLACE])
 
-    return contexts.select(*_CONTEXT).mapInArrow(run, "key long, part int, id long, place long")
+    return contexts.select(*_CONTEXT).mapInArrow(run, f"key long, part int, {_TYPES}, pos long")
 
 
 def _match_hot(contexts: DataFrame, keep: str, group: int) -> DataFrame:
@@ -404,16 +416,16 @@ def _match_hot(contexts: DataFrame, keep: str, group: int) -> DataFrame:
     @released
     def clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_part(c, x, p) for c, x, p in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            found = [_part(c, x, p) for c, x, p in zip(batch.column(6).to_pylist(), batch.column(5).to_pylist(), batch.column(7).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary()), batch.column(6)], [*_CONTEXT, "n"]
+                [*(batch.column(i) for i in range(5)), pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary()), batch.column(8)], [*_CONTEXT, "n"]
             )
 
-    contexts = written(contexts, "contexts")
+    contexts = written(contexts.dropDuplicates(["h", *_PLACE]) if keep == "first" else contexts, "contexts")
     keys = written(_part_keys(contexts), "parts")
     shared = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-parts")
-    rows = contexts.drop("h").join(keys.join(shared, "key"), ["id", "place"]).select(F.col("key").alias("h"), *_CONTEXT[1:], "part", "n")
-    parts = written(rows.mapInArrow(clip, "h long, id long, place long, left int, bytes binary, n long"), "clipped")
+    rows = contexts.drop("h").join(keys.join(shared, "key"), _PLACE).select(F.col("key").alias("h"), *_CONTEXT[1:], "part", "n")
+    parts = written(rows.mapInArrow(clip, f"h long, {_TYPES}, pos long, left int, bytes binary, n long"), "clipped")
     return _match_groups(parts.where(F.col("n") <= group), keep).union(_match_windows(parts.where(F.col("n") > group), keep))
 
 
@@ -424,26 +436,27 @@ def _match_windows(contexts: DataFrame, keep: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, places, prints = [], [], []
-            for i, (place, left, context) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+            for i, (place, left, context) in enumerate(zip(*(batch.column(k).to_pylist() for k in (4, 5, 6)), strict=True)):
                 for start in range(max(0, left - (LENGTH - GRAM)), min(left, len(context) - LENGTH) + 1):
                     rows.append(i)
                     places.append(place - left + start)
                     prints.append(xxhash.xxh3_128_digest(context[start : start + LENGTH], left - start))
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()), pa.array(prints, pa.binary())], ["id", "place", "w"])
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in (1, 2, 3)), pa.array(places, pa.int64()), pa.array(prints, pa.binary())], [*_PLACE, "w"])
 
-    windows = written(contexts.select(*_CONTEXT).mapInArrow(run, "id long, place long, w binary"), "windows")
-    place = F.struct("id", "place")
+    windows = written(contexts.select(*_CONTEXT).mapInArrow(run, f"{_TYPES}, pos long, w binary"), "windows")
+    place = F.struct(*_PLACE)
     runs = windows.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
     found = windows.join(runs, "w")
     found = found.where(place != F.col("first")) if keep == "first" else found
-    return found.select("id", *_spans("place")).select("id", "mark", F.col("pos").alias("low"), (F.col("pos") + LENGTH).alias("high"))
+    return found.select(*_ROW, F.col("pos").alias("low"), (F.col("pos") + LENGTH).alias("high"))
 
 
 def repeated_spans(docs: DataFrame, keep: str = "first", group: int = GROUP) -> DataFrame:
-    """(id, mark, lows, highs): the unmerged spans to remove of every row that has any."""
+    """(id, one, two, lows, highs): the unmerged spans to remove of every row that has any."""
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
-    keyed, place = _keyed(docs), F.struct("id", "place")
+    keyed, place = _keyed(docs), F.struct(*_PLACE)
     every = _find_anchors(keyed)
     shared = (
         every.groupBy("h")
@@ -458,22 +471,22 @@ def repeated_spans(docs: DataFrame, keep: str = "first", group: int = GROUP) ->
     runs = written(runs.where("varied OR n > 1"), "runs")
     whole = again.join(runs.where("n > 1").select("h", "c", "first"), ["h", "c"])
     whole = whole.where(place != F.col("first")) if keep == "first" else whole
-    spans = whole.select("id", *_spans("place")).select("id", "mark", (F.col("pos") - (LENGTH - GRAM)).alias("low"), (F.col("pos") + LENGTH).alias("high"))
+    spans = whole.select(*_ROW, (F.col("pos") - (LENGTH - GRAM)).alias("low"), (F.col("pos") + LENGTH).alias("high"))
 
     # Level 2: windows of the first anchor of each context, where contexts differ.
-    firsts = runs.where("varied").select("h", F.col("first.id").alias("id"), F.col("first.place").alias("place"))
+    firsts = runs.where("varied").select("h", "first.*")
     large = firsts.groupBy("h").count().where(F.col("count") > group).select("h")
 
     def contexts(of: DataFrame) -> DataFrame:
-        per = of.groupBy("id", F.shiftright("place", 32).cast("int").alias("mark")).agg(F.collect_list(F.struct("h", "place")).alias("places"))
-        return _contexts(keyed.join(per, ["id", "mark"]))
+        per = of.groupBy(*_ROW).agg(F.collect_list(F.struct("h", "pos")).alias("places"))
+        return _contexts(keyed.join(per, _ROW))
 
     large = written(large, "large")
     if not large.isEmpty():
         spans = spans.union(_match_hot(contexts(firsts.join(large, "h", "left_semi")), keep, group))
         firsts = firsts.join(large, "h", "left_anti")
     spans = spans.union(_match_groups(contexts(firsts), keep))
-    return spans.groupBy("id", "mark").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    return spans.groupBy(*_ROW).agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
 
 
 def cut(text: bytes, lows: list[int] | None, highs: list[int] | None) -> tuple[bytes, int, int]:
@@ -487,7 +500,7 @@ def cut(text: bytes, lows: list[int] | None, highs: list[int] | None) -> tuple[b
 
 def removal_report(docs: DataFrame, keep: str = "none") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    joined = _keyed(docs).join(repeated_spans(docs, keep), ["id", "mark"], "left").select("doc_id", "text", "lows", "highs")
+    joined = _keyed(docs).join(repeated_spans(docs, keep), _ROW, "left").select("doc_id", "text", "lows", "highs")
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -513,9 +526,9 @@ def deduplicated_documents(docs: DataFrame, keep: str = "first") -> DataFrame:
 
     Columns stay as they are. A cut through a character drops its remaining bytes.
     """
-    owner, hashed, lows, highs = unused(docs.columns, "owner", "hashed", "lows", "highs")
-    spans = repeated_spans(docs, keep).toDF(owner, hashed, lows, highs)
-    own = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)) == F.col(owner)) & (F.shiftright(F.xxhash64("text"), 32).cast("int") == F.col(hashed))
+    owner, one, two, lows, highs = unused(docs.columns, "owner", "one", "two", "lows", "highs")
+    spans, hashed = repeated_spans(docs, keep).toDF(owner, one, two, lows, highs), _hashed()
+    own = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)) == F.col(owner)) & (hashed[0] == F.col(one)) & (hashed[1] == F.col(two))
     joined = docs.join(spans, own, "left").select(*every(docs), lows, highs)
     names, schema = docs.columns, docs.schema
 

@@ -136,3 +136,15 @@ def test_registry():
 
     assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
+def test_repeated_rows_of_a_null_id_keep_their_text(spark, docs):
+    """Near-dedup keeps all rows of a null id; what they share with another document stays in them."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(45))
+    a, b = (" ".join([*(word() for _ in range(90)), passage, *(word() for _ in range(90))]) for _ in range(2))
+    kept = near_dups.kept_documents(docs([(None, a), (None, a), (2, b)]))
+    out = suffix_dups.deduplicated_documents(kept, "first").collect()
+    assert sorted(r.doc_id or 0 for r in out) == [0, 0, 2]
+    assert all(r.text == a for r in out if r.doc_id is None) and all(passage not in r.text for r in out if r.doc_id == 2)

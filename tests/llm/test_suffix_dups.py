@@ -67,7 +67,7 @@ def test_hot_groups_give_the_same_spans(spark, docs, keep, group):
     rows = corpus(5)
 
     def covered(found):
-        return {(r.id, r.mark, p) for r in found for low, high in zip(r.lows, r.highs, strict=True) for p in range(max(low, 0), high)}
+        return {(r.id, r.one, r.two, p) for r in found for low, high in zip(r.lows, r.highs, strict=True) for p in range(max(low, 0), high)}
 
     assert covered(sd.repeated_spans(docs(rows), keep, group=group).collect()) == covered(sd.repeated_spans(docs(rows), keep).collect())
 
@@ -146,6 +146,30 @@ def test_repeated_rows(spark, docs):
     assert first == {(None, 0), (1, len(text)), (2, len(text))}
 
 
+@pytest.mark.parametrize("group", [1, sd.GROUP])
+@pytest.mark.parametrize("same", [1, None])
+def test_repeated_rows_in_differing_contexts_keep_one_copy(spark, docs, same, group):
+    """Rows that repeat id and text are one document; what they share with another stays in them."""
+    rng = random.Random(11)
+    some = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    shared = some(260, "abcd")
+    a, b = some(300, "efgh") + shared + some(300, "efgh"), some(340, "ijkl") + shared + some(260, "ijkl")
+    rows = [(same, a), (same, a), (2, b)]
+    want = {(same, a): a, (2, b): b.replace(shared, "")}
+    spans = sd.repeated_spans(docs(rows), "first", group).collect()
+    assert [r.id for r in spans] == [2]
+    out = sd.deduplicated_documents(docs(rows)).collect()
+    assert sorted(len(r.text) for r in out) == [600, 860, 860] and all(r.text in want.values() for r in out)
+    report = {(r.doc_id, r.n_removed) for r in sd.removal_report(docs(rows), "none").collect()}
+    assert report == {(same, 860), (2, 260)}
+
+
+def test_rows_of_one_id_are_told_apart_by_128_bits(spark, docs):
+    frame = sd._keyed(docs([(None, "a"), (None, "b")]))
+    assert [f.dataType.simpleString() for f in frame.select("one", "two").schema] == ["bigint", "bigint"]
+    assert frame.select("one").distinct().count() == frame.select("two").distinct().count() == 2
+
+
 def test_documents_keep_their_columns(spark, docs):
     text = " ".join(f"w{k}" for k in range(100))
     out = sd.deduplicated_documents(docs([(1, text + " one"), (2, "two " + text), (3, None)], extra=["lows", "key"])).orderBy("doc_id").collect()
