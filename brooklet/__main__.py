@@ -72,7 +72,7 @@ def parser() -> argparse.ArgumentParser:
         else:
             layer.add_argument("--dates", nargs="+", help="yyyy-mm-dd; all where none is given")
 
-    for name, about in (("create", "make empty tables"), ("refresh", "rebuild all marts"), ("recover", "mend a stopped compaction")):
+    for name, about in (("create", "make empty tables"), ("refresh", "rebuild all marts"), ("recover", "remove what stopped writes left behind")):
         sub.add_parser(name, help=about).add_argument("--root", required=True)
 
     m = sub.add_parser("maintain", help="report and compact small files")
@@ -80,6 +80,8 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--tables", nargs="+", required=True)
     m.add_argument("--small-file-bytes", type=int, default=32 << 20)
     m.add_argument("--execute", action="store_true")
+    m.add_argument("--keep-versions", type=int, default=5)
+    m.add_argument("--older-than-seconds", type=float, default=24 * 3600, help="younger folders may be writes under way")
     m.add_argument("--output-json")
 
     q = sub.add_parser("sql", help="run a guarded query over the marts")
@@ -132,8 +134,7 @@ def main(argv: list[str] | None = None) -> object:
     from brooklet.operators.bronze import project_bronze
     from brooklet.plans import benchmark, operations, serving
     from brooklet.plans.backfill import backfill
-    from brooklet.plans.lakehouse import PARTITIONS, Batch, Lakehouse, build_run_id
-    from brooklet.schemas import MARTS
+    from brooklet.plans.lakehouse import Batch, Lakehouse, build_run_id
     from brooklet.sources import files, generator, sinks
     from brooklet.streaming import replay
 
@@ -199,8 +200,7 @@ def main(argv: list[str] | None = None) -> object:
     if a.command == "refresh":
         return house.refresh([], "rebuild")
     if a.command == "maintain":
-        partition = lambda n: PARTITIONS.get(n) or MARTS[n].partition
-        found = {n: operations.maintain(spark, house.path(n), partition(n), a.small_file_bytes, a.execute) for n in a.tables}
+        found = {n: operations.maintain(house.table(n), a.small_file_bytes, a.execute, a.keep_versions, a.older_than_seconds) for n in a.tables}
         if a.output_json:
             with open(a.output_json, "w") as f:
                 json.dump(found, f, indent=2)

@@ -22,9 +22,10 @@ def parsed_time(name: str) -> Column:
     """The time in any accepted spelling, else null; never an error under ANSI.
 
     The plain cast comes first: it reads the accepted spellings without patterns,
-    each of which throws inside where it doesn't fit.
+    each of which throws inside where it doesn't fit. A time of day alone is none,
+    since the cast would read it as today's.
     """
-    text = clean_text(name)
+    text = F.when(clean_text(name).rlike("^[+-]?[0-9]{4,}"), clean_text(name))
     return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in TIME_FORMATS])
 
 
@@ -62,9 +63,18 @@ def funnel_counts() -> list[Column]:
     return [count_of("view").alias("views"), count_of("cart").alias("carts"), count_of("purchase").alias("purchases")]
 
 
+def exact_sum(amount: Column) -> Column:
+    """Sum of amounts by way of decimals: the same in any order of rows, and of sums of parts."""
+    return F.sum(F.round(amount, 4).cast("decimal(18,4)"))
+
+
+def to_cents(total: Column) -> Column:
+    return F.round(total, 2).cast("double")
+
+
 def money(amount: Column) -> Column:
-    """Sum of amounts to the cent, by way of decimals: the same in any order of rows."""
-    return F.round(F.sum(F.round(amount, 4).cast("decimal(18,4)")), 2).cast("double")
+    """The exact sum of amounts to the cent."""
+    return to_cents(exact_sum(amount))
 
 
 def revenue() -> Column:

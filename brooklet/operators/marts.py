@@ -1,8 +1,9 @@
 """The marts: pure DataFrame to DataFrame functions shared by batch, streaming and tests.
 
 Date-scoped marts group by event_date first, so a refresh of some dates equals
-the same dates of a full run. None runs an action, but for rfm_segmentation's
-bounded key samples.
+the same dates of a full run; history marts are functions of the states that
+batches keep up to date. None runs an action, but for rfm_segmentation's
+bounded key samples and product_affinity's bound on counts.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brooklet.functions.expressions import count_of, first_of, funnel_counts, is_type, money, month_of, path_label, ratio, revenue, whole_seconds
+from brooklet.functions.expressions import count_of, first_of, funnel_counts, is_type, money, month_of, path_label, ratio, revenue, to_cents, whole_seconds
+from brooklet.operators import pairs, states
 from brooklet.operators.ranking import global_positions, tile_of
 from brooklet.schemas import EVENT_TYPES, MARTS, OTHER_SEGMENT, SEGMENTS, TIME_BUCKETS
 
-TOP_PRODUCTS, TOP_PAIRS, LOOKBACK_DAYS, TILES, BASKET = 10, 200, 90, 5, 1024
+TOP_PRODUCTS, TOP_PAIRS, LOOKBACK_DAYS, TILES = 10, 200, 90, 5
 _RATES = (("view_to_cart_rate", "carts", "views"), ("cart_to_purchase_rate", "purchases", "carts"), ("view_to_purchase_rate", "purchases", "views"))
 
 
@@ -84,8 +86,11 @@ def time_to_conversion_distribution(sessions: DataFrame) -> DataFrame:
 
 
 def cohort_retention(silver: DataFrame) -> DataFrame:
-    """One shuffle on user: the first month is a window minimum over the user's distinct months."""
-    months = _purchases(silver).where("user_id IS NOT NULL").select("user_id", F.trunc("event_date", "month").alias("month")).distinct()
+    return cohorts_of(states.buyer_months(silver))
+
+
+def cohorts_of(months: DataFrame) -> DataFrame:
+    """From distinct (month, user), with one shuffle on user: the first month is a window minimum."""
     first = months.withColumn("cohort", F.min("month").over(Window.partitionBy("user_id")))
     offset = F.months_between("month", "cohort").cast("int").alias("period_offset")
     active = first.groupBy("cohort", offset).agg(F.count(F.lit(1)).alias("active_users"))
@@ -96,8 +101,11 @@ def cohort_retention(silver: DataFrame) -> DataFrame:
 
 
 def repeat_purchase(silver: DataFrame) -> DataFrame:
+    return repeats_of(states.buyer_months(silver))
+
+
+def repeats_of(months: DataFrame) -> DataFrame:
     """A month's buyer is a repeater if an earlier month has a purchase: the first month again, with no join."""
-    months = _purchases(silver).where("user_id IS NOT NULL").select("user_id", F.trunc("event_date", "month").alias("month")).distinct()
     first = months.withColumn("first", F.min("month").over(Window.partitionBy("user_id")))
     per = first.groupBy("month").agg(F.count(F.lit(1)).alias("purchasers"), F.count_if(F.col("first") < F.col("month")).alias("repeat_purchasers"))
     return per.select(
@@ -105,50 +113,28 @@ def repeat_purchase(silver: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(bought: DataFrame, block: int = BASKET) -> DataFrame:
-    """(product_a, product_b), a < b, of every session of distinct (session_id, product_id).
-
-    A basket of up to ``block`` products is paired where its rows meet. A larger
-    one is cut into blocks by product, and each two blocks meet in a task of their
-    own, so no task holds or pairs more than two blocks.
-    """
-    sized = bought.withColumn("blocks", F.ceil(F.count(F.lit(1)).over(Window.partitionBy("session_id")) / block))
-    basket = sized.where("blocks = 1").groupBy("session_id").agg(F.sort_array(F.collect_list("product_id")).alias("basket")).where(F.size("basket") > 1)
-    left = basket.select("basket", F.posexplode("basket").alias("at", "product_a"))
-    small = left.select("product_a", F.explode(F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("product_b"))
-    dealt = sized.where("blocks > 1").withColumn("own", F.pmod(F.xxhash64("product_id"), "blocks"))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "session_id", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "product_id"
-    )
-    of = lambda side: F.collect_list(F.when(F.col("own") == F.col(side), F.col("product_id"))).alias(f"of_{side}")
-    sides = met.repartition("session_id", "low", "high").groupBy("session_id", "low", "high").agg(of("low"), of("high"))
-    crossed = sides.withColumn("a", F.explode("of_low")).withColumn("b", F.explode("of_high")).where("a < b OR (low < high AND a <> b)")
-    return small.union(crossed.select(F.least("a", "b").alias("product_a"), F.greatest("a", "b").alias("product_b")))
-
-
 def product_affinity(sessions: DataFrame, top: int = TOP_PAIRS) -> DataFrame:
-    """Pairs of products bought in one session, and lift co * N / (n_a * n_b); N counts all sessions with a purchase.
+    return affinity_of(states.baskets(sessions), top)
+
 
-    The top pairs are taken before lifts are computed: they are ordered by count.
-    """
-    bought = _purchases(sessions).where("product_id IS NOT NULL AND session_id IS NOT NULL").select("session_id", "product_id").distinct()
-    counted = _pairs(bought).groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("co_purchase_sessions"))
-    best = counted.orderBy(F.desc("co_purchase_sessions"), "product_a", "product_b").limit(top)
-    each = bought.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
-    total = bought.agg(F.countDistinct("session_id").alias("total"))
-    of = lambda side: each.select(F.col("product_id").alias(f"product_{side}"), F.col("n").alias(f"n_{side}"))
-    lift = ratio(F.col("co_purchase_sessions") * F.col("total").cast("double"), F.col("n_a") * F.col("n_b"))
-    # ``total`` is one row.
-    return of("a").join(best, "product_a").join(of("b"), "product_b").crossJoin(total).select("product_a", "product_b", "co_purchase_sessions", lift.alias("affinity_lift"))
+def affinity_of(baskets: DataFrame, top: int = TOP_PAIRS) -> DataFrame:
+    """The ``top`` pairs of products bought in one session, and lift co * N / (n_a * n_b); N counts all sessions with a purchase."""
+    best, sold, total = pairs.top_pairs(baskets.select("session_id", "product_id").distinct(), top)
+    of = lambda side: sold.select(F.col("product_id").alias(f"product_{side}"), F.col("n").alias(f"n_{side}"))
+    lift = ratio(F.col("co_purchase_sessions") * F.lit(float(total)), F.col("n_a") * F.col("n_b"))
+    return best.join(of("a"), "product_a").join(of("b"), "product_b").select("product_a", "product_b", "co_purchase_sessions", lift.alias("affinity_lift"))
 
 
 def rfm_segmentation(silver: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    return rfm_of(states.buyer_days(silver), lookback_days)
+
+
+def rfm_of(days: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Scores 5 (best) to 1 by exact global quintiles of recency, frequency and money of the buyers of the last days."""
-    bought = _purchases(silver).where("user_id IS NOT NULL")
-    last = bought.agg(F.max("event_date").alias("as_of_date"))  # one row
-    recent = bought.crossJoin(F.broadcast(last)).where(F.col("event_date") > F.date_sub("as_of_date", lookback_days))
+    last = days.agg(F.max("event_date").alias("as_of_date"))  # one row
+    recent = days.crossJoin(F.broadcast(last)).where(F.col("event_date") > F.date_sub("as_of_date", lookback_days))
     users = recent.groupBy("as_of_date", "user_id").agg(
-        F.datediff("as_of_date", F.max("event_date")).alias("recency_days"), F.count(F.lit(1)).alias("frequency_90d"), money(F.coalesce("price", F.lit(0.0))).alias("monetary_90d")
+        F.datediff("as_of_date", F.max("event_date")).alias("recency_days"), F.sum("purchases").alias("frequency_90d"), to_cents(F.sum("spent")).alias("monetary_90d")
     )
     orders = {"r_score": F.col("recency_days"), "f_score": -F.col("frequency_90d"), "m_score": -F.col("monetary_90d")}
     scored, total = global_positions(users, {name: [c, F.col("user_id")] for name, c in orders.items()})
@@ -159,6 +145,9 @@ def rfm_segmentation(silver: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> D
     return scored.select("as_of_date", "user_id", "recency_days", "frequency_90d", "monetary_90d", *orders, segment.alias("rfm_segment"))
 
 
+#: Each history mart as a function of its state.
+OF_STATE = {"cohort_retention": cohorts_of, "repeat_purchase": repeats_of, "product_affinity": affinity_of, "rfm_segmentation": rfm_of}
+
 # Marts of the row-level path.
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from brooklet.functions.expressions import is_type
@@ -61,30 +63,61 @@ def mart_rules(mart: Mart) -> list[Rule]:
     return ([Rule("event_date_not_null", F.col("event_date").isNull(), ("event_date",))] if mart.partition else []) + rules
 
 
-def summarize(df: DataFrame, rules: Iterable[Rule], required: Iterable[str] = ()) -> DataFrame:
-    """One row: rows, missing_columns, and the number of bad rows of each rule whose columns exist. One pass, no action."""
+def _counts(df: DataFrame, rules: Iterable[Rule], required: Iterable[str]) -> list[Column]:
     missing = [c for c in required if c not in df.columns]
     usable = [r for r in rules if set(r.needs) <= set(df.columns)]
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(missing)).cast("long").alias("missing_columns"), *[F.count_if(r.bad).alias(r.name) for r in usable])
+    return [F.count(F.lit(1)).alias("rows"), F.lit(len(missing)).cast("long").alias("missing_columns"), *[F.count_if(r.bad).alias(r.name) for r in usable]]
 
 
-def silver_summary(normalized: DataFrame, published: DataFrame) -> DataFrame:
-    """One row of counts over the normalized batch and the rows to publish; copies and rows already present are told apart."""
-    seen = normalized.agg(
+def summarize(df: DataFrame, rules: Iterable[Rule], required: Iterable[str] = ()) -> DataFrame:
+    """One row: rows, missing_columns, and the number of bad rows of each rule whose columns exist. One pass, no action."""
+    return df.agg(*_counts(df, list(rules), required))
+
+
+def observed(df: DataFrame, rules: Iterable[Rule], required: Iterable[str] = ()) -> tuple[DataFrame, Callable[[DataFrame], tuple[int, list[Result]]]]:
+    """(the frame, what tells its rows and results once it was written): rules are counted where the rows pass, in the job that writes them.
+
+    Spark reports nothing where it sees beforehand that there are no rows; then
+    what was written, which the second takes, is looked at instead.
+    """
+    rules, required = list(rules), list(required)
+    watch = Observation(f"quality-{uuid.uuid4().hex}")
+    missing = sum(c not in df.columns for c in required)
+
+    def found(written: DataFrame) -> tuple[int, list[Result]]:
+        try:
+            row = dict(watch.get)
+        except Py4JJavaError:
+            row = summarize(written, rules).first().asDict()
+        return row.pop("rows"), _results({**row, "missing_columns": missing}, rules)
+
+    return df.observe(watch, *_counts(df, rules, ())), found
+
+
+def seen_counts() -> list[Column]:
+    """Counts over a normalized batch."""
+    return [
         F.count(F.lit(1)).alias("rows_seen"),
         F.count_if(F.col("raw_event_time").isNotNull() & F.col("event_time").isNull()).alias("invalid_timestamps"),
         F.count_if(F.col("event_time").isNotNull() & F.col("event_type").isNotNull()).alias("valid_rows"),
-    )
-    return seen.crossJoin(summarize(published, silver_rules()))  # two one-row aggregates
+    ]
 
 
-def evaluate(df: DataFrame, rules: Iterable[Rule], required: Iterable[str] = ()) -> list[Result]:
-    rules = list(rules)
-    row = summarize(df, rules, required).first().asDict()
+def silver_summary(normalized: DataFrame, published: DataFrame) -> DataFrame:
+    """One row of counts over the normalized batch and the rows to publish; copies and rows already present are told apart."""
+    return normalized.agg(*seen_counts()).crossJoin(summarize(published, silver_rules()))  # two one-row aggregates
+
+
+def _results(row: dict[str, int], rules: Iterable[Rule]) -> list[Result]:
     severity = {r.name: r.severity for r in rules}
     return [Result("required_columns", CRITICAL, row["missing_columns"])] + [Result(k, severity[k], v) for k, v in row.items() if k in severity]
 
 
+def evaluate(df: DataFrame, rules: Iterable[Rule], required: Iterable[str] = ()) -> list[Result]:
+    rules = list(rules)
+    return _results(summarize(df, rules, required).first().asDict(), rules)
+
+
 def duplicates(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """One row: duplicate_keys, the number of key values that occur more than once."""
     return df.groupBy(*keys).count().where("count > 1").agg(F.count(F.lit(1)).alias("duplicate_keys"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from brooklet.functions.expressions import unused
+
 #: Rows of a range, the most ranges, and sampled keys for each.
 ROWS_PER_RANGE, RANGES, SAMPLED = 500_000, 2048, 32
 
@@ -31,26 +33,34 @@ def global_positions(df: DataFrame, orders: dict[str, list[Column]], rows_per_ra
         sizes = {(r["name"], r["at"]): r["count"] for r in marked.groupBy("x.name", "x.at").count().collect()}
     finally:
         held.unpersist()
+    key_, range_ = unused([*df.columns, *keys], "key", "range")
     for name, key in keys.items():
         before, offsets = 0, []
         for k in range(ranges + 1):
             offsets.append(before)
             before += sizes.get((name, k), 0)
-        placed = df.withColumn("__key", key).withColumn("__range", _range_of(F.col("__key"), df.select(key.alias("__key")), sorted({tuple(r[name]) for r in sample}), ranges))
-        inside = F.row_number().over(Window.partitionBy("__range").orderBy("__key"))
-        df = placed.withColumn(name, inside + F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__range") + 1)).drop("__key", "__range")
+        placed = df.withColumn(key_, key).withColumn(range_, _range_of(F.col(key_), df.select(key.alias(key_)), sorted({tuple(r[name]) for r in sample}), ranges))
+        inside = F.row_number().over(Window.partitionBy(range_).orderBy(key_))
+        df = placed.withColumn(name, inside + F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(range_) + 1)).drop(key_, range_)
     return df, total
 
 
 def _range_of(key: Column, frame: DataFrame, sample: list[tuple], ranges: int) -> Column:
     """The range (0..ranges) of a struct column, by bounds spaced evenly in a sorted sample."""
-    step = max(1, -(-len(sample) // ranges))
+    step = max(1, -(-len(sample) // ranges))  # the ranges are numbered by a binary search over the bounds
     bounds = sample[step::step]
     if not bounds:
         return F.lit(0)
     fields = frame.schema[0].dataType if len(frame.columns) == 1 else frame.select(key.alias("k")).schema[0].dataType
     literals = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields, strict=True)]) for b in bounds])
-    return F.size(F.filter(literals, lambda b: b <= key))
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+
+    def halved(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        up = (acc["low"] < acc["high"]) & (F.get(literals, middle) <= key)
+        return F.struct(F.when(up, middle + 1).otherwise(acc["low"]).alias("low"), F.when(up, acc["high"]).otherwise(middle).alias("high"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high")), halved, lambda acc: acc["low"])
 
 
 def in_order(df: DataFrame, columns: list[str], partition: str | None = None) -> DataFrame:

@@ -63,10 +63,10 @@ def affected_dates(normalized: DataFrame) -> list:
     return sorted(r[0] for r in candidates.select("event_date").distinct().collect())
 
 
-def new_silver(candidates: DataFrame, present: DataFrame, dates: list | None = None) -> DataFrame:
+def new_silver(candidates: DataFrame, present: DataFrame, dates: list | None = None, broadcast_rows: int = 0) -> DataFrame:
     """Deduplicated candidates not yet in the target, which is pruned to their dates (compared as dates, so partitions are skipped)."""
     days = affected_dates(candidates) if dates is None else dates
-    return absent(candidates, present, "dedupe_key", F.col("event_date").isin(*days) if days else F.lit(False))
+    return absent(candidates, present, "dedupe_key", F.col("event_date").isin(*days) if days else F.lit(False), broadcast_rows)
 
 
 def with_reject_reason(bronze: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def with_reject_reason(bronze: DataFrame) -> DataFrame:
 
 
 def rejects(bronze: DataFrame) -> DataFrame:
-    """The quarantine rows: hash, reason, missing columns and the raw row."""
+    """The quarantine rows: hash, month, reason, missing columns and the raw row."""
     from brooklet.schemas import EVENT_COLUMNS
 
-    return with_reject_reason(bronze).where("reason IS NOT NULL").select("record_hash", "reason", "missing_columns", F.struct(*EVENT_COLUMNS).alias("payload"))
+    return with_reject_reason(bronze).where("reason IS NOT NULL").select("record_hash", "source_month", "reason", "missing_columns", F.struct(*EVENT_COLUMNS).alias("payload"))

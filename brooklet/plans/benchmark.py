@@ -16,8 +16,7 @@ from brooklet.operators.silver import deduplicate, normalize
 from brooklet.plans.lakehouse import Lakehouse, build_marts
 from brooklet.plans.operations import file_stats, number_slices
 from brooklet.plans.reports import REPORTS
-from brooklet.schemas import BRONZE, MARTS, SILVER
-from brooklet.sources import sinks
+from brooklet.schemas import MARTS
 
 
 def timed(work: Callable[[], Any]) -> tuple[Any, float]:
@@ -27,17 +26,17 @@ def timed(work: Callable[[], Any]) -> tuple[Any, float]:
 
 def system_benchmark(house: Lakehouse, bronze: DataFrame) -> dict:
     """Seconds to land, to transform and to query, rows a second, and storage by table."""
-    _, ingestion = timed(lambda: sinks.append(bronze.select(*BRONZE.names), house.path("bronze_events"), "source_month"))
+    _, ingestion = timed(lambda: house.table("bronze_events").append(bronze))
     rows = house.read("bronze_events").count()
 
     def transform() -> None:
-        sinks.replace_table(deduplicate(normalize(house.read("bronze_events"))).select(*SILVER.names), house.path("silver_events"), "event_date")
+        house.table("silver_events").replace(deduplicate(normalize(house.read("bronze_events"))))
         house.refresh([], "rebuild", fail_on_quality=False)
 
     _, transformation = timed(transform)
     house.register_views()
     latency = {n.removeprefix("bench_"): timed(house.spark.sql(REPORTS[n]).collect)[1] for n in REPORTS if n.startswith("bench_")}
-    storage = {n: file_stats(house.spark, house.path(n)).first().asDict() for n in ("bronze_events", "silver_events", *MARTS) if sinks.exists(house.spark, house.path(n))}
+    storage = {n: file_stats(house.table(n).file_sizes()).first().asDict() for n in house.tables()}
     total = ingestion + transformation + sum(latency.values())
     return {
         "rows": rows, "ingestion_seconds": ingestion, "transformation_seconds": transformation, "query_latency_seconds": latency, "average_query_latency_seconds": statistics.mean(latency.values()),

@@ -11,10 +11,12 @@ from datetime import datetime, timezone
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brooklet.functions.expressions import unused
 from brooklet.sources import sinks
+from brooklet.sources.tables import GRACE, VERSIONS, Table
 
 
 def now() -> str:
@@ -57,6 +59,7 @@ def read_manifests(spark: SparkSession, folder: str) -> DataFrame:
 def timed_action(spark: SparkSession, name: str, work: Callable[[], Any]) -> tuple[Any, dict]:
     """(result, metrics) of an action under a job group of its own: seconds, jobs, stages, tasks."""
     context, group = spark.sparkContext, f"{name}-{uuid.uuid4().hex[:8]}"
+    outer = {key: context.getLocalProperty(key) for key in ("spark.jobGroup.id", "spark.job.description")}
     context.setJobGroup(group, name)
     began, status, result = time.perf_counter(), "succeeded", None
     try:
@@ -70,34 +73,26 @@ def timed_action(spark: SparkSession, name: str, work: Callable[[], Any]) -> tup
         stages = [s for j in jobs if (info := tracker.getJobInfo(j)) for s in info.stageIds]
         tasks = sum(info.numTasks for s in stages if (info := tracker.getStageInfo(s)))
         metrics = {"action": name, "status": status, "seconds": time.perf_counter() - began, "jobs": jobs, "stages": stages, "tasks": tasks}
-        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in outer.items():
+            context.setLocalProperty(key, value)
     return result, metrics
 
 
-def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, bytes) of a table's data files."""
-    where, fs = sinks.hadoop_path(spark, path)
-    rows, found = [], fs.listFiles(where, True)
-    while found.hasNext():
-        f = found.next()
-        if f.getPath().getName().startswith("part-"):
-            rows.append((f.getPath().toString(), f.getLen()))
-    return spark.createDataFrame(rows, "path string, bytes long")
-
-
-def file_stats(spark: SparkSession, path: str, small_bytes: int = 32 << 20) -> DataFrame:
-    return file_sizes(spark, path).agg(
+def file_stats(sizes: DataFrame, small_bytes: int = 32 << 20) -> DataFrame:
+    """One row over (path, bytes) of data files."""
+    return sizes.agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"), F.coalesce(F.avg("bytes"), F.lit(0.0)).alias("average_bytes"), F.count_if(F.col("bytes") < small_bytes).alias("small_files")
     )
 
 
-def maintain(spark: SparkSession, path: str, partition: str | None = None, small_bytes: int = 32 << 20, execute: bool = False) -> dict:
-    """The file report of a table; with ``execute``, compaction where there are several small files."""
-    before = file_stats(spark, path, small_bytes).first().asDict()
+def maintain(table: Table, small_bytes: int = 32 << 20, execute: bool = False, keep: int = VERSIONS, older_than: float = GRACE) -> dict:
+    """The file report of a table, and what could go; with ``execute``, compaction where there are several small files, and expiry."""
+    report = lambda: file_stats(table.file_sizes(), small_bytes).first().asDict()
+    before = report()
     if execute and before["small_files"] > 1:
-        sinks.compact(spark, path, partition)
-        return {"before": before, "after": file_stats(spark, path, small_bytes).first().asDict()}
-    return {"before": before}
+        table.compact()
+        return {"before": before, "after": report(), "expired": table.expire(keep, older_than, True)}
+    return {"before": before, "expired" if execute else "expirable": table.expire(keep, older_than, execute)}
 
 
 def cached_sample(df: DataFrame, folder: str, descriptor: dict, fraction: float, seed: int = 42) -> tuple[DataFrame, bool]:
@@ -111,13 +106,25 @@ def cached_sample(df: DataFrame, folder: str, descriptor: dict, fraction: float,
     return spark.read.parquet(path), there
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    return df.sample(False, fraction, seed)
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42, key: list[str] | None = None) -> DataFrame:
+    """Each row with a probability, drawn from the hash of its values (of ``key``, or of all columns).
+
+    The same rows come whatever the layout of the files, and again after a lost
+    task; rows with equal values come or go together.
+    """
+    values = [F.col(f"`{c}`").cast("string") for c in key or df.columns]
+    return df.where(hash_share(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(v, F.lit("")) for v in values])) < fraction)
+
+
+def hash_share(text: Column) -> Column:
+    """A number from 0 to 1 by the first 32 bits of the SHA-256 of a text."""
+    return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
 def number_slices(df: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
     """Adds slice, the micro-batch of each row, by exact position in key order."""
     from brooklet.operators.ranking import global_positions
 
-    placed, _ = global_positions(df, {"__position": [F.col(key)]})
-    return placed.withColumn("slice", F.floor((F.col("__position") - 1) / rows_per_slice)).drop("__position")
+    (position,) = unused(df.columns, "position")
+    placed, _ = global_positions(df, {position: [F.col(key)]})
+    return placed.withColumn("slice", F.floor((F.col(position) - 1) / rows_per_slice)).drop(position)

@@ -24,6 +24,7 @@ from brooklet.schemas import MARTS
 from brooklet.sources.adapters import clickstream, order_purchases, raw_events, table
 from brooklet.sources.files import source_month, stream_json
 from brooklet.sources.sinks import hadoop_path
+from brooklet.sources.tables import Table
 from brooklet.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,7 +301,8 @@ def _scratch(spark: SparkSession) -> str:
     """A folder of the session's shared one; a local session may have one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="brooklet-")
     path = f"{folder}/{uuid.uuid4().hex}"
@@ -316,25 +318,29 @@ def stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.marts_of_stream(spark, stream_json(spark, f"{root}/in", files_per_trigger=2), f"{root}/tables", f"{root}/checkpoint")
 
 
-def _small_files(spark: SparkSession, sf_dir: str) -> str:
-    path = f"{_scratch(spark)}/table"
-    clickstream(spark, sf_dir).repartition(12).write.parquet(path)
-    return path
+def _small_files(spark: SparkSession, sf_dir: str) -> Table:
+    """Events in twelve files."""
+    made = Table(spark, f"{_scratch(spark)}/table", clickstream(spark, sf_dir).schema)
+    made.append(clickstream(spark, sf_dir).repartition(12))
+    return made
 
 
 def small_file_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _small_files(spark, sf_dir)
-    done = operations.maintain(spark, path, execute=True)
-    return spark.createDataFrame([(k, v["files"], v["small_files"]) for k, v in done.items()], "moment string, files long, small_files long")
+    """The rows of each event type before and after, and whether files became fewer."""
+    made = _small_files(spark, sf_dir)
+    done = operations.maintain(made, execute=True)
+    count = lambda n, name: made.read(n).groupBy("event_type").agg(F.count(F.lit(1)).alias(name))
+    fewer = done["after"]["files"] < done["before"]["files"]
+    return count(1, "rows_before").join(count(2, "rows_after"), "event_type").withColumn("fewer_files", F.lit(fewer))
 
 
 #: Silver and its purchases after a whole run over R.
 _LANDED = """, {deduped}, silver AS (SELECT * REPLACE (CAST(event_time AS TIMESTAMP) AS event_time), CAST(event_time AS DATE) AS event_date FROM deduped), {sessions}, bought AS (SELECT * FROM sessions WHERE event_type = 'purchase'), {baskets}, """.format(deduped=_DEDUPED, sessions=SESSIONS, baskets=_BASKETS)
 register("stream_marts", stream_marts, f"WITH {_R_SENT}{_LANDED}daily_revenue AS ({MART_SQL['daily_revenue']}) {_selected('daily_revenue')}")
-register("file_stats", lambda s, d: operations.file_stats(s, _small_files(s, d)))
-register("file_counts", lambda s, d: operations.file_stats(s, _small_files(s, d)).select("files", "small_files"), "SELECT 12 AS files, 12 AS small_files")
-register("small_file_compaction", small_file_compaction)
-register("bernoulli_sample", lambda s, d: operations.bernoulli_sample(clickstream(s, d), 0.1))
+register("file_stats", lambda s, d: operations.file_stats(_small_files(s, d).file_sizes()))
+register("file_counts", lambda s, d: operations.file_stats(_small_files(s, d).file_sizes()).select("files", "small_files"), "SELECT 12 AS files, 12 AS small_files")
+register("small_file_compaction", small_file_compaction, f"WITH {S} SELECT event_type, count(*) AS rows_before, count(*) AS rows_after, TRUE AS fewer_files FROM silver GROUP BY event_type")
+register("bernoulli_sample", lambda s, d: operations.bernoulli_sample(clickstream(s, d), 0.1, key=["event_id"]).select("event_id", "event_type", "user_id"), f"WITH {S} SELECT event_id, event_type, user_id FROM silver WHERE CAST('0x' || left(sha256('42|' || event_id), 8) AS BIGINT) / 4294967296.0 < 0.1")
 
 
 def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:

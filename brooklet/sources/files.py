@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from brooklet.functions.expressions import unused
 from brooklet.schemas import RAW
 
 #: Month names as files spell them (fixed values of the naming convention).
@@ -66,7 +67,15 @@ def source_month(file: Column) -> Column:
 
 
 def read_csv(spark: SparkSession, paths: str | Iterable[str], schema: StructType = RAW) -> DataFrame:
-    """CSV files with header, every column text, with their file's name; .gz files are read whole by one task each."""
+    """CSV files with header, every column text, with their file's name.
+
+    A .gz file is read whole by one task; its rows are dealt again by size, so what follows isn't bound to it.
+    """
+    rows = _csv(spark, paths, schema)
+    return rows.hint("rebalance") if any(f.endswith(".gz") for f in rows.inputFiles()) else rows
+
+
+def _csv(spark: SparkSession, paths: str | Iterable[str], schema: StructType) -> DataFrame:
     rows = spark.read.schema(schema).option("header", True).csv(paths if isinstance(paths, str) else list(paths))
     return rows.select("*", file_name().alias("source_file"))
 
@@ -77,14 +86,14 @@ def read_numbered_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFr
     Rows are numbered by block: lines of a file are dealt in order of their byte
     offset, so partition and place in it order them; one pass counts, one numbers.
     """
-    rows = read_csv(spark, paths).withColumn("__at", F.monotonically_increasing_id())
-    blocks = rows.groupBy("source_file", F.shiftright("__at", 33).alias("__block")).agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("__first"))
-    from pyspark.sql import Window
-
-    before = Window.partitionBy("source_file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("source_file", "__block", "__first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    keyed = rows.withColumn("__block", F.shiftright("__at", 33)).join(starts, ["source_file", "__block"])
-    return keyed.withColumn("source_row_number", F.col("__at") - F.col("__first") + F.col("__before") + 2).drop("__at", "__block", "__first", "__before")
+    rows = _csv(spark, paths, RAW)
+    at, block, first, earlier = unused(rows.columns, "at", "block", "first", "earlier")
+    rows = rows.withColumn(at, F.monotonically_increasing_id()).withColumn(block, F.shiftright(at, 33))
+    blocks = rows.groupBy("source_file", block).agg(F.count(F.lit(1)).alias("n"), F.min(at).alias(first))
+    before = Window.partitionBy("source_file").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("source_file", block, first, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(earlier))
+    keyed = rows.join(starts, ["source_file", block])
+    return keyed.withColumn("source_row_number", F.col(at) - F.col(first) + F.col(earlier) + 2).drop(at, block, first, earlier)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -1,12 +1,9 @@
-"""Writers: append, replacement of partitions or of whole tables, JSON lines, CSV, text, quarantine."""
+"""Writers: Parquet by partition, JSON lines, CSV, text, quarantine."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -28,38 +25,19 @@ def delete(spark: SparkSession, path: str, allowed_under: str) -> None:
     fs.delete(where, True)
 
 
-def _writer(df: DataFrame, partition: str | None):
-    """Rows of one partition value meet in few files: dealt by the value and rebalanced by size."""
+def partitioned_writer(df: DataFrame, partition: str | None, files: int | None = None):
+    """Rows of one partition value meet in few files: dealt by the value and rebalanced by size, or in ``files`` files at most."""
     if partition is None:
         return df.write
-    return df.hint("rebalance", partition).write.partitionBy(partition)
-
-
-def append(df: DataFrame, path: str, partition: str | None = None, files: int | None = None) -> None:
-    """``files`` fixes how many files each partition value may have; by default size decides."""
-    if partition and files:
+    if files:
         spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
-        df.repartition(F.col(partition), spread).write.partitionBy(partition).mode("append").parquet(path)
-    else:
-        _writer(df, partition).mode("append").parquet(path)
-
-
-def replace_table(df: DataFrame, path: str, partition: str | None = None) -> None:
-    _writer(df, partition).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return df.repartition(F.col(partition), spread).write.partitionBy(partition)
+    return df.hint("rebalance", partition).write.partitionBy(partition)
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterable) -> None:
-    """Replace the given partitions: one dynamic overwrite, then removal of those that are now empty.
-
-    Dynamic overwrite leaves a partition without new rows as it is; such a
-    partition among ``values`` is deleted.
-    """
-    spark = df.sparkSession
-    wanted = {str(v) for v in values}
-    _writer(df, partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    filled = {str(r[0]) for r in df.select(partition).distinct().collect()}  # one row per affected date
-    for value in wanted - filled:
-        delete(spark, f"{path}/{partition}={value}", path)
+def replace_table(df: DataFrame, path: str) -> None:
+    """Overwrite a folder of Parquet files."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -75,55 +53,19 @@ def write_text(spark: SparkSession, lines: list[str], path: str) -> None:
 
 
 def quarantine(rejects: DataFrame, root: str, run_id: str) -> None:
-    """Rejected rows go beside the tables, one folder per run.
+    """Rejected rows go beside the tables, a folder for each run and source month.
 
     Rows whose hash lies in quarantine already, of this run or an earlier one that
-    stopped halfway, are not written again.
+    stopped halfway, are not written again. A row's hash fixes its month, so only
+    the folders of the batch's months are read (one entry for each).
     """
     spark, folder = rejects.sparkSession, f"{root}/_quarantine"
-    if exists(spark, folder):
-        held = spark.read.schema("record_hash string").json(folder, recursiveFileLookup=True).where("record_hash IS NOT NULL")
+    everywhere = f"{folder}/run_id=*/source_month=*"
+    where, fs = hadoop_path(spark, everywhere)
+    if fs.globStatus(where):
+        months = [r[0] for r in rejects.select("source_month").distinct().collect()]
+        held = spark.read.schema("record_hash string, source_month string").option("basePath", folder).json(everywhere)
+        held = held.where(F.col("source_month").isin(*months) if months else F.lit(False)).select("record_hash")
         rejects = rejects.join(held, "record_hash", "left_anti")
     if not rejects.isEmpty():
-        write_jsonl(rejects.withColumn("rejected_at", F.current_timestamp()), f"{folder}/run_id={run_id}")
-
-
-def compact(spark: SparkSession, path: str, partition: str | None = None, staging: str = "") -> None:
-    """Rewrite a table's files by size: a staged copy takes the table's place, since a table can't be read while it is replaced.
-
-    A run that stopped halfway is mended first.
-    """
-    recover(spark, path)
-    stage, old = staging or f"{path.rstrip('/')}__compacted", set_aside(path)
-    replace_table(spark.read.parquet(path), stage, partition)
-    where, fs = hadoop_path(spark, path)
-    of = lambda p: hadoop_path(spark, p)[0]
-    fs.rename(where, of(old))
-    fs.rename(of(stage), where)
-    fs.delete(of(old), True)
-
-
-def set_aside(path: str) -> str:
-    """Where a table's files lie while compaction swaps them."""
-    return f"{path.rstrip('/')}__old"
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Mend a compaction that stopped in its swap: the old files come back, or go if the new ones are in place."""
-    if not exists(spark, set_aside(path)):
-        return False
-    where, fs = hadoop_path(spark, path)
-    old = hadoop_path(spark, set_aside(path))[0]
-    if fs.exists(where):
-        fs.delete(old, True)
-    else:
-        fs.rename(old, where)
-    return True
-
-
-def create_table(spark: SparkSession, path: str, schema: StructType, partition: str | None = None) -> bool:
-    """An empty table of a schema, unless there is one."""
-    if exists(spark, path):
-        return False
-    _writer(spark.createDataFrame([], schema), partition).parquet(path)
-    return True
+        rejects.withColumn("rejected_at", F.current_timestamp()).write.mode("append").partitionBy("source_month").json(f"{folder}/run_id={run_id}")

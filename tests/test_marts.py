@@ -2,6 +2,7 @@ import pytest
 from helpers import SIX, events
 
 from brooklet.operators import marts
+from brooklet.operators.pairs import session_pairs, top_pairs
 from brooklet.operators.ranking import global_positions, tile_of
 from brooklet.operators.sessions import sessionize
 from brooklet.schemas import MARTS
@@ -95,7 +96,7 @@ def test_large_baskets_meet_by_blocks(spark, block):
     baskets = {"a": range(17), "b": range(5, 11), "c": [3], "d": [1, 9]}
     bought = spark.createDataFrame([(s, p) for s, held in baskets.items() for p in held], "session_id string, product_id long")
     want = sorted((x, y) for held in baskets.values() for x in held for y in held if x < y)
-    assert sorted((r.product_a, r.product_b) for r in marts._pairs(bought, block).collect()) == want
+    assert sorted((r.product_a, r.product_b) for r in session_pairs(bought, block).collect()) == want
 
 
 def test_path_ties_go_by_name(spark):
