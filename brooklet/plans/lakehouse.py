@@ -21,6 +21,7 @@ from brooklet.operators import marts, quality, states
 from brooklet.operators.bronze import new_bronze
 from brooklet.operators.sessions import sessionize
 from brooklet.operators.silver import affected_dates, deduplicate, new_silver, normalize, rejects
+from brooklet.plans import catalog
 from brooklet.plans.operations import timed_action
 from brooklet.schemas import BRONZE, MARTS, SILVER
 from brooklet.sources import sinks
@@ -106,6 +107,10 @@ class Lakehouse:
         for name in MARTS:
             self.read(name).createOrReplaceTempView(name)
 
+    def publish_catalog(self, database: str, location: str | None = None) -> list[str]:
+        """The Gold tables as tables of the session catalog, at their newest versions; returns those that changed."""
+        return catalog.publish(catalog.mart_tables(self), database, location)
+
     # Batch.
 
     def process(self, bronze: DataFrame, run_id: str, gold: str = "affected_dates", fail_on_quality: bool = True) -> Batch:

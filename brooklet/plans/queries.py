@@ -354,13 +354,19 @@ def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def made_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tables of a lakehouse that was just created."""
-    house = lakehouse.Lakehouse(spark, _scratch(spark))
-    house.create()
-    return spark.createDataFrame([(n,) for n in house.tables()], "table_name string")
+def listed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables that the session catalog shows of a filled lakehouse, with their rows as read by name."""
+    root = _scratch(spark)
+    house, database = lakehouse.Lakehouse(spark, root), f"brooklet_{uuid.uuid4().hex}"
+    house.process(bronze(spark, sf_dir), "batch-1", fail_on_quality=False)
+    house.publish_catalog(database, f"{root}/database")
+    out = None
+    for name in sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").collect()):
+        row = spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 _counted = ", ".join(f"{n} AS ({MART_SQL[n]})" for n in MARTS)
 register("lakehouse_batch", refreshed, f"WITH {R}{_LANDED}{_counted} " + " UNION ALL ".join(f"SELECT '{n}' AS mart, count(*) AS rows FROM {n}" for n in MARTS))
-register("list_tables", made_tables, " UNION ALL ".join(f"SELECT '{n}' AS table_name" for n in (*lakehouse.PARTITIONS, *MARTS)))
+register("list_tables", listed_tables, f"WITH {R}{_LANDED}{_counted} " + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in MARTS))

@@ -153,8 +153,8 @@ class QueryTimeout(TimeoutError):
     """A query ran longer than it may."""
 
 
-def execute(spark: SparkSession, sql: str, allowed: set[str] | None = None, seconds: float = TIMEOUT_SECONDS) -> tuple[list[str], list[dict]]:
-    """(columns, rows) of a checked query; its jobs are cancelled after ``seconds``."""
+def execute(spark: SparkSession, sql: str, allowed: set[str] | None = None, seconds: float = TIMEOUT_SECONDS, database: str | None = None) -> tuple[list[str], list[dict]]:
+    """(columns, rows) of a checked query; its jobs are cancelled after ``seconds``. Names are tables of ``database``, if one is given."""
     context, group, late = spark.sparkContext, f"sql-{uuid.uuid4().hex}", threading.Event()
 
     def stop() -> None:
@@ -168,7 +168,7 @@ def execute(spark: SparkSession, sql: str, allowed: set[str] | None = None, seco
     context.setJobGroup(group, "guarded query", True)
     timer.start()
     try:
-        found = to_records(run_sql(spark, sql, allowed))
+        found = to_records(run_sql(spark, sql, allowed, database))
     except Exception as error:
         if late.is_set():
             raise QueryTimeout(f"the query took more than {seconds} seconds") from error
@@ -182,9 +182,15 @@ def execute(spark: SparkSession, sql: str, allowed: set[str] | None = None, seco
     return found
 
 
-def run_sql(spark: SparkSession, sql: str, allowed: set[str] | None = None) -> DataFrame:
-    """The rows of a checked query, at most its limit."""
+def run_sql(spark: SparkSession, sql: str, allowed: set[str] | None = None, database: str | None = None) -> DataFrame:
+    """The rows of a checked query, at most its limit.
+
+    With ``database``, names are its tables: the query runs in a session of its own, where views of this one don't hide them.
+    """
     checked = check_sql(spark, sql, allowed)
+    if database:
+        spark = spark.newSession()
+        spark.catalog.setCurrentDatabase(database)
     return spark.sql(checked.sql).limit(checked.limit)
 
 

@@ -36,6 +36,13 @@ def test_accepts_and_limits(views):
         "SELECT * FROM csv.`/etc/passwd`",
         "SELECT * FROM range(5), daily_revenue",
         "SELECT reflect('java.lang.System', 'exit', 0) FROM daily_revenue",
+        "SELECT try_reflect('java.lang.System', 'getProperty', 'user.dir') x FROM daily_revenue",
+        "SELECT java_method('java.lang.System', 'exit', 0) FROM daily_revenue",
+        "SELECT system.builtin.reflect('java.lang.System', 'exit', 0) FROM daily_revenue",
+        "SELECT input_file_name() FROM daily_revenue",
+        "SELECT max(aes_decrypt('a', 'b')) FROM daily_revenue",
+        "SELECT * FROM daily_revenue WHERE event_date IN (SELECT try_reflect('a', 'b') FROM daily_revenue)",
+        "SELECT * FROM daily_revenue LIMIT 1+600",
         "SHOW TABLES",
         "SET spark.sql.ansi.enabled=false",
         "not sql at all",
@@ -46,6 +53,11 @@ def test_rejects(views, sql):
         serving.check_sql(views, sql)
 
 
+def test_listed_functions_pass(views):
+    sql = "SELECT date_trunc('MONTH', event_date) m, round(sum(purchase_revenue), 2) r, count(DISTINCT unique_buyers) n, rank() OVER (ORDER BY max(purchase_count)) k FROM daily_revenue WHERE coalesce(purchase_count, 0) >= 0 GROUP BY 1 LIMIT 5"
+    assert serving.run_sql(views, sql).count() == 1
+
+
 def test_catalog_and_charts(views):
     tables = {t.name: t for t in serving.catalog()}
     assert "purchases" in tables["top_products"].metrics and "purchase_count" not in tables["top_products"].metrics
