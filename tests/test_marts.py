@@ -99,6 +99,75 @@ def test_large_baskets_meet_by_blocks(spark, block):
     assert sorted((r.product_a, r.product_b) for r in session_pairs(bought, block).collect()) == want
 
 
+def random_day(n, seed=5):
+    import random
+
+    rng, rows, t = random.Random(seed), [], 0
+    for _ in range(n):
+        t += rng.choice([0, 0, 30, 899, 900, 901, 1799, 1800, 1801, 4000])
+        user = rng.choice([None, None, 7, 8])
+        rows.append((f"2020-04-{1 + t // 86400:02d} {t % 86400 // 3600:02d}:{t % 3600 // 60:02d}:{t % 60:02d}", "view", 1, 1.0, user, rng.choice([None] * 6 + ["given"])))
+    return rows
+
+
+@pytest.mark.parametrize("most", [1, 7, 30])
+def test_long_days_by_pieces_equal_the_window(spark, most):
+    """Null users and bots, ties, given sessions at the borders; names that clash."""
+    frame = events(spark, random_day(400)).withColumn("piece", F.lit("own")).withColumn("n", F.lit(1))
+    got, want = sessionize(frame, most=most), sessionize(frame)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_bot_is_split_over_tasks(spark):
+    """A quarter of an hour of one user: no piece holds more than a part of it."""
+    rows = spark.range(40_000).selectExpr(
+        "lpad(id, 6, '0') AS event_id", "timestamp_micros(1585735200000000 + id * 22500) AS event_time", "DATE '2020-04-01' AS event_date", "IF(id % 9000 = 0, 'given', NULL) AS user_session", "IF(id < 20000, 5L, NULL) AS user_id"
+    )
+    plan = sessionize(rows, most=5_000)
+    assert sorted(map(str, plan.select("event_id", "session_id").collect())) == sorted(map(str, sessionize(rows).select("event_id", "session_id").collect()))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile_approx" in text and "piece" in text
+    assert "percentile_approx" not in sessionize(rows.limit(10))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_top_pairs_make_few_pairs(spark, monkeypatch):
+    """Ties at the last place count; products sold too seldom are never paired."""
+    import itertools
+    import random
+    from collections import Counter
+
+    from brooklet.operators import pairs
+
+    rng = random.Random(3)
+    baskets = [sorted({*rng.sample(range(10), 3), *(rng.randrange(10, 3000) for _ in range(9))}) for _ in range(600)]
+    bought = spark.createDataFrame([(f"s{k}", p) for k, b in enumerate(baskets) for p in b], "session_id string, product_id long")
+    counts = Counter(p for b in baskets for p in itertools.combinations(b, 2))
+    made = []
+    real = pairs.session_pairs
+    monkeypatch.setattr(pairs, "session_pairs", lambda *a: made.append(real(*a).count()) or real(*a))
+    for top, probed in ((1, 5), (10, 5), (40, 20), (200, 30), (10**6, 5)):
+        made.clear()
+        best, sold, total = top_pairs(bought, top, probed)
+        want = sorted(((a, b, n) for (a, b), n in counts.items()), key=lambda x: (-x[2], x[0], x[1]))[:top]
+        assert [tuple(r) for r in best.collect()] == want and total == sum(1 for b in baskets if b)
+        assert all(r.n == sum(r.product_id in b for b in baskets) for r in sold.collect())
+        if top <= 10:
+            assert sum(made) < 0.2 * sum(counts.values()), (top, made)
+    tied = spark.createDataFrame([(f"s{k}", p) for k in range(3) for p in range(6)], "session_id string, product_id long")
+    assert [tuple(r) for r in top_pairs(tied, 4, 3)[0].collect()] == [(0, 1, 3), (0, 2, 3), (0, 3, 3), (0, 4, 3)]
+    best, sold, total = top_pairs(tied.where("false"), 4)
+    assert best.collect() == [] and sold.collect() == [] and total == 0
+
+
+def test_ranges_are_found_by_binary_search(spark):
+    df = spark.range(300).select(F.pmod(F.xxhash64("id"), F.lit(7)).alias("v"), "id", F.lit("own").alias("key"))
+    placed, total = global_positions(df, {"p": [F.col("v"), F.col("id")]}, rows_per_range=20)
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan.lower().replace("filter (", "") and total == 300 and placed.columns == ["v", "id", "key", "p"]
+    want = {r.id: r.p for r in df.selectExpr("id", "row_number() OVER (ORDER BY v, id) AS p").collect()}
+    assert {r.id: r.p for r in placed.collect()} == want
+
+
 def test_path_ties_go_by_name(spark):
     rows = [("2020-04-01 10:00:00", "view", 1, 1.0, 1, "s"), ("2020-04-01 10:00:00", "cart", 1, 1.0, 1, "s")]
     assert one(marts.session_funnel(sessionize(events(spark, rows)))).path_label == "cart>view"
