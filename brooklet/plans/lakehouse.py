@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from brooklet.operators import marts, quality, states
-from brooklet.operators.bronze import new_bronze
+from brooklet.operators.bronze import new_bronze, new_rows
 from brooklet.operators.sessions import sessionize
 from brooklet.operators.silver import affected_dates, deduplicate, new_silver, normalize, rejects
 from brooklet.plans import catalog
+from brooklet.plans.keys import BUCKETS, KeyIndex
 from brooklet.plans.operations import timed_action
 from brooklet.schemas import BRONZE, MARTS, SILVER
 from brooklet.sources import sinks
@@ -55,12 +56,14 @@ class Batch:
 class Lakehouse:
     """Tables below one root folder, which all executors reach."""
 
-    def __init__(self, spark: SparkSession, root: str, files: dict[str, int] | None = None, broadcast_rows: int = 0) -> None:
+    def __init__(self, spark: SparkSession, root: str, files: dict[str, int] | None = None, broadcast_rows: int = 0, key_database: str | None = None, buckets: int = BUCKETS) -> None:
         """``files``: how many files at most a write makes of each partition value, by table; by size where none is given.
 
         ``broadcast_rows``: up to how many keys of a target, by count, are broadcast to find new rows.
+        ``key_database``: where bucketed tables of the keys of Bronze and Silver are kept, by which new rows are found without a shuffle of the target.
         """
         self.spark, self.root, self.files, self.broadcast_rows = spark, root.rstrip("/"), files or {}, broadcast_rows
+        self.key_database, self.buckets = key_database, buckets
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -129,7 +132,7 @@ class Lakehouse:
     def land(self, batch: DataFrame, done: Batch) -> None:
         """New rows go to Bronze, and those of them that can't be cleaned to quarantine, before Bronze shows them."""
         table = self.table("bronze_events")
-        fresh, found = quality.observed(new_bronze(batch, table.read(), self.broadcast_rows).select(*BRONZE.names), [])
+        fresh, found = quality.observed(self.new_bronze(batch).select(*BRONZE.names), [])
         generation = table.stage(fresh, self.files.get("bronze_events"))
         done.bronze_rows, _ = found(table.read_staged(generation))
         if not done.bronze_rows:
@@ -149,12 +152,31 @@ class Lakehouse:
         candidates = deduplicate(normalized).persist(StorageLevel.DISK_ONLY)
         try:
             done.dates = affected_dates(candidates)
-            fresh = new_silver(candidates, table.read(), done.dates, self.broadcast_rows).select(*SILVER.names)
+            fresh = self.new_silver(candidates, done.dates).select(*SILVER.names)
             done.silver_rows = self._publish(table, fresh, quality.silver_rules(), quality.SILVER_COLUMNS, fail_on_quality, table.add, self.files.get("silver_events"))
         finally:
             candidates.unpersist()
         done.warnings = {"invalid_timestamps": seen.invalid_timestamps, "repeated_rows": seen.valid_rows - done.silver_rows}
 
+    def keys(self, name: str, key: str) -> KeyIndex | None:
+        return KeyIndex(self.table(name), key, self.key_database, f"{name}_keys", self.buckets) if self.key_database else None
+
+    def new_bronze(self, batch: DataFrame) -> DataFrame:
+        """The rows of a batch that Bronze lacks."""
+        index = self.keys("bronze_events", "record_hash")
+        if index is None:
+            return new_bronze(batch, self.read("bronze_events"), self.broadcast_rows)
+        months = [r[0] for r in batch.select("source_month").distinct().collect()]  # one entry for each
+        near = F.col("source_month").isin(*months) if months else F.lit(False)
+        return new_rows(index.dealt(batch), index.keys(), index.key, near)
+
+    def new_silver(self, candidates: DataFrame, dates: list) -> DataFrame:
+        """The deduplicated candidates that Silver lacks."""
+        index = self.keys("silver_events", "dedupe_key")
+        if index is None:
+            return new_silver(candidates, self.read("silver_events"), dates, self.broadcast_rows)
+        return new_silver(index.dealt(candidates), index.keys(), dates)
+
     def _publish(self, table: Table, df: DataFrame, rules: list[quality.Rule], required, fail_on_quality: bool, commit, files: int | None = None, keep_empty: bool = False) -> int:
         """Write rows in one job that also counts the rules, and commit them if these hold; returns their number."""
         watched, found = quality.observed(df, rules, required)
