@@ -8,7 +8,8 @@ labelled rows that trained no dictionary, is the score. Equal differences have
 equal scores.
 
 Null and empty texts have difference 0 and get its calibrated score. Without
-labels of both classes the score is the share of label 1 (0.5 without labels).
+four labelled texts (not empty) of each class the score is the share of label 1
+for all (0.5 without labels).
 Rows that repeat, in doc_id or altogether, are scored each for itself and alike;
 for learning, one row of each labelled id (the least text) counts, and equal rows
 count once. An empty table gives an empty result. Only doc_id and text are read,
