@@ -179,7 +179,7 @@ def main(argv: list[str] | None = None) -> object:
     if a.command == "gold":
         return house.refresh([date.fromisoformat(d) for d in a.dates], "affected_dates") if a.dates else house.refresh([], "rebuild")
     if a.command in ("create", "recover"):
-        return house.create() if a.command == "create" else house.recover()
+        return house.create() if a.command == "create" else list(house.recover())
     if a.command == "backfill":
         done = backfill(
             house, a.input_dir, a.start_month, a.end_month, input_files=a.input_file, source_month=a.source_month, resume_from=a.resume_from, reset_tables=a.reset_tables, gold=a.gold_refresh_mode, manifests=a.manifests
