@@ -57,10 +57,17 @@ def read_manifests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def timed_action(spark: SparkSession, name: str, work: Callable[[], Any]) -> tuple[Any, dict]:
-    """(result, metrics) of an action under a job group of its own: seconds, jobs, stages, tasks."""
-    context, group = spark.sparkContext, f"{name}-{uuid.uuid4().hex[:8]}"
-    outer = {key: context.getLocalProperty(key) for key in ("spark.jobGroup.id", "spark.job.description")}
-    context.setJobGroup(group, name)
+    """(result, metrics) of an action: seconds, jobs, stages, tasks.
+
+    It runs under the caller's job group where there is one, so whoever can cancel that still
+    can, else under one of its own.
+    """
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    outer = context.getLocalProperty("spark.jobGroup.id")
+    group = outer or f"{name}-{uuid.uuid4().hex[:8]}"
+    if outer is None:
+        context.setJobGroup(group, name)
+    earlier = set(tracker.getJobIdsForGroup(group))
     began, status, result = time.perf_counter(), "succeeded", None
     try:
         result = work()
@@ -68,13 +75,13 @@ def timed_action(spark: SparkSession, name: str, work: Callable[[], Any]) -> tup
         status = "failed"
         raise
     finally:
-        tracker = context.statusTracker()
-        jobs = list(tracker.getJobIdsForGroup(group))
+        jobs = sorted(set(tracker.getJobIdsForGroup(group)) - earlier)
         stages = [s for j in jobs if (info := tracker.getJobInfo(j)) for s in info.stageIds]
         tasks = sum(info.numTasks for s in stages if (info := tracker.getStageInfo(s)))
         metrics = {"action": name, "status": status, "seconds": time.perf_counter() - began, "jobs": jobs, "stages": stages, "tasks": tasks}
-        for key, value in outer.items():
-            context.setLocalProperty(key, value)
+        if outer is None:
+            context.setLocalProperty("spark.jobGroup.id", None)
+            context.setLocalProperty("spark.job.description", None)
     return result, metrics
 
 
