@@ -223,6 +223,32 @@ def test_automaton_holds_every_substring(text):
     assert not follows(text + "q") and not follows("q")
 
 
+def test_moves_share_no_cell_and_states_no_place():
+    """Every move is found at its cell and no other; the cells are hardly more than the moves, for any number of languages."""
+    rng = random.Random(9)
+    width, begin, found = 30, 1, {}
+    for words in (["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(1, 9))) for _ in range(n)] for n in (1, 7, 400, 400)):
+        go = lang.automaton([ord(c) - 95 for c in "`".join(words)])
+        place, end = lang.placed(go, width, begin)
+        own = [p for p, row in zip(place, go, strict=True) if row]
+        assert len(set(own)) == len(own) and all(begin <= p < end for p in own) and all(not p for p, row in zip(place, go, strict=True) if not row)
+        cells = [p + s for p, row in zip(place, go, strict=True) for s in row]
+        assert len(set(cells)) == len(cells) and not found.keys() & set(cells)
+        found |= dict.fromkeys(cells)
+        assert end - begin <= 1.1 * len(cells) + 8 * width + lang.LOOK_BACK
+        begin = end + width
+
+
+def test_many_languages_make_a_small_model():
+    rng = random.Random(10)
+    words = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(120))
+    letters = {f"l{k:02}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 6)) for k in range(60)}
+    texts = {name: words(x) for name, x in letters.items()}
+    model = lang.fit({name: [t] for name, t in texts.items()})
+    assert len(model.moves) < 3.2 * sum(map(len, texts.values())) + 60 * (8 * model.width + lang.LOOK_BACK)
+    assert np.mean([lang.predict(model, [words(x)])[0][0] == name for name, x in letters.items()]) > 0.9
+
+
 @pytest.mark.parametrize("lanes", [1, 3, 1000])
 def test_phrases_equal_brute_force(monkeypatch, lanes):
     """Whole texts of many lengths, whether they go in lanes, byte by byte, or both."""
