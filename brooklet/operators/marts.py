@@ -114,7 +114,7 @@ def repeats_of(months: DataFrame) -> DataFrame:
 
 
 def product_affinity(sessions: DataFrame, top: int = TOP_PAIRS) -> DataFrame:
-    return affinity_of(states.baskets(sessions), top)
+    return affinity_of(states.basket_rows(sessions), top)  # made distinct there, without the date
 
 
 def affinity_of(baskets: DataFrame, top: int = TOP_PAIRS) -> DataFrame:

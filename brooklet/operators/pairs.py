@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -20,26 +21,30 @@ def top_pairs(bought: DataFrame, top: int, probed: int = PROBED, block: int = BL
     once and kept on disk meanwhile; the result, ``top`` rows, is collected.
     """
     spark, kept = bought.sparkSession, bought.persist(StorageLevel.DISK_ONLY)
+    sold = kept.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.DISK_ONLY)
     try:
-        sold = kept.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
-        total = kept.agg(F.countDistinct("session_id")).first()[0]
-        bound = _bound(kept, sold, top, probed, block)
-        best = _counted(at_least(kept, sold, bound), block).orderBy(F.desc("co_purchase_sessions"), "product_a", "product_b").limit(top).collect()
+        sizes = kept.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+        total, largest = sizes.agg(F.count("session_id"), F.max("n")).first()
+        cut = (largest or 0) > block
+        bound = _bound(kept, sold, top, probed, block, cut)
+        best = _counted(at_least(kept, sold, bound), block, cut).orderBy(F.desc("co_purchase_sessions"), "product_a", "product_b").limit(top).collect()
         ends = sorted({p for r in best for p in (r.product_a, r.product_b)})
         counts = sold.where(F.col("product_id").isin(*ends)).collect() if ends else []  # two for each pair at most
     finally:
+        sold.unpersist()
         kept.unpersist()
-    return (
-        spark.createDataFrame(best, "product_a long, product_b long, co_purchase_sessions long"),
-        spark.createDataFrame(counts, "product_id long, n long"),
-        total,
-    )
+    return _local(spark, best, ["product_a", "product_b", "co_purchase_sessions"]), _local(spark, counts, ["product_id", "n"]), total
+
+
+def _local(spark: SparkSession, rows: list, names: list[str]) -> DataFrame:
+    """Rows of whole numbers as a frame of known size, from which the optimizer chooses its joins."""
+    return spark.createDataFrame(pa.table({name: pa.array([r[name] for r in rows], pa.int64()) for name in names}))
 
 
-def _bound(bought: DataFrame, sold: DataFrame, top: int, probed: int, block: int) -> int:
+def _bound(bought: DataFrame, sold: DataFrame, top: int, probed: int, block: int, cut: bool) -> int:
     """The sessions of the top-th best pair among the most sold products: no top pair has fewer."""
     heavy = sold.orderBy(F.desc("n"), "product_id").limit(probed).select("product_id")
-    counts = _counted(bought.join(F.broadcast(heavy), "product_id"), block).orderBy(F.desc("co_purchase_sessions")).limit(top).collect()
+    counts = _counted(bought.join(F.broadcast(heavy), "product_id"), block, cut).orderBy(F.desc("co_purchase_sessions")).limit(top).collect()
     return counts[-1].co_purchase_sessions if len(counts) == top else 1
 
 
@@ -48,26 +53,27 @@ def at_least(bought: DataFrame, sold: DataFrame, bound: int) -> DataFrame:
     return bought if bound <= 1 else bought.join(sold.where(F.col("n") >= bound).select("product_id"), "product_id", "left_semi")
 
 
-def _counted(bought: DataFrame, block: int) -> DataFrame:
-    return session_pairs(bought, block).groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("co_purchase_sessions"))
+def _counted(bought: DataFrame, block: int, cut: bool) -> DataFrame:
+    return session_pairs(bought, block, cut).groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("co_purchase_sessions"))
 
 
-def session_pairs(bought: DataFrame, block: int = BLOCK) -> DataFrame:
+def session_pairs(bought: DataFrame, block: int = BLOCK, cut: bool | None = None) -> DataFrame:
     """(product_a, product_b), a < b, of every session of distinct (session_id, product_id).
 
     Sizes come from an aggregate, so no task holds a session to count it. A basket
     of up to ``block`` products is paired where its rows meet. A larger
     one is cut into blocks by product, and each two blocks meet in a task of their
-    own, so no task holds or pairs more than two blocks.
+    own, so no task holds or pairs more than two blocks. ``cut`` tells whether there may be
+    larger ones; without it they are looked for.
     """
     sizes = bought.groupBy("session_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     large = sizes.where(F.col("n") > block).select("session_id", F.ceil(F.col("n") / block).alias("blocks"))
-    any_large = not large.isEmpty()
-    usual = bought.join(large, "session_id", "left_anti") if any_large else bought
+    cut = not large.isEmpty() if cut is None else cut
+    usual = bought.join(large, "session_id", "left_anti") if cut else bought
     basket = usual.groupBy("session_id").agg(F.sort_array(F.collect_list("product_id")).alias("basket")).where(F.size("basket") > 1)
     left = basket.select("basket", F.posexplode("basket").alias("at", "product_a"))
     small = left.select("product_a", F.explode(F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("product_b"))
-    if not any_large:
+    if not cut:
         return small
     dealt = bought.join(large, "session_id").withColumn("own", F.pmod(F.xxhash64("product_id"), "blocks"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(

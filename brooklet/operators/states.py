@@ -59,5 +59,10 @@ def buyer_months(silver: DataFrame) -> DataFrame:
     return _bought(silver).where("user_id IS NOT NULL").select(F.trunc("event_date", "month").alias("month"), "user_id").distinct()
 
 
+def basket_rows(sessions: DataFrame) -> DataFrame:
+    """The rows of baskets as they come, repeats included."""
+    return _bought(sessions).where("product_id IS NOT NULL AND session_id IS NOT NULL").select("event_date", "session_id", "product_id")
+
+
 def baskets(sessions: DataFrame) -> DataFrame:
-    return _bought(sessions).where("product_id IS NOT NULL AND session_id IS NOT NULL").select("event_date", "session_id", "product_id").distinct()
+    return basket_rows(sessions).distinct()
