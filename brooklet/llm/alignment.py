@@ -46,6 +46,8 @@ from pyspark.sql import functions as F
 from brooklet.llm.common import bounded_batches, released, table, written
 
 BLOCK = 4 << 20
+#: Bytes of blocks that a task holds while it writes or reads them: a block of BLOCK is some 7 MB.
+GROUP = 8 << 20
 #: Words whose alignment a task remembers, and the longest of them, in characters.
 WORDS, WORD_CHARS = 1 << 18, 64
 #: About how many characters are encoded at once.
@@ -386,7 +388,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def alignment_report(docs: DataFrame, a: str | None = None, b: str | None = None, size: int = BLOCK) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row."""
-    blocks = written(_in_blocks(docs, _files(a, b), size), "blocks")
+    blocks = written(_in_blocks(docs, _files(a, b), size), "blocks", GROUP)
     pairs = blocks.select("block", F.explode(F.arrays_zip("distinct", "holders")).alias("x")).select("block", F.col("x.distinct").alias("pair"), F.col("x.holders").alias("holders"))
     counts = pairs.groupBy("pair").agg(F.sum("holders").alias("n"))
     top = F.max("n").over(Window.partitionBy(F.shiftright("pair", 32)))

@@ -67,19 +67,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back.
 
     Unlike a cached frame it survives lost executors, and its file sizes give
     the optimizer a measured bound before it broadcasts anything. The table goes
     with ``dropped``, ``drop_scratch`` or, at the latest, the driver's JVM.
+
+    ``group_bytes`` is for rows of megabytes: row groups end near that size, looked at
+    with each row. By default the writer looks every 100 rows, holds them all until
+    then, and a reader unpacks the group's arrays at once.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     system, where = _hadoop(spark, path)
     system.deleteOnExit(where)
     _scratch.append(path)
-    df.write.parquet(path)
+    writer = df.write
+    if group_bytes:
+        writer = writer.options(**{"parquet.block.size": group_bytes, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1})
+    writer.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch_path = path
     return back

@@ -111,3 +111,19 @@ def test_documents_carry_their_tokens(spark, docs, library):
 
 def test_empty_table(spark, docs):
     assert alignment.alignment_report(docs([])).collect() == []
+
+
+def test_blocks_are_written_in_small_row_groups(spark, docs, monkeypatch):
+    """A task that writes or reads blocks holds a row group of them: many blocks of one task need many groups."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    made, plain = {}, alignment.written
+    monkeypatch.setattr(alignment, "written", lambda df, name, *more: made.setdefault(name, plain(df, name, *more)))
+    monkeypatch.setattr(alignment, "GROUP", 1 << 14, raising=False)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(400))) for i in range(40)]
+    alignment.alignment_report(docs(rows).coalesce(1), size=2048).count()
+    (file,) = Path(made["blocks"].scratch_path).glob("*.parquet")
+    held = pq.ParquetFile(file).metadata
+    assert held.num_rows == 40 and held.num_row_groups > 5
