@@ -24,7 +24,7 @@ from brooklet.schemas import MARTS
 from brooklet.sources.adapters import clickstream, order_purchases, raw_events, table
 from brooklet.sources.files import source_month, stream_json
 from brooklet.sources.sinks import hadoop_path
-from brooklet.sources.tables import Table
+from brooklet.sources.tables import FILE_BYTES, Table
 from brooklet.streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,12 +326,12 @@ def _small_files(spark: SparkSession, sf_dir: str) -> Table:
 
 
 def small_file_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of each event type before and after, and whether files became fewer."""
+    """The rows of each event type before and after, and whether files became fewer; what is below a compacted file's size counts as small."""
     made = _small_files(spark, sf_dir)
-    done = operations.maintain(made, execute=True)
+    done = operations.maintain(made, FILE_BYTES, execute=True)
     count = lambda n, name: made.read(n).groupBy("event_type").agg(F.count(F.lit(1)).alias(name))
-    fewer = done["after"]["files"] < done["before"]["files"]
-    return count(1, "rows_before").join(count(2, "rows_after"), "event_type").withColumn("fewer_files", F.lit(fewer))
+    fewer = done.get("after", done["before"])["files"] < done["before"]["files"]
+    return count(1, "rows_before").join(count(None, "rows_after"), "event_type").withColumn("fewer_files", F.lit(fewer))
 
 
 #: Silver and its purchases after a whole run over R.

@@ -232,3 +232,19 @@ def test_recovery_removes_what_a_stopped_run_left(spark, tmp_path, monkeypatch):
     assert list(house.recover(older_than=-5)) == ["bronze_events"] and house.recover(older_than=-5) == {}
     house.process(bronze_of(spark, [raw(event_type="purchase", event_time="2020-04-03T10:00:00Z")]), "r3")
     assert house.read("daily_revenue").count() == 2
+
+
+def test_compaction_makes_files_by_size(spark, tmp_path):
+    """However many tasks scan the table: on many cores each small file is a task of its own."""
+    t = Table(spark, str(tmp_path / "plain"), SCHEMA)
+    t.append(spark.range(600).selectExpr("cast(id AS int) AS v", "'a' AS day").repartition(6))
+    size = sum(r.bytes for r in t.file_sizes().collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        t.compact()
+        assert t.file_sizes().count() == 1 and t.read().count() == t.read(1).count() == 600
+        t.append(spark.range(600).selectExpr("cast(id AS int) AS v", "'b' AS day").repartition(6))
+        t.compact(size // 2)
+        assert 1 < t.file_sizes().count() < 6 and t.read().count() == 1200
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
