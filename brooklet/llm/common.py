@@ -192,10 +192,15 @@ CAUTION = 10
 
 def calibrated(p: np.ndarray, wanted: np.ndarray, caution: float = CAUTION) -> float:
     """The cut that makes recall less ``caution`` times the share of false alarms greatest; in the middle of a gap."""
-    values = np.unique(p)
-    up = np.concatenate([values, [np.inf]])  # cut k: rows from up[k] on are caught
-    hits = 1 - np.searchsorted(np.sort(p[wanted == 1]), up) / max(1, wanted.sum())
-    alarms = 1 - np.searchsorted(np.sort(p[wanted == 0]), up) / max(1, (1 - wanted).sum())
+    values, at = np.unique(p, return_inverse=True)
+    caught = np.bincount(at, wanted == 1, len(values))
+    return calibrated_counts(values, caught, np.bincount(at, minlength=len(values)) - caught, caution)
+
+
+def calibrated_counts(values: np.ndarray, wanted: np.ndarray, others: np.ndarray, caution: float = CAUTION) -> float:
+    """The same from how many wanted and other rows have each of some ascending values."""
+    before = lambda n: np.append(0, np.cumsum(n))
+    hits, alarms = 1 - before(wanted) / max(1, wanted.sum()), 1 - before(others) / max(1, others.sum())  # cut k: rows from value k on are caught
     best = int(np.argmax(hits - caution * alarms))
     low, high = (values[best - 1] if best else 0.0), (values[best] if best < len(values) else 1.0)
     return float((low + high) / 2)

@@ -8,31 +8,37 @@ altogether, are judged each for itself and alike. An empty table gives an empty
 result. Reports read doc_id and text alone; ``kept_documents`` keeps all columns,
 whatever their names. Of two rows with equal statistics both stay or both go.
 
-The forest is fitted on at most ``SAMPLE`` labelled rows (a bounded, documented
-sample; one row of each labelled id counts, the least text). Good rows of one half
-that pass the base rules grow the trees. The other half grows none: there the
-score is calibrated from which a row goes (share of bad rows caught less
+The forest is fitted on all labelled rows (one row of each labelled id counts, that
+of the least statistics). Good rows of one half (by a hash of the id) that pass the
+base rules are those that trees grow from: each of the ``TREES`` takes ``TREE_ROWS``, as isolation
+forests do, out of the first rows of all by a hash order, as many as the trees take together. The box
+of the splits is that of all rows that pass. The other half grows none: there all rows are scored
+and counted by score (in steps of 1 / ``SCALE``), from which the score
+is calibrated from which a row goes (share of bad rows caught less
 ``CAUTION`` times the share of good ones lost is greatest, in the middle of the
 gap where that is so), and there it shows which statistics serve: the forest
 starts from all of ``RATIOS``, and one after another is left out as long as that
 raises the calibrated figure. With fewer than 20 good rows to grow trees from,
-or no row left to calibrate on, the forest rejects nothing.
+or no row left to calibrate on, the forest rejects nothing. Statistics of documents are
+written once, a hundredth of long texts; what passes the driver are the trees' rows and the counts.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brooklet.llm.common import CAUTION, byte_column, calibrated, labelled_rows, map_all, released, table
+from brooklet.llm.common import CAUTION, byte_column, calibrated_counts, dropped, map_all, released, table, written
 
-SAMPLE = 8192
+#: Scores are told apart in so many steps.
+SCALE = 10_000
 TREES, TREE_ROWS, SEED = 100, 256, 17
 MIN_WORDS = 50
 _SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -159,52 +165,125 @@ class Model(NamedTuple):
     columns: list[int]  # of features
     cut: float  # rows of this anomaly and above go
 
+    def steps(self, x: np.ndarray) -> np.ndarray:
+        """The scores of some features in whole steps."""
+        return np.rint(self.forest.score(x[:, self.columns]) * SCALE).astype(np.int64)
+
     def score(self, s: np.ndarray) -> np.ndarray:
-        return self.forest.score(features(s)[:, self.columns])
+        return self.steps(features(s)) / SCALE
 
 
-def fit(sample: list[tuple[tuple[int, ...], int]], caution: float = CAUTION) -> Model | None:
-    """The model of (statistics, quality) rows; None with too few good rows."""
-    s, good = np.array([x for x, _ in sample]).reshape(-1, len(_FIELDS)), np.array([q for _, q in sample]) == 1
-    able, grows = ~base_failed(s), np.arange(len(s)) % 2 == 0
-    x, trees, rest = features(s), able & good & grows, able & ~grows
-    if trees.sum() < 20 or not rest.any():
-        return None
+#: How many bad and good rows (two columns) have each score, by model.
+Counter = Callable[[list[Model]], np.ndarray]
+
+
+def counted(models: list[Model], batches: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The counts of (features, good) rows."""
+    found = np.zeros((len(models), SCALE + 1, 2), np.int64)
+    for x, good in batches:
+        for k, model in enumerate(models):
+            found[k] += np.bincount(2 * model.steps(x) + good, minlength=2 * SCALE + 2).reshape(-1, 2)
+    return found
+
 
-    def tried(columns: list[int]) -> tuple[float, Model]:
-        forest = IsolationForest(x[trees][:, columns], x[able][:, columns])
-        score, bad = forest.score(x[rest][:, columns]), (~good[rest]).astype(int)
-        cut = calibrated(score, bad, caution)
-        gone = score >= cut
-        caught = gone[bad == 1].mean() if bad.any() else 1.0
-        return caught - caution * (gone[bad == 0].mean() if not bad.all() else 0.0), Model(forest, columns, cut)
+def chosen(x: np.ndarray, box: np.ndarray, count: Counter, caution: float = CAUTION) -> Model:
+    """The model whose trees grow from features ``x``, with the columns and the cut that serve best by the counts."""
 
-    best = tried(list(range(len(RATIOS))))
+    def tried(sets: list[list[int]]) -> list[tuple[float, Model]]:
+        out, models = [], [Model(IsolationForest(x[:, c], box[:, c]), c, 0.0) for c in sets]
+        for model, found in zip(models, count(models), strict=True):
+            steps = np.flatnonzero(found.sum(1))
+            bad, good = found[steps].T
+            cut = calibrated_counts(steps / SCALE, bad, good, caution)
+            gone = steps / SCALE >= cut
+            caught = bad[gone].sum() / bad.sum() if bad.any() else 1.0
+            out.append((caught - caution * (good[gone].sum() / good.sum() if good.any() else 0.0), model._replace(cut=cut)))
+        return out
+
+    (best,) = tried([list(range(len(RATIOS)))])
     while len(best[1].columns) > 1:
-        fewer = max((tried([c for c in best[1].columns if c != out]) for out in best[1].columns), key=lambda t: t[0])
+        fewer = max(tried([[c for c in best[1].columns if c != out] for out in best[1].columns]), key=lambda t: t[0])
         if fewer[0] <= best[0]:
             break
         best = fewer
     return best[1]
 
 
-def with_statistics(docs: DataFrame, extra: str = "") -> DataFrame:
-    """doc_id, ``extra`` and the statistics of every text."""
+def fit(sample: list[tuple[tuple[int, ...], int]], caution: float = CAUTION) -> Model | None:
+    """The model of (statistics, quality) rows at hand; None with too few good rows."""
+    s, good = np.array([x for x, _ in sample]).reshape(-1, len(_FIELDS)), np.array([q for _, q in sample]) == 1
+    able, grows = ~base_failed(s), np.arange(len(s)) % 2 == 0
+    x, trees, rest = features(s), able & good & grows, able & ~grows
+    if trees.sum() < 20 or not rest.any():
+        return None
+    return chosen(x[trees], x[able], lambda models: counted(models, iter([(x[rest], good[rest])])), caution)
+
+
+def with_statistics(docs: DataFrame) -> DataFrame:
+    """doc_id and the statistics of every text."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [statistics(t) for t in byte_column(batch, "text")]
-            kept = [batch.column(0).cast(pa.int64())] + ([batch.column(2).cast(pa.int32())] if extra else [])
-            yield pa.RecordBatch.from_arrays(kept + [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(_FIELDS))], ["doc_id"] + [extra] * bool(extra) + _FIELDS)
+            s = np.array([statistics(t) for t in byte_column(batch, "text")], np.int64).reshape(-1, len(_FIELDS))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *map(pa.array, s.T.copy())], ["doc_id", *_FIELDS])
+
+    return docs.select("doc_id", "text").mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", *_FIELDS]))
+
+
+def fit_from(docs: DataFrame, labels: DataFrame) -> Model | None:
+    return fit_statistics(with_statistics(docs), labels)
+
 
-    columns = ["doc_id", "text"] + [extra] * bool(extra)
-    return docs.select(*columns).mapInArrow(run, ", ".join(["doc_id long"] + [f"{extra} int"] * bool(extra) + [f"{c} long" for c in _FIELDS]))
+def fit_statistics(stats: DataFrame, labels: DataFrame, caution: float = CAUTION) -> Model | None:
+    """The model of all labelled rows, from the statistics of documents."""
+    spark = stats.sparkSession
+    marked = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min(F.col("quality").cast("int")) == 1).alias("good"))
+    each = stats.join(marked, "doc_id").groupBy("doc_id", "good").agg(F.min(F.struct(*_FIELDS)).alias("s")).select("doc_id", "good", "s.*")
+    able = each.where((F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= 50 * F.col("n_words")))
+    grows = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(2)) == 0
+    known = written(able.withColumn("grows", grows).repartition(spark.sparkContext.defaultParallelism, "doc_id"), "labelled-statistics")
+    try:
+        trees, rest = known.where("grows AND good"), known.where("NOT grows")
+        drawn = trees.orderBy(F.xxhash64(F.lit(SEED + 1), "doc_id"), "doc_id").limit(TREES * TREE_ROWS).select(*_FIELDS).collect()
+        if len(drawn) < 20 or rest.isEmpty():
+            return None
+        return chosen(features(np.array(drawn, np.int64)), _box(known), lambda models: _counted(rest, models), caution)
+    finally:
+        dropped(known)
 
 
-def fit_from(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
-    rows = with_statistics(labelled_rows(docs, labels, "quality", sample), "label").orderBy("doc_id", *_FIELDS).collect()
-    return fit([(tuple(r[c] for c in _FIELDS), r["label"]) for r in rows])
+def _features(batch: pa.RecordBatch) -> np.ndarray:
+    return features(np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in _FIELDS], 1))
+
+
+def _box(known: DataFrame) -> np.ndarray:
+    """The least and the greatest of each feature, two rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _features(batch)
+                yield pa.RecordBatch.from_arrays([pa.array([k]) for k in (*x.min(0), *x.max(0))], [f"f{k}" for k in range(2 * len(RATIOS))])
+
+    ends = known.select(*_FIELDS).mapInArrow(run, ", ".join(f"f{k} double" for k in range(2 * len(RATIOS))))
+    n = len(RATIOS)
+    return np.array(ends.agg(*[F.min(f"f{k}") for k in range(n)], *[F.max(f"f{k}") for k in range(n, 2 * n)]).first()).reshape(2, n)
+
+
+def _counted(rest: DataFrame, models: list[Model]) -> np.ndarray:
+    """The counts of all rows, at most SCALE numbers for each model and label."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = counted(models, ((_features(b), b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)) for b in batches if b.num_rows))
+        at = np.nonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (*at, found[at])], ["model", "step", "good", "n"])
+
+    out = np.zeros((len(models), SCALE + 1, 2), np.int64)
+    for r in rest.select("good", *_FIELDS).mapInArrow(run, "model long, step long, good long, n long").groupBy("model", "step", "good").agg(F.sum("n").alias("n")).collect():
+        out[r.model, r.step, r.good] = r.n
+    return out
 
 
 def _verdicts(s: np.ndarray, model: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,19 +297,18 @@ def _verdicts(s: np.ndarray, model: Model | None) -> tuple[np.ndarray, np.ndarra
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the statistics, base_failed, kept and the anomaly score of every document."""
-    model = fit_from(docs, labels)
+    stats = written(with_statistics(docs), "statistics")
+    model = fit_statistics(stats, labels)
     names = ["doc_id", *_FIELDS[:5], "base_failed", "kept", "anomaly"]
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s = np.array([statistics(t) for t in byte_column(batch, "text")], np.int64).reshape(-1, len(_FIELDS))
+            s = np.stack([c.to_numpy() for c in batch.columns[1:]], 1)
             failed, anomaly, kept = _verdicts(s, model)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64())] + [pa.array(s[:, k]) for k in range(5)] + [pa.array(failed), pa.array(kept), pa.array(anomaly)], names
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(failed), pa.array(kept), pa.array(anomaly)], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, ", ".join([f"{c} long" for c in names[:6]] + ["base_failed boolean, kept boolean, anomaly double"]))
+    return stats.select("doc_id", *_FIELDS).mapInArrow(run, ", ".join([f"{c} long" for c in names[:6]] + ["base_failed boolean, kept boolean, anomaly double"]))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

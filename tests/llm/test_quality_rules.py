@@ -5,6 +5,8 @@ import numpy as np
 import pytest
 
 from brooklet.llm import quality_rules as qr
+from brooklet.llm.common import calibrated
+from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -136,3 +138,35 @@ def test_very_long_texts_and_clashing_names(spark, docs):
     assert out[1].n_words == 60_000 and out[1].n_repeat_words == 0
     frame = docs(rows, extra=["c0", "c1", "anomaly", "a.b", "n_words"])
     assert qr.kept_documents(frame, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).columns == frame.columns
+
+
+def test_every_labelled_row_counts(spark):
+    """The trees, the box and the cut come from all labelled rows: more than any bounded number of ids, whatever the order of their hashes."""
+    n = 30_000
+    bad, stats = "id % 300 = 7", "doc_id long, " + ", ".join(f"{c} long" for c in qr._FIELDS)
+    symbols = f"if({bad}, 40 + id % 9, id % 4)"
+    rows = spark.range(n).selectExpr("id AS doc_id", "100 + id % 50 AS n_words", f"500 + {symbols} AS word_chars", f"{symbols} AS n_symbols", "0L AS n_dup_lines", "0L AS n_repeat_words", "id % 11 AS n_upper", f"20 + {symbols} AS n_marks")
+    labels = spark.range(n).selectExpr("id AS doc_id", f"int(NOT ({bad})) AS quality")
+    seen = []
+    count = qr._counted
+    qr._counted = lambda rest, models: seen.append(count(rest, models)) or seen[-1]
+    try:
+        model = qr.fit_statistics(rows.to(spark.createDataFrame([], stats).schema), labels)
+    finally:
+        qr._counted = count
+    half = rows.where(F.pmod(F.xxhash64(F.lit(qr.SEED), "doc_id"), F.lit(2)) != 0)
+    assert seen[0][0].sum() == half.count() > 8192 and seen[0][0][:, 0].sum() == half.where("doc_id % 300 = 7").count()
+    s = np.array([tuple(r)[1:] for r in rows.collect()])
+    gone = model.score(s) >= model.cut
+    assert gone[7::300].all() and gone.sum() == n // 300
+
+
+def test_cuts_from_counts_equal_cuts_from_rows():
+    rng = np.random.default_rng(3)
+    for k in range(50):
+        p, wanted = rng.integers(0, 12, 40) / 12, rng.integers(0, 2, 40) * (k != 0)
+        up = np.append(np.unique(p), np.inf)
+        gain = [(p[wanted == 1] >= u).sum() / max(1, wanted.sum()) - 10 * (p[wanted == 0] >= u).sum() / max(1, (1 - wanted).sum()) for u in up]
+        best = int(np.argmax(np.round(gain, 9)))
+        cut = calibrated(p, wanted)
+        assert np.isclose(gain[best], (p[wanted == 1] >= cut).sum() / max(1, wanted.sum()) - 10 * (p[wanted == 0] >= cut).sum() / max(1, (1 - wanted).sum()))
