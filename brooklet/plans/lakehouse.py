@@ -138,10 +138,13 @@ class Lakehouse:
         if not done.bronze_rows:
             table.discard(generation)
             return
-        bad = rejects(table.read_staged(generation))
-        done.rejected_rows = bad.count()
-        if done.rejected_rows:
-            sinks.quarantine(bad, self.root, done.run_id)
+        bad = rejects(table.read_staged(generation)).persist(StorageLevel.DISK_ONLY)  # all rows are judged once
+        try:
+            done.rejected_rows = bad.count()
+            if done.rejected_rows:
+                sinks.quarantine(bad, self.root, done.run_id)
+        finally:
+            bad.unpersist()
         table.add(generation)
 
     def publish(self, batch: DataFrame, done: Batch, fail_on_quality: bool = True) -> None:

@@ -248,3 +248,13 @@ def test_compaction_makes_files_by_size(spark, tmp_path):
         assert 1 < t.file_sizes().count() < 6 and t.read().count() == 1200
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rows_are_judged_once_for_quarantine(spark, tmp_path, monkeypatch):
+    """Counting and writing the rejects read what was found once, not Bronze and its times again."""
+    from brooklet.plans import lakehouse
+
+    held, plain = [], lakehouse.sinks.quarantine
+    monkeypatch.setattr(lakehouse.sinks, "quarantine", lambda bad, *more: held.append(bad.storageLevel.useDisk) or plain(bad, *more))
+    done = Lakehouse(spark, str(tmp_path)).process(bronze_of(spark, [raw(event_time="nope"), raw()]), "r", gold="none", fail_on_quality=False)
+    assert (done.bronze_rows, done.rejected_rows, held) == (2, 1, [True])
