@@ -9,16 +9,17 @@ Plan. Rows are dealt to regions, the leaves of a vantage-point tree over a bound
 sample (``SAMPLED`` rows for each of at most ``REGIONS`` regions reach the driver,
 and travel with the tasks); every row is dealt. A region of more than ``SHARD``
 rows, also one of mere copies, is split by row into shards. A task reads a shard,
-builds a tree over it, and then streams the anchors that visit it, batch by batch;
+builds a tree over it, and then streams the anchors that visit it, batch by batch
+(of a batch, the anchors that a leaf may serve are scored with it in one product);
 anchors are taken in blocks of ``ANCHORS``, which tasks of their own serve.
 
 Positives: an anchor first visits the region nearest to it, then those that can
 hold a row as near as the last of what it found. Negatives: it visits the regions
-that its annuli meet. In a shard, leaves are visited nearest first inside the
-annulus and the visit ends when none can hold anything better. All bounds carry a
-slack over rounding and scores are whole numbers, so results are exact: the best
-of each shard are merged by partial limits. A shard gives at most the wanted
-number of rows for an anchor.
+that its annuli meet. In a shard, leaves are visited inside the
+annulus (the nearest one, then all in one order for the whole batch), and an anchor
+skips those that can't hold anything better. All bounds carry a slack over rounding
+and scores are whole numbers, so results are exact: the best of each shard are merged
+by partial limits. A shard gives at most the wanted number of rows for an anchor.
 
 Defined cases: rows without id, label or vector, or with a component that is null
 or not finite, take no part. Rows that repeat an id, or a whole row, are rows of
@@ -149,46 +150,81 @@ class Shard:
         self._tree = Tree(vectors, most, LEAF)
         of = lambda name: rows[name].to_numpy()[self._tree.order]
         self._vectors, self._row, self._id, self._label = vectors[self._tree.order], of("row"), of("vec_id"), of("label")
-        self._labels = [frozenset(self._label[a:b].tolist()) for a, b in self._tree.leaves]
-
-    def visits(self, anchors: np.ndarray) -> Iterator[Visit]:
+        self._labels, at = np.unique(self._label, return_inverse=True)
+        self._holds = np.zeros((len(self._labels), len(self._tree.leaves)), bool)  # by label and leaf
+        for i, (a, b) in enumerate(self._tree.leaves):
+            self._holds[at[a:b], i] = True
+
+    def best(self, k: int, same: bool, anchors: np.ndarray, label: np.ndarray, own: np.ndarray, of: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(query, score, vec_id, row): the first k rows of each query, in order.
+
+        Query i asks for rows of the label of anchor ``of[i]`` (or of others) but the
+        anchor itself, with scores from ``low[i]`` to ``high[i]``. Each visits its nearest leaf
+        first; then the leaves are swept, and only queries whose bounds still meet a leaf
+        score it, all of them in one product.
+        """
         least, greatest = self._tree.score_bounds(anchors, self._tree.bounds)
-        for k in range(len(anchors)):
-            yield Visit(self, anchors[k], least[k], greatest[k])
-
-
-class Visit:
-    """One anchor in a shard; scores of a leaf are computed once for all its windows."""
-
-    def __init__(self, shard: Shard, anchor: np.ndarray, least: np.ndarray, greatest: np.ndarray) -> None:
-        self._shard, self._anchor, self._least, self._greatest = shard, anchor, least, greatest
-        self._scores: dict[int, np.ndarray] = {}
-
-    def _of(self, leaf: int) -> np.ndarray:
-        if leaf not in self._scores:
-            a, b = self._shard._tree.leaves[leaf]
-            self._scores[leaf] = self._shard._vectors[a:b] @ self._anchor
-        return self._scores[leaf]
-
-    def best(self, k: int, label: int, same: bool, own: int, low: float = -np.inf, high: float = np.inf) -> list[tuple[int, int, int]]:
-        """The first k (score, vec_id, row) of the label, or of others, with scores from low to high."""
-        s = self._shard
-        reach = np.minimum(self._greatest, high)
-        found: list[tuple[float, int, int]] = []  # (-score, id, row), in order
-        for leaf in np.argsort(-reach, kind="stable").tolist():
-            if reach[leaf] < low or (len(found) == k and -found[-1][0] > reach[leaf]):
-                break
-            labels = s._labels[leaf]
-            if self._least[leaf] > high or (label not in labels if same else labels == {label}):
-                continue
-            a, b = s._tree.leaves[leaf]
-            scores = self._of(leaf)
-            fits = (scores >= max(low, -found[-1][0] if len(found) == k else low)) & (scores <= high) & ((s._label[a:b] == label) == same) & (s._row[a:b] != own)
-            at = np.flatnonzero(fits)
-            if len(at):
-                at = at[np.lexsort((s._row[a + at], s._id[a + at], -scores[at]))[:k]]
-                found = sorted([*found, *zip((-scores[at]).tolist(), s._id[a + at].tolist(), s._row[a + at].tolist(), strict=True)])[:k]
-        return [(int(-x), i, row) for x, i, row in found]
+        there = np.searchsorted(self._labels, label)
+        known = self._labels[np.minimum(there, len(self._labels) - 1)] == label
+        alike = self._holds[np.minimum(there, len(self._labels) - 1)] & known[:, None]
+        serves = alike if same else (self._holds.sum(0) > alike)
+        reach = np.where(serves[of] & (least[of] <= high[:, None]), np.minimum(greatest[of], high[:, None]), -np.inf)
+        bar = np.asarray(low, float).copy()  # the score that the k-th row of each query must reach
+        held = _Best(len(of), k)
+        todo = (reach >= bar[:, None]) & (reach > -np.inf)
+        home = np.where(todo.any(1), np.where(todo, reach, -np.inf).argmax(1), -1)
+
+        def visit(leaf: int, queries: np.ndarray) -> None:
+            a, b = self._tree.leaves[leaf]
+            who, at = np.unique(of[queries], return_inverse=True)
+            scores = anchors[who] @ self._vectors[a:b].T
+            scores[((self._label[a:b] == label[who, None]) != same) | (self._row[a:b] == own[who, None])] = -np.inf
+            scores = scores[at]
+            fits = (scores >= bar[queries, None]) & (scores <= high[queries, None]) & (scores > -np.inf)
+            if b - a > k and np.count_nonzero(fits) > 4 * k * len(queries):
+                fits &= scores >= np.partition(np.where(fits, scores, -np.inf), -k, axis=1)[:, [-k]]
+            i, j = np.nonzero(fits)
+            if len(i):
+                full, worst = held.add(queries[i], scores[i, j], self._id[a + j], self._row[a + j])
+                bar[full] = np.maximum(bar[full], worst)
+
+        for leaf in np.unique(home[home >= 0]).tolist():
+            visit(leaf, np.flatnonzero(home == leaf))
+        todo[np.flatnonzero(home >= 0), home[home >= 0]] = False
+        for leaf in np.argsort(-np.where(todo, reach, -np.inf).max(0, initial=-np.inf), kind="stable").tolist():
+            queries = np.flatnonzero(todo[:, leaf] & (reach[:, leaf] >= bar))
+            if len(queries):
+                visit(leaf, queries)
+        return held.rows()
+
+
+class _Best:
+    """The first k rows of some queries by score, then id, then row."""
+
+    def __init__(self, queries: int, k: int) -> None:
+        self._k, self._n = k, np.zeros(queries, int)
+        self._score, self._id, self._row = np.zeros((queries, k)), np.zeros((queries, k), np.int64), np.zeros((queries, k), np.int64)
+
+    def add(self, query: np.ndarray, score: np.ndarray, vec_id: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Take more rows; returns (queries among them that hold k rows, their worst scores)."""
+        touched = np.unique(query)
+        i, j = np.nonzero(np.arange(self._k) < self._n[touched, None])
+        i = touched[i]
+        query, score = np.append(i, query), np.append(self._score[i, j], score)
+        vec_id, row = np.append(self._id[i, j], vec_id), np.append(self._row[i, j], row)
+        by = np.lexsort((row, vec_id, -score, query))
+        query = query[by]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        keep = place < self._k
+        by, query, place = by[keep], query[keep], place[keep]
+        self._score[query, place], self._id[query, place], self._row[query, place] = score[by], vec_id[by], row[by]
+        np.maximum.at(self._n, query, place + 1)
+        full = touched[self._n[touched] == self._k]
+        return full, self._score[full, self._k - 1]
+
+    def rows(self) -> tuple[np.ndarray, ...]:
+        i, j = np.nonzero(np.arange(self._k) < self._n[:, None])
+        return i, self._score[i, j].astype(np.int64), self._id[i, j], self._row[i, j]
 
 
 _ROW = "row long, vec_id long, label int, vector array<long>"
@@ -217,29 +253,33 @@ def _searched(batches: Iterator[pa.RecordBatch], width: int, most: float, search
             if shard is None:
                 continue
             for i in range(0, part.num_rows, 256):
-                anchors = part.slice(i, 256)
-                rows = [x for k, visit in enumerate(shard.visits(_matrix(anchors["vector"], width))) for x in search(visit, anchors, k)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], [x.split()[0] for x in _FOUND.split(", ")])
+                found = search(shard, part.slice(i, 256), width)
+                if len(found[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], [x.split()[0] for x in _FOUND.split(", ")])
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
 
 
 def _all_positives(count: int):
-    def search(visit: Visit, anchors: pa.RecordBatch, k: int) -> Iterator[tuple]:
-        own, i = anchors["row"][k].as_py(), anchors["vec_id"][k].as_py()
-        for score, vec_id, row in visit.best(count, anchors["label"][k].as_py(), True, own):
-            yield own, i, None, None, None, score, vec_id, row
+    def search(shard: Shard, anchors: pa.RecordBatch, width: int) -> list:
+        own, ids, label = (_numbers(anchors[n]) for n in ("row", "vec_id", "label"))
+        n = len(own)
+        of, score, vec_id, row = shard.best(count, True, _matrix(anchors["vector"], width), label, own, np.arange(n), np.full(n, -np.inf), np.full(n, np.inf))
+        none = pa.nulls(len(of), pa.int64())
+        return [own[of], ids[of], none, none, none, score, vec_id, row]
 
     return search
 
 
 def _all_negatives(count: int, low: int, high: int):
-    def search(visit: Visit, anchors: pa.RecordBatch, k: int) -> Iterator[tuple]:
-        own, i = anchors["row"][k].as_py(), anchors["vec_id"][k].as_py()
-        for p in anchors["wanted"][k].as_py():
-            first, last = window(p["score"], low, high)
-            if first <= last:
-                for score, vec_id, row in visit.best(count, anchors["label"][k].as_py(), False, own, first, last):
-                    yield own, i, p["row"], p["vec_id"], p["score"], score, vec_id, row
+    def search(shard: Shard, anchors: pa.RecordBatch, width: int) -> list:
+        own, ids, label = (_numbers(anchors[n]) for n in ("row", "vec_id", "label"))
+        asked = [(k, p["row"], p["vec_id"], p["score"], *window(p["score"], low, high)) for k, wanted in enumerate(anchors["wanted"].to_pylist()) for p in wanted]
+        of, positive, positive_id, positive_score, first, last = np.array([x for x in asked if x[4] <= x[5]], np.int64).reshape(-1, 6).T
+        at, score, vec_id, row = shard.best(count, False, _matrix(anchors["vector"], width), label, own, of, first, last)
+        return [own[of[at]], ids[of[at]], positive[at], positive_id[at], positive_score[at], score, vec_id, row]
 
     return search
 

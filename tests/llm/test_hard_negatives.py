@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brooklet.llm import hard_negatives as hn
@@ -89,6 +90,34 @@ def test_a_visit_skips_leaves_and_regions():
     assert (leaf == where).mean() > 0.99  # equal distances may go either way
 
 
+class Counted(np.ndarray):
+    products = 0
+
+    def __array_ufunc__(self, ufunc, method, *inputs, **more):
+        Counted.products += ufunc is np.matmul
+        return getattr(ufunc, method)(*[np.asarray(x) for x in inputs], **more)
+
+
+def test_a_batch_of_anchors_scores_a_leaf_in_one_product():
+    """Not a product for each anchor and leaf; rows without structure, so that most anchors visit most leaves."""
+    rng = np.random.default_rng(5)
+    vectors = np.floor(rng.normal(0, 30, (600, 24))).astype(np.int64)
+    label = rng.integers(0, 3, 600).astype(np.int32)
+    most = float((vectors * vectors).sum(1).max())
+    rows = pa.table({"row": np.arange(600), "vec_id": np.arange(600), "label": label, "vector": pa.array(list(vectors))})
+    shard = hn.Shard(rows, 24, most)
+    shard._vectors, Counted.products = shard._vectors.view(Counted), 0
+    found = hn._all_positives(5)(shard, rows.slice(0, 256).to_batches()[0], 24)
+    assert Counted.products <= 2 * len(shard._tree.leaves)
+    got = sorted(zip(found[0].tolist(), found[5].tolist(), found[6].tolist(), strict=True))
+    want = []
+    for i in range(256):
+        scores = vectors @ vectors[i]
+        alike = [j for j in range(600) if j != i and label[j] == label[i]]
+        want += [(i, int(scores[j]), j) for j in sorted(alike, key=lambda j: (-scores[j], j))[:5]]
+    assert got == sorted(want)
+
+
 def test_windows():
     assert hn.window(99, 50, 95) == (50, 94) and hn.window(0, 50, 95) == (0, 0)
     low, high = hn.window(-10, 50, 95)
