@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from brooklet.operators.kept import kept_rows
+
 #: Products whose pairs give the bound, and the products that a task pairs at most with as many others.
 PROBED, BLOCK = 1000, 1024
 
@@ -20,8 +22,8 @@ def top_pairs(bought: DataFrame, top: int, probed: int = PROBED, block: int = BL
     sold at least as often as the bound is all that has to be paired. Purchases are read
     once and kept on disk meanwhile; the result, ``top`` rows, is collected.
     """
-    spark, kept = bought.sparkSession, bought.persist(StorageLevel.DISK_ONLY)
-    sold = kept.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.DISK_ONLY)
+    spark, kept = bought.sparkSession, kept_rows(bought, StorageLevel.DISK_ONLY)
+    sold = kept_rows(kept.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")), StorageLevel.DISK_ONLY)
     try:
         sizes = kept.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
         total, largest = sizes.agg(F.count("session_id"), F.max("n")).first()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from brooklet.functions.expressions import unused
+from brooklet.operators.kept import kept_rows
 
 #: Rows of a range, the most ranges, and sampled keys for each.
 ROWS_PER_RANGE, RANGES, SAMPLED = 500_000, 2048, 32
@@ -23,7 +24,7 @@ def global_positions(df: DataFrame, orders: dict[str, list[Column]], rows_per_ra
     so each order costs one shuffle by range and no task sorts everything.
     """
     keys = {name: F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]) for name, order in orders.items()}
-    held = df.select(*[k.alias(name) for name, k in keys.items()]).persist(StorageLevel.MEMORY_AND_DISK)
+    held = kept_rows(df.select(*[k.alias(name) for name, k in keys.items()]), StorageLevel.MEMORY_AND_DISK)
     try:
         total = held.count()
         ranges = max(1, min(RANGES, -(-total // rows_per_range)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,8 +29,12 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as purchases: the customer is the user, the order the session."""
+def order_purchases(spark: SparkSession, sf_dir: str, session: Column | None = None) -> DataFrame:
+    """Order lines as purchases: the customer is the user, the order the session.
+
+    ``session`` replaces the order's number as text. By the number itself (``o_orderkey``) lines are
+    already together after the join, so what groups sessions needs no shuffle.
+    """
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.to_date("o_orderdate").alias("event_date"),
@@ -38,7 +42,7 @@ def order_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("price"),
         F.col("o_custkey").alias("user_id"),
-        F.col("o_orderkey").cast("string").alias("session_id"),
+        (F.col("o_orderkey").cast("string") if session is None else session).alias("session_id"),
     )
 
 

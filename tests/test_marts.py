@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from helpers import SIX, events
 
@@ -205,3 +207,45 @@ def test_no_python_in_mart_plans(spark):
     e = events(spark, SIX)
     for name, df in build_marts(e, e).items():
         assert "Python" not in df._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_rfm_reads_the_last_days_alone(spark, tmp_path):
+    """The days' filter reaches the read, below the aggregate of days; the last date is that of purchases with a user."""
+    days = ["2020-01-01", "2020-04-01", "2020-05-01"]
+    rows = [(f"{d} 10:00:00", "purchase", 1, 2.0, k, None) for k, d in enumerate(days)]
+    events(spark, [*rows, ("2020-12-01 10:00:00", "view", 1, 2.0, 1, None), ("2020-12-02 10:00:00", "purchase", 1, 2.0, None, None)]).write.parquet(f"{tmp_path}/silver")
+    found = marts.rfm_segmentation(spark.read.parquet(f"{tmp_path}/silver"))
+    assert re.search(r"Filter .*event_date#\d+ > 2020-02-01.*\n.*Relation", found._jdf.queryExecution().optimizedPlan().toString())
+    assert {(str(r.as_of_date), r.user_id, r.recency_days) for r in found.collect()} == {("2020-05-01", 1, 30), ("2020-05-01", 2, 0)}
+
+
+def test_kept_rows_have_partitions_by_their_size(spark):
+    from pyspark.storagelevel import StorageLevel
+
+    from brooklet.operators.kept import MERGED, kept_rows
+
+    before = spark.conf.get(MERGED)
+    kept = kept_rows(spark.range(100).repartition(5).groupBy("id").count(), StorageLevel.DISK_ONLY)
+    assert spark.conf.get(MERGED) == before
+    try:
+        assert kept.count() == 100 and kept.rdd.getNumPartitions() < int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        kept.unpersist()
+
+
+def test_order_lines_are_grouped_by_order_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from brooklet.plans import queries
+
+    spark.createDataFrame([(k, 7, "2020-01-01") for k in range(9)], "o_orderkey long, o_custkey long, o_orderdate string").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(k, p, 1.0, 0.0) for k in range(9) for p in (1, 2, 2)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_extendedprice double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(queries.marts, "product_affinity", lambda sessions: sessions.groupBy("session_id").count())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries.mart("product_affinity")(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # of the join
+    monkeypatch.undo()
+    (pair,) = queries.mart("product_affinity")(spark, str(tmp_path)).collect()
+    assert (pair.product_a, pair.product_b, pair.co_purchase_sessions, pair.affinity_lift) == (1, 2, 9, 1.0)
